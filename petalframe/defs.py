@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 def _dtype(d) -> T.DataType:
     if isinstance(d, T.DataType):
         return d
-    return T._parse_datatype_string(d)
+    return T.DataType.fromDDL(d)
 
 
 @dataclass(frozen=True)
