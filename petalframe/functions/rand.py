@@ -25,7 +25,8 @@ def _col(c) -> Column:
 
 def hash_hex(seed, salt: str, *keys) -> Column:
     """md5 hex digest of ``seed:salt:key1:key2...`` (keys cast to string)."""
-    parts = [F.lit(str(seed)), F.lit(salt)] + [_col(k).cast("string") for k in keys]
+    seed_col = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
+    parts = [seed_col, F.lit(salt)] + [_col(k).cast("string") for k in keys]
     return F.md5(F.concat_ws(":", *parts))
 
 
@@ -49,11 +50,12 @@ def hash_bucket(rank: Column, digits: int) -> Column:
     return F.shiftright(rank, shift).cast("int")
 
 
-def sql_hash_rank(seed, salt: str, *key_sql: str) -> str:
-    """DuckDB twin of :func:`hash_rank` for oracle SQL."""
+def sql_hash_rank(seed, salt: str, *key_sql: str, seed_sql: str | None = None) -> str:
+    """DuckDB twin of :func:`hash_rank` for oracle SQL (``seed_sql``: a per-row seed expression)."""
     keys = ", ".join(f"CAST({k} AS VARCHAR)" for k in key_sql)
-    return (f"('0x' || substr(md5(concat_ws(':', '{seed}', '{salt}', {keys})), 1, {HEX_DIGITS}))::BIGINT")
+    sd = f"CAST({seed_sql} AS VARCHAR)" if seed_sql else f"'{seed}'"
+    return (f"('0x' || substr(md5(concat_ws(':', {sd}, '{salt}', {keys})), 1, {HEX_DIGITS}))::BIGINT")
 
 
-def sql_uniform(seed, salt: str, *key_sql: str) -> str:
-    return f"({sql_hash_rank(seed, salt, *key_sql)} / {HEX_SCALE})"
+def sql_uniform(seed, salt: str, *key_sql: str, seed_sql: str | None = None) -> str:
+    return f"({sql_hash_rank(seed, salt, *key_sql, seed_sql=seed_sql)} / {HEX_SCALE})"

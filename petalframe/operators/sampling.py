@@ -149,6 +149,39 @@ def poison(df: DataFrame, key: str, features: list, label: str, percent: float,
     return s.withColumns(repl).drop("_p")
 
 
+def poison_runs(df: DataFrame, key: str, features: list, label: str, runs: list,
+                digits: int = DEFAULT_DIGITS, flag: str = "is_poisoned") -> DataFrame:
+    """R6 for many runs in one job: ``runs`` = [(run_id, level, seed)].
+
+    Rows are repeated once per run (an explode of a literal array of runs -
+    the output is the union of all poisoned copies anyway), each run is a
+    stratum of the k-smallest selection with its own seed, and the clean
+    ranges / class list are computed once. Integral features are floored.
+    """
+    aggs = [F.min(c).alias(f"min_{c}") for c in features] + [F.max(c).alias(f"max_{c}") for c in features]
+    stats = df.agg(*aggs).first()
+    classes = [r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().orderBy(label).collect()]
+    run_arr = F.array(*[F.struct(F.lit(int(r)).alias("run_id"), F.lit(int(lv)).alias("poisoning_level"),
+                                 F.lit(int(sd)).alias("seed")) for r, lv, sd in runs])
+    x = df.withColumn("_run", F.explode(run_arr)).select("*", "_run.*").drop("_run")
+    seed = F.col("seed")
+    x = x.withColumn("_rk", hash_rank(seed, "pick", key))
+    quota = (x.groupBy("run_id", "poisoning_level").agg(F.count(F.lit(1)).alias("_n"))
+             .select("run_id", F.bround(F.col("_n") * F.col("poisoning_level").cast("double") / 100, 0)
+                     .cast("long").alias("_k")))
+    s = select_k_smallest(x, "_rk", [key], ["run_id"], quota, digits, out="_p")
+    repl = {}
+    for c in features:
+        new = uniform_in_range(F.lit(stats[f"min_{c}"]), F.lit(stats[f"max_{c}"]), seed, f"feat:{c}", key)
+        dt = df.schema[c].dataType
+        if dt.typeName() in ("long", "integer", "short", "byte"):
+            new = F.floor(new)
+        repl[c] = F.when(F.col("_p"), new.cast(dt)).otherwise(F.col(c))
+    repl[label] = F.when(F.col("_p"), wrong_label(F.col(label), classes, uniform(seed, "label", key))).otherwise(F.col(label))
+    repl[flag] = F.col("_p").cast("int")
+    return s.withColumns(repl).drop("_p", "_rk")
+
+
 def shuffle_order(df: DataFrame, key: str | list, seed: int, salt: str = "shuffle") -> DataFrame:
     """A reproducible shuffle = order by keyed hash (ties by key)."""
     keys = _cols(key)

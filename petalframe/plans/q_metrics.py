@@ -24,12 +24,14 @@ _SCORED = f"""s AS (SELECT d.doc_id, d.lang, l.quality AS truth, CAST(d.n_chars
        FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
 
 
-def metrics_sql(select: str, group: list, weighted: bool = False) -> str:
+def metrics_sql(select: str, group: list, scored: str = _SCORED) -> str:
+    """Oracle for :func:`classification_metrics`; ``scored`` is a CTE named ``s``
+    with ``truth``, ``pred`` and the group columns (it may be preceded by more CTEs)."""
     g = ", ".join(group)
     gs = (g + ", ") if group else ""
     by = f"GROUP BY {g}" if group else ""
     return f"""
-WITH {_SCORED},
+WITH {scored},
 conf AS (SELECT {gs}truth, pred, count(*) AS n FROM s GROUP BY ALL),
 lab0 AS (SELECT {gs}truth AS label, CASE WHEN truth = pred THEN n ELSE 0 END AS tp, n AS nt, 0 AS np FROM conf
          UNION ALL SELECT {gs}pred AS label, 0, 0, n FROM conf),
