@@ -42,6 +42,10 @@ class FittedModel:
 
 
 def _assemble(df: DataFrame, features, scaler: dict | None) -> DataFrame:
+    from pyspark.ml.linalg import VectorUDT
+
+    if isinstance(features, str) and isinstance(df.schema[features].dataType, VectorUDT):
+        return df if features == "features" else df.withColumn("features", F.col(features))
     if isinstance(features, str):  # one array column
         col = F.col(features)
         if scaler:
@@ -64,26 +68,47 @@ def fit_array_scaler(df: DataFrame, col: str, dims: int) -> dict:
     return {col: ([row[f"m{i}"] for i in range(dims)], [row[f"s{i}"] or 1.0 for i in range(dims)])}
 
 
+ROWS_PER_PARTITION = 200_000
+
+
+def sized_for_iterations(x: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION):
+    """Cache training rows in partitions sized by row count.
+
+    Iterative learners pass over the rows once per iteration; the partition
+    count should follow the data (thousands of partitions at scale, one for a
+    few hundred rows), not whatever an earlier shuffle left behind.
+    """
+    n = x.count()
+    parts = max(1, -(-n // rows_per_partition))
+    x = x.repartition(parts).cache()
+    x.count()
+    return x, n
+
+
 def fit_logistic(train: DataFrame, features, label: str, C: float = 1.0, max_iter: int = 1000, tol: float = 1e-6,
                  dims: int | None = None) -> FittedModel:
     """M1 + M2."""
     scaler = (fit_array_scaler(train, features, dims) if isinstance(features, str)
               else checks.standard_scaler_fit(train, features))
-    x = _assemble(train, features, scaler).withColumn("_label", F.col(label).cast("double"))
-    n = x.count()
+    # The optimiser passes over the rows once per iteration: keep only the
+    # assembled vectors and labels, cached, instead of re-running the lineage.
+    x = _assemble(train, features, scaler).select("features", F.col(label).cast("double").alias("_label"))
+    x, n = sized_for_iterations(x)
     lr = LogisticRegression(featuresCol="features", labelCol="_label", family="multinomial",
                             regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False,
                             maxIter=max_iter, tol=tol)
-    return FittedModel("logistic", lr.fit(x), features, scaler, {"C": C, "max_iter": max_iter})
+    model = lr.fit(x)
+    x.unpersist()
+    return FittedModel("logistic", model, features, scaler, {"C": C, "max_iter": max_iter})
 
 
 def fit_tree(train: DataFrame, features, label: str, max_depth: int = 4, impurity: str = "gini",
              seed: int = 1, max_bins: int = 256) -> FittedModel:
     """M3: ``maxBins`` at least the distinct values makes candidate thresholds
     the midpoints; capped for large data (approximate thresholds)."""
-    x = _assemble(train, features, None).withColumn("_label", F.col(label).cast("double"))
+    x = _assemble(train, features, None).select("features", F.col(label).cast("double").alias("_label"))
     dt = DecisionTreeClassifier(featuresCol="features", labelCol="_label", maxDepth=max_depth,
-                                impurity=impurity, seed=seed, maxBins=max_bins)
+                                impurity=impurity, seed=seed, maxBins=max_bins, cacheNodeIds=True)
     return FittedModel("tree", dt.fit(x), features, None,
                        {"max_depth": max_depth, "criterion": impurity, "seed": seed})
 
@@ -100,13 +125,15 @@ def tree_grid(train: DataFrame, test: DataFrame, features, label: str,
     Fits are sequential (each one is a distributed job); scoring of all runs
     is unioned and evaluated in one aggregate.
     """
-    train = train.cache()
+    # assemble once; every fit of the grid reads the cached vectors
+    train, _ = sized_for_iterations(_assemble(train, features, None).select("features", label))
     scored = None
     run = 0
     for d in depths:
         for c in criteria:
             run += 1
-            m = fit_tree(train, features, label, d, c, seed)
+            m = fit_tree(train, "features", label, d, c, seed)
+            m.features = features
             s = (m.transform(test.select(label, *([features] if isinstance(features, str) else features)))
                  .select(label, "prediction")
                  .withColumn("run_id", F.lit(run)).withColumn("max_depth", F.lit(d))

@@ -1,4 +1,4 @@
 """Registered queries: import the modules so they register themselves."""
 
-from petalframe.plans import q_checks, q_drift, q_metrics, q_models, q_online, q_pit, q_sampling  # noqa: F401
+from petalframe.plans import q_checks, q_drift, q_metrics, q_models, q_online, q_pit, q_sampling, q_shap  # noqa: F401
 from petalframe.plans.registry import ORACLE, QUERIES  # noqa: F401

@@ -154,7 +154,8 @@ def poison_sweep(spark, sf_dir):
     wide = lambda df: df.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c)
                                                        for i, c in enumerate(cols)])
     runs = [(i + 1, lv, 42 + lv) for i, lv in enumerate(LEVELS)]
-    poisoned = sampling.poison_runs(wide(train), "vec_id", cols, "label", runs).cache()
+    clean = wide(train).cache()
+    poisoned = sampling.poison_runs(clean, "vec_id", cols, "label", runs).cache()
     test_w = wide(test)
     scored = None
     for run_id, lv, seed in runs:
