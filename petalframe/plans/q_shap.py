@@ -81,7 +81,7 @@ xl AS (SELECT event_id, 'sepal_length' AS feature, sepal_length AS val FROM x
 fidx(feature, idx) AS (VALUES ('sepal_length', 0), ('sepal_width', 1), ('petal_length', 2), ('petal_width', 3))"""
 
 
-@register("tree_score_fixed", f"""
+ORACLE_SCORE_SQL = f"""
 WITH {_TREE_SQL},
 hold AS (SELECT xl.event_id, s.leaf, any_value(s.v0) AS v0, any_value(s.v1) AS v1, any_value(s.v2) AS v2,
                 bool_and(CASE WHEN s.dir = 0 THEN xl.val <= s.thr ELSE xl.val > s.thr END) AS ok
@@ -90,7 +90,10 @@ SELECT event_id, leaf,
        CASE WHEN v0 >= v1 AND v0 >= v2 THEN 'setosa' WHEN v1 >= v2 THEN 'versicolor' ELSE 'virginica' END
          AS prediction
 FROM hold WHERE ok
-""")
+"""
+
+
+@register("tree_score_fixed", ORACLE_SCORE_SQL)
 def tree_score_fixed(spark, sf_dir):
     """M6: leaf and predicted class per event (one CASE expression, no join)."""
     return predict(event_features(Tables(spark, sf_dir)), fixed_tree()).select("event_id", "leaf", "prediction")
