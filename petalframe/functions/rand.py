@@ -26,7 +26,8 @@ def _col(c) -> Column:
 def hash_hex(seed, salt: str, *keys) -> Column:
     """md5 hex digest of ``seed:salt:key1:key2...`` (keys cast to string)."""
     seed_col = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
-    parts = [seed_col, F.lit(salt)] + [_col(k).cast("string") for k in keys]
+    salt_col = salt if isinstance(salt, Column) else F.lit(salt)
+    parts = [seed_col, salt_col] + [_col(k).cast("string") for k in keys]
     return F.md5(F.concat_ws(":", *parts))
 
 

@@ -149,8 +149,20 @@ def poison(df: DataFrame, key: str, features: list, label: str, percent: float,
     return s.withColumns(repl).drop("_p")
 
 
+def array_ranges(df: DataFrame, col: str) -> tuple[list, list]:
+    """A2 for an array column: per-position min and max in one vector
+    aggregate (O(dims) values to the driver)."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    row = (df.select(array_to_vector(F.col(col).cast("array<double>")).alias("_v"))
+           .select(Summarizer.metrics("min", "max").summary(F.col("_v")).alias("s")).first()["s"])
+    return list(row["min"]), list(row["max"])
+
+
 def poison_runs(df: DataFrame, key: str, features: list, label: str, runs: list,
-                digits: int = DEFAULT_DIGITS, flag: str = "is_poisoned") -> DataFrame:
+                digits: int = DEFAULT_DIGITS, flag: str = "is_poisoned",
+                array_feature: str | None = None) -> DataFrame:
     """R6 for many runs in one job: ``runs`` = [(run_id, level, seed)].
 
     Rows are repeated once per run (an explode of a literal array of runs -
@@ -159,7 +171,7 @@ def poison_runs(df: DataFrame, key: str, features: list, label: str, runs: list,
     ranges / class list are computed once. Integral features are floored.
     """
     aggs = [F.min(c).alias(f"min_{c}") for c in features] + [F.max(c).alias(f"max_{c}") for c in features]
-    stats = df.agg(*aggs).first()
+    stats = df.agg(*aggs).first() if features else {}
     classes = [r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().orderBy(label).collect()]
     run_arr = F.array(*[F.struct(F.lit(int(r)).alias("run_id"), F.lit(int(lv)).alias("poisoning_level"),
                                  F.lit(int(sd)).alias("seed")) for r, lv, sd in runs])
@@ -177,6 +189,18 @@ def poison_runs(df: DataFrame, key: str, features: list, label: str, runs: list,
         if dt.typeName() in ("long", "integer", "short", "byte"):
             new = F.floor(new)
         repl[c] = F.when(F.col("_p"), new.cast(dt)).otherwise(F.col(c))
+    if array_feature:
+        # one lambda over the array: element i uses salt "feat:<array>[i]"
+        lo, hi = array_ranges(df, array_feature)
+        lo_a, hi_a = F.array(*map(F.lit, lo)), F.array(*map(F.lit, hi))
+        et = df.schema[array_feature].dataType.elementType
+
+        def elem(x, i):
+            u = uniform(seed, F.concat(F.lit(f"feat:{array_feature}["), i.cast("string"), F.lit("]")), key)
+            new = F.element_at(lo_a, i + 1) + u * (F.element_at(hi_a, i + 1) - F.element_at(lo_a, i + 1))
+            return F.when(F.col("_p"), new.cast(et)).otherwise(x)
+
+        repl[array_feature] = F.transform(F.col(array_feature), elem)
     repl[label] = F.when(F.col("_p"), wrong_label(F.col(label), classes, uniform(seed, "label", key))).otherwise(F.col(label))
     repl[flag] = F.col("_p").cast("int")
     return s.withColumns(repl).drop("_p", "_rk")

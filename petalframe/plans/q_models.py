@@ -150,18 +150,16 @@ def poison_sweep(spark, sf_dir):
     """M5: poison the training split at 0/5/10/50 %, fit scaler + logistic per
     level, evaluate all levels on the clean test split in one aggregate."""
     train, test = _split_embeddings(spark, sf_dir)
-    cols = [f"e{i}" for i in range(DIMS)]
-    wide = lambda df: df.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c)
-                                                       for i, c in enumerate(cols)])
     runs = [(i + 1, lv, 42 + lv) for i, lv in enumerate(LEVELS)]
-    clean = wide(train).cache()
-    poisoned = sampling.poison_runs(clean, "vec_id", cols, "label", runs).cache()
-    test_w = wide(test)
+    clean = train.select("vec_id", "label", "embedding").cache()
+    poisoned = sampling.poison_runs(clean, "vec_id", [], "label", runs, array_feature="embedding").cache()
+    fitted = models.fit_parallel(
+        [lambda r=r: models.fit_logistic(poisoned.where(F.col("run_id") == r), "embedding", "label", dims=DIMS)
+         for r, _, _ in runs], parallelism=len(runs))
     scored = None
-    for run_id, lv, seed in runs:
-        tr = poisoned.where(F.col("run_id") == run_id)
-        m = models.fit_logistic(tr, cols, "label")
-        s = m.transform(test_w).select("label", "prediction").withColumn("poisoning_level", F.lit(lv))
+    for (run_id, lv, seed), m in zip(runs, fitted):
+        s = (m.transform(test.select("label", "embedding")).select("label", "prediction")
+             .withColumn("poisoning_level", F.lit(lv)))
         scored = s if scored is None else scored.unionByName(s)
     out = M.classification_metrics(scored, "label", "prediction", ["poisoning_level"]).orderBy("poisoning_level")
     return out
