@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from petalframe.session import materialize
+
 N_RANGES = 200
 EXACT_MAX_N = 10000
 LEVEL = 0.05
@@ -40,13 +42,17 @@ def long_samples(a: DataFrame, b: DataFrame, features: list) -> DataFrame:
 
 def ks_statistic(long: DataFrame, n_ranges: int = N_RANGES) -> DataFrame:
     """``(feature, n_a, n_b, ks_statistic)``."""
-    cnt = (long.groupBy("feature", "x")
-           .agg(F.sum(1 - F.col("sample")).alias("ca"), F.sum("sample").alias("cb")))
+    # ties collapsed; used by three later passes, so written once
+    cnt = materialize(long.groupBy("feature", "x")
+                      .agg(F.sum(1 - F.col("sample")).alias("ca"), F.sum("sample").alias("cb")))
     probs = [i / n_ranges for i in range(1, n_ranges)]
     cuts = cnt.groupBy("feature").agg(F.percentile_approx("x", probs, 10 * n_ranges).alias("cuts"))
-    # range id = number of cut points below x (cut lists are O(n_ranges) per feature)
-    r = (cnt.join(F.broadcast(cuts), "feature")
-         .withColumn("rng", F.size(F.filter("cuts", lambda c: c < F.col("x")))).drop("cuts"))
+    rid = _range_id(cuts, F.col("feature"), F.col("x"))
+    if rid is not None:
+        r = cnt.withColumn("rng", rid)
+    else:
+        r = (cnt.join(F.broadcast(cuts), "feature")
+             .withColumn("rng", F.size(F.filter("cuts", lambda c: c < F.col("x")))).drop("cuts"))
     tot = r.groupBy("feature", "rng").agg(F.sum("ca").alias("ta"), F.sum("cb").alias("tb"))
     before = Window.partitionBy("feature").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("feature")
@@ -64,6 +70,35 @@ def ks_statistic(long: DataFrame, n_ranges: int = N_RANGES) -> DataFrame:
                  F.max(F.abs(F.col("fa") - F.col("fb"))).alias("ks_statistic")))
 
 
+MAX_INLINE_CUTS = 20000
+
+
+def _count_below(x: Column, cuts: list, base: int = 0) -> Column:
+    """Number of cut points < x as a balanced CASE tree (log2 comparisons)."""
+    if not cuts:
+        return F.lit(base)
+    mid = len(cuts) // 2
+    return F.when(x > F.lit(cuts[mid]), _count_below(x, cuts[mid + 1:], base + mid + 1)).otherwise(
+        _count_below(x, cuts[:mid], base))
+
+
+def _range_id(cuts: DataFrame, feature: Column, x: Column) -> Column | None:
+    """Range of x among its feature's cut points.
+
+    The cut lists are O(features x ranges) values; as literals they become a
+    compiled binary search. Very many features fall back to counting with a
+    higher-order function over a broadcast cut table (``None`` is returned).
+    """
+    rows = cuts.collect()
+    if sum(len(r["cuts"] or []) for r in rows) > MAX_INLINE_CUTS:
+        return None
+    e = F.lit(0)
+    for r in rows:
+        cs = sorted(set(c for c in (r["cuts"] or []) if c is not None))
+        e = F.when(feature == F.lit(r["feature"]), _count_below(x, cs)).otherwise(e)
+    return e
+
+
 def ks_pvalue(n_a: Column, n_b: Column, d: Column) -> tuple[Column, Column]:
     """Two-sided p-value and the method used.
 

@@ -76,3 +76,14 @@ def local_path(path: str) -> str:
 
 def exists(path: str) -> bool:
     return os.path.exists(local_path(path))
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    For an intermediate that several later branches reuse: it is computed
+    once instead of once per branch, and its lineage is cut, so a lost
+    executor re-reads the files instead of recomputing the input.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
