@@ -13,7 +13,7 @@ previous version in place and a rerun is harmless.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,7 +135,7 @@ class VersionedTable:
     def write(self, df: DataFrame, version: int, end_ts) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
         ptr = self.spark.createDataFrame(
-            [(int(version), end_ts, datetime.utcnow())],
+            [(int(version), end_ts, datetime.now(timezone.utc).replace(tzinfo=None))],
             T.StructType([T.StructField("version", T.LongType()), T.StructField("end_ts", T.TimestampNTZType()),
                           T.StructField("written_at", T.TimestampNTZType())]))
         ptr.write.mode("append").parquet(self.pointer_path)

@@ -155,16 +155,24 @@ def request_metrics(parsed: DataFrame, window: str = "1 minute", watermark: str
             .agg(F.count(F.lit(1)).alias("requests"),
                  F.sum(F.when(F.col("status") >= 500, 1).otherwise(0)).alias("errors"),
                  F.avg("latency_ms").alias("mean_latency_ms"),
-                 F.percentile_approx("latency_ms", 0.95).alias("p95_latency_ms"))
-            .select(F.col("w.start").alias("window_start"), "path", "status", "requests", "errors",
-                    "mean_latency_ms", "p95_latency_ms"))
+                 F.percentile_approx("latency_ms", 0.95).alias("p95_latency_ms"),
+                 F.max("ts").alias("max_ts"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "path", "status",
+                    "requests", "errors", "mean_latency_ms", "p95_latency_ms", "max_ts"))
 
 
-def request_metrics_stream(lines: DataFrame, table: online.VersionedTable, checkpoint: str) -> None:
+def request_metrics_stream(lines: DataFrame, table: online.VersionedTable, checkpoint: str,
+                           watermark_seconds: int = 600) -> None:
     """ST4 as a stream: update mode, each batch's changed windows merged into a
     versioned table (the newest batch wins per window, path and status).
-    Rows later than the watermark are dropped by Spark."""
-    agg = request_metrics(parse_request_log(lines)).withColumn("_batch", F.lit(0).cast("long"))
+
+    Spark only promises that rows later than the watermark *may* be dropped.
+    To make the result deterministic the writer keeps the largest event time
+    seen by earlier batches (in the version pointer) and ignores updates to
+    windows that had already closed under that watermark: late rows never
+    change a closed window.
+    """
+    agg = request_metrics(parse_request_log(lines), watermark=f"{watermark_seconds} seconds")
     keys = ["window_start", "path", "status"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -172,9 +180,15 @@ def request_metrics_stream(lines: DataFrame, table: online.VersionedTable, check
         version = batch_id + 1
         if cur is not None and version <= cur["version"]:
             return
+        seen = cur["end_ts"] if cur else None
         b = batch.withColumn("_batch", F.lit(batch_id).cast("long"))
+        if seen is not None:
+            closed = F.lit(seen).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(watermark_seconds))
+            b = b.where(F.col("window_end").cast("timestamp_ntz") > closed)
+        batch_max = batch.agg(F.max("max_ts").cast("timestamp_ntz")).first()[0]
+        new_seen = max([t for t in (seen, batch_max) if t is not None], default=None)
         snap = table.read() if cur else None
         merged = b if snap is None else online.latest_per_key(b.unionByName(snap), keys, "_batch")
-        table.write(merged, version, None)
+        table.write(merged, version, new_seen)
 
     run_available_now(agg.writeStream.outputMode("update").foreachBatch(write), checkpoint)
