@@ -212,6 +212,14 @@ def shuffle_order(df: DataFrame, key: str | list, seed: int, salt: str = "shuffl
     return df.orderBy(hash_rank(seed, salt, *keys), *keys)
 
 
+def shuffle_positions(df: DataFrame, key: str | list, seed: int, salt: str = "shuffle",
+                      digits: int = 3, out: str = "shuffle_pos") -> DataFrame:
+    """R7 as data: 0-based position of each row in the keyed shuffle."""
+    keys = _cols(key)
+    r = df.withColumn("_rk", hash_rank(seed, salt, *keys))
+    return _global_rank(r, "_rk", keys, digits, out).drop("_rk")
+
+
 def _global_rank(df: DataFrame, rank_col: str, tiebreak: list, digits: int, out: str) -> DataFrame:
     """0-based dense position in hash order without a one-task window:
     bucket offsets (<= 16**digits rows) plus the rank inside the bucket."""
