@@ -40,11 +40,21 @@ def long_samples(a: DataFrame, b: DataFrame, features: list) -> DataFrame:
     return out.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-def ks_statistic(long: DataFrame, n_ranges: int = N_RANGES) -> DataFrame:
-    """``(feature, n_a, n_b, ks_statistic)``."""
+ROWS_PER_RANGE = 2_000_000
+MAX_RANGES = 4000
+
+
+def ks_statistic(long: DataFrame, n_ranges: int | None = None) -> DataFrame:
+    """``(feature, n_a, n_b, ks_statistic)``.
+
+    ``n_ranges`` (per feature) defaults to one range per ~2M distinct values,
+    at least 200, so each window partition stays a bounded sort."""
     # ties collapsed; used by three later passes, so written once
     cnt = materialize(long.groupBy("feature", "x")
                       .agg(F.sum(1 - F.col("sample")).alias("ca"), F.sum("sample").alias("cb")))
+    if n_ranges is None:
+        per_feature = cnt.count() / max(1, len(long.select("feature").distinct().collect()))
+        n_ranges = int(min(MAX_RANGES, max(N_RANGES, per_feature // ROWS_PER_RANGE)))
     probs = [i / n_ranges for i in range(1, n_ranges)]
     cuts = cnt.groupBy("feature").agg(F.percentile_approx("x", probs, 10 * n_ranges).alias("cuts"))
     rid = _range_id(cuts, F.col("feature"), F.col("x"))
@@ -70,7 +80,7 @@ def ks_statistic(long: DataFrame, n_ranges: int = N_RANGES) -> DataFrame:
                  F.max(F.abs(F.col("fa") - F.col("fb"))).alias("ks_statistic")))
 
 
-MAX_INLINE_CUTS = 20000
+MAX_INLINE_CUTS = 40000
 
 
 def _count_below(x: Column, cuts: list, base: int = 0) -> Column:

@@ -213,7 +213,7 @@ def shuffle_order(df: DataFrame, key: str | list, seed: int, salt: str = "shuffl
 
 
 def shuffle_positions(df: DataFrame, key: str | list, seed: int, salt: str = "shuffle",
-                      digits: int = 3, out: str = "shuffle_pos") -> DataFrame:
+                      digits: int = 4, out: str = "shuffle_pos") -> DataFrame:
     """R7 as data: 0-based position of each row in the keyed shuffle."""
     keys = _cols(key)
     r = df.withColumn("_rk", hash_rank(seed, salt, *keys))
@@ -222,7 +222,8 @@ def shuffle_positions(df: DataFrame, key: str | list, seed: int, salt: str = "sh
 
 def _global_rank(df: DataFrame, rank_col: str, tiebreak: list, digits: int, out: str) -> DataFrame:
     """0-based dense position in hash order without a one-task window:
-    bucket offsets (<= 16**digits rows) plus the rank inside the bucket."""
+    bucket offsets (<= 16**digits rows, so the broadcast is bounded) plus the
+    rank inside the bucket (about n / 16**digits rows per window partition)."""
     b = df.withColumn("_bk", hash_bucket(F.col(rank_col), digits))
     counts = b.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.withColumn("_off", F.sum("_n").over(
@@ -234,7 +235,7 @@ def _global_rank(df: DataFrame, rank_col: str, tiebreak: list, digits: int, out:
 
 
 def balanced_groups(df: DataFrame, key: str | list, n_groups: int, seed: int,
-                    digits: int = 3, out: str = "group") -> DataFrame:
+                    digits: int = 4, out: str = "group") -> DataFrame:
     """Deal 0, 1, ..., G-1 over a keyed shuffle; sizes differ by <= 1."""
     keys = _cols(key)
     r = df.withColumn("_rk", hash_rank(seed, "group", *keys))
@@ -242,8 +243,11 @@ def balanced_groups(df: DataFrame, key: str | list, n_groups: int, seed: int,
     return g.withColumn(out, (F.col("_pos") % n_groups).cast("int")).drop("_rk", "_pos")
 
 
+ROWS_PER_KEY_RANGE = 10_000_000
+
+
 def surrogate_key(df: DataFrame, order_cols: list, out: str = "row_id",
-                  n_buckets: int = 1024, relative_error: float = 1e-4) -> DataFrame:
+                  n_buckets: int | None = None, relative_error: float = 1e-4) -> DataFrame:
     """Dense 0-based id in the order of ``order_cols``.
 
     Cut points of the first order column (approximate quantiles, a bounded
@@ -255,6 +259,9 @@ def surrogate_key(df: DataFrame, order_cols: list, out: str = "row_id",
 
     order_cols = _cols(order_cols)
     first = order_cols[0]
+    if n_buckets is None:  # ~10M rows per numbered range, 16 .. 65536 ranges
+        n_buckets = int(min(65536, max(16, -(-df.count() // ROWS_PER_KEY_RANGE))))
+        relative_error = min(relative_error, 0.1 / n_buckets)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = df.select(F.col(first).cast("double").alias("_x")).approxQuantile("_x", probs, relative_error)
     splits = [-math.inf] + sorted(set(c for c in cuts if c is not None and not math.isnan(c))) + [math.inf]
