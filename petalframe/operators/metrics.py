@@ -21,12 +21,14 @@ def _cols(cs) -> list:
     return [cs] if isinstance(cs, str) else list(cs or [])
 
 
-def confusion(df: DataFrame, truth: str, pred: str, group=None) -> DataFrame:
-    """``(group..., truth, pred, n)``."""
+def confusion(df: DataFrame, truth: str, pred: str, group=None, weight: str | None = None) -> DataFrame:
+    """``(group..., truth, pred, n)``; ``weight`` sums a count column of
+    an already aggregated frame instead of counting rows."""
     g = _cols(group)
+    n = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
     return (df.where(F.col(truth).isNotNull() & F.col(pred).isNotNull())
             .groupBy(*g, F.col(truth).alias("_truth"), F.col(pred).alias("_pred"))
-            .agg(F.count(F.lit(1)).alias("_n")))
+            .agg(n.alias("_n")))
 
 
 def label_stats(conf: DataFrame, group=None) -> DataFrame:
@@ -64,7 +66,8 @@ METRICS: dict[str, Callable[[], Column]] = {
 
 
 def classification_metrics(df: DataFrame, truth: str, pred: str, group=None,
-                           metrics: dict | None = None, digits: int | None = 10) -> DataFrame:
+                           metrics: dict | None = None, digits: int | None = 10,
+                           weight: str | None = None) -> DataFrame:
     """One row per group with the requested metrics.
 
     ``metrics`` maps output names to keys of :data:`METRICS` (or to callables
@@ -73,7 +76,7 @@ def classification_metrics(df: DataFrame, truth: str, pred: str, group=None,
     g = _cols(group)
     metrics = metrics or {"accuracy": "accuracy", "precision": "precision_macro",
                           "recall": "recall_macro", "f1": "f1_macro"}
-    stats = label_stats(confusion(df, truth, pred, g), g)
+    stats = label_stats(confusion(df, truth, pred, g, weight), g)
     aggs = []
     for out, m in metrics.items():
         e = (METRICS[m] if isinstance(m, str) else m)()

@@ -165,10 +165,10 @@ def run_log(runs: DataFrame, experiment: str, param_cols: list, metric_cols: lis
     base = runs.select(F.lit(experiment).alias("experiment"), F.col(run_col).cast("string").alias("run_id"),
                        version.alias("version"),
                        *[F.col(c).cast("double").alias(c) for c in param_cols + metric_cols])
-    p = base.unpivot(ids, param_cols, "key", "value").withColumn("kind", F.lit("param"))
-    m = base.unpivot(ids, metric_cols, "key", "value").withColumn("kind", F.lit("metric"))
-    cols = ids + ["kind", "key", "value"]
-    return p.select(*cols).unionByName(m.select(*cols))
+    # one unpivot of params and metrics together: the run frame is computed once
+    kind = F.when(F.col("key").isin(*param_cols), F.lit("param")).otherwise(F.lit("metric"))
+    long = base.unpivot(ids, param_cols + metric_cols, "key", "value").withColumn("kind", kind)
+    return long.select(*ids, "kind", "key", "value")
 
 
 def run_compare(log: DataFrame, keys: list) -> DataFrame:

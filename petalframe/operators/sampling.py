@@ -125,6 +125,14 @@ def wrong_label(label: Column, classes: list, u: Column) -> Column:
     return F.element_at(others, (F.floor(u * (len(classes) - 1)) + 1).cast("int"))
 
 
+def _ranges_and_classes(df: DataFrame, features: list, label: str):
+    """A2 + A4 in one aggregate: clean min / max per feature and the sorted
+    class list (``collect_set`` of a label column holds at most K values)."""
+    aggs = [F.min(c).alias(f"min_{c}") for c in features] + [F.max(c).alias(f"max_{c}") for c in features]
+    row = df.agg(*aggs, F.sort_array(F.collect_set(F.col(label))).alias("_classes")).first()
+    return row, list(row["_classes"])
+
+
 def poison(df: DataFrame, key: str, features: list, label: str, percent: float, seed: int,
            digits: int = DEFAULT_DIGITS, flag: str = "is_poisoned") -> DataFrame:
     """Poison ``percent`` % of the rows.
@@ -136,9 +144,7 @@ def poison(df: DataFrame, key: str, features: list, label: str, percent: float,
     """
     if percent == 0:
         return df.withColumn(flag, F.lit(0))
-    aggs = [F.min(c).alias(f"min_{c}") for c in features] + [F.max(c).alias(f"max_{c}") for c in features]
-    stats = df.agg(*aggs).first()
-    classes = [r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().orderBy(label).collect()]
+    stats, classes = _ranges_and_classes(df, features, label)
     s = sample_exact_k(df, key, percent, seed, "pick", digits, out="_p")
     repl = {}
     for c in features:
@@ -170,9 +176,7 @@ def poison_runs(df: DataFrame, key: str, features: list, label: str, runs: list,
     stratum of the k-smallest selection with its own seed, and the clean
     ranges / class list are computed once. Integral features are floored.
     """
-    aggs = [F.min(c).alias(f"min_{c}") for c in features] + [F.max(c).alias(f"max_{c}") for c in features]
-    stats = df.agg(*aggs).first() if features else {}
-    classes = [r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().orderBy(label).collect()]
+    stats, classes = _ranges_and_classes(df, features, label)
     run_arr = F.array(*[F.struct(F.lit(int(r)).alias("run_id"), F.lit(int(lv)).alias("poisoning_level"),
                                  F.lit(int(sd)).alias("seed")) for r, lv, sd in runs])
     x = df.withColumn("_run", F.explode(run_arr)).select("*", "_run.*").drop("_run")

@@ -64,7 +64,7 @@ def class_metrics_weighted(spark, sf_dir):
                                     metrics=_WEIGHTED_METRICS)
 
 
-@register("metrics_by_group", metrics_sql(_WEIGHTED + ", sum(nt) AS n_rows", ["lang"]))
+@register("metrics_by_group", metrics_sql(_WEIGHTED + ", CAST(sum(nt) AS BIGINT) AS n_rows", ["lang"]))
 def metrics_by_group(spark, sf_dir):
     """The weighted metrics per language, all groups in one pass."""
     return M.classification_metrics(scored_documents(Tables(spark, sf_dir)), "truth", "pred", "lang",

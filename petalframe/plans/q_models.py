@@ -30,9 +30,12 @@ def run_metrics(spark, sf_dir):
     scored = p.select("run_id", "poisoning_level", "seed", "is_poisoned", F.col("quality").alias("truth"),
                       (F.col("n_chars") >= MIN_CHARS).cast("int").alias("pred"))
     keys = ["run_id", "poisoning_level", "seed"]
-    m = M.classification_metrics(scored, "truth", "pred", keys)
-    counts = scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("training_samples"),
-                                       F.sum("is_poisoned").alias("poisoned_samples"))
+    # one grouped pass over the scored rows feeds both the metrics and the counts
+    agg = scored.groupBy(*keys, "truth", "pred").agg(F.count(F.lit(1)).alias("_w"),
+                                                      F.sum("is_poisoned").alias("_pz"))
+    m = M.classification_metrics(agg, "truth", "pred", keys, weight="_w")
+    counts = agg.groupBy(*keys).agg(F.sum("_w").alias("training_samples"),
+                                    F.sum("_pz").alias("poisoned_samples"))
     return m.join(counts, keys)
 
 

@@ -131,7 +131,7 @@ def request_log_lines(events):
 @register("request_log_metrics", """
 SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, '/' || event_type AS path,
        CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
-       count(*) AS requests, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS errors,
+       count(*) AS requests, CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors,
        round(avg(value), 6) AS mean_latency_ms
 FROM events WHERE event_type <> 'view' GROUP BY ALL
 """)
