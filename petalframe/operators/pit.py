@@ -31,10 +31,32 @@ def _ts_type(df: DataFrame, c: str) -> T.DataType:
     return df.schema[c].dataType
 
 
-def _bucket(ts: Column, seconds: int | None) -> Column:
-    if not seconds:
+def _bucket(ts: Column, seconds) -> Column:
+    """Time bucket number; ``seconds`` may be a Column (per-key bucket width)."""
+    if seconds is None or (isinstance(seconds, int) and not seconds):
         return F.lit(0).cast("long")
-    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
+    width = seconds * F.lit(1_000_000) if isinstance(seconds, Column) else F.lit(seconds * 1_000_000)
+    return F.floor(F.unix_micros(ts.cast("timestamp")) / width).cast("long")
+
+
+ROWS_PER_BUCKET = 5_000_000
+
+
+def _hot_key_widths(f_rows: DataFrame, s_rows: DataFrame, keys: list, base_seconds: int,
+                    rows_per_bucket: int) -> DataFrame:
+    """Keys whose busiest base bucket holds more than ``rows_per_bucket`` rows,
+    with a finer bucket width (base / 2^j) for them.
+
+    A partial aggregate (count per key and base bucket) finds them; the
+    result has at most total_rows / rows_per_bucket rows, so it is broadcast.
+    """
+    both = f_rows.select(*keys, "_t").unionByName(s_rows.select(*keys, "_t"))
+    per = both.groupBy(*keys, _bucket(F.col("_t"), base_seconds).alias("_cb")).agg(F.count(F.lit(1)).alias("_n"))
+    hot = per.where(F.col("_n") > rows_per_bucket).groupBy(*keys).agg(F.max("_n").alias("_n"))
+    # halve the width until a bucket holds about rows_per_bucket rows (at least 1 second)
+    halvings = F.ceil(F.log2(F.col("_n") / F.lit(float(rows_per_bucket))))
+    width = F.greatest(F.floor(F.lit(float(base_seconds)) / F.pow(F.lit(2.0), halvings)), F.lit(1.0))
+    return hot.select(*keys, width.cast("long").alias("_w"))
 
 
 def dedupe_created(feats: DataFrame, keys: list, ts: str, created: str) -> DataFrame:
@@ -52,7 +74,8 @@ def as_of_join(spine: DataFrame, feats: DataFrame, keys: list, *,
                features: list | None = None, ttl: timedelta | None = None,
                created: str | None = None, prefix: str = "",
                feature_ts_as: str | None = None,
-               bucket_seconds: int | None = DAY_SECONDS) -> DataFrame:
+               bucket_seconds: int | None = DAY_SECONDS,
+               rows_per_bucket: int | None = ROWS_PER_BUCKET) -> DataFrame:
     """Left as-of join (J1) with optional ttl (J2) and created tie-break.
 
     For every spine row: the newest feature row with the same key and
@@ -60,6 +83,10 @@ def as_of_join(spine: DataFrame, feats: DataFrame, keys: list, *,
     Spine rows all pass through, repeated ones included; no match gives NULL
     features. Output: spine columns, then ``prefix + feature`` columns, then
     ``feature_ts_as`` (the matched row's time) when given.
+
+    ``bucket_seconds`` is the time bucket of the window partitions (None: one
+    partition per key). With ``rows_per_bucket`` set, keys whose busiest
+    bucket exceeds it get proportionally finer buckets.
     """
     keys = list(keys)
     if features is None:
@@ -85,8 +112,16 @@ def as_of_join(spine: DataFrame, feats: DataFrame, keys: list, *,
                           F.lit(1).alias("_side"),
                           F.lit(None).cast(f_rows.schema["_f"].dataType).alias("_f"),
                           s_struct.alias("_s"))
-    f_rows = f_rows.withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
-    s_rows = s_rows.withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
+    if bucket_seconds and rows_per_bucket:
+        hot = F.broadcast(_hot_key_widths(f_rows, s_rows, keys, bucket_seconds, rows_per_bucket))
+        f_rows = f_rows.join(hot, keys, "left")
+        s_rows = s_rows.join(hot, keys, "left")
+        width = F.coalesce(F.col("_w"), F.lit(bucket_seconds).cast("long"))
+        f_rows = f_rows.withColumn("_b", _bucket(F.col("_t"), width)).drop("_w")
+        s_rows = s_rows.withColumn("_b", _bucket(F.col("_t"), width)).drop("_w")
+    else:
+        f_rows = f_rows.withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
+        s_rows = s_rows.withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
 
     parts = [f_rows, s_rows]
     if bucket_seconds:

@@ -138,3 +138,27 @@ def test_batch_scoring_spine(spark):
     spine = pit.batch_scoring_spine(ents, "event_timestamp", F.lit(T0).cast("timestamp_ntz"))
     out = {r["driver_id"]: r["conv_rate"] for r in pit.get_historical_features(spine, [view], spark=spark).collect()}
     assert out[1001] == pytest.approx(0.5) and out[1002] == pytest.approx(0.25)
+
+
+def test_hot_key_gets_finer_buckets(spark):
+    import random
+
+    rnd = random.Random(11)
+    # key 0 holds most rows within a single day; other keys are sparse
+    fr, seen = [], set()
+    for i in range(400):
+        k = 0 if i < 300 else rnd.randint(1, 3)
+        t = T0 + timedelta(seconds=rnd.randint(0, 20000))
+        if (k, t) not in seen:
+            seen.add((k, t))
+            fr.append((k, t, T0, float(i)))
+    s_rows = [(i, 0 if i < 150 else rnd.randint(0, 4), T0 + timedelta(seconds=rnd.randint(0, 20000))) for i in range(200)]
+    spine, feats = _spine(spark, s_rows), _feats(spark, fr)
+    hot = pit._hot_key_widths(
+        feats.select("k", F.col("ts").alias("_t")), spine.select("k", F.col("ts").alias("_t")), ["k"], 86400, 20)
+    widths = {r["k"]: r["_w"] for r in hot.collect()}
+    assert widths[0] == min(widths.values()) and widths[0] < 86400 / 16
+    assert 4 not in widths  # a sparse key keeps the day bucket
+    a = _run(spine, feats, rows_per_bucket=20)
+    b = _run(spine, feats, bucket_seconds=None)
+    assert a == b
