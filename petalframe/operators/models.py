@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -194,5 +193,5 @@ def load_tree(path: str):
     return DecisionTreeClassificationModel.load(path)
 
 
-__all__ = ["FittedModel", "fit_logistic", "fit_tree", "tree_grid", "evaluate", "run_log", "run_compare",
-           "latest_run", "save_model", "load_tree", "PipelineModel"]
+__all__ = ["FittedModel", "fit_logistic", "fit_tree", "fit_parallel", "tree_grid", "evaluate", "run_log",
+           "run_compare", "latest_run", "save_model", "load_tree"]

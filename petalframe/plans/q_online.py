@@ -45,6 +45,16 @@ def feature_service_v2(spark, sf_dir):
     return pit.get_historical_features(fe.click_spine(spark, sf_dir), [d["v2"]], spine_ts="ts", spark=spark)
 
 
+@register("feature_service_v3", f"""
+WITH {_SPINE}, {_PURCH}, {_SP}
+SELECT event_id, user_id, ts, val_to_add, val_to_add_2, purchase_value, {_ODFV} FROM sp
+""")
+def feature_service_v3(spark, sf_dir):
+    """Service over the push-fed "fresh" view; offline retrieval reads its batch side."""
+    d = fe.build(sf_dir)
+    return pit.get_historical_features(fe.click_spine(spark, sf_dir), [d["v3"]], spine_ts="ts", spark=spark)
+
+
 @register("on_demand_features", f"""
 WITH {_SPINE}, {_PURCH}, {_SP}
 SELECT event_id, user_id, ts, val_to_add, val_to_add_2, {_ODFV} FROM sp

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from petalframe.functions.rand import sql_hash_rank, sql_uniform
 from petalframe.operators import sampling
 from petalframe.plans.registry import register

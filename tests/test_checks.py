@@ -1,7 +1,5 @@
 """Data checks and ingest validation."""
 
-import pytest
-
 from petalframe.defs import Field
 from petalframe.operators import checks
 

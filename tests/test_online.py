@@ -2,8 +2,6 @@
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import functions as F
-
 from petalframe.defs import BatchSource, Entity, FeatureView, Field, LabelView
 from petalframe.operators import online
 

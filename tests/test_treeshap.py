@@ -5,7 +5,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from petalframe.operators import treeshap
 from petalframe.plans.q_shap import FEATURES, fixed_tree
