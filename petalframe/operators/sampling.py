@@ -22,8 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from petalframe.functions.rand import hash_bucket, hash_rank, uniform
+from petalframe.session import bounded_broadcast, materialize
 
-DEFAULT_DIGITS = 5  # 16**5 ~ 1M buckets
+DEFAULT_DIGITS = 4  # 16**4 = 65,536 buckets per stratum: a stratum of 1e12 rows ranks ~15M rows at its boundary
 
 
 def _cols(cs) -> list:
@@ -31,38 +32,56 @@ def _cols(cs) -> list:
 
 
 def select_k_smallest(df: DataFrame, rank: str, tiebreak: list, strata: list,
-                      quota: DataFrame, digits: int = DEFAULT_DIGITS,
+                      quota, digits: int = DEFAULT_DIGITS,
                       out: str = "_selected") -> DataFrame:
-    """Flag the ``quota._k`` rows with the smallest ``rank`` in each stratum.
+    """Flag the ``_k`` rows with the smallest ``(rank, *tiebreak)`` in each stratum.
 
-    ``quota`` has the strata columns and ``_k`` (one row per stratum, so its
-    size is bounded by the number of strata and it is broadcast).
-    ``tiebreak`` columns order rows with equal rank.
+    ``quota`` is a frame ``(strata..., _k)`` or a function from the
+    per-stratum totals ``(strata..., _n)`` to such a frame (the totals then
+    come from the bucket counts; no extra pass over ``df``).
+
+    Three passes over ``df``, none of which shuffles its rows:
+
+    1. counts per (stratum, hash bucket) - a partial aggregate, written once;
+       a running sum over them finds each stratum's boundary bucket;
+    2. only the rows of the boundary buckets are ranked, which gives the last
+       selected ``(rank, *tiebreak)`` per stratum - one row per stratum;
+    3. a narrow pass compares every row with its stratum's threshold.
+
+    The per-stratum threshold table is written once, counted, and broadcast
+    only below :data:`petalframe.session.BROADCAST_MAX_ROWS`.
     """
     strata = _cols(strata)
     const = not strata
     if const:  # one stratum: a constant column keeps the plan uniform
-        df, quota, strata = df.withColumn("_s0", F.lit(0)), quota.withColumn("_s0", F.lit(0)), ["_s0"]
+        df, strata = df.withColumn("_s0", F.lit(0)), ["_s0"]
+        if not callable(quota):
+            quota = quota.withColumn("_s0", F.lit(0))
     n_buckets = 16 ** digits
     b = df.withColumn("_bk", hash_bucket(F.col(rank), digits))
-    counts = b.groupBy(*strata, "_bk").agg(F.count(F.lit(1)).alias("_n"))
+    counts = materialize(b.groupBy(*strata, "_bk").agg(F.count(F.lit(1)).alias("_n")))
+    if callable(quota):
+        quota = quota(counts.groupBy(*strata).agg(F.sum("_n").alias("_n")))
+    quota = quota.select(*strata, "_k")
     running = Window.partitionBy(*strata).orderBy("_bk").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (counts.withColumn("_cum", F.sum("_n").over(running))
-           .join(F.broadcast(quota.select(*strata, "_k")), strata))
+    cum = counts.withColumn("_cum", F.sum("_n").over(running)).join(quota, strata)
     boundary = (cum.where((F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_n") < F.col("_k")))
                 .select(*strata, F.col("_bk").alias("_B"),
                         (F.col("_k") - (F.col("_cum") - F.col("_n"))).alias("_need")))
     # Strata with k <= 0 select nothing; strata with k >= n select everything.
-    thr = (quota.select(*strata, "_k").join(boundary, strata, "left")
+    thr = (quota.join(boundary, strata, "left")
            .select(*strata,
                    F.coalesce(F.col("_B"), F.when(F.col("_k") <= 0, F.lit(-1)).otherwise(F.lit(n_buckets))).alias("_B"),
                    F.coalesce(F.col("_need"), F.lit(0)).alias("_need")))
-    x = b.join(F.broadcast(thr), strata)
-    clear = x.where(F.col("_bk") != F.col("_B")).withColumn(out, F.col("_bk") < F.col("_B"))
-    wb = Window.partitionBy(*strata).orderBy(F.col(rank), *[F.col(c) for c in tiebreak])
-    edge = (x.where(F.col("_bk") == F.col("_B"))
-            .withColumn(out, F.row_number().over(wb) <= F.col("_need")))
-    res = clear.unionByName(edge).drop("_bk", "_B", "_need")
+    thr, _ = bounded_broadcast(thr)
+    order = [F.col(rank)] + [F.col(c) for c in tiebreak]
+    wb = Window.partitionBy(*strata).orderBy(*order)
+    last = (b.join(thr, strata).where(F.col("_bk") == F.col("_B"))
+            .withColumn("_rn", F.row_number().over(wb)).where(F.col("_rn") == F.col("_need"))
+            .select(*strata, F.struct(*order).alias("_last")))
+    thr, _ = bounded_broadcast(thr.join(last, strata, "left"))
+    sel = (F.col("_bk") < F.col("_B")) | ((F.col("_bk") == F.col("_B")) & (F.struct(*order) <= F.col("_last")))
+    res = b.join(thr, strata).withColumn(out, F.coalesce(sel, F.lit(False))).drop("_bk", "_B", "_need", "_last")
     return res.drop("_s0") if const else res
 
 
@@ -93,15 +112,14 @@ def stratified_split(df: DataFrame, key: str | list, stratum: str, test_fraction
     """
     keys = _cols(key)
     r = df.withColumn("_rk", hash_rank(seed, "split", *keys))
-    counts = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n"))
-    quota = split_quotas(counts, [stratum], test_fraction)
-    sel = select_k_smallest(r, "_rk", keys, [stratum], quota, digits, out="_t")
+    sel = select_k_smallest(r, "_rk", keys, [stratum], lambda n: split_quotas(n, [stratum], test_fraction),
+                            digits, out="_t")
     return sel.withColumn(out, F.when(F.col("_t"), "test").otherwise("train")).drop("_t", "_rk")
 
 
-def exact_k_quota(df: DataFrame, percent: float) -> DataFrame:
-    """``k = round_half_even(n * p / 100)`` as a one-row frame."""
-    return df.agg(F.bround(F.count(F.lit(1)) * F.lit(float(percent)) / 100, 0).cast("long").alias("_k"))
+def exact_k_quota(totals: DataFrame, percent: float) -> DataFrame:
+    """``k = round_half_even(n * p / 100)`` per stratum of ``totals`` (``_n``)."""
+    return totals.withColumn("_k", F.bround(F.col("_n") * F.lit(float(percent)) / 100, 0).cast("long"))
 
 
 def sample_exact_k(df: DataFrame, key: str | list, percent: float, seed: int, salt: str = "pick",
@@ -109,7 +127,7 @@ def sample_exact_k(df: DataFrame, key: str | list, percent: float, seed: int, sa
     """Flag exactly ``k`` rows, drawn without replacement."""
     keys = _cols(key)
     r = df.withColumn("_rk", hash_rank(seed, salt, *keys))
-    sel = select_k_smallest(r, "_rk", keys, [], exact_k_quota(df, percent), digits, out=out)
+    sel = select_k_smallest(r, "_rk", keys, [], lambda n: exact_k_quota(n, percent), digits, out=out)
     return sel.drop("_rk")
 
 
@@ -182,10 +200,11 @@ def poison_runs(df: DataFrame, key: str, features: list, label: str, runs: list,
     x = df.withColumn("_run", F.explode(run_arr)).select("*", "_run.*").drop("_run")
     seed = F.col("seed")
     x = x.withColumn("_rk", hash_rank(seed, "pick", key))
-    quota = (x.groupBy("run_id", "poisoning_level").agg(F.count(F.lit(1)).alias("_n"))
-             .select("run_id", F.bround(F.col("_n") * F.col("poisoning_level").cast("double") / 100, 0)
-                     .cast("long").alias("_k")))
-    s = select_k_smallest(x, "_rk", [key], ["run_id"], quota, digits, out="_p")
+    def quota(n):
+        return n.withColumn("_k", F.bround(F.col("_n") * F.col("poisoning_level").cast("double") / 100, 0)
+                            .cast("long"))
+
+    s = select_k_smallest(x, "_rk", [key], ["run_id", "poisoning_level"], quota, digits, out="_p")
     repl = {}
     for c in features:
         new = uniform_in_range(F.lit(stats[f"min_{c}"]), F.lit(stats[f"max_{c}"]), seed, f"feat:{c}", key)

@@ -68,12 +68,46 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/petalframe/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as a parquet table under the shared checkpoint folder
+    and read it back.
 
     For an intermediate that several later branches reuse: it is computed
     once instead of once per branch, and its lineage is cut, so a lost
-    executor re-reads the files instead of recomputing the input.
+    executor re-reads the files instead of recomputing the input. (A reliable
+    ``checkpoint()`` of an unpersisted frame would compute it twice: once for
+    the action, once more to write the files.) The files also give the
+    planner exact sizes for its broadcast decisions.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return _write_read(df, name)[0]
+
+
+def _write_read(df, name: str):
+    """Write once, read back; the row count is observed during the write
+    (no second job)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    obs = Observation(f"rows-{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
+
+
+# A side of a join is broadcast only after counting it; beyond this many rows
+# the join is left to the planner (AQE picks a shuffle join from run-time sizes).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def bounded_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """Materialise a small derived frame, check its size, then broadcast it.
+
+    Returns ``(frame, rows)``. The frame is written once (so the count and the
+    later join read the same files instead of recomputing the lineage); it
+    carries a broadcast hint only when ``rows <= max_rows``.
+    """
+    from pyspark.sql import functions as F
+
+    m, n = _write_read(df, "small")
+    return (F.broadcast(m) if n <= max_rows else m), n
