@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from petalframe.defs import (FeatureService, FeatureView, FeatureViewProjection,
                              OnDemandFeatureView)
+from petalframe.session import bounded_broadcast, materialize
 
 DAY_SECONDS = 86400
 
@@ -113,7 +114,9 @@ def as_of_join(spine: DataFrame, feats: DataFrame, keys: list, *,
                           F.lit(None).cast(f_rows.schema["_f"].dataType).alias("_f"),
                           s_struct.alias("_s"))
     if bucket_seconds and rows_per_bucket:
-        hot = F.broadcast(_hot_key_widths(f_rows, s_rows, keys, bucket_seconds, rows_per_bucket))
+        # written once and counted: every later branch reads the small table
+        # instead of re-running its aggregate over both inputs
+        hot, _ = bounded_broadcast(_hot_key_widths(f_rows, s_rows, keys, bucket_seconds, rows_per_bucket))
         f_rows = f_rows.join(hot, keys, "left")
         s_rows = s_rows.join(hot, keys, "left")
         width = F.coalesce(F.col("_w"), F.lit(bucket_seconds).cast("long"))
@@ -123,12 +126,9 @@ def as_of_join(spine: DataFrame, feats: DataFrame, keys: list, *,
         f_rows = f_rows.withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
         s_rows = s_rows.withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
 
-    parts = [f_rows, s_rows]
+    u = f_rows.unionByName(s_rows)
     if bucket_seconds:
-        parts.append(_carry_rows(f_rows, s_rows, keys))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+        u = u.unionByName(_carry_rows(u, keys))
 
     w = (Window.partitionBy(*keys, "_b").orderBy("_t", "_side")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -156,24 +156,24 @@ def s_struct_type(df: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
 
 
-def _carry_rows(f_rows: DataFrame, s_rows: DataFrame, keys: list) -> DataFrame:
+def _carry_rows(u: DataFrame, keys: list) -> DataFrame:
     """Newest feature row of all earlier buckets, one per (key, spine bucket).
 
-    Works on a per-(key, bucket) aggregate (partial aggregation before the
-    shuffle), so its size is keys x buckets, not rows.
+    One grouped aggregate over the bucketed union (partial aggregation before
+    its shuffle) gives per (key, bucket) the newest feature row and whether
+    spine rows are present; its size is keys x buckets, not rows. A running
+    ``last`` over strictly earlier buckets of the key carries the newest row.
     """
-    last_f = f_rows.groupBy(*keys, "_b").agg(F.max_by("_f", "_t").alias("_f"))
-    s_b = s_rows.select(*keys, "_b").distinct()
-    # At equal bucket the spine bucket sorts first, so it sees strictly earlier buckets.
-    u = (last_f.withColumn("_o", F.lit(1))
-         .unionByName(s_b.withColumn("_o", F.lit(0)).withColumn("_f", F.lit(None).cast(last_f.schema["_f"].dataType))))
-    w = (Window.partitionBy(*keys).orderBy("_b", "_o")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = (u.withColumn("_c", F.last("_f", ignorenulls=True).over(w))
-               .where((F.col("_o") == 0) & F.col("_c").isNotNull()))
+    per = u.groupBy(*keys, "_b").agg(
+        F.max_by("_f", F.when(F.col("_side") == 0, F.col("_t"))).alias("_f"),  # null ordering: skipped
+        F.max("_side").alias("_has_s"))
+    w = (Window.partitionBy(*keys).orderBy("_b")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    carried = (per.withColumn("_c", F.last("_f", ignorenulls=True).over(w))
+               .where((F.col("_has_s") == 1) & F.col("_c").isNotNull()))
     return carried.select(*keys, F.col("_c._ft").alias("_t"), F.lit(0).alias("_side"),
                           F.col("_c").alias("_f"),
-                          F.lit(None).cast(s_rows.schema["_s"].dataType).alias("_s"), "_b")
+                          F.lit(None).cast(u.schema["_s"].dataType).alias("_s"), "_b")
 
 
 # ---------------------------------------------------------------- retrieval
@@ -234,7 +234,9 @@ def get_historical_features(spine: DataFrame, items: list, *, spine_ts: str = "e
 
     out_names = []
     df = spine
-    for name, (view, fs) in needed.items():
+    for i, (name, (view, fs)) in enumerate(needed.items()):
+        if i:  # the next join reads the spine in three branches: write it once
+            df = materialize(df, "spine")
         src = view.batch_source
         prefix = f"{view.name}__" if full_feature_names else ""
         out_names += [prefix + f for f in fs]
