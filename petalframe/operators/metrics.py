@@ -34,12 +34,15 @@ def confusion(df: DataFrame, truth: str, pred: str, group=None, weight: str | No
 def label_stats(conf: DataFrame, group=None) -> DataFrame:
     """Per (group, label): true positives, true support, predicted support."""
     g = _cols(group)
-    as_truth = conf.select(*g, F.col("_truth").alias("_label"), F.col("_n").alias("_nt"),
-                           F.when(F.col("_truth") == F.col("_pred"), F.col("_n")).otherwise(0).alias("_tp"),
-                           F.lit(0).cast("long").alias("_np"))
-    as_pred = conf.select(*g, F.col("_pred").alias("_label"), F.lit(0).cast("long").alias("_nt"),
-                          F.lit(0).cast("long").alias("_tp"), F.col("_n").alias("_np"))
-    s = (as_truth.unionByName(as_pred).groupBy(*g, "_label")
+    # each count row counts once for its true label and once for its
+    # predicted label: one explode, so the confusion frame is read once
+    zero = F.lit(0).cast("long")
+    roles = F.array(
+        F.struct(F.col("_truth").alias("_label"), F.col("_n").alias("_nt"),
+                 F.when(F.col("_truth") == F.col("_pred"), F.col("_n")).otherwise(zero).alias("_tp"),
+                 zero.alias("_np")),
+        F.struct(F.col("_pred").alias("_label"), zero.alias("_nt"), zero.alias("_tp"), F.col("_n").alias("_np")))
+    s = (conf.select(*g, F.explode(roles).alias("_r")).select(*g, "_r.*").groupBy(*g, "_label")
          .agg(F.sum("_tp").alias("_tp"), F.sum("_nt").alias("_nt"), F.sum("_np").alias("_np")))
     prec = F.when(F.col("_np") > 0, F.col("_tp") / F.col("_np")).otherwise(F.lit(0.0))
     rec = F.when(F.col("_nt") > 0, F.col("_tp") / F.col("_nt")).otherwise(F.lit(0.0))

@@ -10,6 +10,7 @@ from petalframe.operators import metrics as M
 from petalframe.operators import models, sampling
 from petalframe.plans.q_metrics import MIN_CHARS, _MACRO, metrics_sql
 from petalframe.plans.registry import register
+from petalframe.session import materialize
 from petalframe.sources.io import Tables
 
 LEVELS = (0, 5, 10, 50)
@@ -31,8 +32,9 @@ def run_metrics(spark, sf_dir):
                       (F.col("n_chars") >= MIN_CHARS).cast("int").alias("pred"))
     keys = ["run_id", "poisoning_level", "seed"]
     # one grouped pass over the scored rows feeds both the metrics and the counts
-    agg = scored.groupBy(*keys, "truth", "pred").agg(F.count(F.lit(1)).alias("_w"),
-                                                      F.sum("is_poisoned").alias("_pz"))
+    # (runs x classes^2 rows), written once: both branches below read it
+    agg = materialize(scored.groupBy(*keys, "truth", "pred").agg(F.count(F.lit(1)).alias("_w"),
+                                                                  F.sum("is_poisoned").alias("_pz")), "confusion")
     m = M.classification_metrics(agg, "truth", "pred", keys, weight="_w")
     counts = agg.groupBy(*keys).agg(F.sum("_w").alias("training_samples"),
                                     F.sum("_pz").alias("poisoned_samples"))
