@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from petalframe.session import materialize
+from petalframe.session import bounded_broadcast, materialize_counted
 
 N_RANGES = 200
 EXACT_MAX_N = 10000
@@ -50,14 +50,15 @@ def ks_statistic(long: DataFrame, n_ranges: int | None = None) -> DataFrame:
     ``n_ranges`` (per feature) defaults to one range per ~2M distinct values,
     at least 200, so each window partition stays a bounded sort."""
     # ties collapsed; used by three later passes, so written once
-    cnt = materialize(long.groupBy("feature", "x")
-                      .agg(F.sum(1 - F.col("sample")).alias("ca"), F.sum("sample").alias("cb")))
-    if n_ranges is None:
-        per_feature = cnt.count() / max(1, len(long.select("feature").distinct().collect()))
+    cnt, rows = materialize_counted(long.groupBy("feature", "x")
+                                    .agg(F.sum(1 - F.col("sample")).alias("ca"), F.sum("sample").alias("cb")),
+                                    "ks-counts")
+    if n_ranges is None:  # both counts come from the written table, not the input
+        per_feature = rows / max(1, cnt.select("feature").distinct().count())
         n_ranges = int(min(MAX_RANGES, max(N_RANGES, per_feature // ROWS_PER_RANGE)))
     probs = [i / n_ranges for i in range(1, n_ranges)]
     cuts = cnt.groupBy("feature").agg(F.percentile_approx("x", probs, 10 * n_ranges).alias("cuts"))
-    rid = _range_id(cuts, F.col("feature"), F.col("x"))
+    rid = _range_id(cuts, "feature", "x")
     if rid is not None:
         r = cnt.withColumn("rng", rid)
     else:
@@ -83,16 +84,17 @@ def ks_statistic(long: DataFrame, n_ranges: int | None = None) -> DataFrame:
 MAX_INLINE_CUTS = 40000
 
 
-def _count_below(x: Column, cuts: list, base: int = 0) -> Column:
-    """Number of cut points < x as a balanced CASE tree (log2 comparisons)."""
+def _count_below(x: str, cuts: list, base: int = 0) -> str:
+    """Number of cut points < x as a balanced CASE tree (log2 comparisons),
+    as SQL text: one expression parsed once, however many cuts."""
     if not cuts:
-        return F.lit(base)
+        return str(base)
     mid = len(cuts) // 2
-    return F.when(x > F.lit(cuts[mid]), _count_below(x, cuts[mid + 1:], base + mid + 1)).otherwise(
-        _count_below(x, cuts[:mid], base))
+    return (f"CASE WHEN {x} > CAST('{cuts[mid]!r}' AS DOUBLE) THEN {_count_below(x, cuts[mid + 1:], base + mid + 1)} "
+            f"ELSE {_count_below(x, cuts[:mid], base)} END")
 
 
-def _range_id(cuts: DataFrame, feature: Column, x: Column) -> Column | None:
+def _range_id(cuts: DataFrame, feature: str, x: str) -> Column | None:
     """Range of x among its feature's cut points.
 
     The cut lists are O(features x ranges) values; as literals they become a
@@ -102,11 +104,12 @@ def _range_id(cuts: DataFrame, feature: Column, x: Column) -> Column | None:
     rows = cuts.collect()
     if sum(len(r["cuts"] or []) for r in rows) > MAX_INLINE_CUTS:
         return None
-    e = F.lit(0)
+    branches = []
     for r in rows:
         cs = sorted(set(c for c in (r["cuts"] or []) if c is not None))
-        e = F.when(feature == F.lit(r["feature"]), _count_below(x, cs)).otherwise(e)
-    return e
+        name = r["feature"].replace("'", "''")
+        branches.append(f"WHEN {feature} = '{name}' THEN {_count_below(x, cs)}")
+    return F.expr(f"CASE {' '.join(branches)} ELSE 0 END") if branches else F.lit(0)
 
 
 def ks_pvalue(n_a: Column, n_b: Column, d: Column) -> tuple[Column, Column]:
@@ -169,7 +172,9 @@ def histogram(long: DataFrame, bins: int = 15, digits: int | None = 10) -> DataF
            .withColumn("lo", F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")))
            .withColumn("hi", F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")))
            .drop("mn", "mx"))
-    binned = (long.join(F.broadcast(rng), ["feature", "sample"])
+    # one row per (feature, sample): written once, then broadcast after its size check
+    rng, _ = bounded_broadcast(rng)
+    binned = (long.join(rng, ["feature", "sample"])
               .withColumn("bin", F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins),
                                          F.lit(bins - 1)).cast("int")))
     counts = binned.groupBy("feature", "sample", "bin").agg(F.count(F.lit(1)).alias("count"))

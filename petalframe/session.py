@@ -79,12 +79,12 @@ def materialize(df, name: str = "stage"):
     the action, once more to write the files.) The files also give the
     planner exact sizes for its broadcast decisions.
     """
-    return _write_read(df, name)[0]
+    return materialize_counted(df, name)[0]
 
 
-def _write_read(df, name: str):
-    """Write once, read back; the row count is observed during the write
-    (no second job)."""
+def materialize_counted(df, name: str = "stage"):
+    """:func:`materialize` that also returns the row count, observed during
+    the write (no second job)."""
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
@@ -109,5 +109,5 @@ def bounded_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS):
     """
     from pyspark.sql import functions as F
 
-    m, n = _write_read(df, "small")
+    m, n = materialize_counted(df, "small")
     return (F.broadcast(m) if n <= max_rows else m), n
