@@ -1,16 +1,20 @@
 """Point-in-time (as-of) retrieval: J1-J5, K3-K5.
 
-Plan shape of :func:`as_of_join`: spine rows and feature rows are unioned
-into one frame, hash-partitioned by (entity key, time bucket) and sorted by
-time inside each partition; a running ``last(..., ignorenulls)`` window
-carries the newest feature row forward onto every spine row. That is one
-shuffle, no range-join blow-up, and the window state is a single row.
-
-A key that holds a large share of all rows would put all of them into one
-task. The time bucket splits every key into independent partitions; the
-newest feature row of earlier buckets is carried into each bucket as one
-extra row, computed from a per-(key, bucket) aggregate that is far smaller
-than the input.
+Plan shape of :func:`as_of_join`: the distinct spine (key, time) pairs and
+the feature rows are unioned into one narrow frame, hash-partitioned by
+(entity key, time bucket) and sorted by time inside each partition; a
+running ``last(..., ignorenulls)`` window carries the newest feature row
+forward onto every spine (key, time). Spine rows then take their match by a
+many-to-one left equi-join on (key, time). No range-join blow-up, window
+state of a single row, and the wide spine rows never go through the window.
+
+Skew: a key that holds a large share of all rows would put all of them into
+one task. The time bucket splits every key into independent partitions (hot
+keys get finer buckets); the newest feature row of earlier buckets is
+carried into each bucket as one extra row, computed from a per-(key, bucket)
+aggregate that is far smaller than the input. Repeated spine (key, time)
+pairs are collapsed by a partial aggregate before the window, and their rows
+are spread by AQE's skew-join splitting in the final join.
 """
 
 from __future__ import annotations
@@ -104,15 +108,16 @@ def as_of_join(spine: DataFrame, feats: DataFrame, keys: list, *,
     st = _ts_type(spine, spine_ts)
     f_struct = F.struct(*[F.col(c).alias(prefix + c) for c in features],
                         F.col(feature_ts).cast(st).alias("_ft"))
-    s_struct = F.struct(*[F.col(c) for c in spine.columns])
 
     f_rows = feats.select(*[F.col(k) for k in keys], F.col(feature_ts).cast(st).alias("_t"),
-                          F.lit(0).alias("_side"), f_struct.alias("_f"),
-                          F.lit(None).cast(s_struct_type(spine)).alias("_s"))
-    s_rows = spine.select(*[F.col(k) for k in keys], F.col(spine_ts).alias("_t"),
-                          F.lit(1).alias("_side"),
-                          F.lit(None).cast(f_rows.schema["_f"].dataType).alias("_f"),
-                          s_struct.alias("_s"))
+                          F.lit(0).alias("_side"), f_struct.alias("_f"))
+    # The window sees each spine (key, time) once: a partial aggregate
+    # collapses repeats, so a key with a third of all spine rows at one
+    # instant is one window row. Spine rows get their match back through an
+    # equi-join on (key, time) below.
+    s_rows = (spine.select(*[F.col(k) for k in keys], F.col(spine_ts).alias("_t")).distinct()
+              .select(*keys, "_t", F.lit(1).alias("_side"),
+                      F.lit(None).cast(f_rows.schema["_f"].dataType).alias("_f")))
     if bucket_seconds and rows_per_bucket:
         # written once and counted: every later branch reads the small table
         # instead of re-running its aggregate over both inputs
@@ -132,17 +137,22 @@ def as_of_join(spine: DataFrame, feats: DataFrame, keys: list, *,
 
     w = (Window.partitionBy(*keys, "_b").orderBy("_t", "_side")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hit = (u.withColumn("_m", F.last("_f", ignorenulls=True).over(w))
-           .where(F.col("_side") == 1))
     m = F.col("_m")
     if ttl is not None:
-        lo = F.col("_t") - interval(ttl)
-        m = F.when(F.col("_m._ft") >= lo, F.col("_m"))
-    out = [F.col("_s." + c).alias(c) for c in spine.columns]
-    out += [m.getField(prefix + c).alias(prefix + c) for c in features]
+        m = F.when(F.col("_m._ft") >= F.col("_t") - interval(ttl), F.col("_m"))
+    hit = (u.withColumn("_m", F.last("_f", ignorenulls=True).over(w))
+           .where(F.col("_side") == 1)
+           .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_t").alias("_st"),
+                   m.alias("_m")))
+    # Many-to-one left join: every spine row is kept; a hot (key, time) group
+    # of the spine is split by AQE's skew-join handling, the match replicated.
+    cond = [spine[k] == hit[f"_k{i}"] for i, k in enumerate(keys)] + [spine[spine_ts] == hit["_st"]]
+    j = spine.join(hit, cond, "left")
+    out = [spine[c] for c in spine.columns]
+    out += [F.col("_m").getField(prefix + c).alias(prefix + c) for c in features]
     if feature_ts_as:
-        out.append(m.getField("_ft").alias(feature_ts_as))
-    return hit.select(*out)
+        out.append(F.col("_m").getField("_ft").alias(feature_ts_as))
+    return j.select(*out)
 
 
 def interval(td: timedelta) -> Column:
@@ -172,8 +182,7 @@ def _carry_rows(u: DataFrame, keys: list) -> DataFrame:
     carried = (per.withColumn("_c", F.last("_f", ignorenulls=True).over(w))
                .where((F.col("_has_s") == 1) & F.col("_c").isNotNull()))
     return carried.select(*keys, F.col("_c._ft").alias("_t"), F.lit(0).alias("_side"),
-                          F.col("_c").alias("_f"),
-                          F.lit(None).cast(u.schema["_s"].dataType).alias("_s"), "_b")
+                          F.col("_c").alias("_f"), "_b")
 
 
 # ---------------------------------------------------------------- retrieval

@@ -162,3 +162,24 @@ def test_hot_key_gets_finer_buckets(spark):
     a = _run(spine, feats, rows_per_bucket=20)
     b = _run(spine, feats, bucket_seconds=None)
     assert a == b
+
+
+def test_hot_spine_key_and_instant(spark):
+    """A third of the spine at one (key, time): every row kept, all matched alike."""
+    from datetime import datetime
+
+    t0 = datetime(2024, 1, 1, 12, 0, 0)
+    hot = [(i, 1, t0) for i in range(300)]
+    rest = [(300 + i, 1 + i % 3, datetime(2024, 1, 1, i % 24, 0, 0)) for i in range(600)]
+    spine = spark.createDataFrame(hot + rest, "sid long, k int, ts timestamp")
+    feats = spark.createDataFrame(
+        [(k, datetime(2024, 1, 1, h, 30, 0), float(10 * k + h)) for k in (1, 2, 3) for h in range(0, 24, 5)],
+        "k int, ts timestamp, v double")
+    got = {r["sid"]: r["v"] for r in pit.as_of_join(spine, feats, ["k"], rows_per_bucket=50).collect()}
+    fl = feats.collect()
+    want = {}
+    for sid, k, ts in hot + rest:
+        cand = [f for f in fl if f["k"] == k and f["ts"] <= ts]
+        want[sid] = max(cand, key=lambda f: f["ts"])["v"] if cand else None
+    assert got == want
+    assert {got[i] for i in range(300)} == {20.0}  # 10:30 (v = 10 * 1 + 10) is the newest row at or before 12:00
