@@ -16,8 +16,8 @@ single boundary bucket (about n / 16**digits of them) are ranked.
 
 from __future__ import annotations
 
-import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -270,31 +270,30 @@ ROWS_PER_KEY_RANGE = 10_000_000
 
 
 def surrogate_key(df: DataFrame, order_cols: list, out: str = "row_id",
-                  n_buckets: int | None = None, relative_error: float = 1e-4) -> DataFrame:
+                  n_ranges: int | None = None) -> DataFrame:
     """Dense 0-based id in the order of ``order_cols``.
 
-    Cut points of the first order column (approximate quantiles, a bounded
-    list) define ordered ranges; per-range counts give offsets, and rows are
-    numbered only inside their range. The order must be total (unique
-    ``order_cols``) for the ids to be reproducible.
+    Range partitioning samples the whole sort key, so the ranges stay
+    balanced even when one value of the first column holds a third of all
+    rows. Inside a range the rows are sorted and their position is the
+    in-partition part of ``monotonically_increasing_id``; per-range counts
+    (at most 65 536 rows, broadcast) give the offsets. Counts and ids read the
+    same persisted range exchange. The order must be total (unique ``order_cols``) for
+    the ids to be reproducible.
     """
-    from pyspark.ml.feature import Bucketizer
-
     order_cols = _cols(order_cols)
-    first = order_cols[0]
-    if n_buckets is None:  # ~10M rows per numbered range, 16 .. 65536 ranges
-        n_buckets = int(min(65536, max(16, -(-df.count() // ROWS_PER_KEY_RANGE))))
-        relative_error = min(relative_error, 0.1 / n_buckets)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = df.select(F.col(first).cast("double").alias("_x")).approxQuantile("_x", probs, relative_error)
-    splits = [-math.inf] + sorted(set(c for c in cuts if c is not None and not math.isnan(c))) + [math.inf]
-    tmp = df.withColumn("_x", F.col(first).cast("double"))
-    bk = Bucketizer(splits=splits, inputCol="_x", outputCol="_bkd", handleInvalid="keep").transform(tmp)
-    bk = bk.withColumn("_bk", F.col("_bkd").cast("int")).drop("_x", "_bkd")
-    counts = bk.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
+    if n_ranges is None:  # ~10M rows per numbered range, 16 .. 65536 ranges
+        n_ranges = int(min(65536, max(16, -(-df.count() // ROWS_PER_KEY_RANGE))))
+    # Both branches below must see the same range bounds: the range sampler
+    # is seeded per exchange, so they share one persisted exchange output (a
+    # lost block is recomputed through that same shuffle, same bounds).
+    r = (df.repartitionByRange(n_ranges, *order_cols).sortWithinPartitions(*order_cols)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+         .persist(StorageLevel.MEMORY_AND_DISK))
+    counts = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.withColumn("_off", F.sum("_n").over(
-        Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
-    w = Window.partitionBy("_bk").orderBy(*[F.col(c) for c in order_cols])
-    return (bk.join(F.broadcast(offs.select("_bk", "_off")), "_bk")
-            .withColumn(out, F.col("_off") + F.row_number().over(w) - 1)
-            .drop("_bk", "_off"))
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
+    return (r.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
+            .withColumn(out, F.col("_off") + F.col("_pos"))
+            .drop("_pid", "_pos", "_off"))

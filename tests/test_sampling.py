@@ -88,6 +88,19 @@ def test_balanced_groups_and_invariance(spark):
 
 def test_surrogate_key_dense(spark):
     df = spark.createDataFrame([(k * 7 + 3,) for k in range(500)], "okey bigint").repartition(5)
-    out = sampling.surrogate_key(df, ["okey"], n_buckets=16).collect()
+    out = sampling.surrogate_key(df, ["okey"], n_ranges=16).collect()
     got = sorted((r["okey"], r["row_id"]) for r in out)
     assert [rid for _, rid in got] == list(range(500))
+
+
+def test_surrogate_key_hot_first_column(spark):
+    """A third of the rows share the first order column: ids stay dense and
+    ordered, and no numbered range holds the hot value's rows alone."""
+    rows = [(0 if i < 400 else 1 + i % 50, i) for i in range(1200)]
+    df = spark.createDataFrame(rows, "day int, id long").repartition(4)
+    out = sampling.surrogate_key(df, ["day", "id"], n_ranges=8)
+    got = sorted((r["day"], r["id"], r["row_id"]) for r in out.collect())
+    assert [r[2] for r in got] == list(range(1200))
+    per_range = (df.repartitionByRange(8, "day", "id").groupBy(F.spark_partition_id().alias("p")).count()
+                 .agg(F.max("count")).first()[0])
+    assert per_range < 400
