@@ -79,12 +79,20 @@ def sized_for_iterations(x: DataFrame, rows_per_partition: int = ROWS_PER_PARTIT
 
     Iterative learners pass over the rows once per iteration; the partition
     count should follow the data (thousands of partitions at scale, one for a
-    few hundred rows), not whatever an earlier shuffle left behind.
+    few hundred rows), not whatever an earlier shuffle left behind. The rows
+    are computed once (cache + count); only a partition count far from the
+    target is changed afterwards, from the cached rows (``coalesce`` when
+    there are too many - narrow - and a repartition when too few).
     """
+    x = x.cache()
     n = x.count()
     parts = max(1, -(-n // rows_per_partition))
-    x = x.repartition(parts).cache()
-    x.count()
+    have = x.rdd.getNumPartitions()
+    if have > 2 * parts or 2 * have < parts:
+        y = (x.coalesce(parts) if have > parts else x.repartition(parts)).cache()
+        y.count()
+        x.unpersist()
+        x = y
     return x, n
 
 
