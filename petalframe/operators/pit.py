@@ -9,8 +9,8 @@ many-to-one left equi-join on (key, time). No range-join blow-up, window
 state of a single row, and the wide spine rows never go through the window.
 
 Skew: a key that holds a large share of all rows would put all of them into
-one task. The time bucket splits every key into independent partitions (hot
-keys get finer buckets); the newest feature row of earlier buckets is
+one task. The time bucket splits every key into independent partitions (dense
+(key, day) cells get finer buckets); the newest feature row of earlier buckets is
 carried into each bucket as one extra row, computed from a per-(key, bucket)
 aggregate that is far smaller than the input. Repeated spine (key, time)
 pairs are collapsed by a partial aggregate before the window, and their rows
@@ -47,21 +47,34 @@ def _bucket(ts: Column, seconds) -> Column:
 ROWS_PER_BUCKET = 5_000_000
 
 
+SUB_BITS = 20  # sub-buckets of one base bucket: at most 2**17 (1 s of a day), below 2**20
+
+
 def _hot_key_widths(f_rows: DataFrame, s_rows: DataFrame, keys: list, base_seconds: int,
                     rows_per_bucket: int) -> DataFrame:
-    """Keys whose busiest base bucket holds more than ``rows_per_bucket`` rows,
-    with a finer bucket width (base / 2^j) for them.
+    """(key, base bucket) cells holding more than ``rows_per_bucket`` rows,
+    with a finer width (base / 2^j, at least 1 second) for that cell only.
 
     A partial aggregate (count per key and base bucket) finds them; the
-    result has at most total_rows / rows_per_bucket rows, so it is broadcast.
+    result has at most total_rows / rows_per_bucket rows. Only the dense
+    cells are subdivided, so a hot key's quiet days keep one bucket each and
+    its carry window stays short.
     """
     both = f_rows.select(*keys, "_t").unionByName(s_rows.select(*keys, "_t"))
     per = both.groupBy(*keys, _bucket(F.col("_t"), base_seconds).alias("_cb")).agg(F.count(F.lit(1)).alias("_n"))
-    hot = per.where(F.col("_n") > rows_per_bucket).groupBy(*keys).agg(F.max("_n").alias("_n"))
+    hot = per.where(F.col("_n") > rows_per_bucket)
     # halve the width until a bucket holds about rows_per_bucket rows (at least 1 second)
     halvings = F.ceil(F.log2(F.col("_n") / F.lit(float(rows_per_bucket))))
     width = F.greatest(F.floor(F.lit(float(base_seconds)) / F.pow(F.lit(2.0), halvings)), F.lit(1.0))
-    return hot.select(*keys, width.cast("long").alias("_w"))
+    return hot.select(*keys, "_cb", width.cast("long").alias("_w"))
+
+
+def _fine_bucket(t: Column, cb: Column, base_seconds: int, width: Column) -> Column:
+    """Ordered bucket id: base bucket * 2^SUB_BITS + sub-bucket inside it
+    (sub-bucket 0 where the cell is not hot)."""
+    off = F.unix_micros(t.cast("timestamp")) - cb * F.lit(base_seconds * 1_000_000)
+    sub = F.coalesce(F.floor(off / (width * F.lit(1_000_000))), F.lit(0)).cast("long")
+    return cb * F.lit(1 << SUB_BITS) + sub
 
 
 def dedupe_created(feats: DataFrame, keys: list, ts: str, created: str) -> DataFrame:
@@ -122,11 +135,12 @@ def as_of_join(spine: DataFrame, feats: DataFrame, keys: list, *,
         # written once and counted: every later branch reads the small table
         # instead of re-running its aggregate over both inputs
         hot, _ = bounded_broadcast(_hot_key_widths(f_rows, s_rows, keys, bucket_seconds, rows_per_bucket))
-        f_rows = f_rows.join(hot, keys, "left")
-        s_rows = s_rows.join(hot, keys, "left")
-        width = F.coalesce(F.col("_w"), F.lit(bucket_seconds).cast("long"))
-        f_rows = f_rows.withColumn("_b", _bucket(F.col("_t"), width)).drop("_w")
-        s_rows = s_rows.withColumn("_b", _bucket(F.col("_t"), width)).drop("_w")
+        cb = _bucket(F.col("_t"), bucket_seconds).alias("_cb")
+        f_rows = f_rows.withColumn("_cb", cb).join(hot, keys + ["_cb"], "left")
+        s_rows = s_rows.withColumn("_cb", cb).join(hot, keys + ["_cb"], "left")
+        fine = _fine_bucket(F.col("_t"), F.col("_cb"), bucket_seconds, F.col("_w"))
+        f_rows = f_rows.withColumn("_b", fine).drop("_w", "_cb")
+        s_rows = s_rows.withColumn("_b", fine).drop("_w", "_cb")
     else:
         f_rows = f_rows.withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
         s_rows = s_rows.withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
