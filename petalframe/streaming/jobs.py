@@ -37,6 +37,23 @@ def run_available_now(writer, checkpoint: str) -> None:
         raise q.exception()
 
 
+def once_per_batch(write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer that reads its micro-batch more than once
+    (two sinks, a statistic and a merge) gets it persisted for the call, so
+    the batch - source read included - runs once. Used for the writers of
+    stateless streams; the output of a stateful update-mode aggregation is
+    not cached (Spark 4.1 fails to substitute a cached stateful batch)."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
+
+
 def _to_ltz(df: DataFrame, ts: str) -> DataFrame:
     """``withWatermark`` needs TIMESTAMP; the session zone is UTC, so the cast keeps the value."""
     if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
@@ -55,7 +72,7 @@ def push_stream(spark: SparkSession, stream: DataFrame, store: online.OnlineStor
     def write(batch: DataFrame, batch_id: int) -> None:
         store.push(view, batch, offline_path=offline_path, version=batch_id + 1)
 
-    run_available_now(stream.writeStream.foreachBatch(write), checkpoint)
+    run_available_now(stream.writeStream.foreachBatch(once_per_batch(write)), checkpoint)
 
 
 def label_push_stream(spark: SparkSession, stream: DataFrame, table: online.VersionedTable, view: LabelView,
@@ -71,7 +88,7 @@ def label_push_stream(spark: SparkSession, stream: DataFrame, table: online.Vers
         rows = batch if snap is None else batch.unionByName(snap.drop("is_valid"))
         table.write(online.resolve_labels(rows, view, ts), version, None)
 
-    run_available_now(stream.writeStream.foreachBatch(write), checkpoint)
+    run_available_now(stream.writeStream.foreachBatch(once_per_batch(write)), checkpoint)
 
 
 # ------------------------------------------------------------------ ST2
@@ -114,7 +131,7 @@ def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], fie
         score(ok).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
         bad.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
 
-    run_available_now(stream.writeStream.foreachBatch(write), checkpoint)
+    run_available_now(stream.writeStream.foreachBatch(once_per_batch(write)), checkpoint)
 
 
 # ------------------------------------------------------------------ ST5
