@@ -44,3 +44,19 @@ def test_run_log_roundtrip(spark):
     assert wide == {"1": (0.0, 0.9), "2": (5.0, 0.8), "3": (5.0, 0.7)}
     latest = models.latest_run(log, "accuracy").first()
     assert (latest["run_id"], latest["accuracy"]) == ("3", 0.7)
+
+
+def test_sized_for_iterations_partitions(spark):
+    """Training rows computed once; partition count follows the row count."""
+    from petalframe.operators import models
+
+    many = spark.range(100).repartition(50)
+    x, n = models.sized_for_iterations(many, rows_per_partition=40)
+    assert n == 100 and x.rdd.getNumPartitions() == 3 and x.count() == 100
+    few = spark.range(1000).coalesce(1)
+    y, m = models.sized_for_iterations(few, rows_per_partition=100)
+    assert m == 1000 and y.rdd.getNumPartitions() == 10
+    z, k = models.sized_for_iterations(spark.range(100).repartition(3), rows_per_partition=40)
+    assert k == 100 and z.rdd.getNumPartitions() == 3  # close enough: left as is
+    for d in (x, y, z):
+        d.unpersist()
