@@ -52,3 +52,46 @@ def op1(spark, sf_dir):
 
     out = dedup_substrings(table(spark, sf_dir, "documents"), window=50)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register("op8_packing")
+def op8(spark, sf_dir):
+    """Whole ``documents`` as token pieces packed into sequences of up to 1024."""
+    from petalframe.llm.op8_packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS u
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+r AS (SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1] AS w,
+  2.0 * source_size AS cap, 1.5 * sum(source_size) OVER () AS budget FROM s),
+o AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, source IS NULL, encode(source) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS closed,
+  sum(w) OVER (ORDER BY cap / w, source IS NULL, encode(source) ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM r),
+lv AS (SELECT max((budget - closed) / open) FILTER (WHERE (budget - closed) / open * w <= cap) AS level FROM o),
+t AS (SELECT source, source_size, budget, CAST(least(cap, coalesce(level * w, cap)) AS DOUBLE) AS target FROM o, lv),
+c AS (SELECT d.*, t.source_size, t.target, t.budget,
+  sum(size) OVER (PARTITION BY d.source ORDER BY u, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+q AS (SELECT doc_id, u, size, budget, copy, (cum - size / 2 + copy * source_size) / target AS due
+  FROM c, range(0, 2) k(copy) WHERE size > 0 AND target > 0),
+f AS (SELECT *, sum(size) OVER (ORDER BY due, u, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total
+  FROM q WHERE due <= 1),
+g AS (SELECT doc_id, count(*) AS copies FROM f WHERE total <= budget GROUP BY doc_id)
+SELECT c.doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(size * coalesce(copies, 0) AS BIGINT) AS taken
+FROM c LEFT JOIN g USING (doc_id)
+"""
+
+
+@register("op10_mixing", OP10_SQL)
+def op10(spark, sf_dir):
+    """All ``documents`` mixed to weights 5, 2, 1 and 150 % of all words."""
+    from petalframe.llm.op10_mixing import plan_mix
+
+    plan = plan_mix(table(spark, sf_dir, "documents"))
+    rows = plan.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
