@@ -30,7 +30,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2
 SEED = "mix-1"
 #: Shuffled documents whose running total one window takes, on average.
-SLOT_ROWS = 20_000
+SLOT_ROWS = 2_000
 
 
 def shuffle_key(doc_id: Column, seed: str = SEED) -> Column:
