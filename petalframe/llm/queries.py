@@ -95,3 +95,31 @@ def op10(spark, sf_dir):
     plan = plan_mix(table(spark, sf_dir, "documents"))
     rows = plan.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@register("op6_token_order")
+def op6(spark, sf_dir):
+    """All token ids of ``documents`` as 1024-id sequences in training order."""
+    from petalframe.llm.op6_token_order import LENGTH, SHARD_SEQUENCES, training_order
+
+    rows = training_order(table(spark, sf_dir, "documents"))
+    in_shard = F.pmod("slot", F.lit(SHARD_SEQUENCES))
+    return rows.select("slot", "sequence", "n_tokens", F.floor(F.col("slot") / SHARD_SEQUENCES).alias("shard_id"),
+                       (in_shard * LENGTH * 2).alias("byte_offset"), F.crc32("payload").alias("payload_crc32"))
+
+
+@register("op9_secrets")
+def op9(spark, sf_dir):
+    """Secrets in every whole text of ``documents``."""
+    from petalframe.llm.op9_secrets import find_secrets
+
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+@register("op2_toxicity")
+def op2(spark, sf_dir):
+    """A toxicity score for every whole text of ``documents``."""
+    from petalframe.llm.op2_toxicity import fit_toxicity, score_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
