@@ -45,3 +45,27 @@ def compressed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), z], ["doc_id", "z"])
 
     return docs.mapInArrow(pack, "doc_id bigint, z binary")
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``(node, component)`` of every node in ``(a, b)`` links; a component is
+    named by its smallest node.
+
+    Each round a node takes the smallest label among itself and its
+    neighbours, then its label's label, so chains shorten by a power of two a
+    round. Labels are a written table every round; links and labels stay
+    distributed.
+    """
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    both, n = write_stage(both, "links")
+    labels, _ = write_stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")), "labels")
+    changed = n
+    while changed:
+        near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
+        new = labels.join(near, "node").select("node", F.least("component", "near").alias("component"), F.col("component").alias("before"))
+        up = labels.select(F.col("node").alias("component"), F.col("component").alias("up"))
+        new = new.join(up, "component", "left").select("node", F.least("component", "up").alias("component"), "before")
+        labels, _ = write_stage(new, "labels")
+        changed = labels.where("component != before").limit(1).count()
+        labels = labels.select("node", "component")
+    return labels

@@ -18,6 +18,8 @@ def register(name: str, sql: str | None = None):
             from petalframe.session import prepare
 
             prepare(spark)
+            # texts may be long: fewer rows travel to Python at a time
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
             return fn(spark, sf_dir)
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
@@ -123,3 +125,12 @@ def op2(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents")
     return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op3_near_duplicates")
+def op3(spark, sf_dir):
+    """Components of ``documents`` linked by 4-word shingle sets at 80 % similarity."""
+    from petalframe.llm.op3_minhash import near_duplicates
+
+    out = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    return out.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
