@@ -13,9 +13,9 @@ retained values. The steps:
    must be common to both sides: only those are listed;
 4. in each list every member is compared with the list's centre (the member
    with the largest shared part); members linked to it are connected through
-   it and need no pairs among themselves. The others are compared with all
-   members of the list, so that no list is expanded into all pairs unless none
-   of its members are alike;
+   it and need no pairs among themselves. While that leaves much to do, the
+   others are compared with further members of the connected part, a round at
+   a time; those that remain are compared with all members of their lists;
 5. a pair is first estimated from the union sketch, then confirmed on the full
    sets; components follow from the confirmed links.
 
@@ -45,6 +45,8 @@ from petalframe.llm.words import Words, grams, mix, signed, small_batches
 
 FIRST, SECOND = 32, 256
 SIGMAS = 6.0
+#: Documents in a block of sketches, on either side.
+OUTSIDE_BLOCK, MEMBER_BLOCK = 128, 1000
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
@@ -83,6 +85,18 @@ def _features(docs: DataFrame, size: int, k: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n bigint, d1 bigint, d2 bigint, sketch array<bigint>")
 
 
+def _brief(texts: DataFrame, size: int, k: int) -> DataFrame:
+    """Add ``brief``: the upper halves of the k smallest shingle hashes, for estimates."""
+
+    def run(batches):
+        for b in batches:
+            brief = [(shingles(Words([decompress(z)], lower=True).of(0), size)[:k] >> np.uint64(32)).astype(np.uint32).tobytes()
+                     for z in b.column("z").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(brief, pa.binary())], [*b.schema.names, "brief"])
+
+    return texts.mapInArrow(run, "rep bigint, n bigint, z binary, brief binary")
+
+
 def _long_sketches(texts: DataFrame, size: int, k: int) -> DataFrame:
     """``(rep, value)`` rows of the k smallest shingle hashes."""
 
@@ -96,39 +110,57 @@ def _long_sketches(texts: DataFrame, size: int, k: int) -> DataFrame:
     return texts.mapInArrow(run, "rep bigint, value bigint")
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int, k: int = FIRST) -> DataFrame:
+class _Sets:
+    """Shingle sets of the texts last unpacked, up to a number of hashes."""
+
+    def __init__(self, size: int, most: int = 4 << 20):
+        self.size, self.most, self.held, self.kept = size, most, 0, {}
+
+    def of(self, z: bytes) -> np.ndarray:
+        if z not in self.kept:
+            s = shingles(Words([decompress(z)], lower=True).of(0), self.size)
+            if self.held + len(s) > self.most:
+                self.held, self.kept = 0, {}
+            self.held += len(s)
+            self.kept[z] = s
+        return self.kept[z]
+
+
+def _may_link(x: np.ndarray, y: np.ndarray, nx: int, ny: int, k: int, percent: int) -> bool:
+    """Union-sketch estimate of two sorted sketches: whether the k smallest
+    values of the union hold enough that are in both."""
+    z = np.sort(np.concatenate([x, y]), kind="stable")
+    twice = z[1:] == z[:-1]
+    union = len(z) - int(twice.sum())
+    if nx <= k and ny <= k:  # whole sets; equal upper halves may merge a value or two
+        return 100 * (int(twice.sum()) + 2) >= percent * union
+    rank = np.arange(1, len(z)) - np.cumsum(np.r_[0, twice[:-1]])
+    p, most = percent / 100, min(nx, ny) * 100 / percent
+    spread = math.sqrt(k * p * (1 - p) * max(0.0, 1 - k / max(most, k)))
+    return int((twice & (rank <= k)).sum()) + 2 >= k * p - SIGMAS * spread
+
+
+def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int, k: int = SECOND) -> DataFrame:
     """Of ``(a, b)`` pairs those whose full sets are similar enough."""
-    least = least_shared(k, percent) / k
 
     def run(batches):
-        last, last_set = None, None
+        sets = _Sets(size)
         for batch in batches:
-            cols = [batch.column(c) for c in ("a", "b", "za", "zb")]
-            sa, sb = batch.column("sa"), batch.column("sb")
             keep = []
-            for r, (a, b, za, zb) in enumerate(zip(*(c.to_pylist() for c in cols))):
-                x, y = (s[r].values.to_numpy().view(np.uint64) for s in (sa, sb))
-                union = np.union1d(x, y)[:k]
-                both = np.isin(union, x) & np.isin(union, y)
-                if both.sum() < min(least, percent / 100) * len(union):
+            for a, b, za, zb, sa, sb, na, nb in zip(*(c.to_pylist() for c in batch.columns)):
+                if not _may_link(np.frombuffer(sa, np.uint32), np.frombuffer(sb, np.uint32), na, nb, k, percent):
                     continue
-                if b != last or last_set[0] != zb:
-                    last, last_set = b, (zb, shingles(Words([decompress(zb)], lower=True).of(0), size))
-                s, t = shingles(Words([decompress(za)], lower=True).of(0), size), last_set[1]
+                s, t = sets.of(za), sets.of(zb)
                 common = len(np.intersect1d(s, t, assume_unique=True))
                 if 100 * common >= percent * (len(s) + len(t) - common):
                     keep.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*keep) if keep else ((), ()))], ["a", "b"])
 
-    side = [texts.select(F.col("rep").alias(x), F.col("z").alias(f"z{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab"]
-    return (pairs.join(side[0], "a").join(side[1], "b").sortWithinPartitions("b").select("a", "b", "za", "zb", "sa", "sb")
+    side = [texts.select(F.col("rep").alias(x), F.col("z").alias(f"z{x}"), F.col("brief").alias(f"s{x}"), F.col("n").alias(f"n{x}")) for x in "ab"]
+    return (pairs.join(side[0], "a").join(side[1], "b").sortWithinPartitions("b", "a").select("a", "b", "za", "zb", "sa", "sb", "na", "nb")
             .mapInArrow(run, "a bigint, b bigint"))
 
 
-def _ordered(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-
 def _links(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Confirmed links between classes: ``(a, b)`` by their smallest ids."""
     # classes whose short sketch shares enough values with others
@@ -142,8 +174,9 @@ def _links(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
 
     shared = _shared(reps.mapInArrow(values, "h bigint, doc_id bigint, closed boolean"), True)
     found = shared.distinct().groupBy(F.col("doc_id").alias("rep")).agg(F.count(F.lit(1)).alias("m"))
-    cand = reps.join(found, "rep").where(F.col("m") >= _needed(F.col("n"), FIRST, percent)).select("rep", "n", "sketch")
-    texts, _ = write_stage(compressed(docs).join(cand, F.col("doc_id") == F.col("rep")).select("rep", "n", "z", "sketch"), "near-texts")
+    cand = reps.join(found, "rep").where(F.col("m") >= _needed(F.col("n"), FIRST, percent)).select("rep", "n")
+    texts = compressed(docs).join(cand, F.col("doc_id") == F.col("rep")).select("rep", "n", "z")
+    texts, _ = write_stage(_brief(texts, size, SECOND), "near-texts")
 
     # longer sketches of those; the rarest shared values of each are listed
     longer, _ = write_stage(_long_sketches(texts, size, SECOND).distinct(), "near-values")
@@ -152,27 +185,94 @@ def _links(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
            .join(texts.groupBy("rep").agg(F.min("n").alias("n")), "rep").withColumn("m", F.size("vs"))
            .withColumn("t", _needed(F.col("n"), SECOND, percent)).where("m >= t"))
     part = F.col("m") / F.least(F.col("n"), F.lit(SECOND))
-    lists, _ = write_stage(per.select("rep", "n", part.alias("part"), F.explode(F.slice("vs", F.lit(1), (F.col("m") - F.col("t") + 1).cast("int"))).alias("v"))
-                           .select(F.col("v.value").alias("value"), "rep", "n", "part"), "near-lists")
+    first = F.slice("vs", F.lit(1), (F.col("m") - F.col("t") + 1).cast("int"))
+    lists = per.select("rep", "n", part.alias("part"), F.explode(first).alias("v")).select(F.col("v.value").alias("value"), "rep", "part")
+    lists, _ = write_stage(lists, "near-lists")
 
     # every member against the centre of its list
-    centre = lists.groupBy("value").agg(F.max(F.struct("part", (-F.col("rep")).alias("minus"))).alias("c"), F.count(F.lit(1)).alias("members"))
-    centre = centre.where("members > 1").select("value", (-F.col("c.minus")).alias("centre"))
-    at = lists.join(centre, "value")
-    close, _ = write_stage(_confirm(at.where("rep != centre").select(*_ordered(F.col("rep"), F.col("centre"))).distinct(), texts, size, percent), "near-close")
-
-    # the others against all members of the list
-    one = F.when(F.col("rep") == F.col("centre"), F.lit(True))
-    linked = close.withColumn("linked", F.lit(True))
-    marked = (at.withColumn("a", F.least("rep", "centre")).withColumn("b", F.greatest("rep", "centre")).join(linked, ["a", "b"], "left")
-              .withColumn("linked", F.coalesce(one, F.col("linked"), F.lit(False))).select("value", "rep", "n", "linked"))
-    marked, _ = write_stage(marked, "near-marked")
-    other = marked.select("value", F.col("rep").alias("rep2"), F.col("n").alias("n2"))
-    rest = (marked.where("not linked").join(other, "value")
-            .where((F.col("rep") != F.col("rep2")) & (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent))
-            .select(*_ordered(F.col("rep"), F.col("rep2"))).distinct())
-    tested = at.where("rep != centre").select(*_ordered(F.col("rep"), F.col("centre"))).distinct()
-    return close.union(_confirm(rest.join(tested, ["a", "b"], "left_anti"), texts, size, percent)).distinct()
+    by = F.struct("part", (-F.col("rep")).alias("minus"))
+    centre = lists.groupBy("value").agg(F.max(by).alias("c"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    at = lists.join(centre.select("value", (-F.col("c.minus")).alias("centre"), "members"), "value")
+    at = at.withColumn("a", F.least("rep", "centre")).withColumn("b", F.greatest("rep", "centre"))
+    pairs, _ = write_stage(at.where("rep != centre").select("a", "b").distinct(), "near-pairs")
+    close, _ = write_stage(_confirm(pairs, texts, size, percent), "near-close")
+    linked = at.join(close.withColumn("linked", F.lit(True)), ["a", "b"], "left")
+    inside = (F.col("rep") == F.col("centre")) | F.coalesce(F.col("linked"), F.lit(False))
+    lists, _ = write_stage(linked.select("value", "rep", "members", inside.alias("inside")), "near-marked")
+
+    # who is outside meets all members of its lists
+    more = _across(lists, texts, percent).join(pairs, ["a", "b"], "left_anti")
+    return close.union(_confirm(more, texts, size, percent)).distinct()
+
+
+def _across(lists: DataFrame, texts: DataFrame, percent: int, k: int = SECOND) -> DataFrame:
+    """``(a, b)``: members outside the connected part of a list with any member
+    of it, where the sketches allow a link.
+
+    Outsiders with the same largest list make blocks; a block needs each member
+    of its lists once, whichever of its documents share the list with it.
+    """
+    outside = lists.where("not inside")
+    home = outside.groupBy("rep").agg(F.max(F.struct("members", "value")).getField("value").alias("home"))
+    blocks = home.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / OUTSIDE_BLOCK).alias("blocks"))
+    home = home.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks"))).select("rep", "home", "block")
+    home, _ = write_stage(home, "near-home")
+    doc = F.struct("rep", "n", "brief")
+    xs = home.join(texts, "rep").groupBy("home", "block").agg(F.collect_list(doc).alias("xs"))
+    parts = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / MEMBER_BLOCK))
+    packed = lists.groupBy("value", parts.alias("part")).agg(F.collect_list("rep").alias("reps")).drop("part")
+    needs = outside.join(home, "rep").select("home", "block", "value").distinct().join(packed, "value").drop("value")
+
+    def members(batches):
+        """Rows of a block come together; each of its members goes out once."""
+        now, found = None, []
+
+        def out():
+            y = np.unique(np.concatenate(found))
+            same = [np.full(len(y), v, dtype=np.int64) for v in (*now, -(-len(y) // MEMBER_BLOCK))]
+            return pa.RecordBatch.from_arrays([*[pa.array(v) for v in same], pa.array(y)], ["home", "block", "parts", "rep"])
+
+        for b in batches:
+            reps = b.column("reps")
+            for r, key in enumerate(zip(b.column("home").to_pylist(), b.column("block").to_pylist())):
+                if key != now and found:
+                    yield out()
+                    found = []
+                now = key
+                found.append(np.unique(reps[r].values.to_numpy()))
+                if len(found) > 64:
+                    found = [np.unique(np.concatenate(found))]
+        if found:
+            yield out()
+
+    ys = (needs.select("home", "block", "reps").repartition("home", "block").sortWithinPartitions("home", "block")
+          .mapInArrow(members, "home bigint, block bigint, parts bigint, rep bigint"))
+    ys = (ys.join(texts, "rep").groupBy("home", "block", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part"))
+          .agg(F.collect_list(doc).alias("ys")))
+
+    def estimate(batches):
+        for b in batches:
+            found: list[tuple[int, int]] = []
+            for xs, ys in zip(b.column("xs").to_pylist(), b.column("ys").to_pylist()):
+                ys = [(y["rep"], y["n"], np.frombuffer(y["brief"], np.uint32)) for y in ys]
+                ends = np.cumsum([len(y[2]) for y in ys])
+                flat = np.concatenate([y[2] for y in ys])
+                n = np.array([y[1] for y in ys])
+                for x in xs:
+                    sketch = np.frombuffer(x["brief"], np.uint32)
+                    at = np.minimum(np.searchsorted(sketch, flat), len(sketch) - 1)
+                    hits = np.cumsum(sketch[at] == flat)[ends - 1]
+                    shared = np.diff(np.r_[0, hits])
+                    # no link without as many common values as the smaller sketch needs
+                    least = np.minimum(np.minimum(n, x["n"]) * percent / 100, least_shared(k, percent)) - 2
+                    fits = (np.minimum(n, x["n"]) * 100 >= np.maximum(n, x["n"]) * percent) & (shared >= least)
+                    for i in np.flatnonzero(fits).tolist():
+                        rep, ny, other = ys[i]
+                        if rep != x["rep"] and _may_link(sketch, other, x["n"], ny, k, percent):
+                            found.append((min(rep, x["rep"]), max(rep, x["rep"])))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ((), ()))], ["a", "b"])
+
+    return ys.join(xs, ["home", "block"]).select("xs", "ys").mapInArrow(estimate, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
