@@ -134,3 +134,40 @@ def op3(spark, sf_dir):
 
     out = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
     return out.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
+@register("op7_html_text")
+def op7(spark, sf_dir):
+    """Main text of every page of ``pages``."""
+    from petalframe.llm.op7_html import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+@register("op4_ann")
+def op4(spark, sf_dir):
+    """The 10 nearest found for every 100th vector of ``embeddings``."""
+    from petalframe.llm.op4_ann import nearest_neighbours
+
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0, k=10)
+
+
+OP5_SQL = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@register("op5_inner_products", OP5_SQL)
+def op5(spark, sf_dir):
+    """The 5 highest inner products for every 50th vector of ``embeddings``."""
+    from petalframe.llm.op5_inner import top_products
+
+    return top_products(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, k=5)
