@@ -132,8 +132,7 @@ def _shared(rows: DataFrame, whole_groups: bool) -> DataFrame:
             yield _batch(np.concatenate(out_h), np.concatenate(out_d))
 
     key = F.when(F.col("closed"), F.xxhash64("doc_id", "h")).otherwise(F.col("h"))
-    return (rows.withColumn("k", key).repartition("k").sortWithinPartitions("closed", "h", "doc_id")
-            .drop("k").mapInArrow(reduce, "h bigint, doc_id bigint"))
+    return rows.repartition(key).sortWithinPartitions("closed", "h", "doc_id").mapInArrow(reduce, "h bigint, doc_id bigint")
 
 
 def _anchors(docs: DataFrame, window: int) -> DataFrame:
