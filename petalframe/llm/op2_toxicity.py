@@ -279,7 +279,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_co
     found = Counter()
     if usable:
         # equal feature rows count once
-        for r in train.mapInArrow(run, "y int, terms array<int>, votes bigint, hits double, density double").toLocalIterator():
+        for r in train.mapInArrow(run, "y int, terms array<int>, votes bigint, hits double, density double").collect():
             found[r["y"], tuple(r["terms"]), r["votes"], r["hits"], round(r["density"], 4)] += 1
     y = np.array([k[0] for k in found], dtype=int)
     seen = np.array(list(found.values()), dtype=float)
