@@ -13,6 +13,7 @@ previous version in place and a rerun is harmless.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -100,7 +101,10 @@ class VersionedTable:
     """Folder of parquet versions with an append-only pointer table.
 
     ``write(df, version)`` writes ``v=<version>/`` with overwrite (a retried
-    write replaces a half-written folder), then appends the pointer row.
+    write replaces a half-written folder), then appends the pointer row. A row
+    names the source and the batch that a version holds: a replayed batch is
+    known by that pair, never by its place in the order of versions, so
+    writers of several sources can share a table.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -112,12 +116,10 @@ class VersionedTable:
         return f"{self.path}/_pointer"
 
     def pointers(self) -> DataFrame | None:
-        from pyspark.errors import AnalysisException
-
-        try:
-            return self.spark.read.parquet(self.pointer_path)
-        except AnalysisException:  # no version written yet
-            return None
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.pointer_path)
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return None  # no version written yet
+        return self.spark.read.parquet(self.pointer_path)
 
     def current(self) -> dict | None:
         p = self.pointers()
@@ -132,12 +134,20 @@ class VersionedTable:
             return None
         return self.spark.read.parquet(f"{self.path}/v={cur['version']}")
 
-    def write(self, df: DataFrame, version: int, end_ts) -> None:
+    def committed(self, source: str, batch: int) -> int | None:
+        """The version that holds this batch of this source, if any."""
+        p = self.pointers()
+        if p is None:
+            return None
+        return p.where((F.col("source") == source) & (F.col("batch") == batch)).agg(F.max("version").alias("v")).first()["v"]
+
+    def write(self, df: DataFrame, version: int, end_ts, source: str | None = None, batch: int | None = None) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
         ptr = self.spark.createDataFrame(
-            [(int(version), end_ts, datetime.now(timezone.utc).replace(tzinfo=None))],
+            [(int(version), end_ts, datetime.now(timezone.utc).replace(tzinfo=None), source, batch)],
             T.StructType([T.StructField("version", T.LongType()), T.StructField("end_ts", T.TimestampNTZType()),
-                          T.StructField("written_at", T.TimestampNTZType())]))
+                          T.StructField("written_at", T.TimestampNTZType()),
+                          T.StructField("source", T.StringType()), T.StructField("batch", T.LongType())]))
         ptr.write.mode("append").parquet(self.pointer_path)
 
 
@@ -169,29 +179,30 @@ class OnlineStore:
         return version
 
     def push(self, view: FeatureView, rows: DataFrame, offline_path: str | None = None,
-             version: int | None = None) -> int:
+             version: int | None = None, source: str = "push") -> int:
         """K8: append to the offline history and merge into the latest table.
 
-        ``version`` (e.g. a stream's batch id) makes a replay overwrite the
-        same version instead of adding one.
+        ``version`` (e.g. a stream's batch id) names the batch within
+        ``source``: that pair, replayed, changes nothing. Any other push takes
+        the table's next version, whoever wrote the last one. The history has
+        one folder per push, ``batch=<source>-<version>``.
         """
         src = view.batch_source
         if offline_path:
             # one folder per version: a replay overwrites instead of duplicating
-            sub = f"{offline_path.rstrip('/')}/batch={version}" if version is not None else offline_path
-            rows.write.mode("overwrite" if version is not None else "append").parquet(sub)
+            name = f"{source}-{version}" if version is not None else f"{source}-{uuid.uuid4().hex}"
+            rows.write.mode("overwrite").parquet(f"{offline_path.rstrip('/')}/batch={name}")
         t = self.table(view.name)
         cur = t.current()
-        if version is not None and cur is not None and version <= cur["version"]:
-            return cur["version"]  # replayed batch: already committed
+        done = t.committed(source, version) if version is not None else None
+        if done is not None:
+            return done
         snap = t.read() if cur else None
         latest = materialize_frame(rows, snap, view.join_keys, src.timestamp_field,
                                    src.created_timestamp_column)
-        if version is None:
-            version = (cur["version"] + 1) if cur else 1
-        end = cur["end_ts"] if cur else None
-        t.write(latest, version, end)
-        return version
+        new = (cur["version"] + 1) if cur else 1
+        t.write(latest, new, cur["end_ts"] if cur else None, source, version)
+        return new
 
     def get_online_features(self, view: FeatureView, requests: DataFrame, features: list | None = None,
                             order_col: str | None = None) -> DataFrame:
@@ -203,8 +214,3 @@ class OnlineStore:
         types = {f.name: f.spark_type for f in view.schema}
         out = online_lookup(requests, latest, view.join_keys, feats, order_col)
         return out.withColumns({f: F.col(f).cast(types[f]) for f in feats if f in types})
-
-
-def newest(df: DataFrame, value_col: str, order_col: str) -> Column:
-    """The value at the newest order (``max_by``)."""
-    return F.max_by(value_col, order_col)

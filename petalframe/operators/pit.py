@@ -206,13 +206,24 @@ def _view_frame(view: FeatureView, spark=None) -> DataFrame:
     return view.batch_source.load(spark)
 
 
-def resolve_references(items: list) -> tuple[list, list]:
-    """Service items or "view:feature" pairs -> [(view, [features])], [odfv]."""
+def resolve_references(items: list, project=None) -> tuple[list, list]:
+    """Service items or ``"view:feature"`` strings (looked up in
+    ``project``; a feature of an on-demand view selects that view) ->
+    [(view, [features])], [odfv]."""
     views: dict = {}
     odfvs = []
     for it in items:
+        if isinstance(it, str):
+            name, _, feature = it.partition(":")
+            if project is None or not feature:
+                raise ValueError(f"{it!r}: give 'view:feature' and the project that defines the view")
+            it = project.get("FeatureView", name)
+            if not isinstance(it, OnDemandFeatureView):
+                if feature not in it.feature_names:
+                    raise KeyError(f"view {name!r} has no feature {feature!r}")
+                it = (it, [feature])
         if isinstance(it, FeatureService):
-            v, o = resolve_references(it.features)
+            v, o = resolve_references(it.features, project)
             for view, feats in v:
                 cur = views.setdefault(view.name, (view, []))[1]
                 cur.extend(f for f in feats if f not in cur)
@@ -236,14 +247,14 @@ def resolve_references(items: list) -> tuple[list, list]:
 
 
 def get_historical_features(spine: DataFrame, items: list, *, spine_ts: str = "event_timestamp",
-                            spark=None, full_feature_names: bool = False,
+                            spark=None, project=None, full_feature_names: bool = False,
                             bucket_seconds: int | None = DAY_SECONDS) -> DataFrame:
     """Fold the as-of join over every referenced view, then K5.
 
     Inputs that an on-demand view needs are fetched even when not selected
     and dropped afterwards. Duplicate output names are an error.
     """
-    views, odfvs = resolve_references(items)
+    views, odfvs = resolve_references(items, project)
     selected = {(v.name, f) for v, fs in views for f in fs}
     needed = {v.name: (v, list(fs)) for v, fs in views}
     for o in odfvs:

@@ -31,6 +31,15 @@ def _cols(cs) -> list:
     return [cs] if isinstance(cs, str) else list(cs or [])
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, on: list, how: str = "inner") -> DataFrame:
+    """Join on equal values, NULL equal to NULL; the left columns stay."""
+    named = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return left.join(named, cond, how).drop(*[f"_r_{c}" for c in on])
+
+
 def select_k_smallest(df: DataFrame, rank: str, tiebreak: list, strata: list,
                       quota, digits: int = DEFAULT_DIGITS,
                       out: str = "_selected") -> DataFrame:
@@ -64,24 +73,25 @@ def select_k_smallest(df: DataFrame, rank: str, tiebreak: list, strata: list,
         quota = quota(counts.groupBy(*strata).agg(F.sum("_n").alias("_n")))
     quota = quota.select(*strata, "_k")
     running = Window.partitionBy(*strata).orderBy("_bk").rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.withColumn("_cum", F.sum("_n").over(running)).join(quota, strata)
+    cum = counts.withColumn("_cum", F.sum("_n").over(running))
+    cum = _join_null_safe(cum, quota, strata)
     boundary = (cum.where((F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_n") < F.col("_k")))
                 .select(*strata, F.col("_bk").alias("_B"),
                         (F.col("_k") - (F.col("_cum") - F.col("_n"))).alias("_need")))
     # Strata with k <= 0 select nothing; strata with k >= n select everything.
-    thr = (quota.join(boundary, strata, "left")
+    thr = (_join_null_safe(quota, boundary, strata, "left")
            .select(*strata,
                    F.coalesce(F.col("_B"), F.when(F.col("_k") <= 0, F.lit(-1)).otherwise(F.lit(n_buckets))).alias("_B"),
                    F.coalesce(F.col("_need"), F.lit(0)).alias("_need")))
     thr, _ = bounded_broadcast(thr)
     order = [F.col(rank)] + [F.col(c) for c in tiebreak]
     wb = Window.partitionBy(*strata).orderBy(*order)
-    last = (b.join(thr, strata).where(F.col("_bk") == F.col("_B"))
+    last = (_join_null_safe(b, thr, strata).where(F.col("_bk") == F.col("_B"))
             .withColumn("_rn", F.row_number().over(wb)).where(F.col("_rn") == F.col("_need"))
             .select(*strata, F.struct(*order).alias("_last")))
-    thr, _ = bounded_broadcast(thr.join(last, strata, "left"))
+    thr, _ = bounded_broadcast(_join_null_safe(thr, last, strata, "left"))
     sel = (F.col("_bk") < F.col("_B")) | ((F.col("_bk") == F.col("_B")) & (F.struct(*order) <= F.col("_last")))
-    res = b.join(thr, strata).withColumn(out, F.coalesce(sel, F.lit(False))).drop("_bk", "_B", "_need", "_last")
+    res = _join_null_safe(b, thr, strata).withColumn(out, F.coalesce(sel, F.lit(False))).drop("_bk", "_B", "_need", "_last")
     return res.drop("_s0") if const else res
 
 
@@ -163,6 +173,8 @@ def poison(df: DataFrame, key: str, features: list, label: str, percent: float,
     if percent == 0:
         return df.withColumn(flag, F.lit(0))
     stats, classes = _ranges_and_classes(df, features, label)
+    if len(classes) < 2:
+        raise ValueError(f"{label!r} needs at least two classes to flip, found {classes}")
     s = sample_exact_k(df, key, percent, seed, "pick", digits, out="_p")
     repl = {}
     for c in features:

@@ -13,57 +13,56 @@ from petalframe.sources.io import Tables
 SLICE_1_END = "2024-01-15 12:00:00"
 SLICE_2_END = "2024-01-31 00:00:00"
 
-_SPINE = """s AS (SELECT event_id, user_id, ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS val_to_add,
-              CAST(json_extract_string(props, '$.k') AS BIGINT) * 10 AS val_to_add_2
+_SPINE = """s AS (SELECT event_id, user_id, ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS basket,
+              CAST(json_extract_string(props, '$.k') AS BIGINT) + 100 AS budget
        FROM events WHERE event_type = 'click')"""
-_PURCH = """p AS (SELECT user_id, ts AS p_ts, CAST(value AS FLOAT) AS pv FROM events WHERE event_type = 'purchase')"""
+_PURCH = """p AS (SELECT user_id, ts AS p_ts, value AS pv FROM events WHERE event_type = 'purchase')"""
 _ERR = """e AS (SELECT user_id, ts AS e_ts, value AS error_value FROM events WHERE event_type = 'error')"""
 _SP = """sp AS (SELECT s.*, CASE WHEN p.p_ts >= s.ts - INTERVAL 1 DAY THEN p.pv END AS purchase_value
         FROM s ASOF LEFT JOIN p ON s.user_id = p.user_id AND s.ts >= p.p_ts)"""
-_ODFV = """CAST(purchase_value AS DOUBLE) + val_to_add AS purchase_plus_val1,
-       CAST(purchase_value AS DOUBLE) + val_to_add_2 AS purchase_plus_val2"""
+_ODFV = """basket - purchase_value AS basket_gap, (basket + purchase_value) / budget AS budget_used"""
 
 
 @register("feature_service_v1", f"""
 WITH {_SPINE}, {_PURCH}, {_SP}
-SELECT event_id, user_id, ts, val_to_add, val_to_add_2, purchase_value, {_ODFV} FROM sp
+SELECT event_id, user_id, ts, basket, budget, purchase_value, {_ODFV} FROM sp
 """)
 def feature_service_v1(spark, sf_dir):
     """service = one sub-selected feature + an on-demand view."""
     d = fe.build(sf_dir)
-    return pit.get_historical_features(fe.click_spine(spark, sf_dir), [d["v1"]], spine_ts="ts", spark=spark)
+    return pit.get_historical_features(fe.click_spine(spark, sf_dir), [d["basic"]], spine_ts="ts", spark=spark)
 
 
 @register("feature_service_v2", f"""
 WITH {_SPINE}, {_PURCH}, {_ERR}, {_SP},
 spe AS (SELECT sp.*, e.error_value FROM sp ASOF LEFT JOIN e ON sp.user_id = e.user_id AND sp.ts >= e.e_ts)
-SELECT event_id, user_id, ts, val_to_add, val_to_add_2, purchase_value, error_value, {_ODFV} FROM spe
+SELECT event_id, user_id, ts, basket, budget, purchase_value, error_value, {_ODFV} FROM spe
 """)
 def feature_service_v2(spark, sf_dir):
     """service = two whole views + an on-demand view."""
     d = fe.build(sf_dir)
-    return pit.get_historical_features(fe.click_spine(spark, sf_dir), [d["v2"]], spine_ts="ts", spark=spark)
+    return pit.get_historical_features(fe.click_spine(spark, sf_dir), [d["full"]], spine_ts="ts", spark=spark)
 
 
 @register("feature_service_v3", f"""
 WITH {_SPINE}, {_PURCH}, {_SP}
-SELECT event_id, user_id, ts, val_to_add, val_to_add_2, purchase_value, {_ODFV} FROM sp
+SELECT event_id, user_id, ts, basket, budget, purchase_value, {_ODFV} FROM sp
 """)
 def feature_service_v3(spark, sf_dir):
-    """Service over the push-fed "fresh" view; offline retrieval reads its batch side."""
+    """Service over the push-fed live view; offline retrieval reads its batch side."""
     d = fe.build(sf_dir)
-    return pit.get_historical_features(fe.click_spine(spark, sf_dir), [d["v3"]], spine_ts="ts", spark=spark)
+    return pit.get_historical_features(fe.click_spine(spark, sf_dir), [d["following"]], spine_ts="ts", spark=spark)
 
 
 @register("on_demand_features", f"""
 WITH {_SPINE}, {_PURCH}, {_SP}
-SELECT event_id, user_id, ts, val_to_add, val_to_add_2, {_ODFV} FROM sp
+SELECT event_id, user_id, ts, basket, budget, {_ODFV} FROM sp
 """)
 def on_demand_features(spark, sf_dir):
     """Only the on-demand outputs are selected; their input feature is
     fetched and dropped. Runs the pandas (mapInPandas) variant."""
     d = fe.build(sf_dir)
-    return pit.get_historical_features(fe.click_spine(spark, sf_dir), [d["odfv_pandas"]], spine_ts="ts", spark=spark)
+    return pit.get_historical_features(fe.click_spine(spark, sf_dir), [d["signals_pandas"]], spine_ts="ts", spark=spark)
 
 
 @register("materialize_incremental", f"""
@@ -99,21 +98,21 @@ def online_lookup(spark, sf_dir):
 
 
 @register("label_last_write_wins", """
-WITH l AS (SELECT user_id, ts AS event_timestamp, CAST(event_type = 'purchase' AS BIGINT) AS is_reliable,
-                  CAST(value AS FLOAT) AS quality_score, event_type AS labeler
+WITH l AS (SELECT user_id, ts AS event_timestamp, CAST(event_type = 'purchase' AS BIGINT) AS in_good_standing,
+                  value AS amount, event_type AS reporter
            FROM events WHERE event_type IN ('purchase', 'error'))
-SELECT user_id, event_timestamp, is_reliable, quality_score, labeler, is_reliable IN (0, 1) AS is_valid
-FROM l QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC, labeler DESC) = 1
+SELECT user_id, event_timestamp, in_good_standing, amount, reporter, in_good_standing IN (0, 1) AS is_valid
+FROM l QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC, reporter DESC) = 1
 """)
 def label_last_write_wins(spark, sf_dir):
-    """K7: purchase / error events as reliability labels; newest wins per user."""
+    """K7: purchase / error events as labels of standing; newest wins per user."""
     d = fe.build(sf_dir)
     ev = Tables(spark, sf_dir).events
     labels = (ev.where(F.col("event_type").isin("purchase", "error"))
               .select("user_id", F.col("ts").alias("event_timestamp"),
-                      (F.col("event_type") == "purchase").cast("long").alias("is_reliable"),
-                      F.col("value").cast("float").alias("quality_score"), F.col("event_type").alias("labeler")))
-    return online.resolve_labels(labels, d["labels"])
+                      (F.col("event_type") == "purchase").cast("long").alias("in_good_standing"),
+                      F.col("value").alias("amount"), F.col("event_type").alias("reporter")))
+    return online.resolve_labels(labels, d["standing"])
 
 
 @register("labels_left_join", """

@@ -74,30 +74,28 @@ def stream_score(spark, sf_dir):
 
 
 @register("stream_on_demand", f"""
-WITH s AS (SELECT user_id, ts, CAST(value AS FLOAT) AS purchase_value,
-                  CAST(json_extract_string(props, '$.k') AS BIGINT) AS val_to_add,
-                  CAST(json_extract_string(props, '$.k') AS BIGINT) * 10 AS val_to_add_2
+WITH s AS (SELECT user_id, ts, value AS purchase_value,
+                  CAST(json_extract_string(props, '$.k') AS BIGINT) AS basket,
+                  CAST(json_extract_string(props, '$.k') AS BIGINT) + 100 AS budget
            FROM events WHERE event_type = 'purchase')
-SELECT user_id, ts, purchase_value, val_to_add, val_to_add_2, {_ODFV} FROM s
+SELECT user_id, ts, purchase_value, basket, budget, {_ODFV} FROM s
 """)
 def stream_on_demand(spark, sf_dir):
     """ST5: the batch on-demand view applied to a stream of purchases."""
     base = work_dir(spark, "stream-odfv")
     d = fe.build(sf_dir)
-    k = F.get_json_object("props", "$.k").cast("long")
     s = (_events_stream(spark, sf_dir).where(F.col("event_type") == "purchase")
-         .select("user_id", "ts", F.col("value").cast("float").alias("purchase_value"),
-                 k.alias("val_to_add"), (k * 10).alias("val_to_add_2")))
-    jobs.on_demand_stream(s, d["odfv"], f"{base}/out", f"{base}/_checkpoint")
+         .select("user_id", "ts", F.col("value").alias("purchase_value"), *fe.checkout_columns()))
+    jobs.on_demand_stream(s, d["signals"], f"{base}/out", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/out")
 
 
 @register("stream_labels", """
-WITH l AS (SELECT user_id, ts AS event_timestamp, CAST(event_type = 'purchase' AS BIGINT) AS is_reliable,
-                  CAST(value AS FLOAT) AS quality_score, event_type AS labeler
+WITH l AS (SELECT user_id, ts AS event_timestamp, CAST(event_type = 'purchase' AS BIGINT) AS in_good_standing,
+                  value AS amount, event_type AS reporter
            FROM events WHERE event_type IN ('purchase', 'error'))
-SELECT user_id, event_timestamp, is_reliable, quality_score, labeler, is_reliable IN (0, 1) AS is_valid
-FROM l QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC, labeler DESC) = 1
+SELECT user_id, event_timestamp, in_good_standing, amount, reporter, in_good_standing IN (0, 1) AS is_valid
+FROM l QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC, reporter DESC) = 1
 """)
 def stream_labels(spark, sf_dir):
     """ST6: labels pushed as a stream, last write wins."""
@@ -105,10 +103,10 @@ def stream_labels(spark, sf_dir):
     d = fe.build(sf_dir)
     s = (_events_stream(spark, sf_dir).where(F.col("event_type").isin("purchase", "error"))
          .select("user_id", F.col("ts").alias("event_timestamp"),
-                 (F.col("event_type") == "purchase").cast("long").alias("is_reliable"),
-                 F.col("value").cast("float").alias("quality_score"), F.col("event_type").alias("labeler")))
+                 (F.col("event_type") == "purchase").cast("long").alias("in_good_standing"),
+                 F.col("value").alias("amount"), F.col("event_type").alias("reporter")))
     table = online.VersionedTable(spark, f"{base}/labels")
-    jobs.label_push_stream(spark, s, table, d["labels"], f"{base}/_checkpoint")
+    jobs.label_push_stream(spark, s, table, d["standing"], f"{base}/_checkpoint")
     return table.read()
 
 

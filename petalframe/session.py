@@ -48,8 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system and is
-    taken as is. Only when it is unset (tests, a laptop) a scratch folder is
-    made here.
+    taken as is. Only when it is unset and the master is local (tests, a
+    laptop) a scratch folder is made here.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -57,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="petalframe-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
@@ -97,7 +99,7 @@ def materialize_counted(df, name: str = "stage"):
 
 # A side of a join is broadcast only after counting it; beyond this many rows
 # the join is left to the planner (AQE picks a shuffle join from run-time sizes).
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES = 2_000_000, 64 << 20
 
 
 def bounded_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS):
@@ -105,9 +107,17 @@ def bounded_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS):
 
     Returns ``(frame, rows)``. The frame is written once (so the count and the
     later join read the same files instead of recomputing the lineage); it
-    carries a broadcast hint only when ``rows <= max_rows``.
+    carries a broadcast hint only when ``rows <= max_rows`` and its files take
+    at most :data:`BROADCAST_MAX_BYTES`.
     """
     from pyspark.sql import functions as F
 
     m, n = materialize_counted(df, "small")
-    return (F.broadcast(m) if n <= max_rows else m), n
+    return (F.broadcast(m) if n <= max_rows and _file_bytes(m) <= BROADCAST_MAX_BYTES else m), n
+
+
+def _file_bytes(df) -> int:
+    """Bytes of the files behind a frame that was just read back."""
+    jvm, spark = df.sparkSession._jvm, df.sparkSession
+    conf = spark._jsc.hadoopConfiguration()
+    return sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in (jvm.org.apache.hadoop.fs.Path(f) for f in df.inputFiles()))

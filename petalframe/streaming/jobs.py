@@ -9,6 +9,7 @@ its own output instead of adding to it.
 
 from __future__ import annotations
 
+import hashlib
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,12 @@ def run_available_now(writer, checkpoint: str) -> None:
         raise q.exception()
 
 
+def stream_id(checkpoint: str) -> str:
+    """Names a stream by its checkpoint: a restart from it replays batches of the
+    same name, a new checkpoint is another stream."""
+    return "stream-" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
+
 def once_per_batch(write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` writer that reads its micro-batch more than once
     (two sinks, a statistic and a merge) gets it persisted for the call, so
@@ -70,7 +77,7 @@ def push_stream(spark: SparkSession, stream: DataFrame, store: online.OnlineStor
     late events lose by event time."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.push(view, batch, offline_path=offline_path, version=batch_id + 1)
+        store.push(view, batch, offline_path=offline_path, version=batch_id, source=stream_id(checkpoint))
 
     run_available_now(stream.writeStream.foreachBatch(once_per_batch(write)), checkpoint)
 
@@ -80,13 +87,14 @@ def label_push_stream(spark: SparkSession, stream: DataFrame, table: online.Vers
     """ST6: pushed labels merged with last-write-wins (K7)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cur = table.current()
-        version = batch_id + 1
-        if cur is not None and version <= cur["version"]:
+        source = stream_id(checkpoint)
+        if table.committed(source, batch_id) is not None:
             return
+        cur = table.current()
+        version = (cur["version"] + 1) if cur else 1
         snap = table.read() if cur else None
         rows = batch if snap is None else batch.unionByName(snap.drop("is_valid"))
-        table.write(online.resolve_labels(rows, view, ts), version, None)
+        table.write(online.resolve_labels(rows, view, ts), version, None, source, batch_id)
 
     run_available_now(stream.writeStream.foreachBatch(once_per_batch(write)), checkpoint)
 
@@ -106,13 +114,14 @@ def latest_state_stream(stream: DataFrame, keys: list, ts: str, table: online.Ve
            .select(*keys, "_r.*"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cur = table.current()
-        version = batch_id + 1
-        if cur is not None and version <= cur["version"]:
+        source = stream_id(checkpoint)
+        if table.committed(source, batch_id) is not None:
             return
+        cur = table.current()
+        version = (cur["version"] + 1) if cur else 1
         snap = table.read() if cur else None
         merged = batch if snap is None else online.latest_per_key(batch.unionByName(snap), keys, ts, created)
-        table.write(merged, version, None)
+        table.write(merged, version, None, source, batch_id)
 
     run_available_now(agg.writeStream.outputMode("update").foreachBatch(write), checkpoint)
 
@@ -193,10 +202,11 @@ def request_metrics_stream(lines: DataFrame, table: online.VersionedTable, check
     keys = ["window_start", "path", "status"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cur = table.current()
-        version = batch_id + 1
-        if cur is not None and version <= cur["version"]:
+        source = stream_id(checkpoint)
+        if table.committed(source, batch_id) is not None:
             return
+        cur = table.current()
+        version = (cur["version"] + 1) if cur else 1
         seen = cur["end_ts"] if cur else None
         b = batch.withColumn("_batch", F.lit(batch_id).cast("long"))
         if seen is not None:
@@ -206,6 +216,6 @@ def request_metrics_stream(lines: DataFrame, table: online.VersionedTable, check
         new_seen = max([t for t in (seen, batch_max) if t is not None], default=None)
         snap = table.read() if cur else None
         merged = b if snap is None else online.latest_per_key(b.unionByName(snap), keys, "_batch")
-        table.write(merged, version, new_seen)
+        table.write(merged, version, new_seen, source, batch_id)
 
     run_available_now(agg.writeStream.outputMode("update").foreachBatch(write), checkpoint)

@@ -61,3 +61,34 @@ def test_labels_last_write_wins(spark):
     spine = spark.createDataFrame([(1,), (4,)], "k bigint")
     j = {r["k"]: r["is_reliable"] for r in online.join_latest_labels(spine, labels, view).collect()}
     assert j == {1: 0, 4: None}
+
+
+def test_push_after_materialise_is_kept_and_replay_changes_nothing(spark, tmp_dir):
+    hist = spark.createDataFrame([(1, T0, T0, 1.0)], SCHEMA)
+    view = _view(spark, hist)
+    store = online.OnlineStore(spark, tmp_dir)
+    for day in range(3):
+        store.materialize_incremental(view, T0 + timedelta(days=day))
+    rows = spark.createDataFrame([(2, T0, T0, 5.0)], SCHEMA)
+    off = tmp_dir + "/off"
+    assert store.push(view, rows, off, version=0, source="a") == 4  # first batch, below the table's version
+    assert store.push(view, rows, off, version=0, source="a") == 4
+    assert store.push(view, rows, off, version=0, source="b") == 5  # another stream's first batch
+    assert {r["k"]: r["v"] for r in store.table("stats").read().collect()} == {1: 1.0, 2: 5.0}
+    assert spark.read.parquet(off).count() == 2
+
+
+def test_references_by_name(spark):
+    import pytest
+
+    from petalframe.defs import Project
+    from petalframe.operators import pit
+
+    view = _view(spark, spark.createDataFrame([(1, T0, T0, 2.5)], SCHEMA))
+    project = Project("p").apply([view])
+    spine = spark.createDataFrame([(1, T0)], "k bigint, event_timestamp timestamp_ntz")
+    assert pit.get_historical_features(spine, ["stats:v"], spark=spark, project=project).first()["v"] == 2.5
+    with pytest.raises(KeyError):
+        pit.resolve_references(["stats:w"], project)
+    with pytest.raises(ValueError):
+        pit.resolve_references(["stats:v"])

@@ -104,3 +104,12 @@ def test_surrogate_key_hot_first_column(spark):
     per_range = (df.repartitionByRange(8, "day", "id").groupBy(F.spark_partition_id().alias("p")).count()
                  .agg(F.max("count")).first()[0])
     assert per_range < 400
+
+
+def test_null_stratum_keeps_its_rows(spark):
+    from petalframe.operators.sampling import stratified_split
+
+    df = spark.range(100).selectExpr("id", "case when id % 10 = 0 then null else id % 3 end as s")
+    out = stratified_split(df, "id", "s", 0.2, seed=1)
+    assert out.count() == 100 and out.where("s is null").count() == 10
+    assert out.where("split = 'test'").count() == 20 and out.where("s is null and split = 'test'").count() == 2

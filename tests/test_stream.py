@@ -40,9 +40,9 @@ def test_push_stream_offline_and_online(spark, tmp_dir):
     jobs.push_stream(spark, s, store, view, tmp_dir + "/ck", offline_path=tmp_dir + "/offline")
     assert {r["k"]: r["v"] for r in store.table("fresh").read().collect()} == {1: 2.0, 2: 5.0}
     assert spark.read.parquet(tmp_dir + "/offline").count() == 3
-    # a replayed batch id is a no-op
+    # a replayed batch of this stream is a no-op
     again = spark.createDataFrame([(1, T0 + timedelta(days=9), 99.0)], SCHEMA)
-    store.push(view, again, version=2)
+    store.push(view, again, version=0, source=jobs.stream_id(tmp_dir + "/ck"))
     assert {r["k"]: r["v"] for r in store.table("fresh").read().collect()} == {1: 2.0, 2: 5.0}
 
 
