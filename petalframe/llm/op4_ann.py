@@ -105,10 +105,15 @@ def _nearest(pairs: DataFrame, k: int) -> DataFrame:
         for b in batches:
             for d, qi, qd, vi, vd in zip(*(b.column(c).to_pylist() for c in ("d", "qids", "qdata", "ids", "data"))):
                 (q, x), (v, y) = unpack(qi, qd, d), unpack(vi, vd, d)
-                for j in range(len(q)):
-                    far = np.sqrt(((y - x[j]) ** 2).sum(axis=1))
-                    other = v != q[j]
-                    best.add(int(q[j]), far[other], v[other])
+                # squared distances by one product, to pass over what cannot enter a query's best
+                x2, y2 = (x ** 2).sum(axis=1), (y ** 2).sum(axis=1)
+                square = x2[:, None] + y2[None, :] - 2 * (x @ y.T)
+                bars = np.array([best.of[i][0][-1] if i in best.of and len(best.of[i][0]) == k else np.inf for i in q.tolist()])
+                slack = 1e-9 * (x2 + y2.max(initial=0.0)) + 1e-12
+                near = (square <= (bars ** 2 + slack)[:, None]) & (v[None, :] != q[:, None])
+                for j in np.flatnonzero(near.any(axis=1)).tolist():
+                    at = np.flatnonzero(near[j])
+                    best.add(int(q[j]), np.sqrt(((y[at] - x[j]) ** 2).sum(axis=1)), v[at])
             if len(best.of) > 50_000:
                 yield best.rows(pa.float64())
         yield best.rows(pa.float64())
