@@ -7,7 +7,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from petalframe.session import materialize_counted
+from petalframe.session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, _file_bytes, materialize_counted
 
 #: A word of a text, for Spark's Java regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,6 +28,14 @@ def write_stage(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return materialize_counted(df, f"llm-{name}")
 
 
+def small_side(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
+    """:func:`write_stage` of a join's small side, with a broadcast hint (and
+    true) if its rows and bytes, counted once written, are within the bounds."""
+    out, n = write_stage(df, name)
+    fits = n <= BROADCAST_MAX_ROWS and _file_bytes(out) <= BROADCAST_MAX_BYTES
+    return (F.broadcast(out) if fits else out), fits
+
+
 def compress(text: str | None) -> bytes | None:
     return None if text is None else zstandard.ZstdCompressor(level=1).compress(text.encode("utf-8", "surrogatepass"))
 

@@ -39,6 +39,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from petalframe.llm.common import small_side
+
+#: Parts of a host's pages where the furniture of all hosts is too large to be sent to every task.
+SALTS = 64
+
 #: Element names and the words of class and id that mark furniture.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -155,11 +160,10 @@ def templates(pages: DataFrame) -> DataFrame:
 
     seen = (pages.mapInArrow(tokens, "host string, token bigint, is_text boolean, vector bigint, pages bigint")
             .groupBy("host", "token", "is_text").agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages")))
-    total = F.max(F.when(F.col("token") == 0, F.col("pages")))
     # a class: equal vectors; valid with a tag in it and an occurrence on every page of a host of several
     classes = seen.groupBy("host", "vector", "pages").agg(
         F.bool_or(~F.col("is_text")).alias("tags"), F.collect_list(F.when(F.col("is_text"), F.col("token"))).alias("texts"))
-    hosts = seen.where("not is_text").groupBy("host").agg(total.alias("total")).where("total > 1")
+    hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("total")).where("total > 1")  # reads no html
     return (classes.where("tags and size(texts) > 0").join(hosts, "host").where("pages = total")
             .groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("furniture")))
 
@@ -175,7 +179,13 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """One row per input row: ``page_id, url, text, n_chars`` (code points)."""
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
     rows = rows.withColumn("host", host_of(F.col("url")))
-    found = templates(rows.select("host", F.xxhash64("page_id", "url").alias("page_key"), "html"))
+    # one short row per host with furniture: pages stay where they are, or meet it in salted parts of their host
+    found, sent = small_side(templates(rows.select("host", F.xxhash64("page_id", "url").alias("page_key"), "html")), "html-furniture")
+    on = ["host"]
+    if not sent:
+        on = ["host", "salt"]
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+        found = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
     def run(batches):
         for b in batches:
@@ -187,4 +197,4 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                 [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array(np.array([len(t) for t in texts], dtype=np.int64))],
                 ["page_id", "url", "text", "n_chars"])
 
-    return rows.join(found, "host", "left").mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
+    return rows.join(found, on, "left").select("page_id", "url", "html", "furniture").mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
