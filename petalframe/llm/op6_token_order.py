@@ -118,7 +118,7 @@ def training_order(docs: DataFrame, length: int = LENGTH, key: int = KEY, pad_id
     width = np.dtype(dtype).itemsize
 
     def pieces(batches):
-        unpack, order = zstandard.ZstdDecompressor(), Permutation(n_seq, key)
+        unpack, pack, order = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1), Permutation(n_seq, key)
         for b in batches:
             seq, pos, part = [], [], []
             for start, z in zip(b.column("start").to_pylist(), b.column("ids").to_pylist()):
@@ -129,7 +129,7 @@ def training_order(docs: DataFrame, length: int = LENGTH, key: int = KEY, pad_id
                     k = min(n, i + length - p)
                     seq.append((start + i) // length)
                     pos.append(p)
-                    part.append(raw[i * width:k * width])
+                    part.append(pack.compress(raw[i * width:k * width]))
                     i = k
             if seq:
                 slots = order.slot(np.array(seq, dtype=np.int64))
@@ -140,10 +140,10 @@ def training_order(docs: DataFrame, length: int = LENGTH, key: int = KEY, pad_id
 
     def whole(batches):
         """Rows sorted by slot and position, streamed; the parts of one sequence are joined."""
-        slot, seq, parts = None, None, []
+        slot, seq, parts, unpack = None, None, [], zstandard.ZstdDecompressor()
 
         def row():
-            raw = b"".join(parts)
+            raw = b"".join(map(unpack.decompress, parts))
             return slot, seq, len(raw) // width, raw + filler[len(raw):]
 
         for b in batches:
