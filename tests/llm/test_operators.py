@@ -387,3 +387,16 @@ def test_pipeline_stages(spark, tmp_path):
     assert p.secrets(spark, docs, str(tmp_path)).where("text like '%0123456789abcdef%'").count() == 0
     out = p.run(spark, str(tmp_path))
     assert out.count() > 0 and {"doc_id", "start", "length", "sequence_id", "offset"} <= set(out.columns)
+
+
+def test_op7_salted_join(spark, monkeypatch):
+    from petalframe.llm import op7_html
+
+    shell = "<body><div>Site name</div><div><p>{}</p></div><div>All rights</div></body>"
+    pages = spark.createDataFrame([(i, "http://a.org/x", shell.format(f"text {i}")) for i in range(6)] + [(None, None, None)],
+                                  "page_id long, url string, html string")
+    sent = {tuple(r) for r in op7_html.extract_text(pages).collect()}
+    small = op7_html.small_side
+    monkeypatch.setattr(op7_html, "small_side", lambda df, name: (small(df, name)[0].hint("merge"), False))
+    salted = {tuple(r) for r in op7_html.extract_text(pages).collect()}
+    assert sent == salted == {(i, "http://a.org/x", f"text {i}", 6) for i in range(6)} | {(None, None, "", 0)}
