@@ -43,7 +43,8 @@ def best_rows(found: DataFrame, k: int, smallest: bool) -> DataFrame:
 
 
 class Best:
-    """The k best (score, id) of each query met so far, in one task."""
+    """The k best (score, id) of each query met so far, in one task: of each
+    id its best score only, however often the id is repeated."""
 
     def __init__(self, k: int, smallest: bool):
         self.k, self.sign, self.of = k, 1 if smallest else -1, {}
@@ -56,11 +57,13 @@ class Best:
             scores, ids = np.concatenate([old[0], scores]), np.concatenate([old[1], ids])
         key = self.sign * scores
         if len(key) > 4 * self.k:
-            limit = np.partition(key, self.k - 1)[self.k - 1]
-            near = key <= limit
-            scores, ids, key = scores[near], ids[near], key[near]
-        order = np.lexsort((ids, key))
-        order = order[np.r_[True, ids[order][1:] != ids[order][:-1]]] if len(order) else order
+            near = key <= np.partition(key, 4 * self.k - 1)[4 * self.k - 1]
+            # rows beyond that are passed over only if those before hold k different ids
+            if len(np.unique(ids[near])) >= self.k:
+                scores, ids, key = scores[near], ids[near], key[near]
+        order = np.lexsort((key, ids))
+        order = order[np.r_[True, ids[order][1:] != ids[order][:-1]]]
+        order = order[np.lexsort((ids[order], key[order]))]
         self.of[query] = (scores[order[:self.k]], ids[order[:self.k]])
 
     def rows(self, score_type: pa.DataType) -> pa.RecordBatch:

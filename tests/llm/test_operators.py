@@ -400,3 +400,52 @@ def test_op7_salted_join(spark, monkeypatch):
     monkeypatch.setattr(op7_html, "small_side", lambda df, name: (small(df, name)[0].hint("merge"), False))
     salted = {tuple(r) for r in op7_html.extract_text(pages).collect()}
     assert sent == salted == {(i, "http://a.org/x", f"text {i}", 6) for i in range(6)} | {(None, None, "", 0)}
+
+
+def test_best_counts_an_id_once():
+    from petalframe.llm.vectors import Best
+
+    rng = np.random.default_rng(4)
+    for smallest in (False, True):
+        sign = 1 if smallest else -1
+        for case in range(200):
+            k, n = int(rng.integers(1, 8)), int(rng.integers(1, 120))
+            ids, scores = rng.integers(0, 12, n), rng.integers(0, 40, n)
+            if case % 2:  # one id fills more than 4k of the best places
+                ids, scores = np.r_[np.full(5 * k, 7), ids], np.r_[np.full(5 * k, -100 * sign), scores]
+            best, at = Best(k, smallest), int(rng.integers(0, n))
+            best.add(1, scores[:at], ids[:at])
+            best.add(1, scores[at:], ids[at:])
+            of = defaultdict(list)
+            for i, s in zip(ids.tolist(), scores.tolist()):
+                of[i].append(sign * s)
+            want = sorted((min(s), i) for i, s in of.items())[:k]
+            assert [(sign * s, i) for s, i in zip(best.of[1][0].tolist(), best.of[1][1].tolist())] == want
+
+
+@pytest.mark.parametrize("equal", [True, False])
+def test_op4_op5_repeated_ids(spark, equal):
+    from pyspark.sql import functions as F
+
+    from petalframe.llm.op4_ann import nearest_neighbours
+    from petalframe.llm.op5_inner import top_products
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(120, 8)).astype(np.float32).astype(float)
+    x[0] = x[1:].mean(axis=0)
+    # id 7 is nearest to the query, with the highest product, in far more than 4k rows
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(7, (x[0] * (3 if equal else 3 + j / 64)).tolist()) for j in range(90)]
+    rows += [(i, (x[i] + 0.25).tolist()) for i in (20, 21, 22) for _ in range(30)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    near, product = {}, {}
+    for i, v in rows:
+        if i:
+            near[i] = min(near.get(i, np.inf), float(np.sqrt(((np.array(v) - x[0]) ** 2).sum())))
+            p = int(np.floor(256 * np.array(v)) @ np.floor(256 * x[0]))
+            product[i] = max(product.get(i, p), p)
+    got = sorted(tuple(r) for r in top_products(table, F.col("vec_id") == 0).collect())
+    assert got == [(0, k + 1, i, product[i]) for k, i in enumerate(sorted(product, key=lambda i: (-product[i], i))[:5])]
+    found = sorted((r["rank"], r.vec_id, r.score) for r in nearest_neighbours(table, F.col("vec_id") == 0, k=10).collect())
+    want = sorted(near, key=lambda i: (near[i], i))[:10]
+    assert [r for r, *_ in found] == list(range(1, 11)) and len({i for _, i, _ in found}) == 10
+    assert all(s == near[i] for _, i, s in found) and len({i for _, i, _ in found} & set(want)) >= 9
