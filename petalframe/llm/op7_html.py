@@ -11,9 +11,10 @@ where the template has none, from all slots of the body, without those in
 elements that by tag, class or id are menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles or reader comments.
 
-Vectors are never collected: a token's vector is the exclusive or of one hash
-per (page, count), so a host of any size is aggregated map-side first and
-takes one row per token. Only the template's text blocks (no more than one
+Vectors are never collected: a token's vector is the sum of one hash per
+(page content, count), in two halves that cannot overflow, so a host of any
+size is aggregated map-side first and takes one row per token; copies of a
+page weigh alike in all vectors and change no class. Only the template's text blocks (no more than one
 page holds) come back to the pages of a host.
 
 Block rules: character references are decoded, white space inside a block
@@ -21,8 +22,9 @@ becomes one space, blocks are trimmed and joined in page order by one space;
 inline tags leave no gap, ``br`` ends a line like a block.
 
 Defined cases: a null or empty page has the empty text; pages without a host
-share the empty host; a host with one page has no template, only the element
-rules; repeated rows and pages are read one by one; broken markup is read as
+share the empty host; a host whose pages all hold the same text blocks (one page, or copies of it)
+has no template, only the element rules; pages of a host that differ in little
+count as different, and what all of them hold is template; repeated rows and pages are read one by one; broken markup is read as
 far as it goes; other columns are ignored.
 """
 
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from petalframe.llm.common import small_side
+from petalframe.llm.common import small_side, write_stage
 
 #: Parts of a host's pages where the furniture of all hosts is too large to be sent to every task.
 SALTS = 64
@@ -145,26 +147,33 @@ def templates(pages: DataFrame) -> DataFrame:
 
     def tokens(batches):
         for b in batches:
-            rows: dict[tuple[str, int, bool], list[int]] = {}
+            rows: dict[tuple[str, int, bool], list] = {}
             for host, key, page in zip(b.column("host").to_pylist(), b.column("page_key").to_pylist(), b.column("html").to_pylist()):
-                counts = Counter((_hash(path, text), bool(text)) for path, text, main, _ in read_page(page) if not (main and text))
+                found = list(read_page(page))
+                counts = Counter((_hash(path, text), bool(text)) for path, text, main, _ in found if not (main and text))
                 counts[0, False] = 1  # the page itself: the class of once a page
+                hashes = {n: _hash(str(key), str(n)) for n in set(counts.values())}
                 for (token, is_text), n in counts.items():
-                    row = rows.setdefault((host, token, is_text), [0, 0])
-                    row[0] ^= _hash(str(key), str(n))
-                    row[1] += 1
+                    row = rows.setdefault((host, token, is_text), [0, 0, 0, None, None])
+                    row[0] += hashes[n] & 0xFFFFFFFF
+                    row[1] += hashes[n] >> 32
+                    row[2] += 1
+                row = rows[host, 0, False]
+                content = _hash(*(text for _, text, _, _ in found if text))
+                row[3:] = (content, content) if row[3] is None else (min(row[3], content), max(row[4], content))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in rows], pa.string()), pa.array([k[1] for k in rows], pa.int64()), pa.array([k[2] for k in rows], pa.bool_()),
-                 pa.array([v[0] for v in rows.values()], pa.int64()), pa.array([v[1] for v in rows.values()], pa.int64())],
-                ["host", "token", "is_text", "vector", "pages"])
-
-    seen = (pages.mapInArrow(tokens, "host string, token bigint, is_text boolean, vector bigint, pages bigint")
-            .groupBy("host", "token", "is_text").agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages")))
-    # a class: equal vectors; valid with a tag in it and an occurrence on every page of a host of several
-    classes = seen.groupBy("host", "vector", "pages").agg(
+                 *[pa.array([v[i] for v in rows.values()], pa.int64()) for i in range(5)]],
+                ["host", "token", "is_text", "low", "high", "pages", "first", "last"])
+
+    seen = (pages.mapInArrow(tokens, "host string, token bigint, is_text boolean, low bigint, high bigint, pages bigint, first bigint, last bigint")
+            .groupBy("host", "token", "is_text").agg(*[F.sum(c).alias(c) for c in ("low", "high", "pages")], F.min("first").alias("first"), F.max("last").alias("last")))
+    seen, _ = write_stage(seen, "html-tokens")
+    # a class: equal vectors; valid with a tag in it and an occurrence on every page of a host of several different ones
+    classes = seen.where("pages > 1").groupBy("host", "low", "high", "pages").agg(
         F.bool_or(~F.col("is_text")).alias("tags"), F.collect_list(F.when(F.col("is_text"), F.col("token"))).alias("texts"))
-    hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("total")).where("total > 1")  # reads no html
-    return (classes.where("tags and size(texts) > 0").join(hosts, "host").where("pages = total")
+    hosts = seen.where("token = 0 and not is_text and first < last").select("host", "pages")
+    return (classes.where("tags and size(texts) > 0").join(hosts, ["host", "pages"])
             .groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("furniture")))
 
 
@@ -180,7 +189,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
     rows = rows.withColumn("host", host_of(F.col("url")))
     # one short row per host with furniture: pages stay where they are, or meet it in salted parts of their host
-    found, sent = small_side(templates(rows.select("host", F.xxhash64("page_id", "url").alias("page_key"), "html")), "html-furniture")
+    found, sent = small_side(templates(rows.select("host", F.xxhash64("html").alias("page_key"), "html")), "html-furniture")
     on = ["host"]
     if not sent:
         on = ["host", "salt"]

@@ -449,3 +449,22 @@ def test_op4_op5_repeated_ids(spark, equal):
     want = sorted(near, key=lambda i: (near[i], i))[:10]
     assert [r for r, *_ in found] == list(range(1, 11)) and len({i for _, i, _ in found}) == 10
     assert all(s == near[i] for _, i, s in found) and len({i for _, i, _ in found} & set(want)) >= 9
+
+
+SHELL = "<html><body><div class=top>Site name</div>{}<div class=end>All rights</div></body></html>"
+
+
+def page_texts(spark, *hosts):
+    """Texts of the pages of each host, in order."""
+    from petalframe.llm.op7_html import extract_text
+
+    rows = [(100 * h + i, f"http://h{h}.org/p", page) for h, pages in enumerate(hosts) for i, page in enumerate(pages)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    return [[got[100 * h + i] for i in range(len(pages))] for h, pages in enumerate(hosts)]
+
+
+def test_op7_copies_are_one_page(spark):
+    page, other = SHELL.format("<div><p>page 1</p></div>"), SHELL.format("<div><p>page 2</p></div>")
+    whole = "Site name page 1 All rights"
+    assert page_texts(spark, [page], [page, page], [page, page + "<!-- mirror -->", page], [page, page, other, other]) == [
+        [whole], [whole] * 2, [whole] * 3, ["page 1"] * 2 + ["page 2"] * 2]
