@@ -5,10 +5,10 @@ Tokens of one host with equal occurrence vectors (as often on each of its
 pages) form an equivalence class. Classes that occur on every page and hold
 tags are the template: their tags nest (a path is above or below the other),
 and text blocks in them are furniture, repeated by the template and not
-written for the page. What remains between template tokens are slots; the
-article is read from the slots under the page's article or main element, or,
-where the template has none, from all slots of the body, without those in
-elements that by tag, class or id are menus, headers, footers, sidebars,
+written for the page, inside an article or main element as well. What remains
+between template tokens are slots; the article is read from the slots under the
+page's article or main element, or, where those hold nothing, from all slots of
+the body, without those in elements that by tag, class or id are menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles or reader comments.
 
 Vectors are never collected: a token's vector is the sum of one hash per
@@ -150,7 +150,7 @@ def templates(pages: DataFrame) -> DataFrame:
             rows: dict[tuple[str, int, bool], list] = {}
             for host, key, page in zip(b.column("host").to_pylist(), b.column("page_key").to_pylist(), b.column("html").to_pylist()):
                 found = list(read_page(page))
-                counts = Counter((_hash(path, text), bool(text)) for path, text, main, _ in found if not (main and text))
+                counts = Counter((_hash(path, text), bool(text)) for path, text, _, _ in found)
                 counts[0, False] = 1  # the page itself: the class of once a page
                 hashes = {n: _hash(str(key), str(n)) for n in set(counts.values())}
                 for (token, is_text), n in counts.items():
@@ -178,10 +178,9 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def main_text(page: str | None, furniture: frozenset[int] = frozenset()) -> str:
-    rows = [r for r in read_page(page) if r[1]]
-    if any(main for _, _, main, _ in rows):
-        return " ".join(text for _, text, main, dropped in rows if main and not dropped)
-    return " ".join(text for path, text, _, dropped in rows if not dropped and _hash(path, text) not in furniture)
+    slots = [r for r in read_page(page) if r[1] and _hash(r[0], r[1]) not in furniture]
+    main = any(main for _, _, main, _ in slots)
+    return " ".join(text for _, text, inside, dropped in slots if not dropped and (inside or not main))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

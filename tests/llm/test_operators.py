@@ -468,3 +468,10 @@ def test_op7_copies_are_one_page(spark):
     whole = "Site name page 1 All rights"
     assert page_texts(spark, [page], [page, page], [page, page + "<!-- mirror -->", page], [page, page, other, other]) == [
         [whole], [whole] * 2, [whole] * 3, ["page 1"] * 2 + ["page 2"] * 2]
+
+
+def test_op7_furniture_inside_the_article(spark):
+    page = SHELL.format("<article><div class=by><p>Written by our desk</p></div><p>text {0}</p><p>more {0}</p><p>Tell your friends</p></article>")
+    slots = [f"text {i} more {i}" for i in range(5)]
+    assert page_texts(spark, [page.format(i) for i in range(5)], [page.format(0)]) == [
+        slots, ["Written by our desk text 0 more 0 Tell your friends"]]
