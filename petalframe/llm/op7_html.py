@@ -78,9 +78,9 @@ class _Element:
         self.tag = tag
         self.path = (above.path if above else "") + "/" + tag + "".join(f"[{v}]" for _, v in marks)
         inside = bool(above and above.main)
-        self.main = inside or tag in MAIN or role == "main"
         self.dropped = bool(above and above.dropped) or tag in FURNITURE or role in ROLES or (tag == "header" and not inside) or bool(
             words & (WORDS_ANYWHERE if inside else WORDS_OUTSIDE) and tag not in ("html", "body"))
+        self.main = not self.dropped and (inside or tag in MAIN or role == "main")
 
 
 def read_page(page: str | None) -> Iterator[tuple[str, str, bool, bool]]:

@@ -475,3 +475,13 @@ def test_op7_furniture_inside_the_article(spark):
     slots = [f"text {i} more {i}" for i in range(5)]
     assert page_texts(spark, [page.format(i) for i in range(5)], [page.format(0)]) == [
         slots, ["Written by our desk text 0 more 0 Tell your friends"]]
+
+
+def test_op7_teaser_articles_are_not_the_page(spark):
+    from petalframe.llm.op7_html import main_text
+
+    page = "<div><p>real {0}</p><p>rest {0}</p></div><aside><article>teaser {0}</article></aside><div class=related><main>card {0}</main></div>"
+    assert main_text(page.format(1)) == "real 1 rest 1"
+    same = SHELL.format("<article>the same card</article><div><p>real {0}</p></div>")
+    assert page_texts(spark, [SHELL.format(page.format(i)) for i in range(4)], [same.format(i) for i in range(3)]) == [
+        [f"real {i} rest {i}" for i in range(4)], [f"real {i}" for i in range(3)]]
