@@ -9,13 +9,17 @@ written for the page, inside an article or main element as well. What remains
 between template tokens are slots; the article is read from the slots under the
 page's article or main element, or, where those hold nothing, from all slots of
 the body, without those in elements that by tag, class or id are menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles or reader comments.
+notices, adverts, forms, scripts, styles or reader comments. Inside article and
+main, class and id drop an element only if the template has its tag on every
+page of the host (ids of headings and sections never do); on a host without a
+template a whole class has to be one of the words. Such elements on only some
+of a host's pages stay. Numbers in class and id make no different path.
 
 Vectors are never collected: a token's vector is the sum of one hash per
 (page content, count), in two halves that cannot overflow, so a host of any
 size is aggregated map-side first and takes one row per token; copies of a
 page weigh alike in all vectors and change no class. Only the template's text blocks (no more than one
-page holds) come back to the pages of a host.
+page holds) and such tags come back to the pages of a host.
 
 Block rules: character references are decoded, white space inside a block
 becomes one space, blocks are trimmed and joined in page order by one space;
@@ -56,12 +60,15 @@ WORDS_ANYWHERE = frozenset("ad ads advert adverts advertisement sponsor sponsore
                            "breadcrumb breadcrumbs pagination footer login signup".split())
 WORDS_OUTSIDE = WORDS_ANYWHERE | {"header", "masthead", "topbar", "toolbar"}
 MAIN = frozenset(("article", "main"))
+#: Inside these the id is a title's name, not a mark.
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(" + "|".join(RAW) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.DOTALL | re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_NUMBER = re.compile("[0-9]+")
 #: An opening tag closes an open element of these.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}} | {t: {"p"} for t in "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split()}
@@ -69,23 +76,28 @@ SCOPE = frozenset("ul ol dl table article section div main body nav aside footer
 
 
 class _Element:
-    __slots__ = ("tag", "path", "main", "dropped")
+    __slots__ = ("tag", "path", "main", "dropped", "suspects")
 
     def __init__(self, tag: str, attributes: str, above: "_Element | None"):
         marks = [(k.lower(), (a or b or c).lower()) for k, a, b, c in _ATTRIBUTE.findall(attributes)] if attributes else []
         role = next((v for k, v in marks if k == "role"), "")
-        words = {w for k, v in marks if k != "role" for w in re.split(r"[^a-z0-9]+", v)}
         self.tag = tag
-        self.path = (above.path if above else "") + "/" + tag + "".join(f"[{v}]" for _, v in marks)
+        self.path = (above.path if above else "") + "/" + tag + "".join(f"[{_NUMBER.sub('0', v)}]" for _, v in marks)
         inside = bool(above and above.main)
+        ignored = ("role", "id") if inside and tag in TITLED else ("role",)
+        words = {w for k, v in marks if k not in ignored for w in re.split(r"[^a-z0-9]+", v)}
         self.dropped = bool(above and above.dropped) or tag in FURNITURE or role in ROLES or (tag == "header" and not inside) or bool(
-            words & (WORDS_ANYWHERE if inside else WORDS_OUTSIDE) and tag not in ("html", "body"))
+            not inside and words & WORDS_OUTSIDE and tag not in ("html", "body"))
         self.main = not self.dropped and (inside or tag in MAIN or role == "main")
+        #: Elements up to here that a template may drop: path, and whether a whole class is one of the words.
+        self.suspects = above.suspects if above else ()
+        if inside and words & WORDS_ANYWHERE:
+            self.suspects += ((self.path, any(k == "class" and not WORDS_ANYWHERE.isdisjoint(v.split()) for k, v in marks)),)
 
 
-def read_page(page: str | None) -> Iterator[tuple[str, str, bool, bool]]:
-    """``(path, text, in main, dropped)`` in page order: text blocks, and opening
-    tags as rows with an empty text."""
+def read_page(page: str | None) -> Iterator[tuple[str, str, bool, bool, tuple]]:
+    """``(path, text, in main, dropped, suspects)`` in page order: text blocks,
+    and opening tags as rows with an empty text."""
     if not page:
         return
     stack: list[_Element] = []
@@ -98,7 +110,7 @@ def read_page(page: str | None) -> Iterator[tuple[str, str, bool, bool]]:
         parts.clear()
         if text:
             e = stack[-1] if stack else root
-            yield e.path, text, e.main, e.dropped
+            yield e.path, text, e.main, e.dropped, e.suspects
 
     for m in _TOKEN.finditer(page):
         if m.start() > at:
@@ -128,7 +140,7 @@ def read_page(page: str | None) -> Iterator[tuple[str, str, bool, bool]]:
                 break
         e = _Element(tag, m[4], stack[-1] if stack else root)
         stack.append(e)
-        yield e.path, "", e.main, e.dropped
+        yield e.path, "", e.main, e.dropped, e.suspects
     if at < len(page):
         parts.append(page[at:])
     yield from block()
@@ -143,44 +155,55 @@ def host_of(url: Column) -> Column:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``(host, furniture)``: hashes of the text blocks in each host's template."""
+    """``(host, furniture)`` of hosts with a template: hashes of its text blocks,
+    and of its tags that class or id mark inside an article."""
 
     def tokens(batches):
         for b in batches:
-            rows: dict[tuple[str, int, bool], list] = {}
+            rows: dict[tuple[str, int, bool, bool], list] = {}
             for host, key, page in zip(b.column("host").to_pylist(), b.column("page_key").to_pylist(), b.column("html").to_pylist()):
                 found = list(read_page(page))
-                counts = Counter((_hash(path, text), bool(text)) for path, text, _, _ in found)
-                counts[0, False] = 1  # the page itself: the class of once a page
+                # a token: its hash, whether it is text, whether it is sent back to the pages
+                counts = Counter((_hash(path, text), bool(text), bool(text or suspects and suspects[-1][0] == path))
+                                 for path, text, _, _, suspects in found)
+                counts[0, False, False] = 1  # the page itself: the class of once a page
                 hashes = {n: _hash(str(key), str(n)) for n in set(counts.values())}
-                for (token, is_text), n in counts.items():
-                    row = rows.setdefault((host, token, is_text), [0, 0, 0, None, None])
+                for token, n in counts.items():
+                    row = rows.setdefault((host, *token), [0, 0, 0, None, None])
                     row[0] += hashes[n] & 0xFFFFFFFF
                     row[1] += hashes[n] >> 32
                     row[2] += 1
-                row = rows[host, 0, False]
-                content = _hash(*(text for _, text, _, _ in found if text))
+                row = rows[host, 0, False, False]
+                content = _hash(*(text for _, text, *_ in found if text))
                 row[3:] = (content, content) if row[3] is None else (min(row[3], content), max(row[4], content))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in rows], pa.string()), pa.array([k[1] for k in rows], pa.int64()), pa.array([k[2] for k in rows], pa.bool_()),
-                 *[pa.array([v[i] for v in rows.values()], pa.int64()) for i in range(5)]],
-                ["host", "token", "is_text", "low", "high", "pages", "first", "last"])
+                 pa.array([k[3] for k in rows], pa.bool_()), *[pa.array([v[i] for v in rows.values()], pa.int64()) for i in range(5)]],
+                ["host", "token", "is_text", "is_sent", "low", "high", "pages", "first", "last"])
 
-    seen = (pages.mapInArrow(tokens, "host string, token bigint, is_text boolean, low bigint, high bigint, pages bigint, first bigint, last bigint")
-            .groupBy("host", "token", "is_text").agg(*[F.sum(c).alias(c) for c in ("low", "high", "pages")], F.min("first").alias("first"), F.max("last").alias("last")))
+    seen = (pages.mapInArrow(tokens, "host string, token bigint, is_text boolean, is_sent boolean, low bigint, high bigint, pages bigint, first bigint, last bigint")
+            .groupBy("host", "token", "is_text", "is_sent")
+            .agg(*[F.sum(c).alias(c) for c in ("low", "high", "pages")], F.min("first").alias("first"), F.max("last").alias("last")))
     seen, _ = write_stage(seen, "html-tokens")
     # a class: equal vectors; valid with a tag in it and an occurrence on every page of a host of several different ones
     classes = seen.where("pages > 1").groupBy("host", "low", "high", "pages").agg(
-        F.bool_or(~F.col("is_text")).alias("tags"), F.collect_list(F.when(F.col("is_text"), F.col("token"))).alias("texts"))
+        F.bool_or(~F.col("is_text")).alias("tags"), F.collect_list(F.when(F.col("is_sent"), F.col("token"))).alias("sent"))
     hosts = seen.where("token = 0 and not is_text and first < last").select("host", "pages")
-    return (classes.where("tags and size(texts) > 0").join(hosts, ["host", "pages"])
-            .groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("furniture")))
+    found = (classes.where("tags and size(sent) > 0").join(hosts, ["host", "pages"])
+             .groupBy("host").agg(F.flatten(F.collect_list("sent")).alias("furniture")))
+    return hosts.select("host").join(found, "host", "left").select("host", F.coalesce("furniture", F.array().cast("array<bigint>")).alias("furniture"))
 
 
-def main_text(page: str | None, furniture: frozenset[int] = frozenset()) -> str:
-    slots = [r for r in read_page(page) if r[1] and _hash(r[0], r[1]) not in furniture]
-    main = any(main for _, _, main, _ in slots)
-    return " ".join(text for _, text, inside, dropped in slots if not dropped and (inside or not main))
+def main_text(page: str | None, furniture: frozenset[int] | None = None) -> str:
+    """The page's text; ``furniture`` of its host, None where it has no template."""
+
+    def dropped(suspects: tuple) -> bool:
+        return any(whole if furniture is None else _hash(path, "") in furniture for path, whole in suspects)
+
+    slots = [(text, main) for path, text, main, out, suspects in read_page(page)
+             if text and not out and not (furniture and _hash(path, text) in furniture) and not dropped(suspects)]
+    only_main = any(main for _, main in slots)
+    return " ".join(text for text, main in slots if main or not only_main)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -200,7 +223,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
             texts = []
             known = b.column("furniture")
             for r, page in enumerate(b.column("html").to_pylist()):
-                texts.append(main_text(page, frozenset(known[r].as_py() or ())))
+                sent = known[r].as_py()
+                texts.append(main_text(page, None if sent is None else frozenset(sent)))
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array(np.array([len(t) for t in texts], dtype=np.int64))],
                 ["page_id", "url", "text", "n_chars"])

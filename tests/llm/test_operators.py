@@ -485,3 +485,13 @@ def test_op7_teaser_articles_are_not_the_page(spark):
     same = SHELL.format("<article>the same card</article><div><p>real {0}</p></div>")
     assert page_texts(spark, [SHELL.format(page.format(i)) for i in range(4)], [same.format(i) for i in range(3)]) == [
         [f"real {i} rest {i}" for i in range(4)], [f"real {i}" for i in range(3)]]
+
+
+def test_op7_words_inside_the_article_need_the_template(spark):
+    kept = ("<h2 id=social-structure>head {0}</h2><section id=navigation><p>sea {0}</p></section><div class=related-work>prior {0}</div>")
+    page = SHELL.format("<article id=post-{0}><p>text {0}</p>" + kept + "<div class=share>tell {0}</div>{1}</article>")
+    pages = [page.format(i, "<p class=notice>warning</p>" if i == 1 else "") for i in range(3)]
+    pages[1] = pages[1].replace("related-work", "other")
+    texts = [f"text {i} head {i} sea {i} prior {i}" for i in range(3)]
+    assert page_texts(spark, pages, [pages[1]], [pages[0]] * 2) == [
+        [texts[0], texts[1] + " warning", texts[2]], [texts[1]], [texts[0]] * 2]
