@@ -7,6 +7,8 @@ then computed on that small frame in one more aggregate.
 
 Label set per group = labels seen in truth or prediction of that group.
 Undefined ratios (no predicted / no true rows of a label) count as 0.
+A row without truth or prediction counts and is wrong; a missing value is a
+label of its own that is never right, as in the oracle SQL.
 """
 
 from __future__ import annotations
@@ -26,8 +28,7 @@ def confusion(df: DataFrame, truth: str, pred: str, group=None, weight: str | No
     an already aggregated frame instead of counting rows."""
     g = _cols(group)
     n = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
-    return (df.where(F.col(truth).isNotNull() & F.col(pred).isNotNull())
-            .groupBy(*g, F.col(truth).alias("_truth"), F.col(pred).alias("_pred"))
+    return (df.groupBy(*g, F.col(truth).alias("_truth"), F.col(pred).alias("_pred"))
             .agg(n.alias("_n")))
 
 

@@ -66,3 +66,23 @@ def test_difference_custom_and_gate(spark):
         M.classification_metrics(df, "truth", "pred"),
         [("acc", "accuracy", ">=", 0.75), ("prec", "precision", ">", 0.9)]).collect()}
     assert gates == {"acc": True, "prec": False}
+
+
+def test_unscored_rows_are_wrong(spark):
+    import duckdb
+
+    from petalframe.plans.q_metrics import _MACRO, _WEIGHTED, _WEIGHTED_METRICS, metrics_sql
+
+    df = spark.createDataFrame([(1, 1), (0, 0), (1, None)], "truth int, pred int")
+    assert M.classification_metrics(df, "truth", "pred", metrics={"a": "accuracy", "n": "count"}).first() == (pytest.approx(2 / 3), 3)
+    rows = [("x", 1, 1), ("x", 0, None), ("x", None, 1), ("x", None, None), ("x", 0, 0), ("x", 0, 1), ("y", 1, None), (None, 1, 1), (None, 1, None)]
+    df = spark.createDataFrame(rows, "g string, truth int, pred int")
+    values = ", ".join("(" + ", ".join("NULL" if v is None else repr(v) for v in r) + ")" for r in rows)
+    cte = f"s AS (SELECT * FROM (VALUES {values}) v(g, truth, pred))"
+    for select, metrics in ((_MACRO, None), (_WEIGHTED, _WEIGHTED_METRICS)):
+        for group in ([], ["g"]):
+            got = [tuple(r) for r in M.classification_metrics(df, "truth", "pred", group, metrics).collect()]
+            want = duckdb.sql(metrics_sql(select, group, cte)).fetchall()
+            assert sorted(got, key=repr) == sorted(want, key=repr)
+    err = M.custom_metric(df, "truth", "pred", None, lambda c: (c.n * (c.truth != c.pred)).sum() / c.n.sum(), "err").first()["err"]
+    assert err == pytest.approx(6 / 9)
