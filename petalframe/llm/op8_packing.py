@@ -3,8 +3,9 @@
 A document's ids (with the end id) are cut into pieces of the longest context
 size and one remainder. Each piece is routed to the smallest context tier
 (a power of two) that holds it. Pieces are dealt to groups of bounded size by
-a hash of document and piece, so neither a hot source nor a very long document
-makes a large group; inside a group the long tier is packed first, gaps of its
+a hash of ``row_key``, the task and row number each has in the written table of
+pieces, so neither a hot source nor a very long document nor a row repeated
+very often makes a large group; inside a group the long tier is packed first, gaps of its
 windows are filled from the same and the shorter tiers (the longest piece that
 still fits, taken from counts by length), then the next tier is packed with
 what is left. Windows of a group are dealt to step groups in order of their
@@ -14,8 +15,8 @@ Ids are made in one pass, which also takes each piece's checksum; only one
 short row a piece is shuffled, never the ids.
 
 Defined cases: a null or empty text is the end id alone; an empty table gives
-an empty result; repeated rows are separate documents (``row_key`` tells their
-pieces apart); a null ``doc_id`` is carried as null; other columns are ignored.
+an empty result; repeated rows are separate documents (``row_key`` deals
+their pieces apart); a null ``doc_id`` is carried as null; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -121,7 +122,8 @@ def pack_lengths(lengths: np.ndarray, tiers: tuple[int, ...] = TIERS) -> tuple[n
 
 
 def pack(pieces: DataFrame, n_pieces: int, tiers: tuple[int, ...] = TIERS, group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """Add ``sequence_id, offset, tier, sequence_size, step_group`` to piece rows."""
+    """Add ``sequence_id, offset, tier, sequence_size, step_group`` to written
+    piece rows, whose ``row_key`` is replaced."""
     groups = max(1, -(-n_pieces // group_pieces))
 
     def pack_group(key, rows: pd.DataFrame) -> pd.DataFrame:
@@ -141,7 +143,7 @@ def pack(pieces: DataFrame, n_pieces: int, tiers: tuple[int, ...] = TIERS, group
                            tier=np.array(tiers)[np.searchsorted(tiers, lengths)], step_group=first + step[window])[
             ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "sequence_size", "step_group"]]
 
-    keyed = pieces.withColumn("g", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
+    keyed = pieces.withColumn("g", F.pmod(F.xxhash64("row_key"), F.lit(groups))).drop("row_key")
     return keyed.groupBy("g").applyInPandas(
         pack_group, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
         "sequence_id bigint, offset bigint, tier bigint, sequence_size bigint, step_group bigint")
@@ -153,5 +155,6 @@ def pack_documents(docs: DataFrame, tiers: tuple[int, ...] = TIERS, vocabulary:
     ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier,
     sequence_size, step_group``. A sequence is padded to ``sequence_size``:
     its content if that is one of the tiers, else the longest tier."""
-    pieces, n = write_stage(cut(id_and_text(docs, id_col, text_col), tiers[-1], vocabulary), "pieces")
+    pieces = cut(id_and_text(docs, id_col, text_col), tiers[-1], vocabulary).withColumn("row_key", F.monotonically_increasing_id())
+    pieces, n = write_stage(pieces, "pieces")
     return pack(pieces, n, tiers)

@@ -495,3 +495,18 @@ def test_op7_words_inside_the_article_need_the_template(spark):
     texts = [f"text {i} head {i} sea {i} prior {i}" for i in range(3)]
     assert page_texts(spark, pages, [pages[1]], [pages[0]] * 2) == [
         [texts[0], texts[1] + " warning", texts[2]], [texts[1]], [texts[0]] * 2]
+
+
+def test_op8_equal_rows_do_not_share_a_group(spark, monkeypatch):
+    from petalframe.llm import op8_packing
+
+    rows = [(1, "one and the same text")] * 400 + [(None, None)] * 400 + [(i, f"text {i}") for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    pack = op8_packing.pack
+    monkeypatch.setattr(op8_packing, "pack", lambda pieces, n, tiers: pack(pieces, n, tiers, group_pieces=100))
+    out = op8_packing.pack_documents(table)
+    assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "sequence_size", "step_group"]
+    got = out.collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    groups = Counter(r.sequence_id >> 32 for r in got)
+    assert len(groups) == 12 and max(groups.values()) < 200
