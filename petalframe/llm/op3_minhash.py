@@ -13,9 +13,9 @@ retained values. The steps:
    must be common to both sides: only those are listed;
 4. in each list every member is compared with the list's centre (the member
    with the largest shared part); members linked to it are connected through
-   it and need no pairs among themselves. While that leaves much to do, the
-   others are compared with further members of the connected part, a round at
-   a time; those that remain are compared with all members of their lists;
+   it and need no pairs among themselves. The others are compared with all
+   members of their lists, in blocks of them and parts of the members, so that
+   no task holds a whole list;
 5. a pair is first estimated from the union sketch, then confirmed on the full
    sets; components follow from the confirmed links.
 
@@ -26,7 +26,8 @@ probability of about 1e-8. No cap on lists or partners.
 
 Defined cases: a null or empty text has no shingles and is linked with
 nothing; fewer words than a shingle make the whole sequence the only one;
-rows with one ``doc_id`` are one document; a null ``doc_id`` is linked with
+rows with one ``doc_id`` are one document, of which ``keep_one`` keeps the row
+with a text and the smallest hash of its columns; a null ``doc_id`` is linked with
 nothing, has a null component and is kept; other columns are ignored.
 """
 
@@ -205,36 +206,39 @@ def _links(reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFra
     return close.union(_confirm(more, texts, size, percent)).distinct()
 
 
-def _across(lists: DataFrame, texts: DataFrame, percent: int, k: int = SECOND) -> DataFrame:
-    """``(a, b)``: members outside the connected part of a list with any member
-    of it, where the sketches allow a link.
-
-    Outsiders with the same largest list make blocks; a block needs each member
-    of its lists once, whichever of its documents share the list with it.
-    """
-    outside = lists.where("not inside")
-    home = outside.groupBy("rep").agg(F.max(F.struct("members", "value")).getField("value").alias("home"))
-    blocks = home.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / OUTSIDE_BLOCK).alias("blocks"))
-    home = home.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks"))).select("rep", "home", "block")
-    home, _ = write_stage(home, "near-home")
-    doc = F.struct("rep", "n", "brief")
-    xs = home.join(texts, "rep").groupBy("home", "block").agg(F.collect_list(doc).alias("xs"))
-    parts = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / MEMBER_BLOCK))
+def _met(lists: DataFrame, home: DataFrame, member_block: int = MEMBER_BLOCK) -> DataFrame:
+    """``(home, block, salt, parts, rep)``: members of the lists of a block's
+    documents, each once, dealt to the block's salts by a hash of the member."""
+    parts = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / member_block))
     packed = lists.groupBy("value", parts.alias("part")).agg(F.collect_list("rep").alias("reps")).drop("part")
-    needs = outside.join(home, "rep").select("home", "block", "value").distinct().join(packed, "value").drop("value")
+    needs = lists.where("not inside").join(home, "rep").select("home", "block", "salts", "value").distinct().join(packed, "value")
+
+    def deal(batches):
+        for b in batches:
+            reps = b.column("reps")
+            found = reps.flatten().to_numpy()
+            row = np.repeat(np.arange(len(reps)), np.diff(reps.offsets.to_numpy()))
+            home, block, salts = (b.column(c).to_numpy() for c in ("home", "block", "salts"))
+            salt = (mix(found.astype(np.uint64)) % salts[row].astype(np.uint64)).astype(np.int64)
+            order = np.lexsort((salt, row))
+            found, row, salt = found[order], row[order], salt[order]
+            cuts = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (salt[1:] != salt[:-1])]) if len(row) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(home[row[cuts]]), pa.array(block[row[cuts]]), pa.array(salt[cuts]),
+                 pa.ListArray.from_arrays(pa.array(np.r_[cuts, len(row)], pa.int32()), pa.array(found, pa.int64()))], ["home", "block", "salt", "reps"])
 
     def members(batches):
-        """Rows of a block come together; each of its members goes out once."""
+        """Rows of a block and salt come together; each of its members goes out once."""
         now, found = None, []
 
         def out():
             y = np.unique(np.concatenate(found))
-            same = [np.full(len(y), v, dtype=np.int64) for v in (*now, -(-len(y) // MEMBER_BLOCK))]
-            return pa.RecordBatch.from_arrays([*[pa.array(v) for v in same], pa.array(y)], ["home", "block", "parts", "rep"])
+            same = [np.full(len(y), v, dtype=np.int64) for v in (*now, -(-len(y) // member_block))]
+            return pa.RecordBatch.from_arrays([*[pa.array(v) for v in same], pa.array(y)], ["home", "block", "salt", "parts", "rep"])
 
         for b in batches:
             reps = b.column("reps")
-            for r, key in enumerate(zip(b.column("home").to_pylist(), b.column("block").to_pylist())):
+            for r, key in enumerate(zip(*(b.column(c).to_pylist() for c in ("home", "block", "salt")))):
                 if key != now and found:
                     yield out()
                     found = []
@@ -245,9 +249,30 @@ def _across(lists: DataFrame, texts: DataFrame, percent: int, k: int = SECOND) -
         if found:
             yield out()
 
-    ys = (needs.select("home", "block", "reps").repartition("home", "block").sortWithinPartitions("home", "block")
-          .mapInArrow(members, "home bigint, block bigint, parts bigint, rep bigint"))
-    ys = (ys.join(texts, "rep").groupBy("home", "block", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part"))
+    dealt = needs.select("home", "block", "salts", "reps").mapInArrow(deal, "home bigint, block bigint, salt bigint, reps array<bigint>")
+    return (dealt.repartition("home", "block", "salt").sortWithinPartitions("home", "block", "salt")
+            .mapInArrow(members, "home bigint, block bigint, salt bigint, parts bigint, rep bigint"))
+
+
+def _across(lists: DataFrame, texts: DataFrame, percent: int, k: int = SECOND, member_block: int = MEMBER_BLOCK) -> DataFrame:
+    """``(a, b)``: members outside the connected part of a list with any member
+    of it, where the sketches allow a link.
+
+    Outsiders with the same largest list make blocks; a block needs each member
+    of its lists once, whichever of its documents share the list with it. Both
+    meet in salted parts of the members.
+    """
+    outside = lists.where("not inside")
+    home = outside.groupBy("rep").agg(F.max(F.struct("members", "value")).alias("h"))
+    # no other list of the block's documents is longer than its home
+    home = home.select("rep", F.col("h.value").alias("home"), F.ceil(F.col("h.members") / member_block).alias("salts"))
+    blocks = home.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / OUTSIDE_BLOCK).alias("blocks"))
+    home = home.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks"))).select("rep", "home", "block", "salts")
+    home, _ = write_stage(home, "near-home")
+    doc = F.struct("rep", "n", "brief")
+    xs = (home.join(texts, "rep").groupBy("home", "block", "salts").agg(F.collect_list(doc).alias("xs"))
+          .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).drop("salts"))
+    ys = (_met(lists, home, member_block).join(texts, "rep").groupBy("home", "block", "salt", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part"))
           .agg(F.collect_list(doc).alias("ys")))
 
     def estimate(batches):
@@ -272,7 +297,7 @@ def _across(lists: DataFrame, texts: DataFrame, percent: int, k: int = SECOND) -
                             found.append((min(rep, x["rep"]), max(rep, x["rep"])))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ((), ()))], ["a", "b"])
 
-    return ys.join(xs, ["home", "block"]).select("xs", "ys").mapInArrow(estimate, "a bigint, b bigint").distinct()
+    return ys.join(xs, ["home", "block", "salt"]).select("xs", "ys").mapInArrow(estimate, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -296,6 +321,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input's columns, of each component's rows one (rows without an id all stay)."""
+    hashed = [F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    first = F.struct(F.col(text_col).isNull(), F.xxhash64(*hashed))
     kept = near_duplicates(docs, shingle, percent, id_col, text_col).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
-    rows = docs.join(kept, F.col(id_col) == F.col("_kept_id")).drop("_kept_id").dropDuplicates([id_col])
+    rows = docs.join(kept, F.col(id_col) == F.col("_kept_id")).drop("_kept_id")
+    rows = rows.groupBy(F.col(id_col).alias("_id")).agg(F.min_by(F.struct(*docs.columns), first).alias("_row")).select("_row.*")
     return rows.union(docs.where(F.col(id_col).isNull()))

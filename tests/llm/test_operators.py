@@ -510,3 +510,25 @@ def test_op8_equal_rows_do_not_share_a_group(spark, monkeypatch):
     assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
     groups = Counter(r.sequence_id >> 32 for r in got)
     assert len(groups) == 12 and max(groups.values()) < 200
+
+
+def test_op3_no_task_unites_a_long_list(spark):
+    from petalframe.llm.op3_minhash import _met
+
+    rows = [(1, r, 600, r % 50 > 0) for r in range(600)] + [(2, r, 90, r % 50 > 0) for r in range(0, 900, 10)]
+    lists = spark.createDataFrame(rows, "value long, rep long, members long, inside boolean")
+    home = spark.createDataFrame([(r, 1 if r < 600 else 2, r // 50 % 2, 12 if r < 600 else 2) for r in range(0, 900, 50)], "rep long, home long, block long, salts long")
+    got = [tuple(r) for r in _met(lists, home, 50).select("home", "block", "salt", "rep").collect()]
+    both = set(range(600)) | set(range(0, 900, 10))
+    assert len(got) == len(set(got))
+    assert {(h, b): {r for *k, _, r in got if k[:2] == [h, b]} for h, b, *_ in got} == {
+        (h, b): both if h == 1 else set(range(0, 900, 10)) for h in (1, 2) for b in (0, 1)}
+    assert max(Counter(g[:3] for g in got).values()) < 120
+
+
+def test_op3_keeps_a_fixed_row_of_an_id(spark):
+    from petalframe.llm.op3_minhash import keep_one
+
+    rows = [(i, t, f"s{j}") for i in range(6) for j, t in enumerate((None, f"first text of {i} here", f"another text {i} " * 3))]
+    kept = [sorted(map(tuple, keep_one(spark.createDataFrame(r, "doc_id long, text string, source string").coalesce(1)).collect())) for r in (rows, rows[::-1])]
+    assert kept[0] == kept[1] and all(t is not None for _, t, _ in kept[0])
