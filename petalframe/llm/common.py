@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_arrow_batches(spark: SparkSession) -> None:
+    """Texts may be long: what travels to Python at a time is bounded in rows and bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id (bigint ``doc_id``) and the text, whatever else the input holds."""
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))

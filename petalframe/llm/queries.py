@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import functions as F
 
-from petalframe.llm.common import table
+from petalframe.llm.common import small_arrow_batches, table
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -18,8 +18,7 @@ def register(name: str, sql: str | None = None):
             from petalframe.session import prepare
 
             prepare(spark)
-            # texts may be long: fewer rows travel to Python at a time
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+            small_arrow_batches(spark)
             return fn(spark, sf_dir)
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
@@ -171,3 +170,95 @@ def op5(spark, sf_dir):
     from petalframe.llm.op5_inner import top_products
 
     return top_products(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, k=5)
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+f AS (
+  SELECT doc_id, part, [
+    len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws),
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t), regexp_matches(t, '[#$%&*|]'),
+    coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)] AS fails FROM d),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+r AS (SELECT part, fails, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM f LEFT JOIN l USING (doc_id)),
+k AS (SELECT unnest(range(1, 6)) AS k),
+o AS (
+  SELECT [a.k, b.k, c.k, d.k, e.k] AS o FROM k a, k b, k c, k d, k e
+  WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+g AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM r GROUP BY part, fails),
+s AS (
+  SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, k.k AS step, o[k.k] AS own,
+    n, good, toxic, fails[o[k.k]] AS hit,
+    len(list_filter(o[1:k.k - 1], lambda i: fails[i])) > 0 AS gone,
+    len(list_filter(fails, lambda x: x)) = 1 AS single
+  FROM g, o, k),
+t AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN NOT hit AND NOT gone THEN n ELSE 0 END) AS kept, sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN hit AND single THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+  FROM s GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM t
+"""
+
+
+@register("op11_filter_audit", OP11_SQL)
+def op11(spark, sf_dir):
+    """Five filters over all ``documents`` in every order, per language."""
+    from petalframe.llm.op11_filter_audit import audit
+
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op12_two_fit_packing")
+def op12(spark, sf_dir):
+    """All ``documents`` packed into as few sequences of 2048 ids as best-two-fit finds."""
+    from petalframe.llm.op12_two_fit import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+w AS (SELECT lang, source, id, unnest(ts) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+vs AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+cg AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN kept k USING (lang) LEFT JOIN c USING (lang, source, term)),
+pg AS (
+  SELECT lang, source, term, n, CAST(1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY lang, source) + v) AS HUGEINT) AS p
+  FROM cg JOIN vs USING (lang)),
+cl AS (SELECT lang, term, sum(n) AS n FROM cg GROUP BY lang, term),
+pl AS (SELECT lang, term, CAST(1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY lang) + v) AS HUGEINT) AS q FROM cl JOIN vs USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM pg a JOIN pg b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every_pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+terms AS (
+  SELECT pg.lang, source, 'term' AS part, pg.term AS item, (p - q) * (p - q) // q AS value
+  FROM pg JOIN pl ON pg.lang = pl.lang AND pg.term = pl.term WHERE n > 0 AND p > q),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+  FROM (SELECT * FROM every_pair UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@register("op13_source_divergence", OP13_SQL)
+def op13(spark, sf_dir):
+    """How the term shares of every source of ``documents`` differ from the others of its language."""
+    from petalframe.llm.op13_source_divergence import divergence
+
+    return divergence(table(spark, sf_dir, "documents"))
