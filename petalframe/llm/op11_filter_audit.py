@@ -4,10 +4,11 @@
    dictionary encoding of the block's words; one row a shard). The same pass
    takes what the other filters need: upper-case letters, odd characters, a
    128-bit digest of the text.
-2. The shards' words (each at most once a shard, so no word is a hot key) meet
-   by word; runs of equal words get global term ids, numbered inside a
-   partition and made dense by the partitions' totals.
-3. Ids return to their shards packed, and replace the shard's own numbers:
+2. The shards' words (each at most once a shard, so no word is a hot key),
+   packed by a hash of the word, meet in its bucket. A task numbers the words
+   of its buckets as it meets them, holding each distinct word once; totals of
+   the tasks make the numbers dense.
+3. Numbers return to their shards packed, and replace the shard's own:
    :class:`TermMatrix`.
 4. Row sums and nonzero counts of the matrix decide A and B. The other flags
    join per document, then only counts per (part, set of failed filters)
@@ -24,24 +25,23 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
-from itertools import permutations
+from itertools import islice, permutations
 from math import factorial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from petalframe.llm.common import write_stage
-from petalframe.llm.words import _SEPARATOR
+from petalframe.llm.words import _BYTE, _BYTES, _SEPARATOR, _segment_hashes, mix
 
 FILTERS = "ABCDE"
-#: Characters of text in a shard, about (one longer text stands alone).
-SHARD_CHARS = 16_000_000
+#: Characters of text in a shard, about (one longer text stands alone); words in a row of the dictionary.
+SHARD_CHARS, DICTIONARY_ROW = 4_000_000, 100_000
 _WHITE, _UPPER, _ODD = b" \t\n\x0b\x0c\r", bytes(range(ord("A"), ord("Z") + 1)), b"#$%&*|"
 _C, _D = 4, 8
 
@@ -90,7 +90,23 @@ def _unpack(z: bytes, dtype: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(z), dtype=dtype)
 
 
-def _local_shards(docs: DataFrame, shard_chars: int) -> DataFrame:
+def _by_bucket(words: pa.Array, buckets: int) -> tuple[list[int], list[bytes], list[bytes]]:
+    """The words dealt to buckets by their hash: bucket, words (packed, joined by
+    a blank) and their places in ``words``."""
+    if not len(words):
+        return [], [], []
+    at = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], dtype=np.uint8)
+    h = mix(_segment_hashes(lambda a, b: _BYTE[data[a:b]], at[:-1], at[1:], _BYTES)) % np.uint64(buckets)
+    order = np.argsort(h, kind="stable")
+    h = h[order]
+    edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]]))
+    runs, dealt = list(zip(edge[:-1].tolist(), edge[1:].tolist())), words.take(pa.array(order)).to_pylist()
+    pack = zstandard.ZstdCompressor(level=1)
+    return h[edge[:-1]].astype(np.int64).tolist(), [pack.compress(b" ".join(dealt[a:z])) for a, z in runs], [_pack(order[a:z], "<u4") for a, z in runs]
+
+
+def _local_shards(docs: DataFrame, shard_chars: int, buckets: int) -> DataFrame:
     def build(batches):
         task, n, held, size = TaskContext.get().partitionId(), 0, [], 0
 
@@ -99,14 +115,15 @@ def _local_shards(docs: DataFrame, shard_chars: int) -> DataFrame:
             words, indptr, own, count = _encode_words(raw)
             flags = [_C * (100 * (len(r) - len(r.translate(None, _UPPER))) > 3 * len(t)) + _D * (len(r.translate(None, _ODD)) < len(r))
                      for r, (_, t, _) in zip(raw, held)]
+            bucket, packed, pos = _by_bucket(words, buckets)
             row = {"shard": pa.array([(task << 32) + n], pa.int64()),
                    "doc_id": pa.array([[d for d, _, _ in held]], pa.list_(pa.int64())),
                    "part": pa.array([[p for _, _, p in held]], pa.list_(pa.string())),
                    "flags": pa.array([flags], pa.list_(pa.int32())),
                    "digest": pa.array([[hashlib.blake2b(r, digest_size=16).digest() for r in raw]], pa.list_(pa.binary())),
                    "indptr": pa.array([_pack(indptr, "<i8")], pa.binary()), "terms": pa.array([_pack(own, "<i4")], pa.binary()),
-                   "counts": pa.array([_pack(count, "<i4")], pa.binary()),
-                   "words": pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.binary()).cast(pa.string()))}
+                   "counts": pa.array([_pack(count, "<i4")], pa.binary()), "bucket": pa.array([bucket], pa.list_(pa.int64())),
+                   "words": pa.array([packed], pa.list_(pa.binary())), "pos": pa.array([pos], pa.list_(pa.binary()))}
             return pa.RecordBatch.from_arrays(list(row.values()), list(row))
 
         for b in batches:
@@ -119,51 +136,47 @@ def _local_shards(docs: DataFrame, shard_chars: int) -> DataFrame:
         if held:
             yield shard()
 
-    return docs.mapInArrow(build, f"{_SHARD}, words array<string>")
+    return docs.mapInArrow(build, f"{_SHARD}, bucket array<bigint>, words array<binary>, pos array<binary>")
 
 
 def _numbered(words: DataFrame) -> DataFrame:
-    """Words ``(shard, pos, word)``, sorted, to packed rows: for a shard ``(part, shard,
-    pos, ids)``, the numbers its words got in this partition; and, without a
-    shard, the partition's new words in the order of their numbers."""
+    """Packed words ``(shard, words, pos)`` to ``(part, shard, pos, ids)``, with
+    numbers given in this task (``part``); rows without a shard list the task's
+    words by number, from ``first`` on."""
 
     def number(batches):
-        part, last, n = TaskContext.get().partitionId(), None, 0
+        part, known, unpack = TaskContext.get().partitionId(), {}, zstandard.ZstdDecompressor()
         for b in batches:
-            if not b.num_rows:
-                continue
-            word, shard, pos = b.column("word"), b.column("shard").to_numpy(), b.column("pos").to_numpy()
-            new = np.empty(len(shard), dtype=bool)
-            new[0] = last is None or word[0].as_py() != last
-            new[1:] = pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)
-            ids = n - 1 + np.cumsum(new)
-            n, last = int(ids[-1]) + 1, word[-1].as_py()
-            fresh = word.filter(pa.array(new))
-            order = np.argsort(shard, kind="stable")
-            shard, pos, ids = shard[order], pos[order], ids[order]
-            edge = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
-            runs = list(zip(edge[:-1].tolist(), edge[1:].tolist()))
-            rows = len(runs) + 1
+            ids = []
+            for z in b.column("words").to_pylist():
+                own = unpack.decompress(z).split(b" ")
+                ids.append(_pack(np.fromiter((known.setdefault(w, len(known)) for w in own), dtype=np.int64, count=len(own)), "<i8"))
+            none = pa.nulls(len(ids), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part] * len(ids), pa.int64()), b.column("shard"), b.column("pos"), pa.array(ids, pa.binary()), none,
+                 pa.nulls(len(ids), pa.list_(pa.string()))], ["part", "shard", "pos", "ids", "first", "words"])
+        listed = iter(known)
+        for first in range(0, len(known), DICTIONARY_ROW):
+            block = pa.array(list(islice(listed, DICTIONARY_ROW)), pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part] * rows, pa.int64()), pa.array([None, *(int(shard[a]) for a, _ in runs)], pa.int64()),
-                 pa.array([None, *(_pack(pos[a:z], "<u4") for a, z in runs)], pa.binary()),
-                 pa.array([None, *(_pack(ids[a:z], "<i8") for a, z in runs)], pa.binary()),
-                 pa.array([n - len(fresh)] + [None] * (rows - 1), pa.int64()),
-                 pa.ListArray.from_arrays(pa.array([0] + [len(fresh)] * rows, pa.int32()), fresh)],
+                [pa.array([part], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
+                 pa.array([first], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(block)], pa.int32()), block)],
                 ["part", "shard", "pos", "ids", "first", "words"])
 
     return words.mapInArrow(number, "part bigint, shard bigint, pos binary, ids binary, first bigint, words array<string>")
 
 
-def term_matrix(docs: DataFrame, shard_chars: int = SHARD_CHARS, id_col: str = "doc_id", text_col: str = "text",
-                part_col: str = "lang") -> TermMatrix:
-    """The document-term matrix of ``docs`` (every row, every word)."""
+def term_matrix(docs: DataFrame, shard_chars: int = SHARD_CHARS, buckets: int | None = None, id_col: str = "doc_id",
+                text_col: str = "text", part_col: str = "lang") -> TermMatrix:
+    """The document-term matrix of ``docs`` (every row, every word). A task holds
+    the distinct words of its buckets: as many buckets as shuffle partitions, by default."""
+    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                          F.coalesce(F.col(part_col), F.lit("")).alias("part"))
-    local, _ = write_stage(_local_shards(narrow, shard_chars), "csr-local")
-    words = local.select("shard", F.posexplode("words").alias("pos", "word"))
-    coded, _ = write_stage(_numbered(words.repartition("word").sortWithinPartitions("word")), "csr-terms")
-    # one total per shuffle partition: the driver holds as many numbers as there are tasks
+    local, _ = write_stage(_local_shards(narrow, shard_chars, buckets), "csr-local")
+    words = local.select("shard", F.explode(F.arrays_zip("bucket", "words", "pos")).alias("w")).select("shard", "w.*")
+    coded, _ = write_stage(_numbered(words.repartition("bucket").drop("bucket")), "csr-terms")
+    # one total per task: the driver holds as many numbers as there are tasks
     totals = coded.where("shard IS NULL").groupBy("part").agg(F.max(F.col("first") + F.size("words")).alias("n")).orderBy("part").collect()
     ends = np.cumsum([0] + [r["n"] for r in totals])
     base = {r["part"]: int(e) for r, e in zip(totals, ends)}
@@ -175,7 +188,7 @@ def term_matrix(docs: DataFrame, shard_chars: int = SHARD_CHARS, id_col: str = "
         shard["terms"] = [_pack(number[_unpack(z, "<i4")], "<i8") for z in shard["terms"]]
         return shard
 
-    rows = local.drop("words").groupBy("shard").cogroup(
+    rows = local.drop("bucket", "words", "pos").groupBy("shard").cogroup(
         coded.where("shard IS NOT NULL").select("shard", "part", "pos", "ids").groupBy("shard"))
     start = F.broadcast(docs.sparkSession.createDataFrame(list(base.items()), "part bigint, start bigint"))
     terms = coded.where("shard IS NULL").select("part", "first", F.posexplode("words").alias("i", "word")).join(start, "part")
