@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from petalframe.operators.prefix import positions
+
 _FLOATS = (T.FloatType, T.DoubleType)
 
 
@@ -96,12 +98,8 @@ def column_ranges(df: DataFrame, cols: list) -> DataFrame:
 def distinct_classes(df: DataFrame, col: str) -> DataFrame:
     """A3/A4: sorted distinct non-null values with their 0-based position and
     the distinct count. Works on the distinct set (one row per class)."""
-    from pyspark.sql import Window
-
     d = df.select(col).where(F.col(col).isNotNull()).distinct()
-    w = Window.orderBy(col)
-    return (d.withColumn("class_index", (F.row_number().over(w) - 1).cast("int"))
-            .withColumn("n_classes", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))).cast("long")))
+    return positions(d, [col], "class_index", total="n_classes").withColumn("class_index", F.col("class_index").cast("int"))
 
 
 # ------------------------------------------------------------------ K6

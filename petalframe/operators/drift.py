@@ -5,22 +5,29 @@ the wide tables tagged by sample), so all features are handled by one job.
 
 KS statistic (A18): the supremum of |F_a - F_b| over pooled values with
 right-continuous ECDFs. Ties are collapsed first by a grouped count per
-(feature, value); the running sums that follow must see values in order,
-which a window partitioned only by feature would do in one task per
-feature. Approximate quantile cut points (a bounded list per feature) cut
-each feature into ordered ranges; per-range totals give the offsets, and the
-running sums are windows inside (feature, range). Cut quality only changes
-speed, never the result.
+(feature, value); the running sums that follow are taken in two levels over
+range partitions (:mod:`petalframe.operators.prefix`), so no task sees more
+than a range of one feature's values.
+
+KS p-value (A19): exact up to 10,000 rows a sample. Of all orders in which the
+rows of both samples can be drawn one by one, the p-value is the share in which
+the ECDFs get at least that far apart: lattice paths that touch the outside of
+a band. That share is carried along the anti-diagonals, a vector at a time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from petalframe.session import bounded_broadcast, materialize_counted
+from petalframe.operators.prefix import prefix_sums
+from petalframe.session import bounded_broadcast, materialize
 
-N_RANGES = 200
 EXACT_MAX_N = 10000
 LEVEL = 0.05
 
@@ -40,76 +47,49 @@ def long_samples(a: DataFrame, b: DataFrame, features: list) -> DataFrame:
     return out.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 4000
-
-
 def ks_statistic(long: DataFrame, n_ranges: int | None = None) -> DataFrame:
-    """``(feature, n_a, n_b, ks_statistic)``.
-
-    ``n_ranges`` (per feature) defaults to one range per ~2M distinct values,
-    at least 200, so each window partition stays a bounded sort."""
-    # ties collapsed; used by three later passes, so written once
-    cnt, rows = materialize_counted(long.groupBy("feature", "x")
-                                    .agg(F.sum(1 - F.col("sample")).alias("ca"), F.sum("sample").alias("cb")),
-                                    "ks-counts")
-    if n_ranges is None:  # both counts come from the written table, not the input
-        per_feature = rows / max(1, cnt.select("feature").distinct().count())
-        n_ranges = int(min(MAX_RANGES, max(N_RANGES, per_feature // ROWS_PER_RANGE)))
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    cuts = cnt.groupBy("feature").agg(F.percentile_approx("x", probs, 10 * n_ranges).alias("cuts"))
-    rid = _range_id(cuts, "feature", "x")
-    if rid is not None:
-        r = cnt.withColumn("rng", rid)
-    else:
-        r = (cnt.join(F.broadcast(cuts), "feature")
-             .withColumn("rng", F.size(F.filter("cuts", lambda c: c < F.col("x")))).drop("cuts"))
-    tot = r.groupBy("feature", "rng").agg(F.sum("ca").alias("ta"), F.sum("cb").alias("tb"))
-    before = Window.partitionBy("feature").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("feature")
-    offs = (tot.withColumn("oa", F.coalesce(F.sum("ta").over(before), F.lit(0)))
-            .withColumn("ob", F.coalesce(F.sum("tb").over(before), F.lit(0)))
-            .withColumn("n_a", F.sum("ta").over(whole))
-            .withColumn("n_b", F.sum("tb").over(whole))
-            .select("feature", "rng", "oa", "ob", "n_a", "n_b"))
-    run = Window.partitionBy("feature", "rng").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    d = (r.join(F.broadcast(offs), ["feature", "rng"])
-         .withColumn("fa", (F.col("oa") + F.sum("ca").over(run)) / F.col("n_a"))
-         .withColumn("fb", (F.col("ob") + F.sum("cb").over(run)) / F.col("n_b")))
-    return (d.groupBy("feature")
-            .agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"),
-                 F.max(F.abs(F.col("fa") - F.col("fb"))).alias("ks_statistic")))
-
-
-MAX_INLINE_CUTS = 40000
-
-
-def _count_below(x: str, cuts: list, base: int = 0) -> str:
-    """Number of cut points < x as a balanced CASE tree (log2 comparisons),
-    as SQL text: one expression parsed once, however many cuts."""
-    if not cuts:
-        return str(base)
-    mid = len(cuts) // 2
-    return (f"CASE WHEN {x} > CAST('{cuts[mid]!r}' AS DOUBLE) THEN {_count_below(x, cuts[mid + 1:], base + mid + 1)} "
-            f"ELSE {_count_below(x, cuts[:mid], base)} END")
-
-
-def _range_id(cuts: DataFrame, feature: str, x: str) -> Column | None:
-    """Range of x among its feature's cut points.
-
-    The cut lists are O(features x ranges) values; as literals they become a
-    compiled binary search. Very many features fall back to counting with a
-    higher-order function over a broadcast cut table (``None`` is returned).
+    """``(feature, n_a, n_b, ks_statistic)``. ``n_ranges``: ranges the
+    distinct values of all features are cut into (the shuffle partitions, by
+    default); it only changes speed."""
+    cnt = materialize(long.groupBy("feature", "x").agg(F.sum(1 - F.col("sample")).cast("long").alias("ca"),
+                                                       F.sum("sample").cast("long").alias("cb")), "ks-counts")
+    run = prefix_sums(cnt, ["x"], {"ra": "ca", "rb": "cb"}, by=["feature"], ranges=n_ranges)
+    apart = F.abs(F.col("ra") / F.col("all_ra") - F.col("rb") / F.col("all_rb"))
+    return run.groupBy("feature").agg(F.first("all_ra").alias("n_a"), F.first("all_rb").alias("n_b"), F.max(apart).alias("ks_statistic"))
+
+
+def paths_outside(n: int, m: int, d: float) -> float:
+    """Share of the lattice paths from (0, 0) to (n, m) on which ``|i / n - j / m|``
+    reaches ``d``: the exact two-sided KS p-value for samples of n and m rows.
+
+    ``q[i]`` is that share for paths to the point (i, s - i) of anti-diagonal s:
+    1 outside the band, else a mean of its two predecessors, weighted by the
+    paths through them. All terms are positive, so small values keep their
+    relative precision. The band of a diagonal is one slice of ``q``.
     """
-    rows = cuts.collect()
-    if sum(len(r["cuts"] or []) for r in rows) > MAX_INLINE_CUTS:
-        return None
-    branches = []
-    for r in rows:
-        cs = sorted(set(c for c in (r["cuts"] or []) if c is not None))
-        name = r["feature"].replace("'", "''")
-        branches.append(f"WHEN {feature} = '{name}' THEN {_count_below(x, cs)}")
-    return F.expr(f"CASE {' '.join(branches)} ELSE 0 END") if branches else F.lit(0)
+    g = math.gcd(n, m)
+    h = round(d * (n // g) * m) * g  # outside: |i * m - j * n| >= h
+    if h <= 0:
+        return 1.0
+    q = np.ones(n + 2)  # q[i + 1]; q[0] stands for i = -1 and has weight 0
+    q[1] = 0.0
+    i = np.arange(n + 1, dtype=np.float64)
+    low = 0
+    for s in range(1, n + m + 1):
+        lo = max(0, s - m, (s * n - h) // (n + m) + 1)
+        hi = min(n, s, -((-s * n - h) // (n + m)) - 1)
+        if lo > hi:
+            return 1.0
+        new = (i[lo:hi + 1] * q[lo:hi + 1] + (s - i[lo:hi + 1]) * q[lo + 1:hi + 2]) / s
+        q[low + 1:lo + 1] = 1.0  # cells the band has left
+        q[lo + 1:hi + 2] = new
+        low = lo
+    return float(min(1.0, max(0.0, q[n + 1])))
+
+
+@F.pandas_udf(T.DoubleType())
+def _paths_outside(n: pd.Series, m: pd.Series, d: pd.Series) -> pd.Series:
+    return pd.Series([None if pd.isna(a) else paths_outside(int(a), int(b), float(x)) for a, b, x in zip(n, m, d)], dtype="float64")
 
 
 def ks_pvalue(n_a: Column, n_b: Column, d: Column) -> tuple[Column, Column]:
@@ -117,7 +97,8 @@ def ks_pvalue(n_a: Column, n_b: Column, d: Column) -> tuple[Column, Column]:
 
     Equal sizes n <= 10 000: exact, ``p = 2 sum_j (-1)^(j-1) C(2n, n-jh)/C(2n, n)``
     with ``h = round(D n)``, evaluated from the innermost term outwards
-    (Horner form) so the whole sum costs O(n) multiplications. Otherwise the
+    (Horner form) so the whole sum costs O(n) multiplications. Unequal sizes
+    up to 10 000: exact, :func:`paths_outside` (one call per feature). Otherwise the
     Kolmogorov series with ``lambda = D sqrt(n m / (n + m))``, 100 terms,
     clamped to [0, 1].
     """
@@ -141,9 +122,11 @@ def ks_pvalue(n_a: Column, n_b: Column, d: Column) -> tuple[Column, Column]:
         lambda acc, k: acc + F.when(k % 2 == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
         * F.exp(-2.0 * k * k * lam * lam))
     asym = F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(2 * series, F.lit(0.0)), F.lit(1.0)))
-    use_exact = (n_a == n_b) & (n_a <= EXACT_MAX_N)
-    return (F.when(use_exact, exact).otherwise(asym),
-            F.when(use_exact, F.lit("exact")).otherwise(F.lit("asymptotic")))
+    small = (n_a <= EXACT_MAX_N) & (n_b <= EXACT_MAX_N)
+    unequal = small & (n_a != n_b) & (n_a > 0) & (n_b > 0)
+    counted = _paths_outside(F.when(unequal, n_a.cast("long")), F.when(unequal, n_b.cast("long")), d)
+    p = F.when(small & (n_a == n_b), exact).when(unequal, counted).otherwise(asym)
+    return p, F.when(small, F.lit("exact")).otherwise(F.lit("asymptotic"))
 
 
 def drift_report(a: DataFrame, b: DataFrame, features: list, level: float = LEVEL,

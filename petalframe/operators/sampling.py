@@ -16,12 +16,13 @@ single boundary bucket (about n / 16**digits of them) are ranked.
 
 from __future__ import annotations
 
+import math
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from petalframe.functions.rand import hash_bucket, hash_rank, uniform
+from petalframe.operators.prefix import positions
 from petalframe.session import bounded_broadcast, materialize
 
 DEFAULT_DIGITS = 4  # 16**4 = 65,536 buckets per stratum: a stratum of 1e12 rows ranks ~15M rows at its boundary
@@ -100,16 +101,15 @@ def split_quotas(counts: DataFrame, strata: list, fraction: float) -> DataFrame:
     proportional share, the remainder goes to the largest fractional parts,
     ties to the smaller stratum value. Works on one row per stratum."""
     strata = _cols(strata)
-    tot = Window.partitionBy(F.lit(0))
-    c = counts.withColumn("_tot", F.sum("_n").over(tot))
-    c = c.withColumn("_tt", F.ceil(F.col("_tot") * F.lit(fraction)).cast("long"))
+    tot = int(counts.agg(F.sum("_n")).first()[0] or 0)
+    test = math.ceil(tot * fraction)
     # Exact integer shares: floor = n*T div N, fraction numerator = n*T mod N.
-    c = c.withColumn("_fr", (F.col("_n") * F.col("_tt")) % F.col("_tot"))
-    c = c.withColumn("_fl", ((F.col("_n") * F.col("_tt") - F.col("_fr")) / F.col("_tot")).cast("long"))
-    c = c.withColumn("_rem", F.col("_tt") - F.sum("_fl").over(tot))
-    order = Window.partitionBy(F.lit(0)).orderBy(F.col("_fr").desc(), *[F.col(s) for s in strata])
-    c = c.withColumn("_pos", F.row_number().over(order))
-    return c.select(*strata, "_n", (F.col("_fl") + F.when(F.col("_pos") <= F.col("_rem"), 1).otherwise(0)).alias("_k"))
+    share = f"CAST(_n AS DECIMAL(19,0)) * CAST({test} AS DECIMAL(19,0))"
+    n = f"CAST({max(1, tot)} AS DECIMAL(19,0))"
+    c = counts.withColumn("_fr", F.expr(f"CAST(({share}) % {n} AS BIGINT)")).withColumn("_fl", F.expr(f"({share}) div {n}"))
+    rem = test - int(c.agg(F.sum("_fl")).first()[0] or 0)
+    c = positions(c, [F.col("_fr").desc(), *[F.col(s) for s in strata]], "_pos")
+    return c.select(*strata, "_n", (F.col("_fl") + F.when(F.col("_pos") < rem, 1).otherwise(0)).alias("_k"))
 
 
 def stratified_split(df: DataFrame, key: str | list, stratum: str, test_fraction: float, seed: int,
@@ -278,34 +278,11 @@ def balanced_groups(df: DataFrame, key: str | list, n_groups: int, seed: int,
     return g.withColumn(out, (F.col("_pos") % n_groups).cast("int")).drop("_rk", "_pos")
 
 
-ROWS_PER_KEY_RANGE = 10_000_000
-
-
 def surrogate_key(df: DataFrame, order_cols: list, out: str = "row_id",
                   n_ranges: int | None = None) -> DataFrame:
-    """Dense 0-based id in the order of ``order_cols``.
-
-    Range partitioning samples the whole sort key, so the ranges stay
-    balanced even when one value of the first column holds a third of all
-    rows. Inside a range the rows are sorted and their position is the
-    in-partition part of ``monotonically_increasing_id``; per-range counts
-    (at most 65 536 rows, broadcast) give the offsets. Counts and ids read the
-    same persisted range exchange. The order must be total (unique ``order_cols``) for
-    the ids to be reproducible.
-    """
-    order_cols = _cols(order_cols)
-    if n_ranges is None:  # ~10M rows per numbered range, 16 .. 65536 ranges
-        n_ranges = int(min(65536, max(16, -(-df.count() // ROWS_PER_KEY_RANGE))))
-    # Both branches below must see the same range bounds: the range sampler
-    # is seeded per exchange, so they share one persisted exchange output (a
-    # lost block is recomputed through that same shuffle, same bounds).
-    r = (df.repartitionByRange(n_ranges, *order_cols).sortWithinPartitions(*order_cols)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-         .persist(StorageLevel.MEMORY_AND_DISK))
-    counts = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.withColumn("_off", F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
-    return (r.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
-            .withColumn(out, F.col("_off") + F.col("_pos"))
-            .drop("_pid", "_pos", "_off"))
+    """Dense 0-based id in the order of ``order_cols``, by
+    :func:`petalframe.operators.prefix.positions`: ranges over the whole sort
+    key (balanced even when one value of the first column holds a third of all
+    rows), numbered inside, plus the rows of earlier ranges. The order must be
+    total (unique ``order_cols``) for the ids to be reproducible."""
+    return positions(df, _cols(order_cols), out, n_ranges)

@@ -47,9 +47,24 @@ ks AS (SELECT feature, max(abs(fa - fb)) AS d, CAST(any_value(n_a) AS BIGINT) AS
 
 _P = """
 pv AS (SELECT *, CAST(round(d * n_a) AS BIGINT) AS h, d * sqrt(n_a * n_b / (n_a + n_b)) AS lam,
-              n_a = n_b AND n_a <= 10000 AS use_exact FROM ks),
+              n_a <= 10000 AND n_b <= 10000 AS use_exact FROM ks),
+-- paths to (i, s - i) that have left the band |i * n_b - j * n_a| < hh, diagonal by diagonal; cells lo .. hi lie inside
+start AS (SELECT feature, n_a AS n, n_b AS m, CAST(round(d * n_a * n_b / gcd(n_a, n_b)) AS BIGINT) * gcd(n_a, n_b) AS hh
+          FROM pv WHERE use_exact AND n_a <> n_b AND n_a > 0 AND n_b > 0),
+walk AS (
+  SELECT feature, n, m, hh, CAST(0 AS BIGINT) AS s, CAST(0 AS BIGINT) AS lo, CAST(0 AS BIGINT) AS hi, [CAST(0 AS DOUBLE)] AS q FROM start WHERE hh > 0
+  UNION ALL
+  SELECT feature, n, m, hh, s, lo, hi,
+    list_transform(range(lo, hi + 1), lambda i: (i * CASE WHEN i - 1 BETWEEN plo AND phi THEN pq[i - plo] ELSE 1.0 END
+      + (s - i) * CASE WHEN i BETWEEN plo AND phi THEN pq[i - plo + 1] ELSE 1.0 END) / s) AS q
+  FROM (SELECT feature, n, m, hh, s + 1 AS s, lo AS plo, hi AS phi, q AS pq,
+          greatest(0, s + 1 - m, CAST(floor(((s + 1) * n - hh) / (n + m)) AS BIGINT) + 1) AS lo,
+          least(n, s + 1, CAST(ceil(((s + 1) * n + hh) / (n + m)) AS BIGINT) - 1) AS hi
+        FROM walk WHERE s < n + m)),
+counted AS (SELECT feature, coalesce(q[n - lo + 1], 1.0) AS p FROM walk WHERE s = n + m),
 pe AS (SELECT feature,
-         CASE WHEN h = 0 THEN 1.0 ELSE least(greatest(2 * (
+         CASE WHEN h = 0 THEN 1.0 WHEN n_a <> n_b THEN (SELECT p FROM counted c WHERE c.feature = pv.feature)
+           ELSE least(greatest(2 * (
            SELECT sum(CASE WHEN j % 2 = 1 THEN 1.0 ELSE -1.0 END
                       * exp(2 * lgamma(n_a + 1) - lgamma(n_a - j * h + 1) - lgamma(n_a + j * h + 1)))
            FROM range(1, n_a // greatest(h, 1) + 1) t(j)), 0.0), 1.0) END AS p_exact,
@@ -65,14 +80,14 @@ SELECT pv.feature, round(pv.d, 10) AS ks_statistic,
 FROM pv JOIN pe USING (feature)"""
 
 
-@register("drift_ks", "WITH " + _LONG_HALVES + "," + _KS + "," + _P)
+@register("drift_ks", "WITH RECURSIVE " + _LONG_HALVES + "," + _KS + "," + _P)
 def drift_ks(spark, sf_dir):
     """Events of the first vs the second half of the month (sizes differ)."""
     a, b = _halves(Tables(spark, sf_dir))
     return drift.drift_report(a, b, ["value", "k"])
 
 
-@register("drift_report", "WITH " + _LONG_SHIFT + "," + _KS + "," + _P)
+@register("drift_report", "WITH RECURSIVE " + _LONG_SHIFT + "," + _KS + "," + _P)
 def drift_report(spark, sf_dir):
     """Events vs a copy with value + 1.0 (equal sizes: exact p-value up to 10 000 rows)."""
     e = _events(Tables(spark, sf_dir))
@@ -82,7 +97,7 @@ def drift_report(spark, sf_dir):
 _LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@register("drift_lineitem", "WITH long AS (" + "\n UNION ALL ".join(
+@register("drift_lineitem", "WITH RECURSIVE long AS (" + "\n UNION ALL ".join(
     f"SELECT '{c}' AS feature, {c} AS x, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS sample "
     f"FROM lineitem WHERE l_returnflag IN ('R', 'N')" for c in _LINE_FEATURES) + ")," + _KS + "," + _P)
 def drift_lineitem(spark, sf_dir):

@@ -72,14 +72,53 @@ def test_exact_pvalue_formula(spark, n, d):
     assert spark.range(1).select(p).first()[0] == pytest.approx(_p_exact(n, d), rel=1e-9, abs=1e-15)
 
 
-def test_asymptotic_for_unequal_sizes(spark):
-    p, m = drift.ks_pvalue(F.lit(300), F.lit(500), F.lit(0.1))
+def test_asymptotic_beyond_ten_thousand(spark):
+    p, m = drift.ks_pvalue(F.lit(300), F.lit(10_001), F.lit(0.1))
     r = spark.range(1).select(p.alias("p"), m.alias("m")).first()
-    lam = 0.1 * math.sqrt(300 * 500 / 800)
+    lam = 0.1 * math.sqrt(300 * 10_001 / 10_301)
     want = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 101))
     assert r["m"] == "asymptotic" and r["p"] == pytest.approx(want)
 
 
+def _p_paths(n, m, h):
+    """Exact: paths that stay where |i * m - j * n| < h, in whole numbers."""
+    rows = [0] * (m + 1)
+    for i in range(n + 1):
+        for j in range(m + 1):
+            if abs(i * m - j * n) >= h:
+                rows[j] = 0
+            elif i == j == 0:
+                rows[j] = 1
+            else:
+                rows[j] = (rows[j] if i else 0) + (rows[j - 1] if j else 0)
+    return float(1 - Fraction(rows[m], math.comb(n + m, n)))
+
+
+@pytest.mark.parametrize("n,m", [(1, 1), (1, 7), (10, 12), (12, 10), (9, 6), (40, 25), (150, 151), (200, 300)])
+def test_exact_pvalue_by_path_counts(n, m):
+    lcm = n * m // math.gcd(n, m)
+    for k in sorted({1, 2, 3, lcm // 20, lcm // 7, lcm // 4, lcm // 3, lcm // 2, lcm - 1, lcm} - {0}):
+        assert drift.paths_outside(n, m, k / lcm) == pytest.approx(_p_paths(n, m, k * math.gcd(n, m)), rel=1e-9, abs=1e-14)
+    assert drift.paths_outside(n, m, 0.0) == 1.0
+
+
+def test_exact_pvalue_equal_sizes_agree_up_to_ten_thousand():
+    # the closed form for equal sizes, another way to the same number
+    for n, d in ((150, 1 / 3), (5_000, 0.03), (10_000, 0.02), (10_000, 0.06)):
+        h = round(d * n)
+        want = 2 * sum((-1) ** (j - 1) * math.exp(2 * math.lgamma(n + 1) - math.lgamma(n - j * h + 1) - math.lgamma(n + j * h + 1))
+                       for j in range(1, n // h + 1))
+        assert drift.paths_outside(n, n, h / n) == pytest.approx(want, rel=1e-6)
+    assert drift.paths_outside(10_000, 9_999, 0.5) < 1e-300 < drift.paths_outside(9_999, 10_000, 0.1)
+
+
+def test_report_of_unequal_sizes_is_exact(spark):
+    rnd = random.Random(4)
+    a, b = [rnd.gauss(0, 1) for _ in range(10)], [rnd.gauss(1, 1) for _ in range(12)]
+    r = drift.drift_report(*_frames(spark, a, b), ["v"], digits=None).first()
+    assert r["p_method"] == "exact" and r["p_value"] == pytest.approx(_p_paths(10, 12, round(_ks_brute(a, b) * 120)), rel=1e-9)
+
+
 def test_nan_rejected_and_histogram(spark):
     fa = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (3.0,), (5.0,)], "v double")
     fb = spark.createDataFrame([(2.0,), (2.0,)], "v double")
