@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from petalframe.llm.common import write_stage
+from petalframe.llm.common import small_side, write_stage
 from petalframe.llm.words import _BYTE, _BYTES, _SEPARATOR, _segment_hashes, mix
 
 FILTERS = "ABCDE"
@@ -216,7 +216,8 @@ def failed_filters(docs: DataFrame, min_words: int = 200, **columns) -> DataFram
     ``FILTERS``, judged on the whole table."""
     rows, _ = write_stage(row_statistics(term_matrix(docs, **columns)), "filter-rows")
     copies = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id")
-    rows = rows.join(copies.select("digest", "first_id"), "digest", "left")
+    copies, _ = small_side(copies.select("digest", "first_id"), "filter-copies")
+    rows = rows.join(copies, "digest", "left")
 
     def bit(k: int, fails: Column) -> Column:
         return F.when(F.coalesce(fails, F.lit(False)), F.lit(1 << k)).otherwise(F.lit(0))
