@@ -1,112 +1,128 @@
 """Point-in-time (as-of) retrieval: J1-J5, K3-K5.
 
-Plan shape of :func:`as_of_join`: the distinct spine (key, time) pairs and
-the feature rows are unioned into one narrow frame, hash-partitioned by
-(entity key, time bucket) and sorted by time inside each partition; a
-running ``last(..., ignorenulls)`` window carries the newest feature row
-forward onto every spine (key, time). Spine rows then take their match by a
-many-to-one left equi-join on (key, time). No range-join blow-up, window
-state of a single row, and the wide spine rows never go through the window.
-
-Skew: a key that holds a large share of all rows would put all of them into
-one task. The time bucket splits every key into independent partitions (dense
-(key, day) cells get finer buckets); the newest feature row of earlier buckets is
-carried into each bucket as one extra row, computed from a per-(key, bucket)
-aggregate that is far smaller than the input. Repeated spine (key, time)
-pairs are collapsed by a partial aggregate before the window, and their rows
-are spread by AQE's skew-join splitting in the final join.
+Plan shape of :func:`as_of_join`: one small job takes the time the spine covers,
+which prunes the feature scan (from below only with a ttl). Then spine and
+feature rows meet in one exchange, range partitioned and sorted by (key, time,
+features before spine rows), and each task carries the newest feature row
+forward as it streams, a batch at a time. A range's bounds come from a sample
+of the whole sort key, so a key - or a single instant - that holds a third of
+all rows spans several ranges. What a range's first key had before the range
+starts is the last feature row of an earlier range: one row a range, carried
+by a window over those rows only. State is a single row; there is no range
+join, and no group of rows that one task must hold.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import timedelta
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from petalframe.defs import (FeatureService, FeatureView, FeatureViewProjection,
                              OnDemandFeatureView)
-from petalframe.session import bounded_broadcast, materialize
+from petalframe.operators.prefix import changes, ranged
+from petalframe.session import bounded_broadcast, work_dir
 
 DAY_SECONDS = 86400
 
 
-def _ts_type(df: DataFrame, c: str) -> T.DataType:
-    return df.schema[c].dataType
-
-
-def _bucket(ts: Column, seconds) -> Column:
-    """Time bucket number; ``seconds`` may be a Column (per-key bucket width)."""
-    if seconds is None or (isinstance(seconds, int) and not seconds):
-        return F.lit(0).cast("long")
-    width = seconds * F.lit(1_000_000) if isinstance(seconds, Column) else F.lit(seconds * 1_000_000)
-    return F.floor(F.unix_micros(ts.cast("timestamp")) / width).cast("long")
-
-
-ROWS_PER_BUCKET = 5_000_000
-
-
-SUB_BITS = 20  # sub-buckets of one base bucket: at most 2**17 (1 s of a day), below 2**20
-
-
-def _hot_key_widths(f_rows: DataFrame, s_rows: DataFrame, keys: list, base_seconds: int,
-                    rows_per_bucket: int) -> DataFrame:
-    """(key, base bucket) cells holding more than ``rows_per_bucket`` rows,
-    with a finer width (base / 2^j, at least 1 second) for that cell only.
-
-    A partial aggregate (count per key and base bucket) finds them; the
-    result has at most total_rows / rows_per_bucket rows. Only the dense
-    cells are subdivided, so a hot key's quiet days keep one bucket each and
-    its carry window stays short.
-    """
-    both = f_rows.select(*keys, "_t").unionByName(s_rows.select(*keys, "_t"))
-    per = both.groupBy(*keys, _bucket(F.col("_t"), base_seconds).alias("_cb")).agg(F.count(F.lit(1)).alias("_n"))
-    hot = per.where(F.col("_n") > rows_per_bucket)
-    # halve the width until a bucket holds about rows_per_bucket rows (at least 1 second)
-    halvings = F.ceil(F.log2(F.col("_n") / F.lit(float(rows_per_bucket))))
-    width = F.greatest(F.floor(F.lit(float(base_seconds)) / F.pow(F.lit(2.0), halvings)), F.lit(1.0))
-    return hot.select(*keys, "_cb", width.cast("long").alias("_w"))
-
-
-def _fine_bucket(t: Column, cb: Column, base_seconds: int, width: Column) -> Column:
-    """Ordered bucket id: base bucket * 2^SUB_BITS + sub-bucket inside it
-    (sub-bucket 0 where the cell is not hot)."""
-    off = F.unix_micros(t.cast("timestamp")) - cb * F.lit(base_seconds * 1_000_000)
-    sub = F.coalesce(F.floor(off / (width * F.lit(1_000_000))), F.lit(0)).cast("long")
-    return cb * F.lit(1 << SUB_BITS) + sub
-
-
-def dedupe_created(feats: DataFrame, keys: list, ts: str, created: str) -> DataFrame:
-    """Of rows with the same (key, event time) keep the newest ``created``.
-
-    A grouped ``max_by`` aggregates partially before the shuffle.
-    """
-    others = [c for c in feats.columns if c not in keys and c != ts]
-    agg = F.max_by(F.struct(*others), F.struct(F.col(created), *[F.col(c) for c in others if c != created]))
-    return feats.groupBy(*keys, ts).agg(agg.alias("_r")).select(*keys, ts, "_r.*")
+def orderable(df: DataFrame) -> list:
+    """Columns whose values can be compared (no maps, no variants)."""
+    return [f.name for f in df.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+
+
+#: Rows the carry-forward writes: matched spine rows; a range's last feature row; a range whose first spine rows look back.
+_ROW, _TAIL, _HEAD = 1, 2, 3
+
+
+def _carry_forward(df: DataFrame, keys: list, spine_cols: list, feature_cols: list) -> DataFrame:
+    """Sorted union of spine and feature rows to spine rows with the newest
+    feature row of their key in this range, and the rows that link ranges."""
+    fields = {f.name: f for f in df.schema.fields}
+    out_names = [*keys, "_t", *spine_cols, *feature_cols, "_open", "_range", "_kind"]
+    schema = T.StructType([*[T.StructField(c, fields[c].dataType) for c in out_names[:-3]], T.StructField("_open", T.BooleanType()),
+                           T.StructField("_range", T.IntegerType()), T.StructField("_kind", T.IntegerType())])
+
+    def run(batches):
+        task, last, carry, first, looks_back = TaskContext.get().partitionId(), None, None, None, False
+
+        def linked(key, row, kind):
+            """One row without spine columns: ``key`` and ``row`` are one-row slices."""
+            cols = [*[key.column(c) for c in keys], key.column("_t"), *[pa.nulls(1, types[c]) for c in spine_cols],
+                    *[row.column(c) if row is not None else pa.nulls(1, types[c]) for c in feature_cols],
+                    pa.array([False]), pa.array([task], pa.int32()), pa.array([kind], pa.int32())]
+            return pa.RecordBatch.from_arrays(cols, out_names)
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            types = {f.name: f.type for f in b.schema}
+            n, is_spine = b.num_rows, b.column("_side").to_numpy() == 1
+            key = [b.column(c)[0].as_py() for c in keys]
+            go_on = last is not None and key == [last.column(c)[0].as_py() for c in keys]
+            start = np.concatenate([[not go_on], changes(b, keys)])
+            row = np.arange(n)
+            group = np.maximum.accumulate(np.where(start, row, -1))  # first row of the key; -1: in an earlier batch
+            newest = np.maximum.accumulate(np.where(is_spine, -1, row))
+            match = np.where(newest >= np.maximum(group, 0), newest + 1, -1)  # 0 stands for the carried row
+            if not go_on:
+                carry = None
+            if carry is not None:
+                match[(match < 0) & (group < 0)] = 0
+            # rows of the range's first key before any of its feature rows
+            in_first = np.cumsum(start) == 1 if first is None else (np.cumsum(start) == 0) & (first == key)
+            open_ = is_spine & (match < 0) & in_first
+            if first is None:
+                first = key
+            if open_.any() and not looks_back:
+                looks_back = b.slice(int(np.argmax(open_)), 1)
+            if is_spine.any():
+                take = pa.array(match[is_spine], mask=match[is_spine] < 0)
+                mine = b.filter(pa.array(is_spine))
+                joined = []
+                for c in feature_cols:
+                    head = carry.column(c) if carry is not None else pa.nulls(1, types[c])
+                    joined.append(pa.concat_arrays([head, b.column(c)]).take(take))
+                yield pa.RecordBatch.from_arrays(
+                    [*[mine.column(c) for c in [*keys, "_t", *spine_cols]], *joined, pa.array(open_[is_spine]),
+                     pa.array(np.full(mine.num_rows, task, dtype="int32")), pa.array(np.full(mine.num_rows, _ROW, dtype="int32"))], out_names)
+            last = b.slice(n - 1, 1)
+            if match[-1] > 0:
+                carry = b.slice(int(match[-1]) - 1, 1)
+            elif match[-1] < 0:
+                carry = None
+        if looks_back:
+            yield linked(looks_back, None, _HEAD)
+        if carry is not None:
+            yield linked(last, carry, _TAIL)
+
+    return df.mapInArrow(run, schema)
 
 
 def as_of_join(spine: DataFrame, feats: DataFrame, keys: list, *,
                spine_ts: str = "ts", feature_ts: str = "ts",
                features: list | None = None, ttl: timedelta | None = None,
                created: str | None = None, prefix: str = "",
-               feature_ts_as: str | None = None,
-               bucket_seconds: int | None = DAY_SECONDS,
-               rows_per_bucket: int | None = ROWS_PER_BUCKET) -> DataFrame:
+               feature_ts_as: str | None = None, ranges: int | None = None) -> DataFrame:
     """Left as-of join (J1) with optional ttl (J2) and created tie-break.
 
     For every spine row: the newest feature row with the same key and
     ``feature_ts <= spine_ts`` (and ``>= spine_ts - ttl`` when ttl is set).
     Spine rows all pass through, repeated ones included; no match gives NULL
-    features. Output: spine columns, then ``prefix + feature`` columns, then
-    ``feature_ts_as`` (the matched row's time) when given.
-
-    ``bucket_seconds`` is the time bucket of the window partitions (None: one
-    partition per key). With ``rows_per_bucket`` set, keys whose busiest
-    bucket exceeds it get proportionally finer buckets.
+    features, as do NULL keys and times. Of several feature rows with the same
+    key and time the newest ``created`` wins, then the larger feature values,
+    in the order of ``features`` (NULL smallest). Output: spine columns, then
+    ``prefix + feature`` columns, then ``feature_ts_as`` (the matched row's
+    time) when given. ``ranges``: partitions of the exchange (the shuffle
+    partitions, by default).
     """
-    keys = list(keys)
+    keys, spark = list(keys), spine.sparkSession
     if features is None:
         features = [c for c in feats.columns if c not in keys and c not in (feature_ts, created)]
     clash = set(prefix + f for f in features) & set(spine.columns)
@@ -114,59 +130,52 @@ def as_of_join(spine: DataFrame, feats: DataFrame, keys: list, *,
         clash |= {feature_ts_as} & set(spine.columns)
     if clash:
         raise ValueError(f"feature names clash with spine columns: {sorted(clash)}")
+    st, ft = spine.schema[spine_ts].dataType, feats.schema[feature_ts].dataType
 
-    if created:
-        feats = dedupe_created(feats.select(*keys, feature_ts, created, *features), keys, feature_ts, created)
-
-    st = _ts_type(spine, spine_ts)
-    f_struct = F.struct(*[F.col(c).alias(prefix + c) for c in features],
-                        F.col(feature_ts).cast(st).alias("_ft"))
-
-    f_rows = feats.select(*[F.col(k) for k in keys], F.col(feature_ts).cast(st).alias("_t"),
-                          F.lit(0).alias("_side"), f_struct.alias("_f"))
-    # The window sees each spine (key, time) once: a partial aggregate
-    # collapses repeats, so a key with a third of all spine rows at one
-    # instant is one window row. Spine rows get their match back through an
-    # equi-join on (key, time) below.
-    s_rows = (spine.select(*[F.col(k) for k in keys], F.col(spine_ts).alias("_t")).distinct()
-              .select(*keys, "_t", F.lit(1).alias("_side"),
-                      F.lit(None).cast(f_rows.schema["_f"].dataType).alias("_f")))
-    if bucket_seconds and rows_per_bucket:
-        # written once and counted: every later branch reads the small table
-        # instead of re-running its aggregate over both inputs
-        hot, _ = bounded_broadcast(_hot_key_widths(f_rows, s_rows, keys, bucket_seconds, rows_per_bucket))
-        cb = _bucket(F.col("_t"), bucket_seconds).alias("_cb")
-        f_rows = f_rows.withColumn("_cb", cb).join(hot, keys + ["_cb"], "left")
-        s_rows = s_rows.withColumn("_cb", cb).join(hot, keys + ["_cb"], "left")
-        fine = _fine_bucket(F.col("_t"), F.col("_cb"), bucket_seconds, F.col("_w"))
-        f_rows = f_rows.withColumn("_b", fine).drop("_w", "_cb")
-        s_rows = s_rows.withColumn("_b", fine).drop("_w", "_cb")
-    else:
-        f_rows = f_rows.withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
-        s_rows = s_rows.withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
-
-    u = f_rows.unionByName(s_rows)
-    if bucket_seconds:
-        u = u.unionByName(_carry_rows(u, keys))
-
-    w = (Window.partitionBy(*keys, "_b").orderBy("_t", "_side")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    m = F.col("_m")
+    # the time the spine covers: no other feature row can match
+    low = F.min(spine_ts) - interval(ttl) if ttl is not None else F.lit(None)
+    bounds = spine.agg(low.cast("string").alias("low"), F.max(spine_ts).cast("string").alias("high")).first()
+    wanted = F.col(feature_ts) <= F.lit(bounds["high"]).cast(ft)
     if ttl is not None:
-        m = F.when(F.col("_m._ft") >= F.col("_t") - interval(ttl), F.col("_m"))
-    hit = (u.withColumn("_m", F.last("_f", ignorenulls=True).over(w))
-           .where(F.col("_side") == 1)
-           .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_t").alias("_st"),
-                   m.alias("_m")))
-    # Many-to-one left join: every spine row is kept; a hot (key, time) group
-    # of the spine is split by AQE's skew-join handling, the match replicated.
-    cond = [spine[k] == hit[f"_k{i}"] for i, k in enumerate(keys)] + [spine[spine_ts] == hit["_st"]]
-    j = spine.join(hit, cond, "left")
-    out = [spine[c] for c in spine.columns]
-    out += [F.col("_m").getField(prefix + c).alias(prefix + c) for c in features]
+        wanted = wanted & (F.col(feature_ts) >= F.lit(bounds["low"]).cast(ft))
+    for k in keys:
+        wanted = wanted & F.col(k).isNotNull()
+
+    others = [c for c in spine.columns if c not in keys and c != spine_ts]
+    s_names, f_names = [f"_s{i}" for i in range(len(others))], [f"_f{i}" for i in range(len(features))]
+    s_rows = spine.select(*keys, F.col(spine_ts).alias("_t"), F.lit(1).alias("_side"), *[F.col(c).alias(n) for c, n in zip(others, s_names)])
+    f_rows = feats.where(wanted).select(
+        *[F.col(k).cast(spine.schema[k].dataType).alias(k) for k in keys], F.col(feature_ts).cast(st).alias("_t"), F.lit(0).alias("_side"),
+        *([F.col(created).alias("_created")] if created else []), *[F.col(c).alias(n) for c, n in zip(features, f_names)],
+        F.col(feature_ts).cast(st).alias("_ft"))
+    both = f_rows.unionByName(s_rows, allowMissingColumns=True).withColumn("_spread", F.monotonically_increasing_id())
+    compared = [c for c in orderable(both) if c in f_names]
+    # the last column only spreads rows that are alike in all others
+    order = [*keys, "_t", "_side", *(["_created"] if created else []), *compared, "_spread"]
+    path = work_dir(spark, "as-of")
+    carried = _carry_forward(ranged(both, order, ranges), keys, s_names, [*f_names, "_ft"])
+    carried.write.partitionBy("_kind").parquet(path)
+    written = spark.read.schema(carried.schema).parquet(path)
+
+    match = F.struct(*[F.col(n) for n in f_names], "_ft")
+    links = written.where(F.col("_kind").isin(_TAIL, _HEAD)).select(*keys, "_range", "_kind", F.when(F.col("_kind") == _TAIL, match).alias("_m"))
+    earlier = Window.partitionBy(*keys).orderBy("_range", F.desc("_kind")).rowsBetween(Window.unboundedPreceding, -1)
+    links = links.withColumn("_m", F.last("_m", ignorenulls=True).over(earlier)).where((F.col("_kind") == _HEAD) & F.col("_m").isNotNull())
+    links, _ = bounded_broadcast(links.select(F.col("_range").alias("_at"), "_m"))  # at most one row a range
+    out = written.where(F.col("_kind") == _ROW).join(links, F.col("_open") & (F.col("_range") == F.col("_at")), "left")
+    m = F.when(F.col("_open"), F.col("_m")).otherwise(match)
+    valid = F.col("_t").isNotNull()
+    for k in keys:
+        valid = valid & F.col(k).isNotNull()
+    if ttl is not None:
+        valid = valid & (m.getField("_ft") >= F.col("_t") - interval(ttl))
+    out = out.withColumn("_m", F.when(valid, m))
+    back = dict(zip(others, s_names)) | {k: k for k in keys} | {spine_ts: "_t"}
+    cols = [F.col(back[c]).alias(c) for c in spine.columns]
+    cols += [F.col("_m").getField(n).alias(prefix + c) for c, n in zip(features, f_names)]
     if feature_ts_as:
-        out.append(F.col("_m").getField("_ft").alias(feature_ts_as))
-    return j.select(*out)
+        cols.append(F.col("_m").getField("_ft").alias(feature_ts_as))
+    return out.select(*cols)
 
 
 def interval(td: timedelta) -> Column:
@@ -176,29 +185,6 @@ def interval(td: timedelta) -> Column:
                               F.lit(secs).cast("decimal(18,6)") + F.lit(td.microseconds).cast("decimal(18,6)") / 1_000_000)
 
 
-def s_struct_type(df: DataFrame) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-
-
-def _carry_rows(u: DataFrame, keys: list) -> DataFrame:
-    """Newest feature row of all earlier buckets, one per (key, spine bucket).
-
-    One grouped aggregate over the bucketed union (partial aggregation before
-    its shuffle) gives per (key, bucket) the newest feature row and whether
-    spine rows are present; its size is keys x buckets, not rows. A running
-    ``last`` over strictly earlier buckets of the key carries the newest row.
-    """
-    per = u.groupBy(*keys, "_b").agg(
-        F.max_by("_f", F.when(F.col("_side") == 0, F.col("_t"))).alias("_f"),  # null ordering: skipped
-        F.max("_side").alias("_has_s"))
-    w = (Window.partitionBy(*keys).orderBy("_b")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    carried = (per.withColumn("_c", F.last("_f", ignorenulls=True).over(w))
-               .where((F.col("_has_s") == 1) & F.col("_c").isNotNull()))
-    return carried.select(*keys, F.col("_c._ft").alias("_t"), F.lit(0).alias("_side"),
-                          F.col("_c").alias("_f"), "_b")
-
-
 # ---------------------------------------------------------------- retrieval
 
 
@@ -246,16 +232,25 @@ def resolve_references(items: list, project=None) -> tuple[list, list]:
     return list(views.values()), odfvs
 
 
-def get_historical_features(spine: DataFrame, items: list, *, spine_ts: str = "event_timestamp",
-                            spark=None, project=None, full_feature_names: bool = False,
-                            bucket_seconds: int | None = DAY_SECONDS) -> DataFrame:
-    """Fold the as-of join over every referenced view, then K5.
+@dataclass
+class FeaturePlan:
+    """What a retrieval fetches: per view the features (selected ones and those
+    on-demand views need), the on-demand views, the checked spine."""
 
-    Inputs that an on-demand view needs are fetched even when not selected
-    and dropped afterwards. Duplicate output names are an error.
-    """
+    spine: DataFrame
+    views: list
+    on_demand: list
+    selected: set
+    full_feature_names: bool
+
+    def prefix(self, view: FeatureView) -> str:
+        return f"{view.name}__" if self.full_feature_names else ""
+
+
+def features_needed(items: list, spine: DataFrame, project=None, full_feature_names: bool = False) -> FeaturePlan:
+    """Resolve what is asked for; request columns are checked and cast, duplicate
+    output names are an error."""
     views, odfvs = resolve_references(items, project)
-    selected = {(v.name, f) for v, fs in views for f in fs}
     needed = {v.name: (v, list(fs)) for v, fs in views}
     for o in odfvs:
         for src in o.input_views():
@@ -265,34 +260,39 @@ def get_historical_features(spine: DataFrame, items: list, *, spine_ts: str = "e
             cur.extend(f for f in fs if f not in cur)
         for rs in o.request_sources():
             spine = rs.check(spine)
+    plan = FeaturePlan(spine, list(needed.values()), odfvs, {(v.name, f) for v, fs in views for f in fs}, full_feature_names)
+    names = [plan.prefix(v) + f for v, fs in plan.views for f in fs]
+    if len(set(names)) != len(names):
+        raise ValueError("duplicate feature names; use full_feature_names=True")
+    return plan
 
-    out_names = []
-    df = spine
-    for i, (name, (view, fs)) in enumerate(needed.items()):
-        if i:  # the next join reads the spine in three branches: write it once
-            df = materialize(df, "spine")
-        src = view.batch_source
-        prefix = f"{view.name}__" if full_feature_names else ""
-        out_names += [prefix + f for f in fs]
-        feats = _view_frame(view, spark)
-        df = as_of_join(df, feats.select(*view.join_keys, src.timestamp_field,
-                                         *([src.created_timestamp_column] if src.created_timestamp_column else []),
-                                         *fs),
-                        view.join_keys, spine_ts=spine_ts, feature_ts=src.timestamp_field,
-                        features=fs, ttl=view.ttl, created=src.created_timestamp_column,
-                        prefix=prefix, bucket_seconds=bucket_seconds)
+
+def drop_inputs(df: DataFrame, plan: FeaturePlan) -> DataFrame:
+    """Without the features that only on-demand views needed."""
+    made = {n for o in plan.on_demand for n in o.feature_names}
+    drop = [f for v, fs in plan.views for f in fs if (v.name, f) not in plan.selected and f not in made]
+    return df if plan.full_feature_names else df.drop(*drop)
+
+
+def get_historical_features(spine: DataFrame, items: list, *, spine_ts: str = "event_timestamp",
+                            spark=None, project=None, full_feature_names: bool = False, ranges: int | None = None) -> DataFrame:
+    """Fold the as-of join over every referenced view, then K5.
+
+    Inputs that an on-demand view needs are fetched even when not selected
+    and dropped afterwards. Duplicate output names are an error.
+    """
+    plan = features_needed(items, spine, project, full_feature_names)
+    df = plan.spine
+    for view, fs in plan.views:
+        src, prefix = view.batch_source, plan.prefix(view)
+        df = as_of_join(df, _view_frame(view, spark), view.join_keys, spine_ts=spine_ts, feature_ts=src.timestamp_field,
+                        features=fs, ttl=view.ttl, created=src.created_timestamp_column, prefix=prefix, ranges=ranges)
         # Cast to the declared type, batch and online alike.
         types = {f.name: f.spark_type for f in view.schema}
         df = df.withColumns({prefix + f: F.col(prefix + f).cast(types[f]) for f in fs if f in types})
-    if len(set(out_names)) != len(out_names):
-        raise ValueError("duplicate feature names; use full_feature_names=True")
-    for o in odfvs:
+    for o in plan.on_demand:
         df = o.apply(df)
-    drop = [f for v, fs in needed.values() for f in fs if (v.name, f) not in selected
-            and f not in [n for o in odfvs for n in o.feature_names]]
-    if not full_feature_names and drop:
-        df = df.drop(*drop)
-    return df
+    return drop_inputs(df, plan)
 
 
 def batch_scoring_spine(entities: DataFrame, ts_col: str = "event_timestamp", now: Column | None = None) -> DataFrame:

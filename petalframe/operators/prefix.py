@@ -78,7 +78,7 @@ def positions(df: DataFrame, order: list, out: str, ranges: int | None = None, t
     return r.select(*df.columns, out, *([total] if total else []))
 
 
-def _changes(batch, by: list) -> np.ndarray:
+def changes(batch, by: list) -> np.ndarray:
     """True where a row's group differs from the row before it."""
     out = np.zeros(max(0, batch.num_rows - 1), dtype=bool)
     for c in by:
@@ -104,7 +104,7 @@ def prefix_sums(df: DataFrame, order: list, values: dict, by: list = (), ranges:
             if not b.num_rows:
                 continue
             key = [b.column(c)[0].as_py() for c in by]
-            start = np.concatenate([[last is None or key != last], _changes(b, by)])
+            start = np.concatenate([[last is None or key != last], changes(b, by)])
             last = [b.column(c)[-1].as_py() for c in by]
             group = np.maximum.accumulate(np.where(start, np.arange(b.num_rows), -1))  # first row of the row's group; -1: an earlier batch
             cols = []

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from petalframe.operators import pit
 from petalframe.plans.registry import register
-from petalframe.session import materialize
 from petalframe.sources.io import Tables
 
 
@@ -83,9 +82,7 @@ def pit_multi_view(spark, sf_dir):
     t = Tables(spark, sf_dir)
     p = t.events.where(F.col("event_type") == "purchase").select("user_id", "ts", F.col("value").alias("purchase_value"))
     e = t.events.where(F.col("event_type") == "error").select("user_id", "ts", F.col("value").alias("error_value"))
-    df = pit.as_of_join(_clicks(t), p, ["user_id"], ttl=timedelta(days=1))
-    # the second join reads its spine in three branches: write it once
-    return pit.as_of_join(materialize(df, "spine"), e, ["user_id"])
+    return pit.as_of_join(pit.as_of_join(_clicks(t), p, ["user_id"], ttl=timedelta(days=1)), e, ["user_id"])
 
 
 @register("pit_batch_scoring", """

@@ -25,8 +25,8 @@ def _run(spine, feats, **kw):
     return {r["sid"]: (r["v"], r["f_ts"]) for r in out.collect()}
 
 
-@pytest.mark.parametrize("bucket", [None, 3600, 86400])
-def test_asof_edges(spark, bucket):
+@pytest.mark.parametrize("ranges", [None, 1, 40])
+def test_asof_edges(spark, ranges):
     us = timedelta(microseconds=1)
     spine = _spine(spark, [
         (1, 1, T0),                                  # feature exactly at spine time
@@ -46,7 +46,7 @@ def test_asof_edges(spark, bucket):
         (6, T0 - timedelta(minutes=5), T0, 6.0), (6, T0 - timedelta(minutes=5), T0 + us, 6.5),
         (7, T0 - timedelta(hours=2), T0, 7.0), (7, T0 - timedelta(hours=30), T0, 7.5),
     ])
-    got = _run(spine, feats, ttl=timedelta(days=1), created="created", bucket_seconds=bucket)
+    got = _run(spine, feats, ttl=timedelta(days=1), created="created", ranges=ranges)
     assert got[1] == (1.0, T0)
     assert got[2][0] == 2.0
     assert got[3] == (None, None)
@@ -55,7 +55,7 @@ def test_asof_edges(spark, bucket):
     assert got[6][0] == 6.5
     assert got[7][0] == got[8][0] == 1.0
     assert got[9] == (None, None)  # three days later: beyond ttl
-    no_ttl = _run(spine, feats, created="created", bucket_seconds=bucket)
+    no_ttl = _run(spine, feats, created="created", ranges=ranges)
     assert no_ttl[9] == (7.0, T0 - timedelta(hours=2))
     assert no_ttl[3][0] == 3.0
 
@@ -140,71 +140,51 @@ def test_batch_scoring_spine(spark):
     assert out[1001] == pytest.approx(0.5) and out[1002] == pytest.approx(0.25)
 
 
-def test_hot_key_gets_finer_buckets(spark):
+def _brute(s_rows, f_rows, ttl=None):
+    """Newest row by time, then created, then value (None smallest)."""
+    out = {}
+    for sid, k, ts in s_rows:
+        cand = [(t, c, v is not None, v or 0.0, v) for kk, t, c, v in f_rows if None not in (k, kk, ts, t) and kk == k and t <= ts
+                and (ttl is None or t >= ts - ttl)]
+        best = max(cand, default=None)
+        out[sid] = (best[4], best[0]) if best else (None, None)
+    return out
+
+
+@pytest.mark.parametrize("ranges", [1, 4, 30])
+@pytest.mark.parametrize("ttl", [None, timedelta(hours=2)])
+def test_hot_key_and_instant_span_ranges(spark, ranges, ttl):
+    """Half of all rows at one key, a third of the spine at one instant of it,
+    ties in time and created, NULL keys, times and values, keys of one side only."""
     import random
 
     rnd = random.Random(11)
-    # key 0 holds most rows within a single day; other keys are sparse
-    fr, seen = [], set()
-    for i in range(400):
-        k = 0 if i < 300 else rnd.randint(1, 3)
-        t = T0 + timedelta(seconds=rnd.randint(0, 20000))
-        if (k, t) not in seen:
-            seen.add((k, t))
-            fr.append((k, t, T0, float(i)))
-    s_rows = [(i, 0 if i < 150 else rnd.randint(0, 4), T0 + timedelta(seconds=rnd.randint(0, 20000))) for i in range(200)]
-    spine, feats = _spine(spark, s_rows), _feats(spark, fr)
-    hot = pit._hot_key_widths(
-        feats.select("k", F.col("ts").alias("_t")), spine.select("k", F.col("ts").alias("_t")), ["k"], 86400, 20)
-    widths = {}
-    for r in hot.collect():  # one row per hot (key, day); the finest per key
-        widths[r["k"]] = min(widths.get(r["k"], r["_w"]), r["_w"])
-    assert widths[0] == min(widths.values()) and widths[0] < 86400 / 16
-    assert 4 not in widths  # a sparse key keeps the day bucket
-    a = _run(spine, feats, rows_per_bucket=20)
-    b = _run(spine, feats, bucket_seconds=None)
-    assert a == b
-
-
-def test_hot_spine_key_and_instant(spark):
-    """A third of the spine at one (key, time): every row kept, all matched alike."""
-    from datetime import datetime
-
-    t0 = datetime(2024, 1, 1, 12, 0, 0)
-    hot = [(i, 1, t0) for i in range(300)]
-    rest = [(300 + i, 1 + i % 3, datetime(2024, 1, 1, i % 24, 0, 0)) for i in range(600)]
-    spine = spark.createDataFrame(hot + rest, "sid long, k int, ts timestamp")
-    feats = spark.createDataFrame(
-        [(k, datetime(2024, 1, 1, h, 30, 0), float(10 * k + h)) for k in (1, 2, 3) for h in range(0, 24, 5)],
-        "k int, ts timestamp, v double")
-    got = {r["sid"]: r["v"] for r in pit.as_of_join(spine, feats, ["k"], rows_per_bucket=50).collect()}
-    fl = feats.collect()
-    want = {}
-    for sid, k, ts in hot + rest:
-        cand = [f for f in fl if f["k"] == k and f["ts"] <= ts]
-        want[sid] = max(cand, key=lambda f: f["ts"])["v"] if cand else None
-    assert got == want
-    assert {got[i] for i in range(300)} == {20.0}  # 10:30 (v = 10 * 1 + 10) is the newest row at or before 12:00
-
-
-def test_hot_day_only_subdivided(spark):
-    """A key dense on one day and sparse on others: only that (key, day) cell
-    gets finer buckets; results equal the unbucketed join across days."""
-    import random
 
-    rnd = random.Random(5)
-    fr, seen = [], set()
-    for i in range(500):
-        day = 2 if i < 300 else rnd.randint(0, 5)
-        t = T0.replace(hour=0) + timedelta(days=day, seconds=rnd.randint(0, 86399))
-        if (0, t) not in seen:
-            seen.add((0, t))
-            fr.append((0, t, T0, float(i)))
-    s_rows = [(i, 0, T0.replace(hour=0) + timedelta(days=rnd.randint(0, 6), seconds=rnd.randint(0, 86399)))
-              for i in range(100)]  # quiet days: ~33 feature + ~14 spine rows, under 60
-    spine, feats = _spine(spark, s_rows), _feats(spark, fr)
-    hot = pit._hot_key_widths(
-        feats.select("k", F.col("ts").alias("_t")), spine.select("k", F.col("ts").alias("_t")), ["k"], 86400, 60)
-    cells = hot.collect()
-    assert len(cells) == 1 and cells[0]["_w"] < 86400  # only the dense day
-    assert _run(spine, feats, rows_per_bucket=60) == _run(spine, feats, bucket_seconds=None)
+    def t():
+        return T0 + timedelta(minutes=rnd.randint(0, 2_000))
+
+    f_rows = [(rnd.choice([0, 0, 0, 1, 2, 3, None]), rnd.choice([t(), T0 + timedelta(minutes=500)]), T0 + timedelta(days=rnd.randint(0, 1)),
+               rnd.choice([None, float(i), 7.0])) for i in range(500)] + [(1, None, T0, 1.0), (9, T0, T0, 2.0)]
+    s_rows = [(i, 0, T0 + timedelta(minutes=900)) for i in range(150)]
+    s_rows += [(150 + i, rnd.choice([0, 0, 1, 2, 4, None]), rnd.choice([t(), t(), None])) for i in range(300)]
+    s_rows += [(900, 4, T0), (901, 9, T0 + timedelta(days=30))]
+    want = _brute(s_rows, f_rows, ttl)
+    for parts in (1, 7):
+        spine, feats = _spine(spark, s_rows).repartition(parts), _feats(spark, f_rows).repartition(parts)
+        out = pit.as_of_join(spine, feats, ["k"], features=["v"], feature_ts_as="f_ts", created="created", ttl=ttl, ranges=ranges)
+        rows = out.collect()
+        assert len(rows) == len(s_rows) and out.columns == ["sid", "k", "ts", "v", "f_ts"]
+        assert {r["sid"]: (r["v"], r["f_ts"]) for r in rows} == want
+
+
+def test_ties_without_created_go_to_the_larger_row(spark):
+    f_rows = [(1, T0, T0, float(i % 50)) for i in range(50)]
+    for parts in (1, 5, 11):
+        got = _run(_spine(spark, [(1, 1, T0)]), _feats(spark, f_rows).repartition(parts), ranges=parts)
+        assert got == {1: (49.0, T0)}
+
+
+def test_asof_empty_sides(spark):
+    none = _spine(spark, [])
+    assert pit.as_of_join(none, _feats(spark, [(1, T0, T0, 1.0)]), ["k"], features=["v"]).count() == 0
+    assert _run(_spine(spark, [(1, 1, T0), (2, None, None)]), _feats(spark, [])) == {1: (None, None), 2: (None, None)}

@@ -67,16 +67,20 @@ def test_metrics_read_confusion_once(spark):
     assert _count(plan, "Union") == 0
 
 
-def test_as_of_join_scan_count(spark):
-    """Hot-key table written once; the carry aggregate and the main window
-    each read the feature rows and the spine's (key, time) pairs once, and the
-    final join reads the spine rows once: 2 + 3 scans."""
+def test_as_of_join_reads_each_input_once(spark, tmp_path, monkeypatch):
+    """The plan that joins scans spine and features once each, in one
+    exchange; the feature scan carries the time the spine covers; what the
+    caller gets reads the written rows and a broadcast of one row a range."""
     spine = spark.range(500).select((F.col("id") % 7).alias("k"),
                                     F.timestamp_seconds(F.col("id") * 600).alias("ts"), "id")
-    feats = spark.range(400).select((F.col("id") % 7).alias("k"),
-                                    F.timestamp_seconds(F.col("id") * 700).alias("ts"),
-                                    (F.col("id") * 1.5).alias("v"))
-    out = pit.as_of_join(spine, feats, ["k"], ttl=timedelta(days=1), rows_per_bucket=1000)
-    plan = _plan(out)
-    assert _count(plan, "Range") == 5
+    spark.range(400).select((F.col("id") % 7).alias("k"), F.timestamp_seconds(F.col("id") * 7000).alias("ts"),
+                            (F.col("id") * 1.5).alias("v")).write.parquet(str(tmp_path / "f"))
+    feats, seen = spark.read.parquet(str(tmp_path / "f")), []
+    forward = pit._carry_forward
+    monkeypatch.setattr(pit, "_carry_forward", lambda df, *a: (seen.append(df), forward(df, *a))[1])
+    out = pit.as_of_join(spine, feats, ["k"], ttl=timedelta(days=1))
+    inner, outer = _plan(seen[0]), _plan(out)
+    assert (_count(inner, "Range"), _count(inner, "Scan parquet"), _count(inner, "Exchange")) == (1, 1, 1)
+    assert re.search(r"PushedFilters: .*LessThanOrEqual\(ts.*GreaterThanOrEqual\(ts", inner)
+    assert _count(outer, "Range") == 0 and _count(outer, "Exchange") == 0 and "as-of" in outer
     assert out.count() == 500
