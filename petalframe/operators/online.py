@@ -110,8 +110,8 @@ class VersionedTable:
 
     A commit (``_log/<version>.json``) holds the whole state: the folder of each
     bucket, the schema, ``end_ts``, and for every source (a stream, a pusher) its
-    last batch and a mark. Batches of a source must grow; the last one, replayed,
-    changes nothing. ``keep`` commits stay readable: the folders that only older
+    batches and a mark. A batch that a source has already, replayed, changes
+    nothing. ``keep`` commits stay readable: the folders that only older
     ones name are deleted.
     """
 
@@ -208,7 +208,8 @@ class VersionedTable:
                 out = resolve(both.repartition(len(touched), "_bucket"), ["_bucket", *keys])
                 out.select(*new.columns).write.partitionBy("_bucket").parquet(f"{self.path}/{folder}")
             last = state or {"version": 0, "end_ts": None, "buckets": {}, "sources": {}}
-            told = {source: {"batch": batch, "version": last["version"] + 1, "mark": mark and mark.isoformat()}} if source is not None else {}
+            told = {} if source is None else {source: {"batches": _with_batch(last["sources"].get(source), batch),
+                                                       "version": last["version"] + 1, "mark": mark and mark.isoformat()}}
             ok = self._commit({
                 "version": last["version"] + 1, "end_ts": end_ts.isoformat() if end_ts else last["end_ts"],
                 "buckets": last["buckets"] | {str(b): folder for b in touched}, "sources": last["sources"] | told,
@@ -235,12 +236,20 @@ class VersionedTable:
 
 
 def _committed(state: dict | None, source: str | None, batch: int | None) -> int | None:
+    """The version since which the source holds this batch at the latest, if it does."""
     told = state and source is not None and batch is not None and state["sources"].get(source)
-    if not told or told["batch"] is None or batch > told["batch"]:
-        return None
-    if batch < told["batch"]:
-        raise ValueError(f"{source!r} has written batch {told['batch']}; batch {batch} comes too late")
-    return told["version"]
+    return told["version"] if told and any(a <= batch <= z for a, z in told["batches"]) else None
+
+
+def _with_batch(told: dict | None, batch: int | None) -> list:
+    """A source's batches as closed ranges: one range for a stream that counts up."""
+    out = []
+    for a, z in sorted([*(told or {}).get("batches", []), *([] if batch is None else [[batch, batch]])]):
+        if out and a <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], z)
+        else:
+            out.append([a, z])
+    return out
 
 
 class OnlineStore:
@@ -276,9 +285,9 @@ class OnlineStore:
              version: int | None = None, source: str = "push") -> int:
         """K8: append to the offline history and merge into the latest table.
 
-        ``version`` (e.g. a stream's batch id) names the batch within ``source``,
-        and must grow there; the last one, replayed, changes nothing. The history
-        has one folder per push, ``batch=<source>-<version>``.
+        ``version`` (e.g. a stream's batch id) names the batch within ``source``:
+        that pair, replayed, changes nothing. The history has one folder per
+        push, ``batch=<source>-<version>``.
         """
         if offline_path:
             # one folder per version: a replay overwrites instead of duplicating

@@ -3,15 +3,20 @@ lookup, labels (K2-K8, J6-J8, P13, X1)."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
+from petalframe.defs import Project
 from petalframe.operators import online, pit
 from petalframe.plans import features_events as fe
 from petalframe.plans.registry import register
+from petalframe.session import work_dir
 from petalframe.sources.io import Tables
 
 SLICE_1_END = "2024-01-15 12:00:00"
 SLICE_2_END = "2024-01-31 00:00:00"
+STORE_END = "2030-01-01 00:00:00"
 
 _SPINE = """s AS (SELECT event_id, user_id, ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS basket,
               CAST(json_extract_string(props, '$.k') AS BIGINT) + 100 AS budget
@@ -97,6 +102,76 @@ def online_lookup(spark, sf_dir):
     return online.online_lookup(req, latest, ["user_id"], ["purchase_value", "purchase_ts"])
 
 
+_LATEST = """l AS (SELECT user_id, max(ts) AS l_ts, max(value) FILTER (WHERE newest) AS purchase_value
+      FROM (SELECT *, ts = max(ts) OVER (PARTITION BY user_id) AS newest FROM events WHERE event_type = 'purchase') GROUP BY user_id)"""
+
+
+def _stored(spark, sf_dir, *views):
+    """A store with the views materialised in two increments."""
+    store = online.OnlineStore(spark, work_dir(spark, "online"), buckets=8)
+    for v in views:
+        for end in (SLICE_1_END, STORE_END):
+            store.materialize_incremental(v, datetime.fromisoformat(end))
+    return store
+
+
+@register("online_service_v1", f"""
+WITH {_SPINE}, {_LATEST}, sp AS (SELECT s.*, l.purchase_value FROM s LEFT JOIN l USING (user_id))
+SELECT event_id, user_id, ts, basket, budget, purchase_value, {_ODFV} FROM sp
+""")
+def online_service_v1(spark, sf_dir):
+    """Clicks as online requests for a service: stored features, request
+    columns and on-demand outputs; users without purchases get NULLs."""
+    d = fe.build(sf_dir)
+    store = _stored(spark, sf_dir, d["purchases"])
+    return store.get_features(fe.click_spine(spark, sf_dir), [d["basic"]], order_col="event_id")
+
+
+@register("online_service_v3", f"""
+WITH {_SPINE}, {_LATEST}, {_ERR},
+le AS (SELECT user_id, max(error_value) FILTER (WHERE newest) AS error_value
+       FROM (SELECT *, e_ts = max(e_ts) OVER (PARTITION BY user_id) AS newest FROM e) GROUP BY user_id),
+sp AS (SELECT s.*, l.purchase_value, le.error_value FROM s LEFT JOIN l USING (user_id) LEFT JOIN le USING (user_id))
+SELECT event_id, user_id, ts, basket, budget, purchase_value, error_value, {_ODFV} FROM sp
+""")
+def online_service_v3(spark, sf_dir):
+    """A push-fed view, another view and an on-demand view in one lookup plan."""
+    d = fe.build(sf_dir)
+    store = _stored(spark, sf_dir, d["errors"])
+    store.push(d["live"], d["live"].batch_source.load(spark))
+    return store.get_features(fe.click_spine(spark, sf_dir), [d["following"], d["errors"]])
+
+
+@register("history_by_reference", f"""
+WITH {_SPINE}, {_PURCH}, {_ERR}, {_SP}
+SELECT sp.event_id, sp.user_id, sp.ts, sp.basket, sp.budget, sp.purchase_value, e.error_value, {_ODFV}
+FROM sp ASOF LEFT JOIN e ON sp.user_id = e.user_id AND sp.ts >= e.e_ts
+""")
+def history_by_reference(spark, sf_dir):
+    """Features named as strings, looked up among a project's definitions."""
+    d = fe.build(sf_dir)
+    project = Project("shop").apply([d["purchases"], d["errors"], d["signals"], d["basic"]])
+    names = ["last_purchase:purchase_value", "last_error:error_value", "checkout_signals:basket_gap"]
+    return pit.get_historical_features(fe.click_spine(spark, sf_dir), names, spine_ts="ts", spark=spark, project=project)
+
+
+@register("latest_label_join", """
+WITH l AS (SELECT user_id, ts AS labelled_at, CAST(event_type = 'purchase' AS BIGINT) AS in_good_standing, event_type AS reporter
+           FROM events WHERE event_type IN ('purchase', 'error')
+           QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) = 1)
+SELECT e.event_id, e.user_id, l.in_good_standing, l.reporter FROM events e LEFT JOIN l USING (user_id) WHERE e.event_type = 'signup'
+""")
+def latest_label_join(spark, sf_dir):
+    """The newest label of the user onto every signup."""
+    d = fe.build(sf_dir)
+    ev = Tables(spark, sf_dir).events
+    labels = (ev.where(F.col("event_type").isin("purchase", "error"))
+              .select("user_id", F.col("ts").alias("event_timestamp"), (F.col("event_type") == "purchase").cast("long").alias("in_good_standing"),
+                      F.col("event_type").alias("reporter")))
+    spine = ev.where(F.col("event_type") == "signup").select("event_id", "user_id")
+    return online.join_latest_labels(spine, labels, d["standing"]).select("event_id", "user_id", "in_good_standing", "reporter")
+
+
 @register("label_last_write_wins", """
 WITH l AS (SELECT user_id, ts AS event_timestamp, CAST(event_type = 'purchase' AS BIGINT) AS in_good_standing,
                   value AS amount, event_type AS reporter

@@ -70,7 +70,7 @@ def stream_score(spark, sf_dir):
     s = _events_stream(spark, sf_dir)
     jobs.score_stream(s, score, [Field("value", "double"), Field("props", "string")], {"props": "k INT"},
                       f"{base}/scored", f"{base}/rejects", f"{base}/_checkpoint")
-    return spark.read.parquet(f"{base}/scored").select("event_id", "prediction")
+    return jobs.read_batches(spark, f"{base}/scored").select("event_id", "prediction")
 
 
 @register("stream_on_demand", f"""
@@ -87,7 +87,7 @@ def stream_on_demand(spark, sf_dir):
     s = (_events_stream(spark, sf_dir).where(F.col("event_type") == "purchase")
          .select("user_id", "ts", F.col("value").alias("purchase_value"), *fe.checkout_columns()))
     jobs.on_demand_stream(s, d["signals"], f"{base}/out", f"{base}/_checkpoint")
-    return spark.read.parquet(f"{base}/out")
+    return jobs.read_batches(spark, f"{base}/out")
 
 
 @register("stream_labels", """
@@ -127,21 +127,65 @@ def request_log_lines(events):
 
 
 @register("request_log_metrics", """
-SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, '/' || event_type AS path,
-       CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
-       count(*) AS requests, CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors,
-       round(avg(value), 6) AS mean_latency_ms
-FROM events WHERE event_type <> 'view' GROUP BY ALL
+WITH r AS (
+  SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, '/' || event_type AS path,
+         CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status, CAST(round(value * 1000) AS BIGINT) AS us
+  FROM events WHERE event_type <> 'view'),
+n AS (
+  SELECT *, us - us % CAST(pow(10, greatest(length(CAST(us AS VARCHAR)) - 3, 0)) AS BIGINT) AS step_us,
+         row_number() OVER (PARTITION BY window_start, path, status ORDER BY us) AS nth,
+         count(*) OVER (PARTITION BY window_start, path, status) AS requests
+  FROM r)
+SELECT window_start, path, status, requests, CASE WHEN status >= 500 THEN requests ELSE 0 END AS errors,
+       round(sum(us) / requests / 1000, 6) AS mean_latency_ms,
+       max(CASE WHEN nth = (95 * requests + 99) // 100 THEN step_us END) / 1000 AS p95_latency_ms
+FROM n GROUP BY window_start, path, status, requests
 """)
 def request_log_metrics(spark, sf_dir):
     """ST4/F15: events written as JSON log lines, streamed back, parsed and
-    aggregated per minute, path and status with a 10-minute watermark."""
+    counted per minute, path, status and latency step with a 10-minute watermark."""
     base = work_dir(spark, "request-logs")
     ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     request_log_lines(ev).write.mode("overwrite").text(f"{base}/landing")
     lines = spark.readStream.format("text").load(f"{base}/landing")
     table = online.VersionedTable(spark, f"{base}/metrics")
     jobs.request_metrics_stream(lines, table, f"{base}/_checkpoint")
-    m = table.read()
+    m = jobs.read_request_metrics(table)
     return m.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "path", "status",
-                    "requests", "errors", F.round("mean_latency_ms", 6).alias("mean_latency_ms"))
+                    "requests", "errors", F.round("mean_latency_ms", 6).alias("mean_latency_ms"), "p95_latency_ms")
+
+
+@register("prediction_log", """
+SELECT date_trunc('milliseconds', ts) AS ts, event_type AS prediction, round(value, 2) AS latency_ms, '10.0.0.' || CAST(user_id % 250 AS VARCHAR) AS client
+FROM events WHERE event_type = 'view'
+""")
+def prediction_log(spark, sf_dir):
+    """the prediction lines of the same log."""
+    base = work_dir(spark, "prediction-logs")
+    request_log_lines(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")).write.text(f"{base}/landing")
+    out = jobs.parse_prediction_log(spark.read.text(f"{base}/landing"))
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("stream_push_batches", """
+WITH p AS (SELECT user_id, ts, CAST(value AS FLOAT) AS purchase_value FROM events WHERE event_type = 'purchase'),
+l AS (SELECT user_id, max(ts) AS ts, max(purchase_value) FILTER (WHERE newest) AS purchase_value
+      FROM (SELECT *, ts = max(ts) OVER (PARTITION BY user_id) AS newest FROM p) GROUP BY user_id)
+SELECT 'online' AS side, user_id, ts, purchase_value FROM l
+UNION ALL SELECT 'offline', user_id, ts, purchase_value FROM p
+""")
+def stream_push_batches(spark, sf_dir):
+    """ST1/K8/S7: purchases landed as three files and pushed by two streams of one
+    table (one file, then two batches): both the offline history and the online rows."""
+    base = work_dir(spark, "stream-push-batches")
+    d = fe.build(sf_dir)
+    p = (spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").where(F.col("event_type") == "purchase")
+         .select("user_id", "ts", F.col("value").cast("float").alias("purchase_value"), F.pmod("event_id", F.lit(3)).alias("part")))
+    store = online.OnlineStore(spark, f"{base}/online")
+    p.repartition("part").write.partitionBy("part").parquet(f"{base}/landing")
+    for name, parts in (("first", "0"), ("second", "{1,2}")):
+        s = jobs.file_stream(spark, f"{base}/landing/part={parts}", p.drop("part").schema, max_files_per_trigger=1)
+        jobs.push_stream(spark, s, store, d["purchases"], f"{base}/_checkpoint-{name}", offline_path=f"{base}/offline")
+    cols = ["user_id", "ts", "purchase_value"]
+    online_side = store.table(d["purchases"].name).read().select(F.lit("online").alias("side"), *cols)
+    return online_side.unionByName(spark.read.parquet(f"{base}/offline").select(F.lit("offline").alias("side"), *cols))

@@ -2,9 +2,10 @@
 
 Every job reads a file stream, keeps its progress in a checkpoint folder
 (under the shared ``spark.checkpoint.dir``) and writes through
-``foreachBatch`` or the exactly-once file sink. ``foreachBatch`` writers are
-keyed by the batch id: a batch that is replayed after a failure overwrites
-its own output instead of adding to it.
+``foreachBatch``. Writers are keyed by the stream (its checkpoint) and the
+batch id: a batch that is replayed after a failure overwrites its own output
+instead of adding to it, and streams with checkpoints of their own can share a
+folder or a table without touching each other's output.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 import hashlib
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,15 +87,11 @@ def label_push_stream(spark: SparkSession, stream: DataFrame, table: online.Vers
                       checkpoint: str, ts: str = "event_timestamp") -> None:
     """ST6: pushed labels merged with last-write-wins (K7)."""
 
+    def resolve(rows: DataFrame, keys: list) -> DataFrame:
+        return online.resolve_labels(rows, view, ts, keys)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        source = stream_id(checkpoint)
-        if table.committed(source, batch_id) is not None:
-            return
-        cur = table.current()
-        version = (cur["version"] + 1) if cur else 1
-        snap = table.read() if cur else None
-        rows = batch if snap is None else batch.unionByName(snap.drop("is_valid"))
-        table.write(online.resolve_labels(rows, view, ts), version, None, source, batch_id)
+        table.merge(batch, view.join_keys, resolve, source=stream_id(checkpoint), batch=batch_id)
 
     run_available_now(stream.writeStream.foreachBatch(once_per_batch(write)), checkpoint)
 
@@ -105,23 +102,16 @@ def label_push_stream(spark: SparkSession, stream: DataFrame, table: online.Vers
 def latest_state_stream(stream: DataFrame, keys: list, ts: str, table: online.VersionedTable,
                         checkpoint: str, created: str | None = None) -> None:
     """ST2: latest value per key kept as streaming aggregation state
-    (``outputMode("update")``); each batch's changed keys are merged into a
-    versioned latest table. No watermark is needed for correctness (event
-    time decides), state holds one row per key."""
-    cols = [c for c in stream.columns if c not in keys]
-    order = F.struct(F.col(ts), F.col(created)) if created else F.col(ts)
-    agg = (stream.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_r"))
-           .select(*keys, "_r.*"))
+    (``outputMode("update")``); each batch's changed keys are merged into the
+    buckets of a versioned latest table that they fall into. No watermark is
+    needed for correctness (event time decides), state holds one row per key."""
+    agg = online.latest_per_key(stream, keys, ts, created)
+
+    def resolve(rows: DataFrame, keys: list) -> DataFrame:
+        return online.latest_per_key(rows, keys, ts, created)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        source = stream_id(checkpoint)
-        if table.committed(source, batch_id) is not None:
-            return
-        cur = table.current()
-        version = (cur["version"] + 1) if cur else 1
-        snap = table.read() if cur else None
-        merged = batch if snap is None else online.latest_per_key(batch.unionByName(snap), keys, ts, created)
-        table.write(merged, version, None, source, batch_id)
+        table.merge(batch, keys, resolve, source=stream_id(checkpoint), batch=batch_id)
 
     run_available_now(agg.writeStream.outputMode("update").foreachBatch(write), checkpoint)
 
@@ -137,19 +127,32 @@ def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], fie
 
     def write(batch: DataFrame, batch_id: int) -> None:
         ok, bad = validate(batch, fields, json_fields)
-        score(ok).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        score(ok).write.mode("overwrite").parquet(batch_folder(out_path, checkpoint, batch_id))
+        bad.write.mode("overwrite").parquet(batch_folder(rejects_path, checkpoint, batch_id))
 
     run_available_now(stream.writeStream.foreachBatch(once_per_batch(write)), checkpoint)
 
 
+def batch_folder(path: str, checkpoint: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/stream={stream_id(checkpoint)}/batch={batch_id}"
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """What the streams that share ``path`` have written."""
+    return spark.read.parquet(path).drop("stream", "batch")
+
+
 # ------------------------------------------------------------------ ST5
 
 
 def on_demand_stream(stream: DataFrame, odfv: OnDemandFeatureView, out_path: str, checkpoint: str) -> None:
-    """ST5: the same on-demand transformation as in batch, on a stream (file sink, exactly once)."""
-    out = odfv.apply(stream)
-    run_available_now(out.writeStream.format("parquet").option("path", out_path).outputMode("append"), checkpoint)
+    """ST5: the same on-demand transformation as in batch, on a stream. (The file
+    sink would skip a second stream's first batches: it knows them by number.)"""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(batch_folder(out_path, checkpoint, batch_id))
+
+    run_available_now(odfv.apply(stream).writeStream.foreachBatch(write), checkpoint)
 
 
 # ------------------------------------------------------------------ ST4
@@ -174,48 +177,81 @@ def parse_request_log(lines: DataFrame, col: str = "value") -> DataFrame:
                     F.col("latency_s").cast("double").alias("latency_ms")))
 
 
+PREDICTION_RE = r"^Prediction=(\S+) Latency=([0-9.]+)ms Client=(\S+)$"
+
+
+def parse_prediction_log(lines: DataFrame, col: str = "value") -> DataFrame:
+    """JSON log line -> (ts, prediction, latency_ms, client); other lines are dropped."""
+    j = F.from_json(F.col(col), LOG_SCHEMA)
+    msg = j.getField("message")
+    parsed = lines.select(F.to_timestamp(j.getField("timestamp"), "yyyy-MM-dd HH:mm:ss,SSS").alias("ts"),
+                          *[F.regexp_extract(msg, PREDICTION_RE, i + 1).alias(c) for i, c in enumerate(("prediction", "latency", "client"))])
+    return parsed.where(F.col("prediction") != "").select("ts", "prediction", F.col("latency").cast("double").alias("latency_ms"), "client")
+
+
+def latency_step(us: Column) -> Column:
+    """Microseconds cut to three significant digits: at most 900 steps a decade."""
+    width = F.pow(F.lit(10.0), F.greatest(F.length(us.cast("string")) - 3, F.lit(0))).cast("long")
+    return us - us % width
+
+
 def request_metrics(parsed: DataFrame, window: str = "1 minute", watermark: str = "10 minutes") -> DataFrame:
-    """ST4: per minute, path and status: count, errors, mean and p95 latency."""
-    p = _to_ltz(parsed, "ts").withWatermark("ts", watermark)
-    return (p.groupBy(F.window("ts", window).alias("w"), "path", "status")
-            .agg(F.count(F.lit(1)).alias("requests"),
-                 F.sum(F.when(F.col("status") >= 500, 1).otherwise(0)).alias("errors"),
-                 F.avg("latency_ms").alias("mean_latency_ms"),
-                 F.percentile_approx("latency_ms", 0.95).alias("p95_latency_ms"),
-                 F.max("ts").alias("max_ts"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "path", "status",
-                    "requests", "errors", "mean_latency_ms", "p95_latency_ms", "max_ts"))
+    """ST4: counts per minute, path, status and latency step. Counts add up
+    across batches, tasks and streams; :func:`summarise_requests` reads means
+    and percentiles from them."""
+    p = _to_ltz(parsed, "ts").withWatermark("ts", watermark).withColumn("us", F.round(F.col("latency_ms") * 1000).cast("long"))
+    return (p.groupBy(F.window("ts", window).alias("w"), "path", "status", latency_step(F.col("us")).alias("step_us"))
+            .agg(F.count(F.lit(1)).alias("requests"), F.sum("us").alias("total_us"), F.max("ts").alias("max_ts"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "path", "status", "step_us",
+                    "requests", "total_us", "max_ts"))
+
+
+def summarise_requests(counts: DataFrame) -> DataFrame:
+    """Per window, path and status: requests, errors, mean and p95 latency (the
+    step that holds the ``ceil(0.95 n)``-th smallest), over all streams."""
+    per_step = counts.groupBy("window_start", "window_end", "path", "status", "step_us").agg(
+        F.sum("requests").alias("n"), F.sum("total_us").alias("us"))
+    g = per_step.groupBy("window_start", "window_end", "path", "status").agg(
+        F.sum("n").alias("requests"), F.sum("us").alias("us"), F.array_sort(F.collect_list(F.struct("step_us", "n"))).alias("steps"))
+    need = F.expr("(95 * requests + 99) div 100")
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("long").alias("at"))
+    found = F.aggregate("steps", start, lambda a, x: F.struct(
+        (a["seen"] + x["n"]).alias("seen"), F.coalesce(a["at"], F.when(a["seen"] + x["n"] >= need, x["step_us"])).alias("at")))
+    return g.select("window_start", "window_end", "path", "status", "requests",
+                    F.when(F.col("status") >= 500, F.col("requests")).otherwise(F.lit(0)).cast("long").alias("errors"),
+                    (F.col("us") / F.col("requests") / 1000).alias("mean_latency_ms"), (found["at"] / 1000).alias("p95_latency_ms"))
 
 
 def request_metrics_stream(lines: DataFrame, table: online.VersionedTable, checkpoint: str,
                            watermark_seconds: int = 600) -> None:
-    """ST4 as a stream: update mode, each batch's changed windows merged into a
-    versioned table (the newest batch wins per window, path and status).
+    """ST4 as a stream: update mode, each batch's changed counts merged into a
+    versioned table. A row belongs to one stream (of which the newest batch
+    wins); counts of several streams add up when they are read.
 
     Spark only promises that rows later than the watermark *may* be dropped.
     To make the result deterministic the writer keeps the largest event time
-    seen by earlier batches (in the version pointer) and ignores updates to
-    windows that had already closed under that watermark: late rows never
-    change a closed window.
+    seen by earlier batches of the stream (the mark of its commits) and ignores
+    updates to windows that had already closed under that watermark: late rows
+    never change a closed window.
     """
     agg = request_metrics(parse_request_log(lines), watermark=f"{watermark_seconds} seconds")
-    keys = ["window_start", "path", "status"]
+    source = stream_id(checkpoint)
+
+    def newest(rows: DataFrame, keys: list) -> DataFrame:
+        return online.latest_per_key(rows, keys, "_batch")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        source = stream_id(checkpoint)
-        if table.committed(source, batch_id) is not None:
-            return
-        cur = table.current()
-        version = (cur["version"] + 1) if cur else 1
-        seen = cur["end_ts"] if cur else None
-        b = batch.withColumn("_batch", F.lit(batch_id).cast("long"))
+        seen = table.mark(source)
+        b = batch.withColumn("stream", F.lit(source)).withColumn("_batch", F.lit(batch_id).cast("long"))
         if seen is not None:
-            closed = F.lit(seen).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(watermark_seconds))
+            closed = F.lit(seen.isoformat(" ")).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(watermark_seconds))
             b = b.where(F.col("window_end").cast("timestamp_ntz") > closed)
         batch_max = batch.agg(F.max("max_ts").cast("timestamp_ntz")).first()[0]
-        new_seen = max([t for t in (seen, batch_max) if t is not None], default=None)
-        snap = table.read() if cur else None
-        merged = b if snap is None else online.latest_per_key(b.unionByName(snap), keys, "_batch")
-        table.write(merged, version, new_seen, source, batch_id)
+        mark = max([t for t in (seen, batch_max) if t is not None], default=None)
+        table.merge(b, ["stream", "window_start", "path", "status", "step_us"], newest, source=source, batch=batch_id, mark=mark)
 
     run_available_now(agg.writeStream.outputMode("update").foreachBatch(write), checkpoint)
+
+
+def read_request_metrics(table: online.VersionedTable) -> DataFrame:
+    return summarise_requests(table.read())

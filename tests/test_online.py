@@ -92,3 +92,84 @@ def test_references_by_name(spark):
         pit.resolve_references(["stats:w"], project)
     with pytest.raises(ValueError):
         pit.resolve_references(["stats:v"])
+
+
+def _newest(rows, keys):
+    return online.latest_per_key(rows, keys, "ts")
+
+
+def _folders(table):
+    return table._newest()["buckets"]
+
+
+def test_a_push_of_one_key_rewrites_one_bucket(spark, tmp_dir):
+    table = online.VersionedTable(spark, tmp_dir + "/t", buckets=16)
+    rows = [(k, T0, float(k)) for k in range(200)]
+    assert table.merge(spark.createDataFrame(rows, "k bigint, ts timestamp_ntz, v double"), ["k"], _newest) == 1
+    before = _folders(table)
+    assert len(before) == 16
+    one = spark.createDataFrame([(7, T0 + timedelta(days=1), 70.0)], "k bigint, ts timestamp_ntz, v double")
+    assert table.merge(one, ["k"], _newest) == 2
+    after = _folders(table)
+    assert sum(before[b] != after[b] for b in before) == 1
+    assert {r["k"]: r["v"] for r in table.read().collect()} == {k: float(k) for k in range(200)} | {7: 70.0}
+    assert table.read(1).where("k = 7").first()["v"] == 7.0  # the version before is still there
+    empty = one.limit(0)
+    assert table.merge(empty, ["k"], _newest, source="s", batch=0) == 3 and _folders(table) == after
+    assert table.committed("s", 0) == 3 and table.committed("s", 1) is None
+
+
+def test_old_versions_expire(spark, tmp_dir):
+    import os
+
+    table = online.VersionedTable(spark, tmp_dir + "/t", buckets=2, keep=2)
+    for i in range(5):
+        table.merge(spark.createDataFrame([(k, T0 + timedelta(days=i), float(i)) for k in range(8)], "k bigint, ts timestamp_ntz, v double"), ["k"], _newest)
+    parts = [d for d, _, files in os.walk(tmp_dir + "/t") if any(f.endswith(".parquet") for f in files)]
+    assert len(parts) == 4 and table.read(3) is None  # two versions of two buckets
+    assert {r["v"] for r in table.read().collect()} == {4.0} and {r["v"] for r in table.read(4).collect()} == {3.0}
+
+
+def test_two_writers_of_one_version(spark, tmp_dir, monkeypatch):
+    schema = "k bigint, ts timestamp_ntz, v double"
+    mine, theirs = (online.VersionedTable(spark, tmp_dir + "/t", buckets=4) for _ in range(2))
+    mine.merge(spark.createDataFrame([(k, T0, 0.0) for k in range(10)], schema), ["k"], _newest)
+    commit, raced = mine._commit, []
+
+    def late(state):
+        if not raced:  # the other writer commits the same version first
+            raced.append(theirs.merge(spark.createDataFrame([(1, T0 + timedelta(days=1), 1.0), (2, T0 + timedelta(days=3), 9.0)], schema), ["k"], _newest))
+        return commit(state)
+
+    monkeypatch.setattr(mine, "_commit", late)
+    assert mine.merge(spark.createDataFrame([(2, T0 + timedelta(days=2), 2.0), (3, T0 + timedelta(days=1), 3.0)], schema), ["k"], _newest) == 3
+    assert raced == [2]
+    assert {r["k"]: r["v"] for r in mine.read().collect()} == {k: 0.0 for k in range(10)} | {1: 1.0, 2: 9.0, 3: 3.0}
+
+
+def test_latest_ties_do_not_depend_on_partitions(spark):
+    rows = spark.createDataFrame([(1, T0, float(i), {"a": i}) for i in range(40)], "k int, ts timestamp_ntz, v double, m map<string,int>")
+    assert {online.latest_per_key(rows.repartition(n), ["k"], "ts").first()["v"] for n in (1, 3, 9)} == {39.0}
+
+
+def test_online_features_of_a_service(spark, tmp_dir):
+    from petalframe.defs import FeatureService, Project, RequestSource, on_demand_feature_view
+
+    stats = _view(spark, spark.createDataFrame([(1, T0, T0, 1.5), (2, T0, T0, 2.5)], SCHEMA))
+    other = FeatureView("other", [Entity("driver", ["k"])], [Field("w", "int"), Field("x", "int")],
+                        BatchSource("o", "ts", frame=spark.createDataFrame([(2, T0, 20, 21), (3, T0, 30, 31)], "k bigint, ts timestamp_ntz, w int, x int")))
+    req = RequestSource("req", [Field("add", "bigint")])
+
+    @on_demand_feature_view(sources=[stats, req], schema=[Field("v_plus", "double")])
+    def plus(row):
+        return {"v_plus": row["v"] + row["add"]}
+
+    store = online.OnlineStore(spark, tmp_dir)
+    for v in (stats, other):
+        store.materialize_incremental(v, T0)
+    asked = spark.createDataFrame([(0, 2, "10"), (1, 1, "5"), (2, 9, "1"), (3, 2, "7")], "n int, k bigint, add string")
+    out = store.get_features(asked, [FeatureService("s", [other[["w"]], plus])], order_col="n")
+    assert out.columns == ["n", "k", "add", "w", "v_plus"] and dict(out.dtypes)["add"] == "bigint"
+    assert [tuple(r) for r in out.collect()] == [(0, 2, 10, 20, 12.5), (1, 1, 5, None, 6.5), (2, 9, 1, None, None), (3, 2, 7, 20, 9.5)]
+    named = store.get_features(asked, ["stats:v", "other:x"], project=Project("p").apply([stats, other, plus]), full_feature_names=True)
+    assert {r["n"]: (r["stats__v"], r["other__x"]) for r in named.collect()} == {0: (2.5, 21), 1: (1.5, None), 2: (None, None), 3: (2.5, 21)}
