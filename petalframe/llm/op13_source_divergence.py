@@ -1,13 +1,15 @@
 """Source divergence audit by single-pass in-memory indexing.
 
-1. Every task counts terms in memory: per language, term to postings (source,
-   occurrences) and document frequency. Once a block holds ``BLOCK_ENTRIES``
-   postings it is spilled as term-sorted runs, one per language and hash shard,
-   in chunks of at most ``CHUNK_TERMS`` terms.
-2. Runs of a shard are merged through a heap, ``FAN_IN`` at a time. Chunks
-   arrive by their first term, so a merge holds no more than the chunks that
-   overlap; with more runs, merged runs are merged again. The last merge drops
-   terms of fewer than ``min_docs`` documents.
+1. Every task holds documents until ``BLOCK_CHARS`` characters fill its memory,
+   then builds the block's postings (per language, term to sources with their
+   occurrences, and document frequency) and spills them as term-sorted runs, one
+   per language and hash shard, in chunks of at most ``CHUNK_TERMS`` terms.
+2. Runs of a shard are merged, ``FAN_IN`` at a time. Chunks arrive by their first
+   term; a heap of open chunks by their last term tells which are used up. What
+   lies before the newest first term is final and added up in one go whenever
+   ``MERGE_TERMS`` entries are open, so a merge holds that many and the chunks
+   that overlap. With more runs, merged runs are merged again. The last merge
+   drops terms of fewer than ``min_docs`` documents.
 3. Shares and divergences are exact integer arithmetic. A pair's sum over all
    V terms is that of two groups without any term, corrected by what each
    group's own terms change (from counts of equal shares, per group) and by the
@@ -23,21 +25,24 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import heapq
-import zlib
-from collections import Counter, defaultdict
-from itertools import chain, groupby, islice
+from bisect import bisect_left
+from collections import defaultdict
+from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from petalframe.llm.common import small_side, write_stage
+from petalframe.llm.words import _BYTE, _BYTES, _segment_hashes, mix
 
 MIN_DOCS, TOP_TERMS = 3, 200
-#: Postings a block holds before it is spilled; terms in a chunk of a run; runs one merge reads.
-BLOCK_ENTRIES, CHUNK_TERMS, FAN_IN = 400_000, 4_000, 512
+#: Characters of a block; terms in a chunk of a run; runs one merge reads; entries it holds before it adds up.
+BLOCK_CHARS, CHUNK_TERMS, FAN_IN, MERGE_TERMS = 8_000_000, 4_000, 512, 400_000
 #: Pair cells that one batch of corrections holds.
 PAIR_CELLS = 1 << 21
 
@@ -48,121 +53,199 @@ _RUNS = ("lang string, shard int, run bigint, first binary, terms array<binary>,
          "names array<string>, codes array<int>, counts array<bigint>")
 
 
-def terms_of(text: str) -> list[bytes]:
-    """The terms of a text, in order, as UTF-8."""
-    return text.encode("utf-8", "surrogatepass").translate(_TERM_BYTES).split()
+def term_bytes(text: str) -> bytes:
+    """The terms of a text, in order, as UTF-8, between blanks."""
+    return text.encode("utf-8", "surrogatepass").translate(_TERM_BYTES)
 
 
-def _chunks(lang: str, shard: int, run: int, entries) -> list:
-    """Record batches (one row each) of ``(term, df, {source: count})``, sorted by term."""
-    entries = iter(entries)
-    while block := list(islice(entries, CHUNK_TERMS)):
-        names = {s: k for k, s in enumerate(dict.fromkeys(chain.from_iterable(p for *_, p in block)))}
-        sizes = [len(p) for *_, p in block]
+@dataclass
+class Postings:
+    """Entries of one language: ``terms`` (binary), ``df``, how many postings each
+    has (``sizes``), and the postings: ``codes`` into ``names`` and ``counts``."""
+
+    terms: pa.Array
+    df: np.ndarray
+    sizes: np.ndarray
+    codes: np.ndarray
+    counts: np.ndarray
+    names: list
+
+    def part(self, a: int, z: int) -> "Postings":
+        at, z = np.concatenate([[0], np.cumsum(self.sizes)]), min(z, len(self.terms))
+        return Postings(self.terms[a:z], self.df[a:z], self.sizes[a:z], self.codes[at[a]:at[z]], self.counts[at[a]:at[z]], self.names)
+
+    def where(self, keep: np.ndarray) -> "Postings":
+        own = np.repeat(keep, self.sizes)
+        return Postings(self.terms.filter(pa.array(keep)), self.df[keep], self.sizes[keep], self.codes[own], self.counts[own], self.names)
+
+    def lists(self, values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(self.sizes)]), pa.int32()), values)
+
+
+def _runs_of(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(order, first, key)``: an order that sorts ``key``, where each value starts in it, the values."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, dtype=np.int64)
+    return order, first, key[first]
+
+
+def _sorted_terms(terms: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The distinct terms in order, and each entry's place among them."""
+    encoded = terms.dictionary_encode()
+    order = pc.sort_indices(encoded.dictionary).to_numpy()
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    return encoded.dictionary.take(pa.array(order)), rank[encoded.indices.to_numpy(zero_copy_only=False)]
+
+
+def _chunks(lang: str, shard: int, run: int, p: Postings):
+    """Record batches (one row each) of sorted entries."""
+    for a in range(0, len(p.terms), CHUNK_TERMS):
+        c = p.part(a, a + CHUNK_TERMS)
+
+        def one(values, kind):
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind) if not isinstance(values, pa.Array) else values)
+
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang], pa.string()), pa.array([shard], pa.int32()), pa.array([run], pa.int64()), pa.array([block[0][0]], pa.binary()),
-             pa.array([[t for t, *_ in block]], pa.list_(pa.binary())), pa.array([[d for _, d, _ in block]], pa.list_(pa.int64())),
-             pa.array([sizes], pa.list_(pa.int32())), pa.array([list(names)], pa.list_(pa.string())),
-             pa.array([[names[s] for *_, p in block for s in p]], pa.list_(pa.int32())),
-             pa.array([[n for *_, p in block for n in p.values()]], pa.list_(pa.int64()))],
+            [pa.array([lang], pa.string()), pa.array([shard], pa.int32()), pa.array([run], pa.int64()), pa.array([c.terms[0].as_py()], pa.binary()),
+             one(c.terms.cast(pa.binary()), None), one(c.df, pa.int64()), one(c.sizes, pa.int32()), one(c.names, pa.string()),
+             one(c.codes, pa.int32()), one(c.counts, pa.int64())],
             ["lang", "shard", "run", "first", "terms", "df", "sizes", "names", "codes", "counts"])
 
 
-def block_runs(docs: DataFrame, shards: int, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
-    """Sorted runs of ``(text, lang, source)``; the empty term counts a group's documents."""
+def block_postings(texts: list[bytes], sources: list[str]) -> Postings:
+    """Postings of documents (term bytes from :func:`term_bytes`) of one language, sorted by
+    term; the empty term counts documents."""
+    data = b" ".join(texts) + b" "
+    buf = np.frombuffer(data, dtype=np.uint8)
+    gap = np.empty(len(buf) + 1, dtype=bool)
+    gap[0], gap[1:] = True, buf == 0x20
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
+    starts, ends = edges[0::2], edges[1::2]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data.translate(None, b" "))])
+    terms, code = _sorted_terms(words)
+    at = np.cumsum([0] + [len(t) + 1 for t in texts])
+    docs = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, at)))
+    names = {s: k for k, s in enumerate(dict.fromkeys(sources))}
+    source = np.array([names[s] for s in sources], dtype=np.int64)
+    # the empty term, once a document, before all others
+    terms = pa.concat_arrays([pa.array([b""], terms.type), terms])
+    code, docs = np.concatenate([np.zeros(len(texts), dtype=np.int64), code + 1]), np.concatenate([np.arange(len(texts)), docs])
+    _, _, cells = _runs_of(code * len(texts) + docs)
+    df = np.bincount(cells // len(texts), minlength=len(terms))
+    _, first, key = _runs_of(code * len(names) + source[docs])
+    counts = np.diff(np.concatenate([first, [len(code)]]))
+    return Postings(terms, df, np.bincount(key // len(names), minlength=len(terms)), key % len(names), counts, list(names))
+
+
+def _shard_of(terms: pa.Array, shards: int) -> np.ndarray:
+    at = np.frombuffer(terms.buffers()[1], dtype=np.int64)[terms.offset:terms.offset + len(terms) + 1]
+    data = np.frombuffer(terms.buffers()[2], dtype=np.uint8)
+    return (mix(_segment_hashes(lambda a, b: _BYTE[data[a:b]], at[:-1], at[1:], _BYTES)) % np.uint64(shards)).astype(np.int64)
+
+
+def block_runs(docs: DataFrame, shards: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Sorted runs of ``(text, lang, source)``."""
 
     def index(batches):
-        run, held = TaskContext.get().partitionId() << 32, 0
-        block = defaultdict(lambda: (Counter(), defaultdict(Counter)))  # lang: documents of a term; source: its occurrences
+        run, size = TaskContext.get().partitionId() << 32, 0
+        held: dict[str, tuple[list, list]] = defaultdict(lambda: ([], []))
 
         def spill():
-            for lang, (seen, groups) in sorted(block.items()):
-                postings = defaultdict(dict)
-                for source, terms in groups.items():
-                    for t, n in terms.items():
-                        postings[t][source] = n
-                split = defaultdict(list)
-                for t in sorted(postings):
-                    split[zlib.crc32(t) % shards].append(t)
-                for shard, terms in split.items():
-                    yield from _chunks(lang, shard, run, ((t, seen[t], postings[t]) for t in terms))
+            for lang in sorted(held):
+                p = block_postings(*held[lang])
+                shard = _shard_of(p.terms, shards)
+                for k in np.unique(shard).tolist():
+                    yield from _chunks(lang, k, run, p.where(shard == k))
 
         for b in batches:
             for text, lang, source in zip(*(b.column(c).to_pylist() for c in ("text", "lang", "source"))):
-                own = terms_of(text)
-                own.append(b"")
-                seen, groups = block[lang]
-                group = groups[source]
-                held -= len(group)
-                group.update(own)
-                held += len(group)
-                seen.update(set(own))
-                if held >= block_entries:
+                texts, sources = held[lang]
+                texts.append(term_bytes(text))
+                sources.append(source)
+                size += len(text)
+                if size >= block_chars:
                     yield from spill()
-                    run, held = run + 1, 0
-                    block.clear()
+                    run, size = run + 1, 0
+                    held.clear()
         yield from spill()
 
     return docs.mapInArrow(index, _RUNS)
 
 
-def _merged(batches):
-    """``(lang, shard, group), term, df, {source: count}`` of chunks sorted by
-    lang, shard, group and first term."""
-    heap, key, n = [], None, 0
-
-    def drain(before: bytes | None):
-        """What no later chunk can add to: terms below ``before`` (all, if None)."""
-        while heap and (before is None or heap[0][0] < before):
-            term, df, postings = heap[0][0], 0, {}
-            while heap and heap[0][0] == term:
-                _, k, rest = heap[0]
-                _, d, own = rest.pop()
-                df += d
-                for s, c in own:
-                    postings[s] = postings.get(s, 0) + c
-                if rest:
-                    heapq.heapreplace(heap, (rest[-1][0], k, rest))
-                else:
-                    heapq.heappop(heap)
-            yield key, term, df, postings
+def _added_up(parts: list[Postings], names: list) -> Postings:
+    """Entries of several runs (codes into the same ``names``) with equal terms added up."""
+    terms, code = _sorted_terms(pa.concat_arrays([p.terms for p in parts]))
+    df, sizes, codes, counts = (np.concatenate([getattr(p, c) for p in parts]) for c in ("df", "sizes", "codes", "counts"))
+    order, first, _ = _runs_of(code)
+    df = np.add.reduceat(df[order], first) if len(first) else df
+    order, first, key = _runs_of(np.repeat(code, sizes) * max(1, len(names)) + codes)
+    counts = np.add.reduceat(counts[order], first) if len(first) else counts
+    return Postings(terms, df, np.bincount(key // max(1, len(names)), minlength=len(terms)), key % max(1, len(names)), counts, names)
+
+
+def _merged(batches, merge_terms: int):
+    """``(lang, shard, group)`` and sorted, added-up entries, part by part, of chunks
+    sorted by lang, shard, group and first term."""
+    heap, key, n, entries, names = [], None, 0, 0, {}
+
+    def take(before: bytes | None):
+        """Entries below ``before`` (all, if None): no later chunk can add to them."""
+        nonlocal entries
+        parts = []
+        while heap and (before is None or heap[0][0] < before):  # chunks that are used up
+            parts.append(heapq.heappop(heap)[2])
+        for i, (last, k, p) in enumerate(heap):
+            a = bisect_left(p.terms, before, key=lambda t: t.as_py())
+            if a:
+                parts.append(p.part(0, a))
+                heap[i] = (last, k, p.part(a, len(p.terms)))
+        entries -= sum(len(p.terms) for p in parts)
+        if parts:
+            yield key, _added_up(parts, list(names))
 
     for b in batches:
         for i in range(b.num_rows):
-            row = b.slice(i, 1).to_pylist()[0]
-            at = (row["lang"], row["shard"], row["group"])
-            if at != key:
-                yield from drain(None)
-                key = at
-            yield from drain(row["first"])
-            names, ends = row["names"], np.cumsum([0, *row["sizes"]]).tolist()
-            postings = [(names[c], m) for c, m in zip(row["codes"], row["counts"])]
-            entries = [(t, d, postings[x:y]) for t, d, x, y in zip(row["terms"], row["df"], ends, ends[1:])]
+            lang, shard, group, first = (b.column(c)[i].as_py() for c in ("lang", "shard", "group", "first"))
+            if (lang, shard, group) != key:
+                yield from take(None)
+                key = (lang, shard, group)
+                names.clear()
+            elif entries >= merge_terms:
+                yield from take(first)
+            terms = b.column("terms")[i].values
+            df, sizes, codes, counts = (b.column(c)[i].values.to_numpy() for c in ("df", "sizes", "codes", "counts"))
+            own = np.array([names.setdefault(x, len(names)) for x in b.column("names")[i].as_py()], dtype=np.int64)
             n += 1
-            heapq.heappush(heap, (row["first"], n, entries[::-1]))
-    yield from drain(None)
+            entries += len(terms)
+            heapq.heappush(heap, (terms[-1].as_py(), n, Postings(terms, df, sizes, own[codes], counts, [])))
+    yield from take(None)
 
 
-def frequencies(docs: DataFrame, min_docs: int = MIN_DOCS, shards: int | None = None, block_entries: int = BLOCK_ENTRIES,
-                fan_in: int = FAN_IN) -> DataFrame:
+def frequencies(docs: DataFrame, min_docs: int = MIN_DOCS, shards: int | None = None, block_chars: int = BLOCK_CHARS,
+                fan_in: int = FAN_IN, merge_terms: int = MERGE_TERMS) -> DataFrame:
     """``lang, term, df, total, sources, counts``: a row per language and term of at
     least ``min_docs`` documents, and one with the empty term, whose counts are documents."""
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs, _ = write_stage(block_runs(docs, shards, block_entries), "index-runs")
+    runs, _ = write_stage(block_runs(docs, shards, block_chars), "index-runs")
 
     def again(batches):
-        for key, entries in groupby(_merged(batches), key=lambda e: e[0]):
-            yield from _chunks(*key, ((t, d, p) for _, t, d, p in entries))
+        for (lang, shard, group), p in _merged(batches, merge_terms):
+            yield from _chunks(lang, shard, group, p)
 
     def last(batches):
-        kept = ((key[0], t, d, p) for key, t, d, p in _merged(batches) if d >= min_docs or not t)
-        while block := list(islice(kept, CHUNK_TERMS)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([e[0] for e in block], pa.string()), pa.array([e[1] for e in block], pa.binary()).cast(pa.string()),
-                 pa.array([e[2] for e in block], pa.int64()), pa.array([sum(e[3].values()) for e in block], pa.int64()),
-                 pa.array([list(e[3]) for e in block], pa.list_(pa.string())), pa.array([list(e[3].values()) for e in block], pa.list_(pa.int64()))],
-                ["lang", "term", "df", "total", "sources", "counts"])
+        for (lang, *_), p in _merged(batches, merge_terms):
+            p = p.where((p.df >= min_docs) | pc.equal(pc.binary_length(p.terms), 0).to_numpy(zero_copy_only=False))
+            for a in range(0, len(p.terms), CHUNK_TERMS):
+                c = p.part(a, a + CHUNK_TERMS)
+                total = np.add.reduceat(c.counts, np.cumsum(c.sizes) - c.sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(c.terms), pa.string()), c.terms.cast(pa.string()), pa.array(c.df, pa.int64()), pa.array(total, pa.int64()),
+                     c.lists(pa.array(c.names, pa.string()).take(pa.array(c.codes))), c.lists(pa.array(c.counts, pa.int64()))],
+                    ["lang", "term", "df", "total", "sources", "counts"])
 
     while True:
         groups = -(-runs.select("run").distinct().count() // fan_in)

@@ -184,7 +184,7 @@ def divergences(rows, top=200):
     return sorted(out)
 
 
-@pytest.mark.parametrize("index", [{}, {"shards": 3, "block_entries": 40, "fan_in": 2}])
+@pytest.mark.parametrize("index", [{}, {"shards": 3, "block_chars": 600, "fan_in": 2, "merge_terms": 20}])
 def test_op13_brute_force(spark, empty_docs, index):
     from petalframe.llm.op13_source_divergence import divergence
 
