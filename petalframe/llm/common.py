@@ -7,7 +7,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from petalframe.session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, _file_bytes, materialize_counted
+from petalframe.session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, _file_bytes, materialize_counted, prepare
 
 #: A word of a text, for Spark's Java regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,8 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def small_arrow_batches(spark: SparkSession) -> None:
-    """Texts may be long: what travels to Python at a time is bounded in rows and bytes."""
+def ready(spark: SparkSession) -> None:
+    """Session settings. Texts may be long: what travels to Python at a time is
+    bounded in rows and bytes."""
+    prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 

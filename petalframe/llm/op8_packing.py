@@ -126,7 +126,7 @@ def pack(pieces: DataFrame, n_pieces: int, tiers: tuple[int, ...] = TIERS, group
     piece rows, whose ``row_key`` is replaced."""
     groups = max(1, -(-n_pieces // group_pieces))
 
-    def pack_group(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def pack_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], kind="stable").reset_index(drop=True)
         lengths = rows["length"].to_numpy()
         window, offset, sizes = pack_lengths(lengths, tiers)

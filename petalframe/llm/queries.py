@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import functions as F
 
-from petalframe.llm.common import small_arrow_batches, table
+from petalframe.llm.common import ready, table
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -15,10 +15,7 @@ ORACLE: dict[str, str] = {}
 def register(name: str, sql: str | None = None):
     def wrap(fn):
         def run(spark, sf_dir):
-            from petalframe.session import prepare
-
-            prepare(spark)
-            small_arrow_batches(spark)
+            ready(spark)
             return fn(spark, sf_dir)
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
