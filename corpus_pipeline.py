@@ -5,13 +5,18 @@ their weights and the mix is packed into sequences.
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but
 the last return the columns of ``documents``. :func:`run` writes each stage's
 result under the shared checkpoint folder and rereads it for the next.
+
+Each stage reads whole texts of any length. Other columns than ``doc_id``,
+``text`` and ``source`` pass through untouched, whatever their names; empty
+tables stay empty; what a stage does with nulls, empty texts, ties and repeated
+rows is said in its docstring.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from petalframe.llm.common import table, write_stage
+from petalframe.llm.common import ready, table, write_stage
 from petalframe.llm.op2_toxicity import drop_toxic, fit_toxicity
 from petalframe.llm.op3_minhash import keep_one
 from petalframe.llm.op8_packing import pack_documents
@@ -20,27 +25,40 @@ from petalframe.llm.op10_mixing import mix_documents
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weakly supervised classifier does not call toxic."""
+    """Documents that the weakly supervised classifier does not call toxic. A null or
+    empty text is scored like any other; equal texts get equal scores; a null id is
+    scored and belongs to no label."""
+    ready(spark)
     return drop_toxic(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group linked at 80 % of its five-word shingles."""
+    """The document with the smallest id of each group linked at 80 % of its five-word
+    shingles. Texts without words are linked with nothing and stay; rows of a null id
+    stay; of several rows of one id one stays, the same at every run."""
+    ready(spark)
     return keep_one(docs, shingle=5, percent=80)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts masked."""
+    """All documents, secrets in their texts masked, ``n_chars`` adjusted; a null text
+    stays null, every row stays."""
+    ready(spark)
     return redact_secrets(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of weighted sources takes them."""
+    """Documents as often as the mix of weighted sources takes them. A null or empty
+    text is never taken; a null source is one of its own, ranked last; equal rows are
+    decided together."""
+    ready(spark)
     return mix_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix as packed token pieces."""
+    """The mix as packed token pieces. A null or empty text is its end id; every row is
+    a document of its own."""
+    ready(spark)
     return pack_documents(docs)
 
 
