@@ -101,6 +101,9 @@ class RequestSource:
 
 @dataclass
 class FeatureView:
+    """``enable_validation``: rows that an online store takes in are checked against
+    the schema (K6); rejects go to the view's ``_rejects`` folder."""
+
     name: str
     entities: list
     schema: list
@@ -214,6 +217,8 @@ def on_demand_feature_view(sources: list, schema: list, name: str | None = None,
 
 @dataclass
 class FeatureService:
+    """``logging_path``: what online retrieval serves is appended there."""
+
     name: str
     features: list
     logging_path: str | None = None

@@ -105,37 +105,57 @@ def distinct_classes(df: DataFrame, col: str) -> DataFrame:
 # ------------------------------------------------------------------ K6
 
 
+def _sql_type(t: T.DataType) -> str:
+    return t.simpleString().upper()
+
+
+def _json_field(text: Column, t: T.DataType) -> Column:
+    """A field's JSON text as its declared type; NULL where it does not convert."""
+    if isinstance(t, (T.StructType, T.ArrayType, T.MapType)):
+        return F.from_json(text, t)
+    return text.try_cast(t)
+
+
 def validate(df: DataFrame, fields: list, json_fields: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """K6: cast to the declared types with ``try_cast``; JSON string fields are
-    parsed with ``from_json`` against a DDL schema. A row whose non-null value
-    turns NULL is a reject. Returns (typed rows, rejects with a reason)."""
+    """K6: cast to the declared types with ``try_cast``. A JSON string column is
+    parsed to the texts of its fields, and each declared field is converted on
+    its own; a field that is absent or null is NULL.
+
+    Returns (typed rows, rejects). A row is rejected if a value that is there
+    does not convert. A reject keeps its columns as they came; ``reason`` says
+    for every broken value where, what, and which type it is not, joined by ``; ``.
+    """
     json_fields = json_fields or {}
-    typed = {}
-    bad = []
+    typed, bad = {}, []
+
+    def check(place: str, text: Column, value: Column, dtype: str) -> None:
+        told = F.concat(F.lit(f"{place}: '"), text.cast("string"), F.lit(f"' is not {dtype}"))
+        bad.append(F.when(text.isNotNull() & value.isNull(), told))
+
     for f in fields:
-        name, dtype = f.name, f.spark_type
-        src = F.col(name)
-        if name in json_fields:
-            jt = json_fields[name]
-            jt = jt if isinstance(jt, T.DataType) else T.DataType.fromDDL(jt)
-            new = F.from_json(src, jt)
-            broke = src.isNotNull() & new.isNull()
-            if isinstance(jt, T.StructType) and jt.fields:
-                # an object whose declared fields all fail to convert is a reject too
-                any_ok = F.lit(False)
-                for x in jt.fields:
-                    any_ok = any_ok | new.getField(x.name).isNotNull()
-                none_ok = ~any_ok
-                broke = broke | (src.isNotNull() & none_ok)
-        else:
-            new = src.try_cast(dtype)
-            broke = src.isNotNull() & new.isNull()
-        typed[name] = new
-        bad.append(F.when(broke, F.lit(name)))
-    reasons = F.filter(F.array(*bad), lambda x: x.isNotNull())
-    out = df.withColumn("_reject", reasons).withColumns(typed)
-    ok = out.where(F.size("_reject") == 0).drop("_reject")
-    rejects = out.where(F.size("_reject") > 0).withColumn("reason", F.array_join("_reject", ",")).drop("_reject")
+        src = F.col(f.name)
+        if f.name not in json_fields:
+            typed[f.name] = src.try_cast(f.spark_type)
+            check(f.name, src, typed[f.name], _sql_type(f.spark_type))
+            continue
+        jt = json_fields[f.name]
+        jt = jt if isinstance(jt, T.DataType) else T.DataType.fromDDL(jt)
+        if not isinstance(jt, T.StructType):
+            typed[f.name] = F.from_json(src, jt)
+            check(f.name, src, typed[f.name], _sql_type(jt))
+            continue
+        texts = F.from_json(src, "map<string,string>")
+        check(f.name, src, texts, "A JSON OBJECT")
+        parts = []
+        for x in jt.fields:
+            text = F.element_at(texts, F.lit(x.name))
+            value = _json_field(text, x.dataType)
+            check(f"{f.name}.{x.name}", text, value, _sql_type(x.dataType))
+            parts.append(value.alias(x.name))
+        typed[f.name] = F.when(texts.isNotNull(), F.struct(*parts))
+    out = df.withColumn("_reject", F.filter(F.array(*bad), lambda x: x.isNotNull()))
+    ok = out.where(F.size("_reject") == 0).drop("_reject").withColumns(typed)
+    rejects = out.where(F.size("_reject") > 0).withColumn("reason", F.array_join("_reject", "; ")).drop("_reject")
     return ok, rejects
 
 

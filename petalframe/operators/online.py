@@ -24,9 +24,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from petalframe.defs import FeatureView, LabelView
+from petalframe.defs import FeatureService, FeatureView, LabelView
+from petalframe.operators.checks import validate
 from petalframe.operators.pit import drop_inputs, features_needed, orderable
 from petalframe.session import materialize
+from petalframe.sources.io import log_served_features
 
 
 def _cols(cs) -> list:
@@ -271,6 +273,19 @@ class OnlineStore:
         src = view.batch_source
         return [*view.join_keys, src.timestamp_field, *([src.created_timestamp_column] if src.created_timestamp_column else []), *view.feature_names]
 
+    def _checked(self, view: FeatureView, rows: DataFrame) -> DataFrame:
+        """The rows of a view, checked if the view says so: rejects are appended to
+        ``<view>/_rejects`` with their reason, and stay out of the table."""
+        rows = rows.select(*self._columns(view))
+        if not view.enable_validation:
+            return rows
+        ok, bad = validate(rows, view.schema)
+        bad.write.mode("append").parquet(f"{self.base}/{view.name}/_rejects")
+        return ok
+
+    def rejects(self, view: FeatureView) -> DataFrame:
+        return self.spark.read.parquet(f"{self.base}/{view.name}/_rejects")
+
     def materialize_incremental(self, view: FeatureView, end, history: DataFrame | None = None) -> int:
         """K2: from the last end (exclusive) to ``end`` (inclusive); the history's
         time filter reaches its scan, and only touched buckets are rewritten."""
@@ -278,8 +293,8 @@ class OnlineStore:
         history = history if history is not None else src.load(self.spark)
         t = self.table(view.name)
         cur = t.current()
-        rows = slice_rows(history.select(*self._columns(view)), src.timestamp_field, cur["end_ts"] if cur else None, end)
-        return t.merge(rows, view.join_keys, self._resolve(view), end_ts=end)
+        rows = slice_rows(history, src.timestamp_field, cur["end_ts"] if cur else None, end)
+        return t.merge(self._checked(view, rows), view.join_keys, self._resolve(view), end_ts=end)
 
     def push(self, view: FeatureView, rows: DataFrame, offline_path: str | None = None,
              version: int | None = None, source: str = "push") -> int:
@@ -293,7 +308,9 @@ class OnlineStore:
             # one folder per version: a replay overwrites instead of duplicating
             name = f"{source}-{version}" if version is not None else f"{source}-{uuid.uuid4().hex}"
             rows.write.mode("overwrite").parquet(f"{offline_path.rstrip('/')}/batch={name}")
-        return self.table(view.name).merge(rows.select(*self._columns(view)), view.join_keys, self._resolve(view),
+        if version is not None and self.table(view.name).committed(source, version) is not None:
+            return self.table(view.name).committed(source, version)
+        return self.table(view.name).merge(self._checked(view, rows), view.join_keys, self._resolve(view),
                                            source=source if version is not None else None, batch=version)
 
     def latest(self, view: FeatureView, features: list) -> DataFrame:
@@ -317,7 +334,9 @@ class OnlineStore:
         computes the on-demand features from them and the request's columns.
 
         Every request is answered, repeated ones too; a key that a view lacks
-        gets NULLs there. ``order_col`` keeps the order of the requests."""
+        gets NULLs there. ``order_col`` keeps the order of the requests. What a
+        service with a ``logging_path`` serves is written there first, with the
+        time, and returned as it was logged."""
         plan = features_needed(items, requests, project, full_feature_names)
         out = plan.spine
         for view, feats in plan.views:
@@ -327,4 +346,7 @@ class OnlineStore:
             out = o.apply(out)
         # the request's columns first, as they came
         out = drop_inputs(out.select(*requests.columns, *[c for c in out.columns if c not in requests.columns]), plan)
+        for service in [i for i in items if isinstance(i, FeatureService) and i.logging_path]:
+            out = materialize(out, "served")
+            log_served_features(out, service.logging_path)
         return out.orderBy(order_col) if order_col else out

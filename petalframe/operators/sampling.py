@@ -60,6 +60,9 @@ def select_k_smallest(df: DataFrame, rank: str, tiebreak: list, strata: list,
 
     The per-stratum threshold table is written once, counted, and broadcast
     only below :data:`petalframe.session.BROADCAST_MAX_ROWS`.
+
+    ``(rank, *tiebreak)`` must tell rows apart: rows that are equal in it on
+    both sides of a threshold are an error, never one too many or too few.
     """
     strata = _cols(strata)
     const = not strata
@@ -88,9 +91,13 @@ def select_k_smallest(df: DataFrame, rank: str, tiebreak: list, strata: list,
     order = [F.col(rank)] + [F.col(c) for c in tiebreak]
     wb = Window.partitionBy(*strata).orderBy(*order)
     last = (_join_null_safe(b, thr, strata).where(F.col("_bk") == F.col("_B"))
-            .withColumn("_rn", F.row_number().over(wb)).where(F.col("_rn") == F.col("_need"))
-            .select(*strata, F.struct(*order).alias("_last")))
+            .withColumns({"_rn": F.row_number().over(wb), "_next": F.lead(F.struct(*order)).over(wb)}).where(F.col("_rn") == F.col("_need"))
+            .select(*strata, F.struct(*order).alias("_last"), F.coalesce(F.col("_next") == F.struct(*order), F.lit(False)).alias("_again")))
     thr, _ = bounded_broadcast(_join_null_safe(thr, last, strata, "left"))
+    again = thr.where("_again").select("_last").first()
+    if again is not None:
+        raise ValueError(f"keys must be unique: {tuple(again['_last'])[1:]} is repeated at the end of a selection")
+    thr = thr.drop("_again")
     sel = (F.col("_bk") < F.col("_B")) | ((F.col("_bk") == F.col("_B")) & (F.struct(*order) <= F.col("_last")))
     res = _join_null_safe(b, thr, strata).withColumn(out, F.coalesce(sel, F.lit(False))).drop("_bk", "_B", "_need", "_last")
     return res.drop("_s0") if const else res

@@ -109,9 +109,52 @@ def schema_validation_rejects(spark, sf_dir):
     """Typed ingest of events (value FLOAT, props JSON {k INT}); rejects flagged."""
     ev = Tables(spark, sf_dir).events.select("event_id", "value", "props")
     ok, bad = checks.validate(ev, [Field("value", "float"), Field("props", "string")], {"props": "k INT"})
-    both = ok.withColumn("accepted", F.lit(True)).unionByName(
-        bad.drop("reason").withColumn("accepted", F.lit(False)))
-    return both.select("event_id", "value", F.col("props.k").alias("k"), "accepted")
+    ok = ok.select("event_id", "value", F.col("props.k").alias("k"), F.lit(True).alias("accepted"))
+    bad = bad.select("event_id", F.col("value").cast("float").alias("value"), F.get_json_object("props", "$.k").try_cast("int").alias("k"),
+                     F.lit(False).alias("accepted"))
+    return ok.unionByName(bad)
+
+
+@register("json_field_checks", """
+WITH r AS (
+  SELECT event_id, event_id % 7 IN (0, 2) AS bad_props, event_id % 5 = 0 AS bad_amount,
+    CASE CAST(event_id % 7 AS INTEGER)
+    WHEN 0 THEN '{"k": "n' || CAST(user_id AS VARCHAR) || '", "kind": "' || event_type || '"}'
+    WHEN 1 THEN '{"kind": "' || event_type || '"}' WHEN 2 THEN 'not json ' || CAST(event_id AS VARCHAR) WHEN 3 THEN '{}'
+    ELSE '{"k": ' || json_extract_string(props, '$.k') || ', "kind": "' || event_type || '"}' END AS props,
+    event_type, json_extract_string(props, '$.k') AS k0, user_id, value
+  FROM events)
+SELECT event_id, NOT (bad_props OR bad_amount) AS accepted, CASE WHEN bad_props OR bad_amount THEN props END AS raw_props,
+  CASE WHEN NOT (bad_props OR bad_amount) AND event_id % 7 NOT IN (1, 3) THEN CAST(k0 AS INTEGER) END AS k,
+  CASE WHEN NOT (bad_props OR bad_amount) AND event_id % 7 <> 3 THEN event_type END AS kind,
+  CASE WHEN NOT (bad_props OR bad_amount) THEN CAST(floor(value) AS BIGINT) END AS amount,
+  CASE WHEN bad_props OR bad_amount THEN CAST(bad_props AS INTEGER) + CAST(bad_amount AS INTEGER) END AS faults,
+  CASE WHEN event_id % 7 = 0 THEN 'props.k: ' || chr(39) || 'n' || CAST(user_id AS VARCHAR) || chr(39) || ' is not INT'
+       WHEN event_id % 7 = 2 THEN 'props: ' || chr(39) || props || chr(39) || ' is not A JSON OBJECT' END AS props_fault
+FROM r
+""")
+def json_field_checks(spark, sf_dir):
+    """K6: events whose props are broken in part (a text for a number, no object, a
+    field left out) and whose amounts carry a unit: rejects keep the raw text and
+    say which field is at fault."""
+    ev = Tables(spark, sf_dir).events
+    broken = F.pmod("event_id", F.lit(7))
+    k, kind = F.get_json_object("props", "$.k"), F.concat(F.lit('"kind": "'), "event_type", F.lit('"}'))
+    props = (F.when(broken == 0, F.concat(F.lit('{"k": "n'), F.col("user_id").cast("string"), F.lit('", '), kind))
+             .when(broken == 1, F.concat(F.lit("{"), kind)).when(broken == 2, F.concat(F.lit("not json "), F.col("event_id").cast("string")))
+             .when(broken == 3, F.lit("{}")).otherwise(F.concat(F.lit('{"k": '), k, F.lit(", "), kind)))
+    amount = F.when(F.pmod("event_id", F.lit(5)) == 0, F.concat(F.col("value").cast("string"), F.lit("ms"))).otherwise(
+        F.floor("value").cast("string"))
+    rows = ev.select("event_id", props.alias("props"), amount.alias("amount"))
+    ok, bad = checks.validate(rows, [Field("amount", "bigint"), Field("props", "string")], {"props": "k INT, kind STRING"})
+    none = F.lit(None)
+    ok = ok.select("event_id", F.lit(True).alias("accepted"), none.cast("string").alias("raw_props"), F.col("props.k").alias("k"),
+                   F.col("props.kind").alias("kind"), "amount", none.cast("int").alias("faults"), none.cast("string").alias("props_fault"))
+    faults = F.split("reason", "; ")
+    bad = bad.select("event_id", F.lit(False).alias("accepted"), F.col("props").alias("raw_props"), none.cast("int").alias("k"),
+                     none.cast("string").alias("kind"), none.cast("bigint").alias("amount"), F.size(faults).alias("faults"),
+                     F.try_element_at(F.filter(faults, lambda x: x.startswith("props")), F.lit(1)).alias("props_fault"))
+    return ok.unionByName(bad)
 
 
 @register("json_map_struct", """

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from petalframe.functions.rand import sql_hash_rank, sql_uniform
 from petalframe.operators import metrics as M
 from petalframe.operators import models, sampling
+from petalframe.operators.tree_fit import fit_exact_tree
+from petalframe.operators.treeshap import predict
 from petalframe.plans.q_metrics import MIN_CHARS, _MACRO, metrics_sql
 from petalframe.plans.registry import register
-from petalframe.session import materialize
+from petalframe.session import materialize, work_dir
 from petalframe.sources.io import Tables
 
 LEVELS = (0, 5, 10, 50)
@@ -84,6 +86,16 @@ def run_log(spark, sf_dir):
     return run_table(spark, sf_dir)
 
 
+@register("run_log_sink", _RUN_LOG_SQL)
+def run_log_sink(spark, sf_dir):
+    """M7: the run table appended to its sink, half of its runs a second time, read back."""
+    path = work_dir(spark, "run-log")
+    log = materialize(run_table(spark, sf_dir), "runs")
+    models.append_runs(log, path)
+    models.append_runs(log.where(F.col("version") % 2 == 0), path)
+    return models.read_runs(spark, path)
+
+
 @register("metric_summary_by_level", f"""
 WITH l AS ({_RUN_LOG_SQL}),
 w AS (SELECT run_id, max(CASE WHEN key = 'poisoning_level' THEN value END) AS poisoning_level,
@@ -158,13 +170,63 @@ def poison_sweep(spark, sf_dir):
     runs = [(i + 1, lv, 42 + lv) for i, lv in enumerate(LEVELS)]
     clean = train.select("vec_id", "label", "embedding").cache()
     poisoned = sampling.poison_runs(clean, "vec_id", [], "label", runs, array_feature="embedding").cache()
+    labels = models.class_labels(clean, "label")
     fitted = models.fit_parallel(
-        [lambda r=r: models.fit_logistic(poisoned.where(F.col("run_id") == r), "embedding", "label", dims=DIMS)
+        [lambda r=r: models.fit_logistic(poisoned.where(F.col("run_id") == r), "embedding", "label", dims=DIMS, labels=labels)
          for r, _, _ in runs], parallelism=len(runs))
-    scored = None
-    for (run_id, lv, seed), m in zip(runs, fitted):
-        s = (m.transform(test.select("label", "embedding")).select("label", "prediction")
-             .withColumn("poisoning_level", F.lit(lv)))
-        scored = s if scored is None else scored.unionByName(s)
-    out = M.classification_metrics(scored, "label", "prediction", ["poisoning_level"]).orderBy("poisoning_level")
-    return out
+    scored = models.score_all(test.select("label", "embedding"), {lv: m for (_, lv, _), m in zip(runs, fitted)}, ["label"], "poisoning_level")
+    # the fits are done: only the models are needed from here
+    poisoned.unpersist()
+    clean.unpersist()
+    return M.classification_metrics(scored, "label", "prediction", ["poisoning_level"]).orderBy("poisoning_level")
+
+
+_SIZES = """SELECT p_partkey, CAST(p_size AS DOUBLE) AS size, p_retailprice AS price,
+  CASE WHEN p_size <= 10 THEN 'small' WHEN p_size BETWEEN 21 AND 30 THEN 'medium' WHEN p_size >= 41 THEN 'large' END AS kind
+  FROM part WHERE p_size <= 10 OR p_size BETWEEN 21 AND 30 OR p_size >= 41"""
+
+
+def _sized_parts(spark, sf_dir):
+    p = Tables(spark, sf_dir).part
+    kind = F.when(F.col("p_size") <= 10, "small").when(F.col("p_size").between(21, 30), "medium").when(F.col("p_size") >= 41, "large")
+    return p.select("p_partkey", F.col("p_size").cast("double").alias("size"), F.col("p_retailprice").alias("price"), kind.alias("kind")).where(
+        "kind IS NOT NULL")
+
+
+@register("logreg_string_labels", f"SELECT p_partkey, kind, kind AS prediction FROM ({_SIZES})")
+def logreg_string_labels(spark, sf_dir):
+    """Classes that part by a wide margin, labelled by name: fitted with
+    the scaler, saved as two versions, the newest loaded, every part scored."""
+    parts, base = _sized_parts(spark, sf_dir), work_dir(spark, "model")
+    models.save_version(models.fit_logistic(parts, ["price"], "kind"), base)
+    models.save_version(models.fit_logistic(parts, ["size", "price"], "kind", C=100.0), base)
+    return models.load_newest(spark, base).transform(parts).select("p_partkey", "kind", "prediction")
+
+
+def _greedy_sql(depth: int) -> str:
+    """Greedy gini splits of customers' segments by nation and balance, level by level."""
+    out = """WITH n0 AS (SELECT c_custkey, c_mktsegment AS y, CAST(c_nationkey AS DOUBLE) AS x0, c_acctbal AS x1, CAST(1 AS INTEGER) AS node FROM customer)"""
+    for k in range(depth):
+        out += f""",
+v{k} AS (SELECT node, f, x, y, count(*) AS c FROM (SELECT node, 0 AS f, x0 AS x, y FROM n{k} UNION ALL SELECT node, 1, x1, y FROM n{k}) GROUP BY ALL),
+g{k} AS (SELECT a.node, a.f, a.x, b.y, coalesce(v.c, 0) AS c
+  FROM (SELECT DISTINCT node, f, x FROM v{k}) a JOIN (SELECT DISTINCT node, y FROM v{k}) b ON a.node = b.node
+  LEFT JOIN v{k} v ON v.node = a.node AND v.f = a.f AND v.x = a.x AND v.y = b.y),
+c{k} AS (SELECT *, sum(c) OVER (PARTITION BY node, f, y ORDER BY x) AS l, sum(c) OVER (PARTITION BY node, f, y) AS t FROM g{k}),
+s{k} AS (SELECT node, f, x, sum(l) AS nl, sum(t) AS nt, sum(t * t) AS st, sum(l * l) AS sl, sum((t - l) * (t - l)) AS sr FROM c{k} GROUP BY ALL),
+q{k} AS (SELECT *, lead(x) OVER (PARTITION BY node, f ORDER BY x) AS nx FROM s{k}),
+b{k} AS (SELECT node, f, (x + nx) / 2 AS threshold FROM q{k} WHERE nx IS NOT NULL AND st < nt * nt
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY round((sl / nl + sr / (nt - nl)) / nt, 9) DESC, f, x) = 1),
+n{k + 1} AS (SELECT c_custkey, y, x0, x1, CAST(CASE WHEN f IS NULL THEN n.node WHEN CASE WHEN f = 0 THEN x0 ELSE x1 END <= threshold THEN 2 * n.node
+  ELSE 2 * n.node + 1 END AS INTEGER) AS node FROM n{k} n LEFT JOIN b{k} b ON n.node = b.node)"""
+    return out + f""",
+m AS (SELECT node, y FROM n{depth} GROUP BY node, y QUALIFY row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, y) = 1)
+SELECT c_custkey, n.node AS leaf, m.y AS prediction FROM n{depth} n JOIN m ON n.node = m.node"""
+
+
+@register("tree_exact", _greedy_sql(3))
+def tree_exact(spark, sf_dir):
+    """M3/M6: a tree of depth 3 with exact thresholds on string classes; leaf and label of every customer."""
+    c = Tables(spark, sf_dir).customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    tree = fit_exact_tree(c, ["c_nationkey", "c_acctbal"], "c_mktsegment", max_depth=3)
+    return predict(c, tree).select("c_custkey", "leaf", "prediction")

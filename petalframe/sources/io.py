@@ -71,10 +71,24 @@ def guarded_load(spark: SparkSession, path: str, step: str, fmt: str = "parquet"
         raise
 
 
-def log_served_features(df: DataFrame, path: str, ts_col: str | None = None) -> None:
-    """Append served rows, partitioned by the day they were served."""
-    day = F.to_date(F.col(ts_col)) if ts_col else F.current_date()
-    df.withColumn("log_date", day).write.mode("append").partitionBy("log_date").parquet(path)
+def log_served_features(df: DataFrame, path: str, ts_col: str | None = None, served_at=None) -> None:
+    """Append served rows with the time they were served (``served_at``: a
+    column, default now), partitioned by the day of ``ts_col`` or of that time."""
+    df = with_ingest_time(df, "served_at", served_at)
+    df.withColumn("log_date", F.to_date(F.col(ts_col or "served_at"))).write.mode("append").partitionBy("log_date").parquet(path)
+
+
+def read_served_log(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """S9 read back: days from ``start`` to before ``end`` (dates as text); other days are pruned."""
+    log = spark.read.parquet(path)
+    if start is not None:
+        log = log.where(F.col("log_date") >= F.lit(start).cast("date"))
+    return log if end is None else log.where(F.col("log_date") < F.lit(end).cast("date"))
+
+
+def with_ingest_time(df: DataFrame, col: str = "ingest_timestamp", at=None) -> DataFrame:
+    """The time the rows were read in, one value for the whole job."""
+    return df.withColumn(col, at if at is not None else F.current_timestamp())
 
 
 def inline_table(spark: SparkSession, rows: list, schema: T.StructType | str) -> DataFrame:

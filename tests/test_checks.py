@@ -33,7 +33,7 @@ def test_validate_rejects(spark):
     ok, bad = checks.validate(df, [Field("v", "double"), Field("props", "string")], {"props": "k INT"})
     assert ok.count() == 1 and ok.first()["props"]["k"] == 3
     reasons = sorted(r["reason"] for r in bad.collect())
-    assert reasons == ["props", "props", "v"]
+    assert reasons == ["props.k: 'x' is not INT", "props: 'not json' is not A JSON OBJECT", "v: 'abc' is not DOUBLE"]
 
 
 def test_scaler_population_deviation(spark):
@@ -48,3 +48,19 @@ def test_distinct_classes(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "c string")
     rows = sorted((r["c"], r["class_index"], r["n_classes"]) for r in checks.distinct_classes(df, "c").collect())
     assert rows == [("a", 0, 2), ("b", 1, 2)]
+
+
+def test_json_fields_are_checked_one_by_one(spark):
+    from petalframe.defs import Field
+
+    rows = [(1, '{"a": 5, "b": "x", "c": {"d": 1.5}}', "1"), (2, '{"a": "x", "b": 2}', "2"), (3, "{}", "3"), (4, None, "4"),
+            (5, "[1]", "5"), (6, "nonsense", "6"), (7, '{"a": null, "c": {"d": "q"}, "e": 1}', "7"), (8, '{"a": 1.5}', "8z"), (9, '{"a": "12"}', None)]
+    df = spark.createDataFrame(rows, "id int, js string, n string")
+    ok, bad = checks.validate(df, [Field("n", "int"), Field("js", "string")], {"js": "a INT, b STRING, c STRUCT<d: DOUBLE>"})
+    got = {r["id"]: (r["js"] and (r["js"]["a"], r["js"]["b"], r["js"]["c"] and r["js"]["c"]["d"]), r["n"]) for r in ok.collect()}
+    assert got[1] == ((5, "x", 1.5), 1) and got[3] == ((None, None, None), 3) and got[4] == (None, 4) and got[9] == ((12, None, None), None)
+    told = {r["id"]: (r["js"], r["n"], r["reason"]) for r in bad.collect()}
+    assert told[2] == ('{"a": "x", "b": 2}', "2", "js.a: 'x' is not INT")  # raw text, the field at fault
+    assert told[6] == ("nonsense", "6", "js: 'nonsense' is not A JSON OBJECT") and told[5][2].startswith("js: '[1]'")
+    assert told[8][2].split("; ")[0] == "n: '8z' is not INT" and told[8][0] == '{"a": 1.5}'
+    assert set(got) | set(told) == set(range(1, 10)) and not set(got) & set(told)

@@ -56,3 +56,15 @@ def test_definitions_validate(spark):
     src = BatchSource("s", "ts", frame=spark.createDataFrame([(1, "x")], "driver_id bigint, ts string"))
     with pytest.raises(TypeError):
         src.load(spark)
+
+
+def test_served_log_days_and_times(spark, tmp_dir):
+    from datetime import datetime
+
+    rows = spark.createDataFrame([(1, datetime(2024, 1, 1, 23)), (2, datetime(2024, 1, 2, 1))], "k int, ts timestamp_ntz")
+    io.log_served_features(rows, tmp_dir + "/log", "ts")
+    io.log_served_features(rows, tmp_dir + "/log", "ts", F.lit("2024-05-05 00:00:00").cast("timestamp"))
+    assert io.read_served_log(spark, tmp_dir + "/log").count() == 4
+    day = io.read_served_log(spark, tmp_dir + "/log", "2024-01-02", "2024-01-03")
+    assert {r["k"] for r in day.collect()} == {2} and day.where("served_at is null").count() == 0
+    assert io.with_ingest_time(rows).select("ingest_timestamp").distinct().count() == 1

@@ -60,3 +60,101 @@ def test_sized_for_iterations_partitions(spark):
     assert k == 100 and z.rdd.getNumPartitions() == 3  # close enough: left as is
     for d in (x, y, z):
         d.unpersist()
+
+
+def test_string_labels_saved_and_newest(spark, tmp_dir):
+    import pytest
+
+    rows = [(float(i % 30), "low" if i % 30 < 10 else "mid" if i % 30 < 20 else "high") for i in range(600)] + [(5.0, None)]
+    df = spark.createDataFrame(rows, "x double, kind string").where("x < 8 or x between 11 and 18 or x > 21 or kind is null")
+    m = models.fit_logistic(df, ["x"], "kind", C=100.0)
+    assert m.labels == ["high", "low", "mid"] and m.label_type == "string"
+    base = tmp_dir + "/models"
+    assert models.saved_versions(spark, base) == []
+    with pytest.raises(RuntimeError):
+        models.load_newest(spark, base)
+    tree = models.fit_tree(df, ["x"], "kind", max_depth=2)
+    assert models.save_version(tree, base) == 1 and models.save_version(m, base) == 2
+    for loaded in (models.load_newest(spark, base), models.load_model(spark, base + "/version=1")):
+        out = loaded.transform(df.where("kind is not null"))
+        assert dict(out.dtypes)["prediction"] == "string" and out.where("prediction != kind").count() == 0
+    newest = models.load_newest(spark, base)
+    assert newest.scaler == m.scaler and newest.params == m.params and newest.features == ["x"]
+
+
+def test_score_all_reads_the_rows_once(spark):
+    import contextlib
+    import io
+
+    df = spark.range(300).select((F.col("id") % 11).cast("double").alias("x"), (F.col("id") % 11 > 5).cast("long").alias("y"))
+    fitted = {r: models.fit_tree(df, ["x"], "y", max_depth=r) for r in (1, 2)}
+    out = models.score_all(df, fitted, ["y"])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain("formatted")
+    assert buf.getvalue().count(") Range") <= 2 and "Union" not in buf.getvalue()  # once in the tree, once in the details
+    assert out.count() == 600 and out.where("prediction != y").count() == 0 and dict(out.dtypes)["prediction"] == "bigint"
+
+
+def _greedy(rows, n_features, depth, impurity, k):
+    """Exact greedy splits of (x..., class) rows: {leaf: sorted rows}."""
+    import math
+    from collections import Counter
+
+    def score(side):
+        c, n = Counter(r[-1] for r in side).values(), len(side)
+        return sum(x * x for x in c) / n if impurity == "gini" else sum(x * math.log(x / n) for x in c)
+
+    def grow(node, rows, level):
+        if level == 0 or len({r[-1] for r in rows}) < 2:
+            return {node: sorted(rows)}
+        best = None
+        for f in range(n_features):
+            xs = sorted({r[f] for r in rows})
+            for a, b in zip(xs, xs[1:]):
+                left, right = [r for r in rows if r[f] <= a], [r for r in rows if r[f] > a]
+                v = (round((score(left) + score(right)) / len(rows), 9), -f, -a)
+                if best is None or v > best[0]:
+                    best = v, f, (a + b) / 2 if b < 1e300 else a
+        if best is None:
+            return {node: sorted(rows)}
+        _, f, t = best
+        return grow(2 * node, [r for r in rows if r[f] <= t], level - 1) | grow(2 * node + 1, [r for r in rows if r[f] > t], level - 1)
+
+    return grow(1, rows, depth)
+
+
+def test_exact_tree_equals_greedy_search(spark):
+    import random
+
+    from petalframe.operators.tree_fit import fit_exact_tree
+    from petalframe.operators.treeshap import predict
+
+    rnd = random.Random(6)
+    rows = [(round(rnd.uniform(0, 9), 2), float(rnd.randint(0, 5)), rnd.choice("pqr") if rnd.random() < 0.4 else "pqr"[int(rnd.random() * 2.9)]) for _ in range(400)]
+    rows = [(a, b, "q" if a > 6 and rnd.random() < 0.7 else y) for a, b, y in rows] + [(1e301, 2.0, "p"), (1e301, 3.0, "r")]
+    # 1e301 stands for missing in the brute force: larger than any value
+    df = spark.createDataFrame([(None if a > 1e300 else a, b, y) for a, b, y in rows] + [(1.0, 1.0, None)], "a double, b double, y string").repartition(3)
+    for impurity, ranges in (("gini", None), ("entropy", 9)):
+        tree = fit_exact_tree(df, ["a", "b"], "y", max_depth=3, impurity=impurity, ranges=ranges)
+        want = _greedy(rows, 2, 3, impurity, 3)
+        got = {}
+        for r in predict(df.where("y is not null"), tree).collect():
+            got.setdefault(r["leaf"], []).append((1e301 if r["a"] is None else r["a"], r["b"], r["y"]))
+        assert {k: sorted(v) for k, v in got.items()} == want
+        assert sum(sum(tree.nodes[k].counts) for k in want) == len(rows)
+    # more distinct values than any fixed number of bins: the cut is exact
+    many = spark.range(5_000).select((F.col("id") / 7).alias("x"), F.when(F.col("id") < 3_333, "a").otherwise("b").alias("y"))
+    assert fit_exact_tree(many, ["x"], "y", max_depth=2).nodes[1].threshold == (3_332 / 7 + 3_333 / 7) / 2
+    assert len(fit_exact_tree(many, ["x"], "y", max_depth=2).nodes) == 3  # pure leaves are not split
+
+
+def test_run_log_sink_is_idempotent(spark, tmp_dir):
+    runs = spark.createDataFrame([(1, 0.5), (2, 0.75)], "run_id int, accuracy double")
+    log = models.run_log(runs, "e", [], ["accuracy"])
+    for _ in range(2):
+        models.append_runs(log, tmp_dir + "/log")
+    models.append_runs(models.run_log(runs.withColumn("accuracy", F.lit(0.25)).where("run_id = 2"), "e", [], ["accuracy"]), tmp_dir + "/log")
+    models.append_runs(models.run_log(runs.where("run_id = 1"), "f", [], ["accuracy"]), tmp_dir + "/log")
+    got = {(r["experiment"], r["run_id"]): r["value"] for r in models.read_runs(spark, tmp_dir + "/log").collect()}
+    assert got == {("e", "1"): 0.5, ("e", "2"): 0.25, ("f", "1"): 0.5}

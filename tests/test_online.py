@@ -173,3 +173,21 @@ def test_online_features_of_a_service(spark, tmp_dir):
     assert [tuple(r) for r in out.collect()] == [(0, 2, 10, 20, 12.5), (1, 1, 5, None, 6.5), (2, 9, 1, None, None), (3, 2, 7, 20, 9.5)]
     named = store.get_features(asked, ["stats:v", "other:x"], project=Project("p").apply([stats, other, plus]), full_feature_names=True)
     assert {r["n"]: (r["stats__v"], r["other__x"]) for r in named.collect()} == {0: (2.5, 21), 1: (1.5, None), 2: (None, None), 3: (2.5, 21)}
+
+
+def test_validation_and_serving_log_of_a_view(spark, tmp_dir):
+    from petalframe.defs import FeatureService
+
+    view = FeatureView("raw", [Entity("e", ["k"])], [Field("v", "int")], BatchSource("b", "ts", frame=None), enable_validation=True)
+    store = online.OnlineStore(spark, tmp_dir + "/s")
+    rows = spark.createDataFrame([(1, T0, "5"), (2, T0, "x"), (3, T0, None)], "k bigint, ts timestamp_ntz, v string")
+    store.push(view, rows, version=0, source="a")
+    store.push(view, rows, version=0, source="a")  # replayed: neither rows nor rejects twice
+    assert {r["k"]: r["v"] for r in store.table("raw").read().collect()} == {1: 5, 3: None}
+    assert [(r["k"], r["v"], r["reason"]) for r in store.rejects(view).collect()] == [(2, "x", "v: 'x' is not INT")]
+    service = FeatureService("s", [view], logging_path=tmp_dir + "/served")
+    asked = spark.createDataFrame([(1,), (9,)], "k bigint")
+    for _ in range(2):
+        assert {r["k"]: r["v"] for r in store.get_features(asked, [service]).collect()} == {1: 5, 9: None}
+    log = spark.read.parquet(tmp_dir + "/served")
+    assert log.count() == 4 and log.where("served_at is null or log_date is null").count() == 0

@@ -113,3 +113,11 @@ def test_null_stratum_keeps_its_rows(spark):
     out = stratified_split(df, "id", "s", 0.2, seed=1)
     assert out.count() == 100 and out.where("s is null").count() == 10
     assert out.where("split = 'test'").count() == 20 and out.where("s is null and split = 'test'").count() == 2
+
+
+def test_repeated_keys_are_an_error_not_a_wrong_count(spark):
+    same = spark.createDataFrame([(7, float(i)) for i in range(1000)], "id int, v double")
+    with pytest.raises(ValueError, match="unique"):
+        sampling.sample_exact_k(same, "id", 10, 42)
+    assert sampling.sample_exact_k(same, "id", 100, 42).where("sampled").count() == 1000  # nothing to tell apart
+    assert sampling.sample_exact_k(same, ["id", "v"], 10, 42).where("sampled").count() == 100

@@ -64,15 +64,68 @@ def test_shap_equals_brute_force_and_sums(spark):
             assert sum(got[(i, c, f)] for c in tree.classes) == pytest.approx(0, abs=1e-12)
 
 
-def test_pandas_fallback_matches(spark, monkeypatch):
-    tree = fixed_tree()
-    df = spark.createDataFrame(_rows(15, 9), "id int, " + ", ".join(f"{f} double" for f in FEATURES))
-    a = {(r["id"], r["class"], r["feature"]): r["phi"] for r in treeshap.shap_values(df, tree, ["id"]).collect()}
-    monkeypatch.setattr(treeshap, "EXPR_LIMIT", 0)
-    b = {(r["id"], r["class"], r["feature"]): r["phi"] for r in treeshap.shap_values(df, tree, ["id"]).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert a[k] == pytest.approx(b[k], abs=1e-9)
+def _random_tree(rnd, depth, features, names=("a", "b", "c")):
+    nodes, ids = [], itertools.count(1)
+
+    def grow(level, counts):
+        i = next(ids)
+        if level == 0 or sum(counts) < 2 or rnd.random() < 0.1:
+            nodes.append(treeshap.Node(i, counts))
+            return i
+        left = [rnd.randint(0, c) for c in counts]
+        if not 0 < sum(left) < sum(counts):
+            nodes.append(treeshap.Node(i, counts))
+            return i
+        right = [c - x for c, x in zip(counts, left)]
+        n = treeshap.Node(i, counts, feature=rnd.choice(features), threshold=rnd.uniform(0, 10))
+        n.left, n.right = grow(level - 1, left), grow(level - 1, right)
+        nodes.append(n)
+        return i
+
+    grow(depth, [400, 300, 500])
+    return treeshap.Tree(nodes, list(names), features)
+
+
+def test_deep_trees_and_missing_values(spark, monkeypatch):
+    """Features met again and again on a path; NULL and NaN go right, as in scoring."""
+    monkeypatch.setattr(treeshap, "SLICE_ROWS", 7)
+    rnd = random.Random(3)
+    for depth in (1, 4, 9):
+        tree = _random_tree(rnd, depth, FEATURES)
+        rows = [(i, *(rnd.choice([rnd.uniform(0, 10), rnd.uniform(0, 10), None, float("nan")]) for _ in FEATURES)) for i in range(30)]
+        df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{f} double" for f in FEATURES))
+        got = {(r["id"], r["class"], r["feature"]): r["phi"] for r in treeshap.shap_values(df, tree, ["id"], digits=None).collect()}
+        assert len(got) == 30 * 3 * len(FEATURES)
+        scored = {r["id"]: (r["leaf"], r["prediction"]) for r in treeshap.predict(df, tree).collect()}
+        for i, *xs in rows:
+            x = {f: math.inf if v is None or math.isnan(v) else v for f, v in zip(FEATURES, xs)}
+            for ci, c in enumerate(tree.classes):
+                want = _shap_brute(tree, x, ci)
+                assert all(got[i, c, f] == pytest.approx(want[f], abs=1e-11) for f in FEATURES)
+                leaf = tree.nodes[scored[i][0]]
+                assert sum(got[i, c, f] for f in FEATURES) == pytest.approx(leaf.counts[ci] / sum(leaf.counts) - tree.base_value[ci], abs=1e-11)
+
+
+def test_a_path_of_forty_features():
+    """2**40 subsets: only the sum is checked (value of the leaf minus the base value)."""
+    import numpy as np
+
+    names = [f"f{i}" for i in range(40)]
+    nodes = []
+    for i in range(40):
+        n = 1000 - 20 * i
+        nodes.append(treeshap.Node(2 * i + 1, [n // 2 + i, n - n // 2 - i], 2 * i + 2, 2 * i + 3, names[i], 0.5))
+        nodes.append(treeshap.Node(2 * i + 2, [20 - i % 20, i % 20]))
+    nodes.append(treeshap.Node(81, [150, 50]))
+    tree = treeshap.Tree(nodes, ["n", "y"], names)
+    x = np.random.default_rng(1).random((50, 40)) * 0.6 + 0.3
+    phi = treeshap.leaf_values(tree, x)
+    for r, row in enumerate(x):
+        i = next((k for k in range(40) if row[k] <= 0.5), None)
+        leaf = tree.nodes[81 if i is None else 2 * i + 2]
+        for c in range(2):
+            expected = sum(lf.value[c] * np.prod(list(lf.cover.values())) for lf in tree.leaves)
+            assert phi[r, c].sum() == pytest.approx(leaf.counts[c] / sum(leaf.counts) - expected, abs=1e-10)
 
 
 def test_predict_and_report(spark):
