@@ -1,22 +1,24 @@
 """Hierarchical multi-length packing.
 
-A document's ids (with the end id) are cut into pieces of the longest context
-size and one remainder. Each piece is routed to the smallest context tier
-(a power of two) that holds it. Pieces are dealt to groups of bounded size by
-a hash of ``row_key``, the task and row number each has in the written table of
-pieces, so neither a hot source nor a very long document nor a row repeated
-very often makes a large group; inside a group the long tier is packed first, gaps of its
-windows are filled from the same and the shorter tiers (the longest piece that
-still fits, taken from counts by length), then the next tier is packed with
-what is left. Windows of a group are dealt to step groups in order of their
-attention cost, back and forth, so steps of one tier cost about the same.
-
-Ids are made in one pass, which also takes each piece's checksum; only one
-short row a piece is shuffled, never the ids.
+Every task packs the documents it reads, a pool of bounded size at a time, so
+nothing is shuffled and neither a hot source nor a row repeated very often makes
+a large group. A document's ids (with the end id) beyond its last full context
+size are windows of their own at once; what is left waits in the pool. There
+each piece is routed to the smallest context tier (a power of two) that holds
+it. The longest piece opens a window of its tier; the gap takes the longest
+piece of that or a shorter tier that still fits, again and again; a window that
+cannot be filled moves to the next tier, and at the longest tier the gap is
+filled by cutting the shortest piece that is longer than it. So only the last
+window of a pool may end with a gap. Windows are dealt to step groups in order
+of their attention cost, back and forth, so steps of one tier cost about the same.
+
+Pieces left of each length are bits of one integer: the longest that fits and
+the shortest that is longer are single operations. A pool holds ``POOL_IDS`` ids
+and one document's remainder at most.
 
 Defined cases: a null or empty text is the end id alone; an empty table gives
-an empty result; repeated rows are separate documents (``row_key`` deals
-their pieces apart); a null ``doc_id`` is carried as null; other columns are ignored.
+an empty result; repeated rows are separate documents; a null ``doc_id`` is
+carried as null; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,19 +27,20 @@ import zlib
 from typing import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from petalframe.llm.common import id_and_text, write_stage
+from petalframe.llm.common import id_and_text
 from petalframe.llm.tokens import tokenizer
 from petalframe.llm.words import small_batches
 
 END_ID = 0
 TIERS = (128, 256, 512, 1024)
-#: Pieces in a packing group, on average; sequences in a step group.
-GROUP_PIECES, STEP = 50_000, 64
+#: Ids of a pool, about; sequences in a step group.
+POOL_IDS, STEP = 4_000_000, 64
+_ROW = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
+        "sequence_id bigint, offset bigint, tier bigint, sequence_size bigint, step_group bigint")
 
 
 def encode_documents(batches, vocabulary: str | None, end_id: int = END_ID) -> Iterator[tuple[object, np.ndarray]]:
@@ -51,110 +54,116 @@ def encode_documents(batches, vocabulary: str | None, end_id: int = END_ID) -> I
                 yield docs[i + j], np.append(ids[at[j]:at[j + 1]], np.uint32(end_id))
 
 
-def cut(docs: DataFrame, size: int = TIERS[-1], vocabulary: str | None = None) -> DataFrame:
-    """One row per piece of at most ``size`` ids: ``doc_id, start, length, ids_crc32, doc_tokens``."""
-
-    def pieces(batches):
-        rows: list[tuple] = []
-        for doc, ids in encode_documents(batches, vocabulary):
-            for s in range(0, len(ids), size):
-                part = ids[s:s + size]
-                rows.append((doc, s, len(part), zlib.crc32(part.astype("<u4").tobytes()), len(ids)))
-            if len(rows) >= 20_000:
-                yield _rows(rows)
-                rows = []
-        if rows:
-            yield _rows(rows)
-
-    return docs.mapInArrow(pieces, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
-
-
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
-                                      ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-
-
-def pack_lengths(lengths: np.ndarray, tiers: tuple[int, ...] = TIERS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pack pieces into windows: ``(window of each piece, offset in it, size of each window)``.
-
-    ``lengths``: 1 to ``tiers[-1]``. The longest unplaced piece opens a window
-    of its own tier; the gap takes the longest unplaced piece that fits, again
-    and again. A window that cannot be filled up moves to the next tier, so
-    only windows of the longest tier may end with a gap.
-    """
+def pack_lengths(lengths: np.ndarray, tiers: tuple[int, ...] = TIERS) -> tuple[np.ndarray, np.ndarray]:
+    """Pack pieces of 1 to ``tiers[-1]`` ids into windows, cutting where a gap
+    needs it. Returns the parts, one row each ``(piece, first id in it, ids,
+    window, offset)``, and the size of each window."""
     size = tiers[-1]
-    order = np.argsort(lengths, kind="stable").tolist()
-    left = np.bincount(lengths, minlength=size + 1).tolist()
-    first = np.cumsum([0, *left]).tolist()  # order[first[x]:first[x + 1]] are the pieces of length x
-    below = [x if x == 0 or left[x] else x - 1 for x in range(size + 1)]
-
-    def longest(x: int) -> int:
-        """The longest length up to x of which a piece is left, else 0."""
-        root = x
-        while below[root] != root:
-            root = below[root]
-        while below[x] != root:
-            below[x], x = root, below[x]
-        return root
-
-    window = np.empty(len(lengths), dtype=np.int64)
-    offset = np.empty(len(lengths), dtype=np.int64)
+    waiting: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]  # by length: (piece, first id)
+    have = 0  # bit x: a piece of length x waits
+    for i in np.argsort(lengths, kind="stable")[::-1].tolist():
+        waiting[lengths[i]].append((i, 0))
+    for x in np.unique(lengths).tolist():
+        have |= 1 << x
+    parts: list[tuple[int, int, int, int, int]] = []
     sizes: list[int] = []
-    while x := longest(size):
-        tier, used = next(k for k, t in enumerate(tiers) if t >= x), 0
+
+    def take(x: int) -> tuple[int, int]:
+        nonlocal have
+        piece = waiting[x].pop()
+        if not waiting[x]:
+            have ^= 1 << x
+        return piece
+
+    while have:
+        x, used = have.bit_length() - 1, 0
+        tier = next(k for k, t in enumerate(tiers) if t >= x)
         while True:
             if x:
-                left[x] -= 1
-                piece = order[first[x] + left[x]]
-                if not left[x]:
-                    below[x] = x - 1
-                window[piece], offset[piece] = len(sizes), used
+                piece, first = take(x)
+                parts.append((piece, first, x, len(sizes), used))
                 used += x
-            elif used < tiers[tier] < size:
+                if used == tiers[tier]:
+                    break
+            elif tiers[tier] < size:
                 tier += 1
-            if used == tiers[tier] or not x and tiers[tier] == size:
-                break
-            x = longest(tiers[tier] - used)
-            if not x and tiers[tier] == size:
+            else:  # nothing fits: the shortest of the longer pieces gives what the gap needs
+                gap = size - used
+                longer = have >> (gap + 1)
+                if longer:
+                    y = gap + (longer & -longer).bit_length()
+                    piece, first = take(y)
+                    parts.append((piece, first, gap, len(sizes), used))
+                    if not waiting[y - gap]:
+                        have |= 1 << (y - gap)
+                    waiting[y - gap].append((piece, first + gap))
                 break
+            x = max(0, (have & ((2 << (tiers[tier] - used)) - 1)).bit_length() - 1)
         sizes.append(tiers[tier])
-    return window, offset, np.array(sizes, dtype=np.int64)
-
-
-def pack(pieces: DataFrame, n_pieces: int, tiers: tuple[int, ...] = TIERS, group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """Add ``sequence_id, offset, tier, sequence_size, step_group`` to written
-    piece rows, whose ``row_key`` is replaced."""
-    groups = max(1, -(-n_pieces // group_pieces))
-
-    def pack_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], kind="stable").reset_index(drop=True)
-        lengths = rows["length"].to_numpy()
-        window, offset, sizes = pack_lengths(lengths, tiers)
-        cost = np.bincount(window, weights=lengths.astype(float) ** 2, minlength=len(sizes))
-        step = np.empty(len(sizes), dtype=np.int64)
-        for tier in np.unique(sizes):
-            mine = np.flatnonzero(sizes == tier)
-            mine = mine[np.argsort(-cost[mine], kind="stable")]
-            n = -(-len(mine) // STEP)
-            turn = np.arange(len(mine)) % (2 * n)
-            step[mine] = np.minimum(turn, 2 * n - 1 - turn)
-        first = int(key[0]) << 32
-        return rows.assign(sequence_id=first + window, offset=offset, sequence_size=sizes[window],
-                           tier=np.array(tiers)[np.searchsorted(tiers, lengths)], step_group=first + step[window])[
-            ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "sequence_size", "step_group"]]
-
-    keyed = pieces.withColumn("g", F.pmod(F.xxhash64("row_key"), F.lit(groups))).drop("row_key")
-    return keyed.groupBy("g").applyInPandas(
-        pack_group, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-        "sequence_id bigint, offset bigint, tier bigint, sequence_size bigint, step_group bigint")
+    return np.array(parts, dtype=np.int64).reshape(-1, 5), np.array(sizes, dtype=np.int64)
+
+
+def _steps(cost: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Step group of each window: those of one size, dearest first, dealt back and forth."""
+    step = np.empty(len(sizes), dtype=np.int64)
+    for n in np.unique(sizes):
+        mine = np.flatnonzero(sizes == n)
+        mine = mine[np.argsort(-cost[mine], kind="stable")]
+        groups = -(-len(mine) // STEP)
+        turn = np.arange(len(mine)) % (2 * groups)
+        step[mine] = np.minimum(turn, 2 * groups - 1 - turn)
+    return step
 
 
 def pack_documents(docs: DataFrame, tiers: tuple[int, ...] = TIERS, vocabulary: str | None = None,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", pool_ids: int = POOL_IDS) -> DataFrame:
     """Tokenise, cut and pack whole documents; one row per piece:
     ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier,
     sequence_size, step_group``. A sequence is padded to ``sequence_size``:
     its content if that is one of the tiers, else the longest tier."""
-    pieces = cut(id_and_text(docs, id_col, text_col), tiers[-1], vocabulary).withColumn("row_key", F.monotonically_increasing_id())
-    pieces, n = write_stage(pieces, "pieces")
-    return pack(pieces, n, tiers)
+    size = tiers[-1]
+
+    def crc(ids: np.ndarray) -> int:
+        return zlib.crc32(ids.astype("<u4", copy=False).tobytes())
+
+    def rows_of(columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [c.split()[0] for c in _ROW.split(", ")])
+
+    def run(batches):
+        sequence, pool, held = TaskContext.get().partitionId() << 32, [], 0
+        full: list[tuple] = []
+
+        def packed():
+            nonlocal sequence, held
+            lengths = np.array([len(ids) for _, ids, _, _ in pool], dtype=np.int64)
+            parts, sizes = pack_lengths(lengths, tiers)
+            piece, first, n, window, offset = parts.T
+            cost = np.bincount(window, weights=n.astype(float) ** 2, minlength=len(sizes))
+            at = [pool[p] for p in piece.tolist()]
+            yield rows_of([
+                [p[0] for p in at], [p[2] + f for p, f in zip(at, first.tolist())], n,
+                [crc(p[1][f:f + k]) for p, f, k in zip(at, first.tolist(), n.tolist())], [p[3] for p in at],
+                sequence + window, offset, np.array(tiers)[np.searchsorted(tiers, n)], sizes[window], sequence + _steps(cost, sizes)[window]])
+            sequence += len(sizes)
+            pool.clear()
+            held = 0
+
+        for doc, ids in encode_documents(batches, vocabulary):
+            for s in range(0, len(ids) - size + 1, size):
+                full.append((doc, s, size, crc(ids[s:s + size]), len(ids), sequence, 0, size, size, sequence // STEP * STEP))
+                sequence += 1
+            rest = len(ids) % size
+            if rest:
+                pool.append((doc, ids[len(ids) - rest:].copy(), len(ids) - rest, len(ids)))
+                held += rest
+            if len(full) >= 20_000:
+                yield rows_of(zip(*full))
+                full = []
+            if held >= pool_ids:
+                yield from packed()
+        if full:
+            yield rows_of(zip(*full))
+        if pool:
+            yield from packed()
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, _ROW)

@@ -287,28 +287,54 @@ def test_op7_pages(spark):
 
 
 def test_op8_packs_every_id_once(docs, empty):
-    from petalframe.llm.op8_packing import TIERS, pack_documents, pack_lengths
+    from petalframe.llm.op8_packing import pack_documents
 
-    rows = pack_documents(docs).collect()
-    want = Counter()
+    ids = defaultdict(Counter)
     for i, t, *_ in corpus():
-        ids = np.array(encoded(t), dtype="<u4")
-        for s in range(0, len(ids), 1024):
-            want[i, s, len(ids[s:s + 1024]), zlib.crc32(ids[s:s + 1024].tobytes()), len(ids)] += 1
-    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in rows) == want
-    sequences = defaultdict(list)
-    for r in rows:
-        sequences[r.sequence_id].append((r.offset, r.length, r.sequence_size))
-    for parts in sequences.values():
-        at = 0
-        for offset, length, size in sorted(parts):
-            assert offset == at
-            at += length
-        assert at <= size <= 1024 and (size == 1024 or at == size)
+        ids[i][tuple(encoded(t))] += 1
+    for pool in (4_000_000, 3_000):
+        rows = pack_documents(docs, pool_ids=pool).collect()
+        # every id of every row in one piece: repeated rows and rows of one id hold their ids as often
+        covered, sequences = Counter(), defaultdict(list)
+        for r in rows:
+            match = [t for t in ids[r.doc_id] if len(t) == r.doc_tokens
+                     and zlib.crc32(np.array(t[r.start:r.start + r.length], dtype="<u4").tobytes()) == r.ids_crc32]
+            assert match and 1 <= r.length <= 1024 and r.start + r.length <= r.doc_tokens
+            for k in range(r.start, r.start + r.length):
+                covered[r.doc_id, r.doc_tokens, k] += 1
+            sequences[r.sequence_id].append((r.offset, r.length, r.sequence_size))
+        want = Counter()
+        for i, texts in ids.items():
+            for t, n in texts.items():
+                for k in range(len(t)):
+                    want[i, len(t), k] += n
+        assert covered == want
+        for parts in sequences.values():
+            at = 0
+            for offset, length, size in sorted(parts):
+                assert offset == at
+                at += length
+            assert at <= size <= 1024 and (size == 1024 or at == size)
     assert pack_documents(empty).count() == 0
-    lengths = np.random.default_rng(1).integers(1, 1025, 20_000)
-    window, _, sizes = pack_lengths(lengths, TIERS)
-    assert (np.bincount(window, weights=lengths) <= sizes).all() and lengths.sum() > 0.99 * sizes.sum()
+
+
+@pytest.mark.parametrize("low,high", [(900, 900), (700, 800), (600, 640), (1, 1024), (1000, 1023), (513, 520), (1, 3)])
+def test_op8_padding(low, high):
+    """At most 1 % padding, whatever the lengths; every id of every piece once."""
+    from petalframe.llm.op8_packing import TIERS, pack_lengths
+
+    lengths = np.random.default_rng(1).integers(low, high + 1, 6_000)
+    parts, sizes = pack_lengths(lengths, TIERS)
+    used = np.bincount(parts[:, 3], weights=parts[:, 2])
+    assert (used <= sizes).all() and (used < sizes).sum() <= 1  # only the last window may have a gap
+    assert lengths.sum() >= 0.99 * sizes.sum() or lengths.sum() < 100 * 1024
+    assert ((used == sizes) | (sizes == 1024)).all() and set(sizes.tolist()) <= set(TIERS)
+    at = Counter()
+    for piece, first, n, *_ in sorted(parts.tolist()):
+        assert first == at[piece] and n > 0
+        at[piece] += n
+    assert [at[i] for i in range(len(lengths))] == lengths.tolist()
+    assert len(pack_lengths(np.empty(0, dtype=np.int64))[0]) == 0
 
 
 def test_op9_spans(spark, docs, empty):
@@ -497,19 +523,25 @@ def test_op7_words_inside_the_article_need_the_template(spark):
         [texts[0], texts[1] + " warning", texts[2]], [texts[1]], [texts[0]] * 2]
 
 
-def test_op8_equal_rows_do_not_share_a_group(spark, monkeypatch):
+def test_op8_pools_are_bounded(spark, monkeypatch):
     from petalframe.llm import op8_packing
 
-    rows = [(1, "one and the same text")] * 400 + [(None, None)] * 400 + [(i, f"text {i}") for i in range(400)]
+    rows = [(1, "one and the same text")] * 400 + [(None, None)] * 400 + [(i, f"text {i}") for i in range(400)] + [(5000, "word " * 9_000)]
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    pack = op8_packing.pack
-    monkeypatch.setattr(op8_packing, "pack", lambda pieces, n, tiers: pack(pieces, n, tiers, group_pieces=100))
-    out = op8_packing.pack_documents(table)
-    assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "sequence_size", "step_group"]
-    got = out.collect()
-    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
-    groups = Counter(r.sequence_id >> 32 for r in got)
-    assert len(groups) == 12 and max(groups.values()) < 200
+    got = op8_packing.pack_documents(table, pool_ids=500).collect()
+    assert op8_packing.pack_documents(table).columns == [
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "sequence_size", "step_group"]
+    tokens = Counter()
+    for r in got:
+        tokens[r.doc_id] += r.length
+    want = Counter()
+    for i, t in rows:
+        want[i] += len(encoded(t))
+    assert tokens == want
+    held = Counter()
+    for r in got:
+        held[r.sequence_id] += r.length
+    assert sum(n == 1024 for n in held.values()) >= 8 and len({r.step_group for r in got}) > 3
 
 
 def test_op3_no_task_unites_a_long_list(spark):
