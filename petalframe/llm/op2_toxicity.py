@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from petalframe.llm.common import id_and_text
+from petalframe.llm.common import id_and_text, small_side, write_stage
 from petalframe.llm.words import small_batches
 
 #: A public list of everyday insults.
@@ -122,9 +122,11 @@ class Lexicon:
 
 def training_rows(labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id",
                   label_col: str = "toxic") -> tuple[DataFrame, dict[int, int]]:
-    """At most about ``sample`` rows per class of the usable labels, and how many there are per class."""
+    """At most about ``sample`` (document, label) pairs per class of the usable
+    labels, and how many there are per class. Equal label rows count once, so one
+    id's labels, however often repeated, are one pair a class."""
     rows = (labels.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
-            .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id"))))
+            .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id"))).distinct())
     n = {0: 0, 1: 0} | {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     part = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1_000_000))
     share = F.when(F.col("y") == 1, F.lit(sample / max(n[1], 1))).otherwise(F.lit(sample / max(n[0], 1)))
@@ -264,7 +266,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_co
                  label_col: str = "toxic", label_id_col: str = "doc_id") -> ToxicityModel:
     docs = id_and_text(docs, id_col, text_col)
     ids, n_labelled = training_rows(labels, sample, label_id_col, label_col)
-    train = docs.join(F.broadcast(ids), "doc_id").select("text", "y")  # bounded by ``sample``
+    ids, _ = small_side(ids, "toxic-ids")
+    # one text of each pair, the same at every run: bounded by ``sample``, whatever repeats
+    train = docs.join(ids, "doc_id").groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "y")
+    train, _ = write_stage(train, "toxic-train")
     usable = min(n_labelled.values()) > 0
     lexicon = mine_lexicon(train)
     v, t = lexicon.n_voters, len(lexicon.terms)
