@@ -18,6 +18,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -86,10 +88,13 @@ def scan(text: str | None, enc, max_ratio: float = MAX_RATIO) -> tuple[list[tupl
             base += [(at + m.start(), at + m.end(), "hex") for m in HEX.finditer(run)]
     base.sort(key=lambda s: (s[0], KINDS.index(s[2])))
     added = []
+    # a part overlaps a base span if one that starts before its end reaches beyond its start
+    starts, reach = [s for s, *_ in base], list(accumulate((e for _, e, _ in base), max))
     for at, _, run in runs:
         for m in PART.finditer(run):
             s, e = at + m.start(), at + m.end()
-            if not any(a < e and s < b for a, b, _ in base) and is_rare(m[0], enc, max_ratio):
+            before = bisect_left(starts, e)
+            if not (before and reach[before - 1] > s) and is_rare(m[0], enc, max_ratio):
                 added.append((s, e, "rare"))
     return base, added
 
