@@ -9,11 +9,13 @@ written for the page, inside an article or main element as well. What remains
 between template tokens are slots; the article is read from the slots under the
 page's article or main element, or, where those hold nothing, from all slots of
 the body, without those in elements that by tag, class or id are menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles or reader comments. Inside article and
-main, class and id drop an element only if the template has its tag on every
-page of the host (ids of headings and sections never do); on a host without a
-template a whole class has to be one of the words. Such elements on only some
-of a host's pages stay. Numbers in class and id make no different path.
+notices, adverts, forms, scripts, styles or reader comments. Classes that mean
+nothing else (comments, adverts, sidebars: ``SURE``) drop an element on any page.
+Inside article and main, other words in class and id drop one only if the
+template has its tag on every page of the host (ids of headings and sections
+never do); on a host without a template a whole class has to be one of the
+words. Numbers in class and id make no different path; a path is a hash of its
+steps, as long at any depth.
 
 Vectors are never collected: a token's vector is the sum of one hash per
 (page content, count), in two halves that cannot overflow, so a host of any
@@ -60,6 +62,10 @@ WORDS_ANYWHERE = frozenset("ad ads advert adverts advertisement sponsor sponsore
                            "breadcrumb breadcrumbs pagination footer login signup".split())
 WORDS_OUTSIDE = WORDS_ANYWHERE | {"header", "masthead", "topbar", "toolbar"}
 MAIN = frozenset(("article", "main"))
+#: Classes that mean nothing else, whole or (the latter) as a part between signs: gone on any page.
+SURE = frozenset("comment comments advert adverts advertisement ads sponsored cookie cookies sidebar disqus newsletter breadcrumb breadcrumbs "
+                 "pagination navbar cookie-banner cookie-notice comment-list".split())
+SURE_PARTS = frozenset("comments advert adverts advertisement sidebar disqus".split())
 #: Inside these the id is a title's name, not a mark.
 TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog"}
@@ -82,11 +88,16 @@ class _Element:
         marks = [(k.lower(), (a or b or c).lower()) for k, a, b, c in _ATTRIBUTE.findall(attributes)] if attributes else []
         role = next((v for k, v in marks if k == "role"), "")
         self.tag = tag
-        self.path = (above.path if above else "") + "/" + tag + "".join(f"[{_NUMBER.sub('0', v)}]" for _, v in marks)
+        # hashed step by step: as long at any depth
+        step = (above.path if above else "") + "/" + tag + "".join(f"[{_NUMBER.sub('0', v)}]" for _, v in marks)
+        self.path = hashlib.blake2b(step.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
         inside = bool(above and above.main)
         ignored = ("role", "id") if inside and tag in TITLED else ("role",)
         words = {w for k, v in marks if k not in ignored for w in re.split(r"[^a-z0-9]+", v)}
-        self.dropped = bool(above and above.dropped) or tag in FURNITURE or role in ROLES or (tag == "header" and not inside) or bool(
+        classes = [v for k, v in marks if k == "class"]
+        sure = tag not in ("html", "body", *MAIN) and any(
+            not SURE.isdisjoint(v.split()) or not SURE_PARTS.isdisjoint(re.split(r"[^a-z0-9]+", v)) for v in classes)
+        self.dropped = bool(above and above.dropped) or sure or tag in FURNITURE or role in ROLES or (tag == "header" and not inside) or bool(
             not inside and words & WORDS_OUTSIDE and tag not in ("html", "body"))
         self.main = not self.dropped and (inside or tag in MAIN or role == "main")
         #: Elements up to here that a template may drop: path, and whether a whole class is one of the words.
