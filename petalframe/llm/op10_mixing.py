@@ -9,9 +9,10 @@ and the queue is cut where the running total would pass the budget. All in
 DataFrame operations; planning shuffles ids, sources and sizes, never texts.
 
 No running total is taken over a whole source in one task: the shuffle keys
-are cut into slots, totals of slots are summed first, and windows only run
-inside a slot; the global order likewise, in lanes of virtual time. Only the
-table of sources (one row each) is ranked in one task.
+are cut into slots, totals of slots are summed first (in blocks of slots, so that
+no window grows with the rows), and windows only run inside a slot; the global
+order likewise, in lanes of virtual time. Only the table of sources (one row
+each) is ranked in one task.
 
 Defined cases: null or empty text has size 0 and is never taken; a null source
 is a source of its own, ranked last; repeated rows (same id, source and text)
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from petalframe.llm.common import WORD, write_stage
+from petalframe.operators.prefix import offsets
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2
@@ -48,8 +50,8 @@ def running_total(df: DataFrame, by: list[str], slot: Column, order: list[Column
     order (slot, order). Slots must grow with the order."""
     df = df.withColumn("_slot", slot)
     totals = df.groupBy(*by, "_slot").agg(F.sum(value).alias("_sum"))
-    before = totals.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_slot").alias("_s"),
-                           (F.sum("_sum").over(Window.partitionBy(*by).orderBy("_slot")) - F.col("_sum")).alias("_before"))
+    before = offsets(totals, by, ["_sum"], "_slot").select(
+        *[F.col(c).alias(f"_{c}") for c in by], F.col("_slot").alias("_s"), F.col("before__sum").alias("_before"))
     w = Window.partitionBy(*by, "_slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumn("_run", F.sum(value).over(w))
     same = F.col("_slot") == F.col("_s")
@@ -116,7 +118,7 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     lanes = float(max(1, -(-2 * n // slot_rows)))
     queued = queued.withColumn("lane", F.floor(F.col("due") * lanes))
     sums = queued.groupBy("lane").agg(F.sum("words").alias("lane_words"), F.max("budget").alias("budget"))
-    sums = sums.withColumn("before", F.sum("lane_words").over(Window.orderBy("lane")) - F.col("lane_words"))
+    sums = sums.join(offsets(sums, [], ["lane_words"], "lane").select("lane", F.col("before_lane_words").alias("before")), "lane")
     over = sums.where("before <= budget and before + lane_words > budget").select(F.col("lane").alias("_lane"), "before")
     in_lane = Window.partitionBy("lane").orderBy("due", *tie).rowsBetween(Window.unboundedPreceding, 0)
     cut = (queued.join(over, F.col("lane") == F.col("_lane")).withColumn("total", F.sum("words").over(in_lane) + F.col("before"))
