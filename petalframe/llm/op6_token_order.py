@@ -4,9 +4,9 @@ The documents' ids (each with an end id) form one stream, in the order of a
 keyed hash of the document; the stream is cut into sequences of fixed length,
 the last one padded. A keyed Feistel network permutes the sequence numbers;
 numbers that leave the range walk on through the permutation until they are
-back in it, so every sequence gets exactly one slot of ``0 .. n - 1``. Ranges
-of slots are gathered and written as shards of a fixed stride: the bytes of
-slot s are at ``(s % shard_sequences) * stride`` of shard ``s // shard_sequences``,
+back in it, so every sequence gets exactly one slot of ``0 .. n - 1``. Range
+partitions of slots (whole shards, in order) are gathered and written as shards
+of a fixed stride: the bytes of slot s are at ``(s % shard_sequences) * stride`` of shard ``s // shard_sequences``,
 so a reader that stopped at a slot goes on from there without an index.
 
 Texts are tokenised once, into a written table of compressed ids. Offsets are
@@ -164,7 +164,10 @@ def training_order(docs: DataFrame, length: int = LENGTH, key: int = KEY, pad_id
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["slot", "sequence", "n_tokens", "payload"])
 
     cut = encoded.select("rid", "ids").join(at, "rid").mapInArrow(pieces, schema)
-    return (cut.repartition(F.floor(F.col("slot") / shard_sequences)).sortWithinPartitions("slot", "pos")
+    # slots are a permutation of 0 .. n - 1: ranges of whole shards need no sample
+    shard, n_shards = F.floor(F.col("slot") / shard_sequences), -(-n_seq // shard_sequences)
+    ranges = min(n_shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return (cut.repartitionById(ranges, F.floor(shard * ranges / n_shards).cast("int")).sortWithinPartitions("slot", "pos")
             .mapInArrow(whole, "slot bigint, sequence bigint, n_tokens int, payload binary"))
 
 
