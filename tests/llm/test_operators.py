@@ -564,3 +564,87 @@ def test_op3_keeps_a_fixed_row_of_an_id(spark):
     rows = [(i, t, f"s{j}") for i in range(6) for j, t in enumerate((None, f"first text of {i} here", f"another text {i} " * 3))]
     kept = [sorted(map(tuple, keep_one(spark.createDataFrame(r, "doc_id long, text string, source string").coalesce(1)).collect())) for r in (rows, rows[::-1])]
     assert kept[0] == kept[1] and all(t is not None for _, t, _ in kept[0])
+
+
+def test_op2_training_rows_are_bounded(spark):
+    """Labels and documents repeated without end for one id."""
+    from petalframe.llm.op2_toxicity import fit_toxicity, training_rows
+
+    hot = next(i for i in range(10) if zlib.crc32(str(i).encode()) % 3 != 1)
+    rows = spark.range(200_000).select(F_when_hot(hot).alias("doc_id"), (spark_col("id") % 40 == 0).cast("int").alias("toxic"))
+    ids, n = training_rows(rows, sample=10_000)
+    assert ids.count() <= 22_000 and n[0] + n[1] <= 50_002
+    docs = spark.range(3_000).select(F_when_hot(hot).alias("doc_id"), spark_concat("some words of text ", "id").alias("text"))
+    assert 0 <= fit_toxicity(docs, rows).score("some words") <= 1
+
+
+def F_when_hot(hot):
+    from pyspark.sql import functions as F
+
+    return F.when(F.col("id") % 4 > 0, F.lit(hot)).otherwise(F.col("id"))
+
+
+def spark_col(name):
+    from pyspark.sql import functions as F
+
+    return F.col(name)
+
+
+def spark_concat(text, name):
+    from pyspark.sql import functions as F
+
+    return F.concat(F.lit(text), F.col(name).cast("string"))
+
+
+def test_op9_many_secrets_take_linear_time():
+    import time
+
+    from petalframe.llm.op9_secrets import encoding, scan
+
+    enc, rnd = encoding(), random.Random(3)
+    secret = lambda: "".join(rnd.choice("abcdefghjkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(24))
+    text = " ".join(f"token={secret()} {secret()}" for _ in range(8_000))
+    scan(text[:10_000], enc)
+    best = min(_timed(time, lambda: scan(text, enc)) for _ in range(3))
+    base, added = scan(text, enc)
+    assert len(base) == 8_000 and len(added) > 5_000 and best < 1.5
+    assert not any(a < e and s < b for s, e, _ in added[:200] for a, b, _ in base)
+
+
+def _timed(time, f):
+    t = time.perf_counter()
+    f()
+    return time.perf_counter() - t
+
+
+def test_op7_comments_and_adverts_go_on_any_page(spark):
+    extra = '<div class="comments"><p>first!</p></div><div class="advert">buy</div><div class="post-comments">me too</div><aside>s</aside>'
+    page = SHELL.format("<article><p>text {0}</p>{1}<div class=policy>rules {0}</div></article>")
+    pages = [page.format(i, extra if i % 2 else "") for i in range(6)]
+    assert page_texts(spark, pages, [pages[1]]) == [[f"text {i} rules {i}" for i in range(6)], ["text 1 rules 1"]]
+
+
+def test_op7_depth_takes_little_memory():
+    import tracemalloc
+
+    from petalframe.llm.op7_html import main_text
+
+    tracemalloc.start()
+    assert main_text("<div>" * 8_000 + "deep") == "deep"
+    assert tracemalloc.get_traced_memory()[1] < 30 << 20
+    tracemalloc.stop()
+
+
+def test_op6_partitions_are_ranges_of_shards(spark, docs):
+    from pyspark.sql import functions as F
+
+    from petalframe.llm.op6_token_order import training_order
+
+    rows = training_order(docs, length=16, shard_sequences=4).select("slot", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
+    got = [tuple(r) for r in rows.orderBy("at").collect()]
+    assert [s for s, *_ in got] == sorted(s for s, *_ in got)  # files in slot order
+    assert len({p for _, p, _ in got}) > 2
+    of = defaultdict(set)
+    for s, p, _ in got:
+        of[s // 4].add(p)
+    assert all(len(p) == 1 for p in of.values())
