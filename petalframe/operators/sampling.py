@@ -20,6 +20,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from petalframe.functions.rand import hash_bucket, hash_rank, uniform
 from petalframe.operators.prefix import positions
@@ -168,6 +169,11 @@ def _ranges_and_classes(df: DataFrame, features: list, label: str):
     return row, list(row["_classes"])
 
 
+def _as_feature(new: Column, dtype: T.DataType) -> Column:
+    """A drawn value as the feature's type; whole numbers are floored."""
+    return (F.floor(new) if isinstance(dtype, T.IntegralType) else new).cast(dtype)
+
+
 def poison(df: DataFrame, key: str, features: list, label: str, percent: float, seed: int,
            digits: int = DEFAULT_DIGITS, flag: str = "is_poisoned") -> DataFrame:
     """Poison ``percent`` % of the rows.
@@ -186,7 +192,7 @@ def poison(df: DataFrame, key: str, features: list, label: str, percent: float,
     repl = {}
     for c in features:
         new = uniform_in_range(F.lit(stats[f"min_{c}"]), F.lit(stats[f"max_{c}"]), seed, f"feat:{c}", key)
-        repl[c] = F.when(F.col("_p"), new.cast(df.schema[c].dataType)).otherwise(F.col(c))
+        repl[c] = F.when(F.col("_p"), _as_feature(new, df.schema[c].dataType)).otherwise(F.col(c))
     repl[label] = F.when(F.col("_p"), wrong_label(F.col(label), classes, uniform(seed, "label", key))).otherwise(F.col(label))
     repl[flag] = F.col("_p").cast("int")
     return s.withColumns(repl).drop("_p")
@@ -227,10 +233,7 @@ def poison_runs(df: DataFrame, key: str, features: list, label: str, runs: list,
     repl = {}
     for c in features:
         new = uniform_in_range(F.lit(stats[f"min_{c}"]), F.lit(stats[f"max_{c}"]), seed, f"feat:{c}", key)
-        dt = df.schema[c].dataType
-        if dt.typeName() in ("long", "integer", "short", "byte"):
-            new = F.floor(new)
-        repl[c] = F.when(F.col("_p"), new.cast(dt)).otherwise(F.col(c))
+        repl[c] = F.when(F.col("_p"), _as_feature(new, df.schema[c].dataType)).otherwise(F.col(c))
     if array_feature:
         # one lambda over the array: element i uses salt "feat:<array>[i]"
         lo, hi = array_ranges(df, array_feature)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -64,10 +65,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scratch: list[str] = []
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/petalframe/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder for a written table: under the shared checkpoint folder, or
+    under the :func:`scratch` folder in use."""
+    base = _scratch[-1] if _scratch else f"{ensure_checkpoint_dir(spark).rstrip('/')}/petalframe"
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that operators write inside the block are deleted at its end. What
+    they return reads those tables: use it up, or write it elsewhere, inside."""
+    path = work_dir(spark, "scratch")
+    _scratch.append(path)
+    try:
+        yield path
+    finally:
+        _scratch.remove(path)
+        delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df, name: str = "stage"):

@@ -32,6 +32,22 @@ def test_materialize_writes_under_checkpoint_dir(spark):
     assert files and all(ckpt.replace("file:", "") in f for f in files)
 
 
+def test_scratch_tables_go_at_the_end(spark, tmp_path):
+    import os
+
+    kept = session.materialize(spark.range(5), "kept")
+    with session.scratch(spark) as path:
+        with session.scratch(spark) as inner:
+            session.materialize(spark.range(10), "a")
+            assert inner.startswith(path)
+        assert not os.path.exists(inner.replace("file:", ""))
+        m = session.materialize(spark.range(20), "b")
+        m.write.parquet(str(tmp_path / "out"))
+        assert all(path.replace("file:", "") in f for f in m.inputFiles())
+    assert not os.path.exists(path.replace("file:", "")) and kept.count() == 5
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 20
+
+
 def test_bounded_broadcast_checks_size(spark):
     small, n = session.bounded_broadcast(spark.range(10), max_rows=100)
     big, m = session.bounded_broadcast(spark.range(1000), max_rows=100)
