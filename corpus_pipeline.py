@@ -16,12 +16,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from petalframe.llm.common import ready, table, write_stage
+from petalframe.llm.common import ready, table
 from petalframe.llm.op2_toxicity import drop_toxic, fit_toxicity
 from petalframe.llm.op3_minhash import keep_one
 from petalframe.llm.op8_packing import pack_documents
 from petalframe.llm.op9_secrets import redact_secrets
 from petalframe.llm.op10_mixing import mix_documents
+from petalframe.session import delete_folder, scratch, work_dir
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +70,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages over ``documents``. Tables that a stage writes for itself go once
+    its result is written, a stage's result once the next one's is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs, _ = write_stage(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        kept = work_dir(spark, f"pipeline-{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(kept)
+        docs = spark.read.parquet(kept)
+        if before:
+            delete_folder(spark, before)
+        before = kept
     return STAGES[-1][1](spark, docs, sf_dir)
