@@ -16,8 +16,9 @@ each) is ranked in one task.
 
 Defined cases: null or empty text has size 0 and is never taken; a null source
 is a source of its own, ranked last; repeated rows (same id, source and text)
-are decided together, as one document of their summed size; if all sizes are 0
-the targets are 0; other columns play no part.
+queue one after the other and are counted, not ranked, row by row: a row of
+numbers tells how many of them the mix takes; if all sizes are 0 the targets are
+0; other columns play no part.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from petalframe.llm.common import WORD, write_stage
-from petalframe.operators.prefix import offsets
+from petalframe.operators.prefix import offsets, positions
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2
@@ -92,8 +93,8 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
              id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", slot_rows: int = SLOT_ROWS) -> DataFrame:
     """What the mix takes: one row per distinct document (``doc_id, source,
     size, text_hash``) with ``repeats`` (equal input rows), ``source_size``,
-    ``target``, ``copies`` (times each of those rows is taken, at most
-    ``most``) and ``finish`` (virtual finish time of the first copy)."""
+    ``target``, ``copies`` (times they are taken, all of them together, at most
+    ``most`` each) and ``finish`` (virtual finish time of the last's first copy)."""
     units = (docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
                          F.xxhash64(text_col).alias("text_hash"))
              .groupBy("doc_id", "source", "size", "text_hash").agg(F.count(F.lit(1)).alias("repeats"))
@@ -108,12 +109,16 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     tie = ["u", "doc_id", "size", "text_hash"]
     units, _ = write_stage(running_total(units, ["source"], slot, [F.col(c) for c in tie], "words", "cum"), "mix-cum")
 
-    def due(k):  # a copy is due when its middle word is served; at time 1 every source is at its target
-        served = F.col("cum") - F.col("words") / 2 + k * F.col("source_size")
-        return F.when((F.col("size") > 0) & (F.col("target") > 0), served / F.col("target"))
+    before = F.col("cum") - F.col("words") + F.col("copy") * F.col("source_size")
 
-    queued = (units.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(most - 1)))).withColumn("due", due(F.col("copy")))
-              .where("due <= 1"))
+    def due(n):  # the n-th of equal rows is due when its middle word is served; at time 1 every source is at its target
+        return (before + (n - 0.5) * F.col("size")) / F.col("target")
+
+    queued = units.where("size > 0 and target > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
+    fit = F.floor((F.col("target") - before) / F.col("size") + 0.5)
+    fit = F.when(F.col("repeats") == 1, (due(F.lit(1)) <= 1).cast("bigint")).otherwise(F.greatest(F.lit(0), F.least(F.col("repeats"), fit)))
+    queued = queued.withColumn("rows", fit.cast("bigint")).where("rows > 0").withColumn("due", due(F.col("rows"))).withColumn(
+        "words", F.col("rows") * F.col("size"))
     # the global order by due time, in lanes of equal width; only the lane where the budget ends is sorted
     lanes = float(max(1, -(-2 * n // slot_rows)))
     queued = queued.withColumn("lane", F.floor(F.col("due") * lanes))
@@ -122,29 +127,52 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     over = sums.where("before <= budget and before + lane_words > budget").select(F.col("lane").alias("_lane"), "before")
     in_lane = Window.partitionBy("lane").orderBy("due", *tie).rowsBetween(Window.unboundedPreceding, 0)
     cut = (queued.join(over, F.col("lane") == F.col("_lane")).withColumn("total", F.sum("words").over(in_lane) + F.col("before"))
-           .where("total > budget").select("due", *tie).orderBy("due", *tie).first())
-
-    def taken(k):
-        if cut is None:
-            return F.coalesce(due(k) <= 1, F.lit(False))
-        earlier = F.lit(False)
-        for c in reversed(tie):
+           .where("total > budget").select("due", *tie, "total", "words", "budget").orderBy("due", *tie).first())
+    taken = F.col("rows")
+    if cut is not None:
+        # of the rows where the budget ends, as many as it still pays for
+        last = int((cut["budget"] - (cut["total"] - cut["words"])) // cut["size"])
+        same, earlier = F.lit(True), F.lit(False)
+        for c in reversed(["due", *tie]):
             v = F.lit(cut[c])
             earlier = F.coalesce(F.col(c) < v, F.lit(False)) | (F.col(c).eqNullSafe(v) & earlier)
-        return F.coalesce((due(k) < F.lit(cut["due"])) | ((due(k) == F.lit(cut["due"])) & earlier), F.lit(False))
+            same = same & F.col(c).eqNullSafe(v)
+        taken = F.when(earlier, F.col("rows")).when(same, F.lit(last)).otherwise(F.lit(0))
+    key = ["doc_id", "source", "size", "text_hash"]
+    taken = queued.withColumn("taken", taken).where("taken > 0").groupBy(*key).agg(F.sum("taken").cast("bigint").alias("copies"))
+    taken = taken.withColumnsRenamed({c: f"_t_{c}" for c in key})
+    met = F.lit(True)
+    for c in key:
+        met = met & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+    return units.join(taken, met, "left").select(*key, "repeats", "source_size", "target", F.coalesce("copies", F.lit(0)).alias("copies"),
+                                                 F.when(F.col("target") > 0, F.col("cum") / F.col("target")).alias("finish"))
+
 
-    copies = sum((taken(F.lit(k)).cast("int") for k in range(most)), F.lit(0))
-    return units.select("doc_id", "source", "size", "text_hash", "repeats", "source_size", "target", copies.alias("copies"),
-                        F.when(F.col("target") > 0, F.col("cum") / F.col("target")).alias("finish"))
+def per_row(copies: Column, repeats: Column, nth: Column) -> Column:
+    """Times the ``nth`` (from 0) of equal rows is taken: the copies dealt out evenly, the first rows one more."""
+    even = F.floor(copies / repeats)
+    return (even + (nth < copies - even * repeats).cast("bigint")).cast("bigint")
 
 
 def mix_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = SEED,
                   id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mixed documents, all input columns: a document taken twice is two rows."""
     plan = plan_mix(docs, weights, share, most, seed, id_col, text_col, source_col).where("copies > 0")
-    p = plan.select(*[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "size", "text_hash", "copies")])
+    names = ("doc_id", "source", "size", "text_hash", "copies", "repeats")
+    p, _ = write_stage(plan.select(*[F.col(c).alias(f"_mix_{c}") for c in names]), "mix-plan")
     same = (F.col(id_col).eqNullSafe(F.col("_mix_doc_id")) & F.col(source_col).eqNullSafe(F.col("_mix_source"))
             & (F.xxhash64(text_col) == F.col("_mix_text_hash")) & (word_count(F.col(text_col)) == F.col("_mix_size")))
-    out = docs.join(p, same)
-    copies = F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))
-    return out.withColumn("_mix_copy", copies).select(*[docs[c] for c in docs.columns])
+    even = docs.join(p.where("_mix_copies % _mix_repeats = 0"), same).withColumn("_mix_n", F.expr("_mix_copies div _mix_repeats"))
+    # equal rows of which some are taken once more: numbered over ranges, not in one task
+    odd = p.where("_mix_copies % _mix_repeats > 0")
+    unit = ["_mix_doc_id", "_mix_source", "_mix_text_hash"]
+    rows = positions(docs.join(odd, same).withColumn("_mix_spread", F.monotonically_increasing_id()), [*unit, "_mix_spread"], "_mix_at")
+    first = rows.groupBy(*unit).agg(F.min("_mix_at").alias("_mix_first")).withColumnsRenamed({c: f"{c}_f" for c in unit})
+    met = F.lit(True)
+    for c in unit:
+        met = met & F.col(c).eqNullSafe(F.col(f"{c}_f"))
+    n = per_row(F.col("_mix_copies"), F.col("_mix_repeats"), F.col("_mix_at") - F.col("_mix_first"))
+    rows = rows.join(first, met).withColumn("_mix_n", n).where("_mix_n > 0")
+    cols = [*docs.columns, "_mix_n"]
+    out = even.select(*cols).unionByName(rows.select(*cols))
+    return out.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n").cast("int")))).select(*docs.columns)

@@ -88,11 +88,12 @@ FROM c LEFT JOIN g USING (doc_id)
 @register("op10_mixing", OP10_SQL)
 def op10(spark, sf_dir):
     """All ``documents`` mixed to weights 5, 2, 1 and 150 % of all words."""
-    from petalframe.llm.op10_mixing import plan_mix
+    from petalframe.llm.op10_mixing import per_row, plan_mix
 
     plan = plan_mix(table(spark, sf_dir, "documents"))
-    rows = plan.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    rows = plan.withColumn("nth", F.explode(F.sequence(F.lit(0), F.col("repeats").cast("int") - 1)))
+    return rows.select("doc_id", "size", "source_size", "target",
+                       (F.col("size") * per_row(F.col("copies"), F.col("repeats"), F.col("nth"))).alias("taken"))
 
 
 @register("op6_token_order")
