@@ -70,6 +70,10 @@ def terms_of(token: str) -> list[str]:
     return out
 
 
+#: Tokens whose terms a task remembers (about 200 bytes each); beyond it the memo starts afresh.
+MEMO = 200_000
+
+
 @dataclass
 class Lexicon:
     """Terms with their voter; remembers tokens already looked up."""
@@ -81,7 +85,7 @@ class Lexicon:
     def lookup(self, token: str) -> tuple[int, ...]:
         hit = self.memo.get(token)
         if hit is None:
-            if len(self.memo) > 500_000:
+            if len(self.memo) > MEMO:
                 self.memo.clear()
             hit = self.memo[token] = tuple({self.terms[t] for t in terms_of(token) if t in self.terms})
         return hit
