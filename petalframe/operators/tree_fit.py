@@ -13,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from petalframe.operators.models import class_index, class_labels
+from petalframe.operators.metrics import classification_metrics
+from petalframe.operators.models import class_index, class_labels, fit_parallel
 from petalframe.operators.prefix import prefix_sums
-from petalframe.operators.treeshap import Node, Tree
+from petalframe.operators.treeshap import Node, Tree, predict
 from petalframe.session import materialize
 
 #: Digits to which two cuts are told apart; nearer ones are a tie.
@@ -85,3 +86,17 @@ def fit_exact_tree(train: DataFrame, features: list, label: str, max_depth: int
             nodes[n.left], nodes[n.right] = Node(n.left, mine), Node(n.right, [w - x for w, x in zip(n.counts, mine)])
             open_nodes += [n.left, n.right]
     return Tree(list(nodes.values()), labels, features)
+
+
+def exact_grid(train: DataFrame, test: DataFrame, features: list, label: str, depths=(2, 3), criteria=("gini", "entropy")) -> DataFrame:
+    """M4 with exact thresholds: ``run_id, max_depth, criterion`` and the macro
+    metrics on ``test``, whose rows are read once and scored by all trees."""
+    grid = [(i + 1, d, c) for i, (d, c) in enumerate((d, c) for d in depths for c in criteria)]
+    trees = fit_parallel([lambda d=d, c=c: fit_exact_tree(train, features, label, d, c) for _, d, c in grid])
+    scored = test.select(label, *features)
+    for (run, _, _), tree in zip(grid, trees):
+        scored = predict(scored, tree, f"_leaf_{run}", f"_p_{run}")
+    runs = [F.struct(F.lit(r).alias("run_id"), F.lit(d).alias("max_depth"), F.lit(c).alias("criterion"), F.col(f"_p_{r}").alias("prediction"))
+            for r, d, c in grid]
+    scored = scored.select(label, F.explode(F.array(*runs)).alias("_s")).select(label, "_s.*")
+    return classification_metrics(scored, label, "prediction", ["run_id", "max_depth", "criterion"])

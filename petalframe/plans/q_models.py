@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from petalframe.functions.rand import sql_hash_rank, sql_uniform
 from petalframe.operators import metrics as M
 from petalframe.operators import models, sampling
-from petalframe.operators.tree_fit import fit_exact_tree
+from petalframe.operators.tree_fit import exact_grid, fit_exact_tree
 from petalframe.operators.treeshap import predict
 from petalframe.plans.q_metrics import MIN_CHARS, _MACRO, metrics_sql
 from petalframe.plans.registry import register
@@ -203,30 +203,53 @@ def logreg_string_labels(spark, sf_dir):
     return models.load_newest(spark, base).transform(parts).select("p_partkey", "kind", "prediction")
 
 
-def _greedy_sql(depth: int) -> str:
-    """Greedy gini splits of customers' segments by nation and balance, level by level."""
-    out = """WITH n0 AS (SELECT c_custkey, c_mktsegment AS y, CAST(c_nationkey AS DOUBLE) AS x0, c_acctbal AS x1, CAST(1 AS INTEGER) AS node FROM customer)"""
+_CUT_SCORE = {
+    "gini": "sum(l * l) / any_value(nl) + sum((t - l) * (t - l)) / (any_value(nt) - any_value(nl))",
+    "entropy": "sum(CASE WHEN l > 0 THEN l * ln(l / nl) ELSE 0 END) + sum(CASE WHEN t > l THEN (t - l) * ln((t - l) / (nt - nl)) ELSE 0 END)"}
+
+
+def _greedy_ctes(depth: int, impurity: str, p: str) -> str:
+    """Greedy splits of customers' segments by nation and balance, level by level:
+    ``<p>n<level>`` holds the node of every customer."""
+    out = f"""{p}n0 AS (SELECT c_custkey, c_mktsegment AS y, CAST(c_nationkey AS DOUBLE) AS x0, c_acctbal AS x1, CAST(1 AS INTEGER) AS node FROM customer)"""
     for k in range(depth):
         out += f""",
-v{k} AS (SELECT node, f, x, y, count(*) AS c FROM (SELECT node, 0 AS f, x0 AS x, y FROM n{k} UNION ALL SELECT node, 1, x1, y FROM n{k}) GROUP BY ALL),
-g{k} AS (SELECT a.node, a.f, a.x, b.y, coalesce(v.c, 0) AS c
-  FROM (SELECT DISTINCT node, f, x FROM v{k}) a JOIN (SELECT DISTINCT node, y FROM v{k}) b ON a.node = b.node
-  LEFT JOIN v{k} v ON v.node = a.node AND v.f = a.f AND v.x = a.x AND v.y = b.y),
-c{k} AS (SELECT *, sum(c) OVER (PARTITION BY node, f, y ORDER BY x) AS l, sum(c) OVER (PARTITION BY node, f, y) AS t FROM g{k}),
-s{k} AS (SELECT node, f, x, sum(l) AS nl, sum(t) AS nt, sum(t * t) AS st, sum(l * l) AS sl, sum((t - l) * (t - l)) AS sr FROM c{k} GROUP BY ALL),
-q{k} AS (SELECT *, lead(x) OVER (PARTITION BY node, f ORDER BY x) AS nx FROM s{k}),
-b{k} AS (SELECT node, f, (x + nx) / 2 AS threshold FROM q{k} WHERE nx IS NOT NULL AND st < nt * nt
-  QUALIFY row_number() OVER (PARTITION BY node ORDER BY round((sl / nl + sr / (nt - nl)) / nt, 9) DESC, f, x) = 1),
-n{k + 1} AS (SELECT c_custkey, y, x0, x1, CAST(CASE WHEN f IS NULL THEN n.node WHEN CASE WHEN f = 0 THEN x0 ELSE x1 END <= threshold THEN 2 * n.node
-  ELSE 2 * n.node + 1 END AS INTEGER) AS node FROM n{k} n LEFT JOIN b{k} b ON n.node = b.node)"""
-    return out + f""",
-m AS (SELECT node, y FROM n{depth} GROUP BY node, y QUALIFY row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, y) = 1)
-SELECT c_custkey, n.node AS leaf, m.y AS prediction FROM n{depth} n JOIN m ON n.node = m.node"""
-
-
-@register("tree_exact", _greedy_sql(3))
+{p}v{k} AS (SELECT node, f, x, y, count(*) AS c FROM (SELECT node, 0 AS f, x0 AS x, y FROM {p}n{k} UNION ALL SELECT node, 1, x1, y FROM {p}n{k}) GROUP BY ALL),
+{p}g{k} AS (SELECT a.node, a.f, a.x, b.y, coalesce(v.c, 0) AS c
+  FROM (SELECT DISTINCT node, f, x FROM {p}v{k}) a JOIN (SELECT DISTINCT node, y FROM {p}v{k}) b ON a.node = b.node
+  LEFT JOIN {p}v{k} v ON v.node = a.node AND v.f = a.f AND v.x = a.x AND v.y = b.y),
+{p}c{k} AS (SELECT *, sum(c) OVER (PARTITION BY node, f, y ORDER BY x) AS l, sum(c) OVER (PARTITION BY node, f, y) AS t FROM {p}g{k}),
+{p}w{k} AS (SELECT *, sum(l) OVER (PARTITION BY node, f, x) AS nl, sum(t) OVER (PARTITION BY node, f, x) AS nt FROM {p}c{k}),
+{p}s{k} AS (SELECT node, f, x, any_value(nt) AS nt, sum(t * t) AS st, {_CUT_SCORE[impurity]} AS score FROM {p}w{k} GROUP BY node, f, x),
+{p}q{k} AS (SELECT *, lead(x) OVER (PARTITION BY node, f ORDER BY x) AS nx FROM {p}s{k}),
+{p}b{k} AS (SELECT node, f, (x + nx) / 2 AS threshold FROM {p}q{k} WHERE nx IS NOT NULL AND st < nt * nt
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(score / nt, 9) DESC, f, x) = 1),
+{p}n{k + 1} AS (SELECT c_custkey, y, x0, x1, CAST(CASE WHEN f IS NULL THEN n.node WHEN CASE WHEN f = 0 THEN x0 ELSE x1 END <= threshold THEN 2 * n.node
+  ELSE 2 * n.node + 1 END AS INTEGER) AS node FROM {p}n{k} n LEFT JOIN {p}b{k} b ON n.node = b.node)"""
+    return out
+
+
+def _leaf_labels(table: str) -> str:
+    return f"(SELECT node, y FROM {table} GROUP BY node, y QUALIFY row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, y) = 1)"
+
+
+@register("tree_exact", f"""WITH {_greedy_ctes(3, "gini", "")}
+SELECT c_custkey, n.node AS leaf, m.y AS prediction FROM n3 n JOIN {_leaf_labels("n3")} m ON n.node = m.node""")
 def tree_exact(spark, sf_dir):
     """M3/M6: a tree of depth 3 with exact thresholds on string classes; leaf and label of every customer."""
     c = Tables(spark, sf_dir).customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     tree = fit_exact_tree(c, ["c_nationkey", "c_acctbal"], "c_mktsegment", max_depth=3)
     return predict(c, tree).select("c_custkey", "leaf", "prediction")
+
+
+_GRID = [(i + 1, d, c) for i, (d, c) in enumerate((d, c) for d in (2, 3) for c in ("gini", "entropy"))]
+
+
+@register("tree_grid_exact", metrics_sql(_MACRO, ["run_id", "max_depth", "criterion"], scored=", ".join(
+    [_greedy_ctes(3, "gini", "gini_"), _greedy_ctes(3, "entropy", "entropy_"), "s AS (" + " UNION ALL ".join(
+        f"SELECT {r} AS run_id, {d} AS max_depth, '{c}' AS criterion, n.y AS truth, m.y AS pred "
+        f"FROM {c}_n{d} n JOIN {_leaf_labels(f'{c}_n{d}')} m ON n.node = m.node" for r, d, c in _GRID) + ")"])))
+def tree_grid_exact(spark, sf_dir):
+    """M3/M4: depth {2, 3} x {gini, entropy} with exact thresholds; macro metrics on the rows fitted."""
+    c = Tables(spark, sf_dir).customer.select("c_nationkey", "c_acctbal", "c_mktsegment")
+    return exact_grid(c, c, ["c_nationkey", "c_acctbal"], "c_mktsegment")
