@@ -21,8 +21,13 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
+import zlib
+from typing import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -177,8 +182,6 @@ def shards(sequences: DataFrame, length: int = LENGTH, dtype: str = DTYPE, shard
     stride = length * np.dtype(dtype).itemsize
 
     def gather(batches):
-        import zlib
-
         now, first, held = None, 0, []
 
         def row():
@@ -206,6 +209,80 @@ def write_shards(sequences: DataFrame, path: str, length: int = LENGTH, dtype: s
     shards(sequences, length, dtype, shard_sequences).write.mode("errorifexists").parquet(path)
 
 
+def shard_name(shard_id: int) -> str:
+    return f"shard-{shard_id:09d}.bin"
+
+
+def _crc(fs, path: str) -> int | None:
+    """Checksum of a file, None if there is none."""
+    if fs.get_file_info(path).type == pa.fs.FileType.NotFound:
+        return None
+    crc = 0
+    with fs.open_input_stream(path) as f:
+        while part := f.read(1 << 20):
+            crc = zlib.crc32(part, crc)
+    return crc
+
+
+def write_shard_files(sequences: DataFrame, uri: str, length: int = LENGTH, dtype: str = DTYPE,
+                      shard_sequences: int = SHARD_SEQUENCES) -> DataFrame:
+    """One plain file per shard under ``uri`` (a shared folder that every executor
+    reaches: file, hdfs or an object store), and their index, returned and written
+    to ``uri/_index``: ``shard_id, first_slot, n_sequences, stride, crc32, file``.
+
+    A file is written under a name of its own and renamed when it is complete: a
+    task that is lost, or run twice, leaves whole files only. A shard whose file
+    is there with the right checksum is not written again, so a job that was cut
+    off goes on where it stopped."""
+
+    def write(batches):
+        fs, base = pa.fs.FileSystem.from_uri(uri)
+        fs.create_dir(base, recursive=True)
+        for b in batches:
+            for row in b.to_pylist():
+                name = shard_name(row["shard_id"])
+                if _crc(fs, f"{base}/{name}") != row["crc32"]:
+                    part = f"{base}/.{name}-{uuid.uuid4().hex}"
+                    with fs.open_output_stream(part) as f:
+                        f.write(row["payload"])
+                    fs.move(part, f"{base}/{name}")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["shard_id"]], pa.int64()), pa.array([row["first_slot"]], pa.int64()), pa.array([row["n_sequences"]], pa.int32()),
+                     pa.array([row["stride"]], pa.int32()), pa.array([row["crc32"]], pa.int64()), pa.array([name], pa.string())],
+                    ["shard_id", "first_slot", "n_sequences", "stride", "crc32", "file"])
+
+    index = shards(sequences, length, dtype, shard_sequences).mapInArrow(
+        write, "shard_id bigint, first_slot bigint, n_sequences int, stride int, crc32 bigint, file string")
+    index.write.mode("overwrite").parquet(f"{uri.rstrip('/')}/_index")
+    return sequences.sparkSession.read.parquet(f"{uri.rstrip('/')}/_index")
+
+
+class ShardReader:
+    """Sequences of written shard files in slot order, from any slot on: slot s
+    lies at ``(s % shard_sequences) * stride`` of shard ``s // shard_sequences``."""
+
+    def __init__(self, uri: str, length: int = LENGTH, dtype: str = DTYPE, shard_sequences: int = SHARD_SEQUENCES):
+        self.fs, self.base = pa.fs.FileSystem.from_uri(uri)
+        self.dtype, self.stride, self.per_shard = np.dtype(dtype), length * np.dtype(dtype).itemsize, shard_sequences
+
+    def read(self, first: int = 0, last: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """``(slot, ids)`` up to before ``last`` (default: to the end)."""
+        slot = first
+        while last is None or slot < last:
+            path = f"{self.base}/{shard_name(slot // self.per_shard)}"
+            if self.fs.get_file_info(path).type == pa.fs.FileType.NotFound:
+                return
+            with self.fs.open_input_file(path) as f:
+                f.seek(slot % self.per_shard * self.stride)
+                end = (slot // self.per_shard + 1) * self.per_shard
+                while slot < (end if last is None else min(end, last)):
+                    raw = f.read(self.stride)
+                    if not raw:
+                        return
+                    yield slot, np.frombuffer(raw, self.dtype)
+                    slot += 1
+
+
 def read_slots(spark: SparkSession, path: str, first: int = 0, last: int | None = None) -> DataFrame:
     """``slot, payload`` from slot ``first`` up to before ``last``; only shards
     of that range are read, and each slot is cut out of its shard's payload."""

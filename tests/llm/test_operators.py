@@ -669,3 +669,30 @@ def test_op10_repeated_rows_meet_the_target(spark):
         assert mixed.columns == docs.columns
         assert {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == want
     assert hot.copies > 0
+
+
+def test_op6_shard_files_seek_and_resume(spark, docs, tmp_path):
+    import os
+
+    from petalframe.llm.op6_token_order import ShardReader, training_order, write_shard_files
+
+    rows = training_order(docs, length=32, shard_sequences=5).cache()
+    want = {r.slot: bytes(r.payload) for r in rows.collect()}
+    uri = f"file://{tmp_path}/shards"
+    index = write_shard_files(rows, uri, 32, shard_sequences=5).orderBy("shard_id").collect()
+    assert [r.first_slot for r in index] == [5 * k for k in range(len(index))] and sum(r.n_sequences for r in index) == len(want)
+    for r in index:  # fixed stride, no gaps
+        data = (tmp_path / "shards" / r.file).read_bytes()
+        assert r.stride == 64 and len(data) == 64 * r.n_sequences and zlib.crc32(data) == r.crc32
+        assert all(data[64 * k:64 * k + 64] == want[r.first_slot + k] for k in range(r.n_sequences))
+    reader = ShardReader(uri, 32, shard_sequences=5)
+    assert {s: x.tobytes() for s, x in reader.read()} == want
+    assert [s for s, _ in reader.read(13, 27)] == list(range(13, 27)) and all(x.tobytes() == want[s] for s, x in reader.read(13, 27))
+    # a file lost and one cut short are written again, the others stay as they are
+    first, second, third = (tmp_path / "shards" / r.file for r in index[:3])
+    kept = os.stat(third).st_mtime_ns
+    first.unlink()
+    second.write_bytes(b"cut")
+    write_shard_files(rows, uri, 32, shard_sequences=5)
+    assert {s: x.tobytes() for s, x in reader.read()} == want and os.stat(third).st_mtime_ns == kept
+    assert not [f for f in os.listdir(tmp_path / "shards") if f.startswith(".shard")]
