@@ -696,3 +696,56 @@ def test_op6_shard_files_seek_and_resume(spark, docs, tmp_path):
     write_shard_files(rows, uri, 32, shard_sequences=5)
     assert {s: x.tobytes() for s, x in reader.read()} == want and os.stat(third).st_mtime_ns == kept
     assert not [f for f in os.listdir(tmp_path / "shards") if f.startswith(".shard")]
+
+
+def test_op9_base_spans_equal_a_plain_scan():
+    from petalframe.llm.op9_secrets import encoding, scan
+
+    rnd, enc = random.Random(12), encoding()
+    bits = ["password", "PassWD", "api_key", "apikey", "secret", "Token", '"', "'", " ", "  ", ":", "=", "\n", "AKIA", "AKIAABCDEFGHIJKL", "AKIAab", "0123456789abcdef",
+            "deadbeef" * 2, "xyz/+_.-=9", "é", "A1B2C3D4", ",", "short", "longer_value_12", "0" * 31, "f" * 32]
+    found = Counter()
+    for _ in range(3_000):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 14)))
+        want = [(m.start(), 0, m.end(), "assign") for m in re.finditer(
+            r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 8]
+        want += [(m.start(), 1, m.end(), "access") for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+        want += [(m.start(), 2, m.end(), "hex") for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+        base, added = scan(text, enc)
+        assert base == [(a, z, k) for a, _, z, k in sorted(want)]
+        assert not any(a < e and b < z for a, z, _ in added for b, e, _ in base)
+        found.update(k for *_, k in base)
+    assert min(found[k] for k in ("assign", "access", "hex")) > 100
+
+
+def test_op2_scores_by_brute_force(spark):
+    """Scores over Spark equal the model applied to each text; equal texts get equal scores."""
+    from petalframe.llm.op2_toxicity import drop_toxic, fit_toxicity, score_toxicity
+
+    rnd = random.Random(9)
+    rows = [(i, " ".join(rnd.choice(("plain", "word", "idiot", "moron", "you", "!!", "UPPER")) for _ in range(rnd.randint(0, 30)))) for i in range(300)]
+    rows += [(None, None), (500, ""), (501, None), rows[4], (502, "idiot " * 5_000)]
+    labels = [(i, 1, int("idiot" in t)) for i, t in rows[:300]]
+    docs = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_id long, text string, score double").repartition(4)
+    model = fit_toxicity(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    want = Counter((i, round(model.score(t), 12), i is not None and zlib.crc32(str(i).encode()) % 3 == 1, int(model.score(t) >= 0.7)) for i, t in rows)
+    got = Counter((r.doc_id, round(r.score, 12), r.held_out, r.predicted) for r in score_toxicity(docs, model).collect())
+    assert got == want
+    kept = drop_toxic(docs, model)
+    assert kept.columns == docs.columns and Counter(r.text for r in kept.collect()) == Counter(t for _, t in rows if model.score(t) < 0.7)
+
+
+def test_pipeline_of_an_empty_table_and_clashing_columns(spark, tmp_path):
+    import corpus_pipeline as p
+
+    rows = [(i, t, la, s, n) for i, t, la, s, n in corpus()]
+    for name, table in (("empty", []), ("clash", rows)):
+        base = tmp_path / name
+        schema = f"doc_id long, text string, lang string, source string, n_chars long, {EXTRA}"
+        spark.createDataFrame([(*r, *[None] * 12) for r in table], schema).write.parquet(str(base / "documents.parquet"))
+        spark.createDataFrame([(i, 1, 0) for i in range(9)], "doc_id long, quality int, toxic int").write.parquet(str(base / "labels.parquet"))
+        docs = spark.read.parquet(str(base / "documents.parquet"))
+        for _, stage in p.STAGES[:-1]:
+            assert stage(spark, docs, str(base)).columns == docs.columns
+        out = p.run(spark, str(base))
+        assert (out.count() > 0) == bool(table)
