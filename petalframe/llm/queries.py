@@ -155,8 +155,8 @@ WITH e AS (
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
-  FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+  SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_dot_product(q.v, c.v) AS BIGINT)) AS score
+  FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id GROUP BY q.vec_id, c.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
