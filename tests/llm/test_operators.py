@@ -749,3 +749,31 @@ def test_pipeline_of_an_empty_table_and_clashing_columns(spark, tmp_path):
             assert stage(spark, docs, str(base)).columns == docs.columns
         out = p.run(spark, str(base))
         assert (out.count() > 0) == bool(table)
+
+
+def test_op5_whole_where_lengths_fall_off(spark, monkeypatch):
+    """Bars, stripes and prefixes lose nothing where lengths let them prune; repeated ids, zero vectors."""
+    from pyspark.sql import functions as F
+
+    from petalframe.llm import op5_inner
+
+    monkeypatch.setattr(op5_inner, "VECTOR_BLOCK", 50)
+    monkeypatch.setattr(op5_inner, "QUERY_BLOCK", 8)
+    monkeypatch.setattr(op5_inner, "STRIPE", 2)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(2_000, 12)) * (0.997 ** np.arange(2_000))[:, None]
+    x[1_990:] = 0
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(7, (3 * x[5]).tolist()), (40, x[3].tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in op5_inner.top_products(table, F.col("vec_id") % 20 == 0, k=4).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    whole = [(i, np.floor(256 * np.array(v)).astype(np.int64)) for i, v in rows]
+    for q in range(0, 2_000, 20):
+        best = {}
+        for own in (v for i, v in whole if i == q):
+            for i, v in whole:
+                if i != q:
+                    best[i] = max(best.get(i, -10**18), int(own @ v))
+        want = sorted(best.items(), key=lambda e: (-e[1], e[0]))[:4]
+        assert sorted(got[q]) == [(n + 1, i, s) for n, (i, s) in enumerate(want)]
