@@ -132,12 +132,19 @@ def as_of_join(spine: DataFrame, feats: DataFrame, keys: list, *,
         raise ValueError(f"feature names clash with spine columns: {sorted(clash)}")
     st, ft = spine.schema[spine_ts].dataType, feats.schema[feature_ts].dataType
 
-    # the time the spine covers: no other feature row can match
-    low = F.min(spine_ts) - interval(ttl) if ttl is not None else F.lit(None)
-    bounds = spine.agg(low.cast("string").alias("low"), F.max(spine_ts).cast("string").alias("high")).first()
-    wanted = F.col(feature_ts) <= F.lit(bounds["high"]).cast(ft)
+    # the time the spine covers: no other feature row can match. Instants travel as
+    # microseconds, times without a zone (and mixed types) as text in the session's zone
+    exact = isinstance(st, T.TimestampType) and isinstance(ft, T.TimestampType)
+    low = F.min(spine_ts) - interval(ttl) if ttl is not None else F.lit(None).cast(st)
+    low, high = [F.unix_micros(c) if exact else c.cast("string") for c in (low, F.max(spine_ts))]
+    bounds = spine.agg(low.alias("low"), high.alias("high")).first()
+
+    def bound(v) -> Column:
+        return F.timestamp_micros(F.lit(v).cast("bigint")) if exact else F.lit(v).cast(ft)
+
+    wanted = F.col(feature_ts) <= bound(bounds["high"])
     if ttl is not None:
-        wanted = wanted & (F.col(feature_ts) >= F.lit(bounds["low"]).cast(ft))
+        wanted = wanted & (F.col(feature_ts) >= bound(bounds["low"]))
     for k in keys:
         wanted = wanted & F.col(k).isNotNull()
 

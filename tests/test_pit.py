@@ -188,3 +188,20 @@ def test_asof_empty_sides(spark):
     none = _spine(spark, [])
     assert pit.as_of_join(none, _feats(spark, [(1, T0, T0, 1.0)]), ["k"], features=["v"]).count() == 0
     assert _run(_spine(spark, [(1, 1, T0), (2, None, None)]), _feats(spark, [])) == {1: (None, None), 2: (None, None)}
+
+
+def test_bounds_in_a_zone_with_repeated_hours(spark):
+    """01:30 happens twice on that day; the later instant is still within the spine's bounds."""
+    from datetime import timezone
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    later = datetime(2024, 11, 3, 6, 30, tzinfo=timezone.utc)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        spine = spark.createDataFrame([(1, 1, int(later.timestamp()))], "sid int, k int, s long").withColumn("ts", F.timestamp_seconds("s")).drop("s")
+        feats = spark.createDataFrame([(1, int(later.timestamp()) - 60, 1.0), (1, int(later.timestamp()) - 3_700, 0.5)], "k int, s long, v double")
+        feats = feats.withColumn("ts", F.timestamp_seconds("s")).drop("s")
+        for ttl in (None, timedelta(minutes=5)):
+            assert [r["v"] for r in pit.as_of_join(spine, feats, ["k"], ttl=ttl).collect()] == [1.0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
