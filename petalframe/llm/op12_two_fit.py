@@ -47,7 +47,7 @@ def cut_documents(docs: DataFrame, size: int = SIZE, vocabulary: str | None = No
         tok = tokenizer(vocabulary)
         for b in batches:
             ids_of, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
-            for i, k in small_batches(texts):
+            for i, k in small_batches(texts, 1 << 20):
                 ids, at = tok.encode(texts[i:k])
                 raw = memoryview(np.ascontiguousarray(ids, dtype="<u4")).cast("B")
                 rows = []

@@ -71,7 +71,7 @@ def terms_of(token: str) -> list[str]:
 
 
 #: Tokens whose terms a task remembers (about 200 bytes each); beyond it the memo starts afresh.
-MEMO = 200_000
+MEMO = 100_000
 
 
 @dataclass

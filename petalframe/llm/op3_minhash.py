@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from petalframe.llm.common import small_side, components, compressed, decompress, id_and_text, write_stage
+from petalframe.llm.common import components, compressed, decompress, id_and_text, write_stage
 from petalframe.llm.op1_substring import _emit, _shared
 from petalframe.llm.words import Words, grams, mix, signed, small_batches
 
@@ -309,8 +309,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     feats, _ = write_stage(_features(docs, shingle, FIRST), "near-features")
     key = ["d1", "d2", "n"]
     classes = feats.where("n > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    # a written table, so that the joins of hot classes can be split or need no exchange
-    classes, _ = small_side(classes, "near-sets")
+    classes, _ = write_stage(classes, "near-sets")  # a table of its own: joins with hot sets can be split
     members, _ = write_stage(feats.select("doc_id", *key).join(classes, key, "left")
                              .select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")), "near-members")
     reps, _ = write_stage(feats.join(classes, key).where("doc_id = rep").select("rep", "n", "sketch"), "near-classes")

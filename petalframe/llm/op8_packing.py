@@ -37,8 +37,10 @@ from petalframe.llm.words import small_batches
 
 END_ID = 0
 TIERS = (128, 256, 512, 1024)
+#: Characters that are tokenised at a time.
+ENCODED_CHARS = 1 << 20
 #: Ids of a pool, about; sequences in a step group.
-POOL_IDS, STEP = 4_000_000, 64
+POOL_IDS, STEP = 1_000_000, 64
 _ROW = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
         "sequence_id bigint, offset bigint, tier bigint, sequence_size bigint, step_group bigint")
 
@@ -48,7 +50,7 @@ def encode_documents(batches, vocabulary: str | None, end_id: int = END_ID) -> I
     tok = tokenizer(vocabulary)
     for b in batches:
         docs, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
-        for i, k in small_batches(texts):
+        for i, k in small_batches(texts, ENCODED_CHARS):
             ids, at = tok.encode(texts[i:k])
             for j in range(k - i):
                 yield docs[i + j], np.append(ids[at[j]:at[j + 1]], np.uint32(end_id))

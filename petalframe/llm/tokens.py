@@ -29,7 +29,7 @@ from petalframe.llm.words import _segment_hashes, _Powers, mix
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Distinct pre-tokens one worker keeps (about 150 bytes each); beyond it the memo starts afresh.
-MEMO = 400_000
+MEMO = 250_000
 
 _CHARS = _Powers(0xA0761D6478BD642F)
 _SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
