@@ -28,6 +28,7 @@ import heapq
 from bisect import bisect_left
 from collections import defaultdict
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import groupby
 
 import numpy as np
@@ -70,16 +71,27 @@ class Postings:
     counts: np.ndarray
     names: list
 
+    @cached_property
+    def at(self) -> np.ndarray:
+        """Where each entry's postings start, and the end."""
+        return np.concatenate([[0], np.cumsum(self.sizes)])
+
     def part(self, a: int, z: int) -> "Postings":
-        at, z = np.concatenate([[0], np.cumsum(self.sizes)]), min(z, len(self.terms))
-        return Postings(self.terms[a:z], self.df[a:z], self.sizes[a:z], self.codes[at[a]:at[z]], self.counts[at[a]:at[z]], self.names)
+        z = min(z, len(self.terms))
+        own = slice(self.at[a], self.at[z])
+        return Postings(self.terms[a:z], self.df[a:z], self.sizes[a:z], self.codes[own], self.counts[own], self.names)
+
+    def take(self, order: np.ndarray) -> "Postings":
+        sizes = self.sizes[order]
+        own = np.repeat(self.at[:-1][order] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        return Postings(self.terms.take(pa.array(order)), self.df[order], sizes, self.codes[own], self.counts[own], self.names)
 
     def where(self, keep: np.ndarray) -> "Postings":
         own = np.repeat(keep, self.sizes)
         return Postings(self.terms.filter(pa.array(keep)), self.df[keep], self.sizes[keep], self.codes[own], self.counts[own], self.names)
 
     def lists(self, values: pa.Array) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(self.sizes)]), pa.int32()), values)
+        return pa.ListArray.from_arrays(pa.array(self.at, pa.int32()), values)
 
 
 def _runs_of(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,8 +169,10 @@ def block_runs(docs: DataFrame, shards: int, block_chars: int = BLOCK_CHARS) ->
             for lang in sorted(held):
                 p = block_postings(*held[lang])
                 shard = _shard_of(p.terms, shards)
-                for k in np.unique(shard).tolist():
-                    yield from _chunks(lang, k, run, p.where(shard == k))
+                order, first, found = _runs_of(shard)  # by shard, and by term inside
+                p, ends = p.take(order), [*first.tolist()[1:], len(order)]
+                for k, a, z in zip(found.tolist(), first.tolist(), ends):
+                    yield from _chunks(lang, k, run, p.part(a, z))
 
         for b in batches:
             for text, lang, source in zip(*(b.column(c).to_pylist() for c in ("text", "lang", "source"))):
