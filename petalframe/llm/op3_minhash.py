@@ -48,6 +48,8 @@ FIRST, SECOND = 32, 256
 SIGMAS = 6.0
 #: Documents in a block of sketches, on either side.
 OUTSIDE_BLOCK, MEMBER_BLOCK = 128, 1000
+#: Characters that are hashed at a time.
+HASHED_CHARS = 1 << 19
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
@@ -72,7 +74,7 @@ def _features(docs: DataFrame, size: int, k: int) -> DataFrame:
     def run(batches):
         for b in batches:
             ids, texts = b.column("doc_id"), b.column("text").to_pylist()
-            for i, e in small_batches(texts):
+            for i, e in small_batches(texts, HASHED_CHARS):
                 words, rows = Words(texts[i:e], lower=True), []
                 for j in range(e - i):
                     s = shingles(words.of(j), size)

@@ -38,7 +38,7 @@ from petalframe.llm.words import small_batches
 END_ID = 0
 TIERS = (128, 256, 512, 1024)
 #: Characters that are tokenised at a time.
-ENCODED_CHARS = 1 << 20
+ENCODED_CHARS = 1 << 18
 #: Ids of a pool, about; sequences in a step group.
 POOL_IDS, STEP = 1_000_000, 64
 _ROW = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from functools import cached_property
 from itertools import chain
 from typing import Sequence
 
@@ -101,11 +102,7 @@ class MemoTokenizer:
     """One per Python worker and vocabulary file."""
 
     def __init__(self, path: str | None = None, memo: int = MEMO):
-        from tokenizers import Tokenizer
-
         self.path, self.memo = path, memo
-        self.library = Tokenizer.from_file(path or vocabulary_path())
-        self.library.encode_special_tokens = True
         ranks = merge_ranks(path or vocabulary_path())
         self.piece = None
         if ranks is not None:
@@ -115,6 +112,15 @@ class MemoTokenizer:
         self.kinds = _classes()
         self._forget()
 
+    @cached_property
+    def library(self):
+        """The vocabulary in ``tokenizers``, loaded only if it is used."""
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.path or vocabulary_path())
+        library.encode_special_tokens = True
+        return library
+
     def _forget(self) -> None:
         self.known: dict[int, int] = {}
         self.pool = np.empty(1 << 16, dtype=np.uint32)

@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 U64 = np.uint64
-SLICE = 1 << 20
+SLICE = 1 << 17
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True

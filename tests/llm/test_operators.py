@@ -777,3 +777,28 @@ def test_op5_whole_where_lengths_fall_off(spark, monkeypatch):
                     best[i] = max(best.get(i, -10**18), int(own @ v))
         want = sorted(best.items(), key=lambda e: (-e[1], e[0]))[:4]
         assert sorted(got[q]) == [(n + 1, i, s) for n, (i, s) in enumerate(want)]
+
+
+def test_hashing_keeps_little_memory(monkeypatch):
+    """A worker holds its powers and its vocabulary for good: they must not grow with a batch."""
+    from petalframe.llm import tokens, words
+
+    texts = ["ab cd efg " * 100_000, None, "x", "hij klm " * 100_000]
+    got = {}
+    for size in (words.SLICE, 1 << 10, 1 << 22):
+        held = {n: words._Powers(getattr(words, n).base) for n in ("_BYTES", "_WORDS", "_WORDS2")}
+        for n, p in held.items():
+            monkeypatch.setattr(words, n, p)
+        chars = words._Powers(tokens._CHARS.base)
+        monkeypatch.setattr(tokens, "_CHARS", chars)
+        with monkeypatch.context() as m:
+            m.setattr(words, "SLICE", size)
+            w = words.Words(texts)
+            tok = tokens.MemoTokenizer()
+            ids, at = tok.encode(texts)
+            got[size] = [w.hashes, words.grams(w.of(0), 5), words.grams(w.of(3), 50, second=True), ids, at]
+        if size == words.SLICE:
+            assert sum(p.up.nbytes + p.down.nbytes for p in [*held.values(), chars]) <= 24 << 20
+            assert "library" not in vars(tok)  # tiktoken encodes: the other vocabulary is not loaded
+    for other in list(got.values())[1:]:
+        assert all(np.array_equal(x, y) for x, y in zip(got[words.SLICE], other))
