@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +46,15 @@ def small_side(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
     return (F.broadcast(out) if fits else out), fits
 
 
+def released(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what Arrow took for used-up ones goes back to the system,
+    as a worker stays for later stages and holds it otherwise."""
+    for b in batches:
+        yield b
+        del b
+        pa.default_memory_pool().release_unused()
+
+
 def compress(text: str | None) -> bytes | None:
     return None if text is None else zstandard.ZstdCompressor(level=1).compress(text.encode("utf-8", "surrogatepass"))
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from petalframe.llm.common import id_and_text, small_side, write_stage
+from petalframe.llm.common import id_and_text, released, small_side, write_stage
 from petalframe.llm.words import small_batches
 
 #: A public list of everyday insults.
@@ -182,7 +182,7 @@ def vote_counts(docs: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarr
     """Vote patterns over all documents: ``(bits, number of documents)``."""
 
     def run(batches):
-        for b in batches:
+        for b in released(batches):
             c = Counter(lexicon.features(t)[1] for t in b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(c.values(), pa.int64())], ["votes", "n"])
 
@@ -344,7 +344,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHO
     i = docs.columns.index(text_col)
 
     def run(batches):
-        for b in batches:
+        for b in released(batches):
             yield b.filter(pa.array([model.score(t) < threshold for t in b.column(i).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

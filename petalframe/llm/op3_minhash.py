@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from petalframe.llm.common import components, compressed, decompress, id_and_text, write_stage
+from petalframe.llm.common import components, compressed, decompress, id_and_text, released, write_stage
 from petalframe.llm.op1_substring import _emit, _shared
 from petalframe.llm.words import Words, grams, mix, signed, small_batches
 
@@ -72,7 +72,7 @@ def _needed(n: Column, k: int, percent: int) -> Column:
 
 def _features(docs: DataFrame, size: int, k: int) -> DataFrame:
     def run(batches):
-        for b in batches:
+        for b in released(batches):
             ids, texts = b.column("doc_id"), b.column("text").to_pylist()
             for i, e in small_batches(texts, HASHED_CHARS):
                 words, rows = Words(texts[i:e], lower=True), []

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from petalframe.llm.common import id_and_text
+from petalframe.llm.common import id_and_text, released
 from petalframe.llm.tokens import tokenizer
 from petalframe.llm.words import small_batches
 
@@ -48,7 +48,7 @@ _ROW = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_token
 def encode_documents(batches, vocabulary: str | None, end_id: int = END_ID) -> Iterator[tuple[object, np.ndarray]]:
     """``(doc_id, ids with the end id)`` for record batches of doc_id and text."""
     tok = tokenizer(vocabulary)
-    for b in batches:
+    for b in released(batches):
         docs, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
         for i, k in small_batches(texts, ENCODED_CHARS):
             ids, at = tok.encode(texts[i:k])

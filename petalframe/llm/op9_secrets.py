@@ -24,7 +24,7 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from petalframe.llm.common import id_and_text
+from petalframe.llm.common import id_and_text, released
 
 #: The base patterns and the shortest lengths that count.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -149,7 +149,7 @@ def redact_secrets(docs: DataFrame, vocabulary: str | None = None, max_ratio: fl
 
     def run(batches):
         enc = encoding(vocabulary)
-        for b in batches:
+        for b in released(batches):
             old = b.column(i).to_pylist()
             new = [redact(t, enc, max_ratio, mask) for t in old]
             if new == old:

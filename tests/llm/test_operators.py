@@ -802,3 +802,17 @@ def test_hashing_keeps_little_memory(monkeypatch):
             assert "library" not in vars(tok)  # tiktoken encodes: the other vocabulary is not loaded
     for other in list(got.values())[1:]:
         assert all(np.array_equal(x, y) for x, y in zip(got[words.SLICE], other))
+
+
+def test_used_batches_give_memory_back(monkeypatch):
+    from types import SimpleNamespace
+
+    from petalframe.llm import common
+
+    given = []
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: SimpleNamespace(release_unused=lambda: given.append(len(seen))))
+    seen = []
+    for b in common.released(iter("abc")):
+        seen.append(b)
+    assert seen == ["a", "b", "c"] and given == [1, 2, 3]
+    assert list(common.released([])) == []
